@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -26,6 +26,20 @@ class SalesSources:
     sku_dim: DataFrame
 
 
+class DeferredSources:
+    """Sales fact inputs built at their first use: a lookup nobody asks for is not even planned."""
+
+    def __init__(self, **builders: Callable[[], DataFrame]):
+        self._builders = builders
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in self.__dict__.get("_builders", {}):
+            raise AttributeError(name)
+        frame = self._builders[name]()
+        setattr(self, name, frame)
+        return frame
+
+
 def category_of(sku: Column, category: Column) -> Column:
     return (F.when(sku == lk.WHOLESALE_SKU, "B2B Wholesale").when(sku.isin(lk.ADJUSTMENT_SKUS), "Adjustments")
             .otherwise(F.coalesce(category, F.lit(UNCATEGORISED))))
@@ -42,68 +56,80 @@ def product_revenue(sku: Column, revenue: Column) -> Column:
     return F.when(excluded | (revenue < 0), 0.0).otherwise(revenue)
 
 
-def _expressions() -> dict[str, tuple[Column, str | None]]:
-    """Output column -> (expression, lookup it needs). Line and invoice columns are always there."""
-    col, unknown = F.col, F.lit("Unknown")
-    sku, revenue, quantity = col("sku"), col("line_net_amount_base_currency"), col("quantity")
-    cost = F.coalesce(col("unit_cost_price_base_currency"), F.lit(0.0))
-    raw_country = F.coalesce("delivery_country", "recipient_country")
-    return {
-        "invoice_id": (col("invoice_number"), None),
-        "line_id": (col("line_number"), None),
-        "sale_date": (col("invoice_date"), None),
-        "customer_id": (col("customer_number"), None),
-        "customer_name": (F.coalesce(col("c_name"), unknown), "customer"),
-        "customer_city": (F.coalesce(col("c_city"), unknown), "customer"),
-        "customer_country": (F.coalesce(col("c_country"), unknown), "customer"),
-        "customer_segment": (customer_segment(col("c_group")), "customer"),
-        "product_sku": (sku, None),
-        "product_name": (F.coalesce(col("s_name"), F.lit(UNKNOWN_PRODUCT)), "sku"),
-        "core_product_economic": (core_name(col("p_name"), col("line_description"), F.lit(UNKNOWN_PRODUCT)), "product"),
-        "product_category_economic": (F.coalesce(col("p_group"), F.lit("Other")), "product"),
-        "category": (category_of(sku, col("s_category")), "sku"),
-        "parent_category_id": (col("s_parent_category"), "sku"),
-        "category_level": (col("s_level"), "sku"),
-        "size": (col("s_size"), "sku"),
-        "color": (col("s_color"), "sku"),
-        "ean13": (col("s_ean13"), "sku"),
-        "prestashop_stock_qty": (col("s_stock"), "sku"),
-        "prestashop_match_status": (match_status(sku, col("s_found").isNotNull()), "sku"),
-        "delivery_country": (F.coalesce(col("standard_country"), raw_country, unknown), "country"),
-        "market": (F.coalesce(col("spelling_market"), F.lit(lk.OTHER_MARKET)), "country"),
-        "invoice_currency": (col("invoice_currency"), None),
-        "exchange_rate": (col("exchange_rate"), None),
-        "quantity_sold": (quantity, None),
-        "unit_price_dkk": (col("unit_net_price_base_currency"), None),
-        "line_revenue_dkk": (revenue, None),
-        "product_revenue_dkk": (product_revenue(sku, revenue), None),
-        "unit_cost_dkk": (cost, None),
-        "line_cost_dkk": (cost * quantity, None),
-        "line_profit_dkk": (revenue - cost * quantity, None),
-        "data_last_refreshed": (col("api_timestamp"), None),
-        # Beyond the 32 columns of the view, on request only.
-        "market_standardized": (F.coalesce(col("standard_market"), F.lit(lk.OTHER_MARKET)), "country"),
-        "has_prestashop_data": (F.coalesce(col("s_has_shop"), F.lit(False)), "sku"),
-    }
-
-
+def _found(column: str, default: str) -> Column:
+    return F.coalesce(F.col(column), F.lit(default))
+
+
+def _raw_country() -> Column:
+    return F.coalesce("delivery_country", "recipient_country")
+
+
+def _unit_cost() -> Column:
+    return F.coalesce(F.col("unit_cost_price_base_currency"), F.lit(0.0))
+
+
+def _line_cost() -> Column:
+    return _unit_cost() * F.col("quantity")
+
+
+REVENUE = "line_net_amount_base_currency"
+
+# Output column -> (lookup it needs, expression). Line and invoice columns are always there.
+_COLUMNS: dict[str, tuple[str | None, Callable[[], Column]]] = {
+    "invoice_id": (None, lambda: F.col("invoice_number")),
+    "line_id": (None, lambda: F.col("line_number")),
+    "sale_date": (None, lambda: F.col("invoice_date")),
+    "customer_id": (None, lambda: F.col("customer_number")),
+    "customer_name": ("customer", lambda: _found("c_name", "Unknown")),
+    "customer_city": ("customer", lambda: _found("c_city", "Unknown")),
+    "customer_country": ("customer", lambda: _found("c_country", "Unknown")),
+    "customer_segment": ("customer", lambda: customer_segment(F.col("c_group"))),
+    "product_sku": (None, lambda: F.col("sku")),
+    "product_name": ("sku", lambda: _found("s_name", UNKNOWN_PRODUCT)),
+    "core_product_economic": (
+        "product", lambda: core_name(F.col("p_name"), F.col("line_description"), F.lit(UNKNOWN_PRODUCT))),
+    "product_category_economic": ("product", lambda: _found("p_group", "Other")),
+    "category": ("sku", lambda: category_of(F.col("sku"), F.col("s_category"))),
+    "parent_category_id": ("sku", lambda: F.col("s_parent_category")),
+    "category_level": ("sku", lambda: F.col("s_level")),
+    "size": ("sku", lambda: F.col("s_size")),
+    "color": ("sku", lambda: F.col("s_color")),
+    "ean13": ("sku", lambda: F.col("s_ean13")),
+    "prestashop_stock_qty": ("sku", lambda: F.col("s_stock")),
+    "prestashop_match_status": ("sku", lambda: match_status(F.col("sku"), F.col("s_found").isNotNull())),
+    "delivery_country": (
+        "country", lambda: F.coalesce(F.col("standard_country"), _raw_country(), F.lit("Unknown"))),
+    "market": ("country", lambda: _found("spelling_market", lk.OTHER_MARKET)),
+    "invoice_currency": (None, lambda: F.col("invoice_currency")),
+    "exchange_rate": (None, lambda: F.col("exchange_rate")),
+    "quantity_sold": (None, lambda: F.col("quantity")),
+    "unit_price_dkk": (None, lambda: F.col("unit_net_price_base_currency")),
+    "line_revenue_dkk": (None, lambda: F.col(REVENUE)),
+    "product_revenue_dkk": (None, lambda: product_revenue(F.col("sku"), F.col(REVENUE))),
+    "unit_cost_dkk": (None, _unit_cost),
+    "line_cost_dkk": (None, _line_cost),
+    "line_profit_dkk": (None, lambda: F.col(REVENUE) - _line_cost()),
+    "data_last_refreshed": (None, lambda: F.col("api_timestamp")),
+    # Beyond the 32 columns of the view, on request only.
+    "market_standardized": ("country", lambda: _found("standard_market", lk.OTHER_MARKET)),
+    "has_prestashop_data": ("sku", lambda: F.coalesce(F.col("s_has_shop"), F.lit(False))),
+}
 EXTRA_COLUMNS = ("market_standardized", "has_prestashop_data")
 
 
 def sales_columns() -> list[str]:
     """The columns of the sales view, in order."""
-    return [c for c in _expressions() if c not in EXTRA_COLUMNS]
+    return [c for c in _COLUMNS if c not in EXTRA_COLUMNS]
 
 
-def sales_detail(sources: SalesSources, columns: Iterable[str] | None = None) -> DataFrame:
+def sales_detail(sources: SalesSources | DeferredSources, columns: Iterable[str] | None = None) -> DataFrame:
     """One row per line whose invoice has a date.
 
     Every lookup side is unique, so a lookup changes no row count and is joined only when ``columns`` needs it:
     a revenue total joins lines to invoices and nothing else.
     """
-    expressions = _expressions()
     wanted = list(columns) if columns is not None else sales_columns()
-    needed = {expressions[c][1] for c in wanted}
+    needed = {_COLUMNS[c][0] for c in wanted}
 
     # A NULL date drops the line whether or not there is a header, so the outer join is an inner one.
     headers = sources.invoices.filter(F.col("invoice_date").isNotNull()).select(
@@ -117,9 +143,8 @@ def sales_detail(sources: SalesSources, columns: Iterable[str] | None = None) ->
             F.col("country").alias("c_country"), F.col("customer_group_number").alias("c_group"),
         ), "customer_number", "left")
     if "country" in needed:
-        spelling = F.coalesce("delivery_country", "recipient_country")
         table = country_lookup(rows.sparkSession)
-        rows = rows.join(table, spelling == table["spelling"], "left")
+        rows = rows.join(table, _raw_country() == table["spelling"], "left")
     if "product" in needed:
         rows = rows.join(sources.products.select(
             "sku", F.col("product_name").alias("p_name"), F.col("product_group_name").alias("p_group")), "sku", "left")
@@ -131,7 +156,7 @@ def sales_detail(sources: SalesSources, columns: Iterable[str] | None = None) ->
             F.col("stock_quantity").alias("s_stock"), F.col("has_prestashop_data").alias("s_has_shop"),
             F.lit(True).alias("s_found"),
         ), "sku", "left")
-    return rows.select(*[expressions[c][0].alias(c) for c in wanted])
+    return rows.select(*[_COLUMNS[c][1]().alias(c) for c in wanted])
 
 
 EPR_SALES_COLUMNS = (

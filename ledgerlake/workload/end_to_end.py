@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.plans import bronze, dims, verified
-from ledgerlake.plans.facts import SalesSources, sales_detail
+from ledgerlake.plans.facts import DeferredSources, sales_detail
 from ledgerlake.plans.semantic import SemanticModel
 from ledgerlake.workload import standins as st
 from ledgerlake.workload.registry import query
@@ -16,13 +18,25 @@ LINE_TIES = ("sku", "line_description", "quantity", "unit_net_price", "unit_cost
              "discount_percentage", "vat_rate")
 
 
-def sources_from_pages(spark: SparkSession, sf: str) -> SalesSources:
-    rest, bulk = st.rest_raw(spark, sf), st.bulk_raw(spark, sf)
-    headers = bronze.invoices(rest)
-    lines = bronze.invoice_lines(bulk, rest, ties=LINE_TIES, headers=headers)
-    catalogue = dims.dim_product_sku(dims.shop_catalogue(st.shop_raw(spark, sf)))
-    return SalesSources(lines, headers, bronze.customers(rest), bronze.products(rest),
-                        dims.dim_product_sku_enriched(lines, catalogue))
+def sources_from_pages(spark: SparkSession, sf: str) -> DeferredSources:
+    @cache
+    def rest() -> DataFrame:
+        return st.rest_raw(spark, sf)
+
+    @cache
+    def headers() -> DataFrame:
+        return bronze.invoices(rest())
+
+    @cache
+    def lines() -> DataFrame:
+        return bronze.invoice_lines(st.bulk_raw(spark, sf), rest(), ties=LINE_TIES, headers=headers())
+
+    def sku_dim() -> DataFrame:
+        catalogue = dims.dim_product_sku(dims.shop_catalogue(st.shop_raw(spark, sf)))
+        return dims.dim_product_sku_enriched(lines(), catalogue)
+
+    return DeferredSources(lines=lines, invoices=headers, customers=lambda: bronze.customers(rest()),
+                           products=lambda: bronze.products(rest()), sku_dim=sku_dim)
 
 
 def monthly_revenue_from_pages(spark: SparkSession, sf: str, year: int = st.TREND_YEAR) -> DataFrame:

@@ -13,7 +13,7 @@ from ledgerlake.functions.money import to_base_currency
 from ledgerlake.operators.keys import dense_keys
 from ledgerlake.operators.variants import parse
 from ledgerlake.plans import dims
-from ledgerlake.plans.facts import SalesSources, sales_detail
+from ledgerlake.plans.facts import DeferredSources, sales_detail
 from ledgerlake.plans.semantic import SemanticModel
 from ledgerlake.sources.pages import to_raw
 
@@ -35,20 +35,42 @@ CATEGORIES = {"ECONOMY": "Harnesses", "LARGE": "Leads", "MEDIUM": "Collars", "ST
               "SMALL": "Toys"}
 
 
+# Schemas of the driver tables in use; giving them saves a footer-reading job per scan.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
+
 
+def array_literal(values: list) -> str:
+    """SQL text of an array; text values here hold no quotes."""
+    return "array(" + ", ".join(
+        "null" if v is None else f"{v}D" if isinstance(v, float) else f"'{v}'" for v in values) + ")"
 
-def pick(index: Column, values: list) -> Column:
+
+def pick(index: str, values: list) -> Column:
     """The value at ``index`` modulo the list length."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values) + 1).cast("int"))
+    return F.expr(f"element_at({array_literal(values)}, cast({index} % {len(values)} + 1 as int))")
 
 
-def currency(key: Column) -> Column:
+def currency(key: str) -> Column:
     return pick(key, [c for c, _ in CURRENCIES])
 
 
-def rate(key: Column) -> Column:
+def rate(key: str) -> Column:
     return pick(key, [r for _, r in CURRENCIES])
 
 
@@ -60,38 +82,36 @@ def invoices(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select(
         key.alias("invoice_number"),
         F.when(F.col("o_totalprice") >= 2000, F.col("o_orderdate").cast("date")).alias("invoice_date"),
-        F.col("o_custkey").alias("customer_number"), currency(key).alias("invoice_currency"),
-        rate(key).alias("exchange_rate"), pick(F.col("o_custkey"), DELIVERY_COUNTRIES).alias("delivery_country"),
-        pick(key, RECIPIENT_COUNTRIES).alias("recipient_country"),
+        F.col("o_custkey").alias("customer_number"), currency("o_orderkey").alias("invoice_currency"),
+        rate("o_orderkey").alias("exchange_rate"), pick("o_custkey", DELIVERY_COUNTRIES).alias("delivery_country"),
+        pick("o_orderkey", RECIPIENT_COUNTRIES).alias("recipient_country"),
     )
 
 
-def line_sku() -> Column:
-    special = F.element_at(F.array(*[F.lit(s) for s in SPECIAL_SKUS]), F.least(F.col("l_quantity"), F.lit(7)).cast("int"))
-    return F.when((F.col("l_linenumber") == 7) & (F.col("l_quantity") <= 7), special) \
-        .otherwise(F.concat(F.lit("SKU"), F.col("l_partkey")))
-
-
-def line_columns() -> dict[str, Column]:
-    price, negative = F.col("l_extendedprice"), (F.col("l_tax") == 0.08) & (F.col("l_discount") == 0.1)
-    return {
-        "invoice_number": F.col("l_orderkey"), "line_number": F.col("l_linenumber").cast("bigint"),
-        "line_number_ui": F.col("l_linenumber").cast("bigint"), "sku": line_sku(),
-        "line_description": F.concat(F.lit("Item "), F.col("l_returnflag"), F.lit(" - Farve : "), F.col("l_linestatus")),
-        "quantity": F.col("l_quantity"), "unit_net_price": F.floor(price / F.col("l_quantity")).cast("double"),
-        "unit_cost_price": F.when(F.col("l_tax") > 0, F.floor(price / 100).cast("double")),
-        "line_net_amount": F.when(negative, -price).otherwise(price),
-        "discount_percentage": F.col("l_discount"), "vat_rate": F.col("l_tax"),
-    }
+LINE_COLUMNS = {
+    "invoice_number": "l_orderkey",
+    "line_number": "cast(l_linenumber as bigint)",
+    "line_number_ui": "cast(l_linenumber as bigint)",
+    "sku": f"case when l_linenumber = 7 and l_quantity <= 7 "
+           f"then element_at({array_literal(SPECIAL_SKUS)}, cast(least(l_quantity, 7) as int)) "
+           f"else concat('SKU', l_partkey) end",
+    "line_description": "concat('Item ', l_returnflag, ' - Farve : ', l_linestatus)",
+    "quantity": "l_quantity",
+    "unit_net_price": "cast(floor(l_extendedprice / l_quantity) as double)",
+    "unit_cost_price": "case when l_tax > 0 then cast(floor(l_extendedprice / 100) as double) end",
+    "line_net_amount": "case when l_tax = 0.08D and l_discount = 0.1D then -l_extendedprice else l_extendedprice end",
+    "discount_percentage": "l_discount",
+    "vat_rate": "l_tax",
+}
 
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
     """All lines with base-currency amounts, as the materialised entity would hold them."""
-    rows = table(spark, sf, "lineitem").select(
-        *[c.alias(n) for n, c in line_columns().items()], F.col("l_shipdate").cast("timestamp").alias("api_timestamp"))
-    factor = rate(F.col("invoice_number"))
+    rows = table(spark, sf, "lineitem").selectExpr(
+        *[f"{e} as {n}" for n, e in LINE_COLUMNS.items()], "cast(l_shipdate as timestamp) as api_timestamp")
+    factor = rate("invoice_number")
     return rows.select(
-        "*", currency(F.col("invoice_number")).alias("invoice_currency"), factor.alias("exchange_rate"),
+        "*", currency("invoice_number").alias("invoice_currency"), factor.alias("exchange_rate"),
         *[to_base_currency(F.col(a), factor).alias(f"{a}_base_currency")
           for a in ("unit_net_price", "unit_cost_price", "line_net_amount")])
 
@@ -102,7 +122,7 @@ def customers(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").select(
         F.col("c_custkey").alias("customer_number"), F.col("c_name").alias("customer_name"),
         F.when(F.col("c_acctbal") >= 0, nation % 3).alias("customer_group_number"),
-        currency(nation).alias("currency"), (nation % 4).alias("vatzone_number"),
+        currency("c_nationkey").alias("currency"), (nation % 4).alias("vatzone_number"),
         F.when(nation != 7, F.concat(F.lit("City "), nation)).alias("city"),
         F.when(nation != 9, F.concat(F.lit("NATION_"), nation)).alias("country"),
         F.concat(F.lower(F.col("c_mktsegment")), F.lit("@example.com")).alias("email"),
@@ -155,9 +175,10 @@ def sku_dim(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def sources(spark: SparkSession, sf: str) -> SalesSources:
-    return SalesSources(lines(spark, sf), invoices(spark, sf), customers(spark, sf), products(spark, sf),
-                        sku_dim(spark, sf))
+def sources(spark: SparkSession, sf: str) -> DeferredSources:
+    return DeferredSources(
+        lines=lambda: lines(spark, sf), invoices=lambda: invoices(spark, sf), customers=lambda: customers(spark, sf),
+        products=lambda: products(spark, sf), sku_dim=lambda: sku_dim(spark, sf))
 
 
 def sales(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
@@ -214,7 +235,7 @@ def customer_record(city: Column) -> Column:
     nation = F.col("c_nationkey").cast("bigint")
     return F.struct(
         F.col("c_custkey").alias("customerNumber"), F.col("c_name").alias("name"),
-        _nested("customerGroupNumber", nation % 3).alias("customerGroup"), currency(nation).alias("currency"),
+        _nested("customerGroupNumber", nation % 3).alias("customerGroup"), currency("c_nationkey").alias("currency"),
         _nested("vatZoneNumber", nation % 4).alias("vatZone"), F.col("c_acctbal").alias("balance"),
         F.concat(F.lit("NATION_"), nation).alias("country"), city.alias("city"), F.lit("Main Street").alias("address"),
         F.concat(F.lower("c_mktsegment"), F.lit("@example.com")).alias("email"),
@@ -257,10 +278,10 @@ def invoice_pages(spark: SparkSession, sf: str) -> DataFrame:
         return F.struct(
             key.alias("bookedInvoiceNumber"), day.cast("string").alias("date"),
             F.date_add(day, 30).cast("string").alias("dueDate"),
-            _nested("customerNumber", F.col("o_custkey")).alias("customer"), currency(key).alias("currency"),
-            rate(key).alias("exchangeRate"), F.col("o_totalprice").alias("netAmount"), remainder.alias("remainder"),
-            _nested("country", pick(F.col("o_custkey"), DELIVERY_COUNTRIES)).alias("delivery"),
-            F.struct(pick(key, RECIPIENT_COUNTRIES).alias("country"),
+            _nested("customerNumber", F.col("o_custkey")).alias("customer"), currency("o_orderkey").alias("currency"),
+            rate("o_orderkey").alias("exchangeRate"), F.col("o_totalprice").alias("netAmount"), remainder.alias("remainder"),
+            _nested("country", pick("o_custkey", DELIVERY_COUNTRIES)).alias("delivery"),
+            F.struct(pick("o_orderkey", RECIPIENT_COUNTRIES).alias("country"),
                      _nested("vatZoneNumber", key % 3).alias("vatZone")).alias("recipient"),
             F.struct(_nested("employeeNumber", key % 11).alias("salesPerson"),
                      _nested("customerContactNumber", key % 13).alias("customerContact")).alias("references"),
@@ -277,7 +298,7 @@ def line_pages(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "lineitem").withColumn("_scan", scan)
     # One page per 1000 consecutive rows of a scan partition: bounded however often an invoice number occurs.
     page = F.shiftright("_scan", 33) * 1_000_000_000 + F.floor(F.col("_scan").bitwiseAND(F.lit((1 << 33) - 1)) / 1000)
-    cols = line_columns()
+    cols = {name: F.expr(text) for name, text in LINE_COLUMNS.items()}
     record = F.struct(
         cols["invoice_number"].alias("documentId"), cols["line_number"].alias("number"),
         cols["line_number_ui"].alias("userInterfaceNumber"), cols["sku"].alias("productNumber"),
