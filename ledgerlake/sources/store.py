@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def materialise(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -33,7 +34,7 @@ def read_marks(
 ) -> DataFrame:
     """Newest committed marks, or those before a version; the seed when there are none."""
     try:
-        versions = spark.read.schema(seed().schema.add("version", "int")).parquet(path)
+        versions = spark.read.schema(seed().schema.add("version", T.IntegerType())).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
