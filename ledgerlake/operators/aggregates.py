@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.money import guarded_ratio
+
 
 def mode_per_key(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """Most frequent non-NULL value per key, the smallest on a tie; NULL for keys with NULLs only.
@@ -29,14 +31,13 @@ def share_of_total(
 ) -> DataFrame:
     """Grouped aggregates with their percentage of the grand total.
 
-    ``measures`` maps a result name to (aggregate, name of its percentage column). The grand totals are one-row
-    subqueries over the grouped result, so groups are never gathered into one task.
+    ``measures`` maps a result name to (aggregate, name of its percentage column). The grand totals are a one-row
+    subquery over the same grouped result, whose exchange Spark reuses; groups are never gathered into one task.
     """
     grouped = df.groupBy(*keys).agg(*[agg.alias(name) for name, (agg, _) in measures.items()])
-    shares = []
-    for name, (_, share) in measures.items():
-        total = grouped.agg(F.nullif(F.sum(name).cast("double"), F.lit(0.0)))
-        shares.append(F.round(F.col(name) * 100.0 / total.scalar(), scale).alias(share))
+    totals = grouped.agg(F.struct(*[F.sum(name).cast("double").alias(name) for name in measures])).scalar()
+    shares = [F.round(guarded_ratio(F.col(name) * 100.0, totals.getField(name)), scale).alias(share)
+              for name, (_, share) in measures.items()]
     return grouped.select(*keys, *measures, *shares)
 
 

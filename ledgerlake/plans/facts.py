@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -122,6 +123,26 @@ def sales_columns() -> list[str]:
     return [c for c in _COLUMNS if c not in EXTRA_COLUMNS]
 
 
+def _catalogue(sources: SalesSources | DeferredSources, needed: set[str | None]) -> DataFrame | None:
+    """ERP product and SKU dimension as one lookup by SKU.
+
+    The two small sides meet first, so the lines are shuffled by SKU once at most, and a SKU with a large share of the
+    lines (freight, say) sits in a single join that adaptive execution can split.
+    """
+    sides = []
+    if "product" in needed:
+        sides.append(sources.products.select(
+            "sku", F.col("product_name").alias("p_name"), F.col("product_group_name").alias("p_group")))
+    if "sku" in needed:
+        sides.append(sources.sku_dim.select(
+            "sku", F.col("product_name").alias("s_name"), F.col("category_name").alias("s_category"),
+            F.col("parent_category_id").alias("s_parent_category"), F.col("category_level").alias("s_level"),
+            F.col("size").alias("s_size"), F.col("color").alias("s_color"), F.col("ean13").alias("s_ean13"),
+            F.col("stock_quantity").alias("s_stock"), F.col("has_prestashop_data").alias("s_has_shop"),
+            F.lit(True).alias("s_found")))
+    return reduce(lambda left, right: left.join(right, "sku", "full_outer"), sides) if sides else None
+
+
 def sales_detail(sources: SalesSources | DeferredSources, columns: Iterable[str] | None = None) -> DataFrame:
     """One row per line whose invoice has a date.
 
@@ -145,17 +166,9 @@ def sales_detail(sources: SalesSources | DeferredSources, columns: Iterable[str]
     if "country" in needed:
         table = country_lookup(rows.sparkSession)
         rows = rows.join(table, _raw_country() == table["spelling"], "left")
-    if "product" in needed:
-        rows = rows.join(sources.products.select(
-            "sku", F.col("product_name").alias("p_name"), F.col("product_group_name").alias("p_group")), "sku", "left")
-    if "sku" in needed:
-        rows = rows.join(sources.sku_dim.select(
-            "sku", F.col("product_name").alias("s_name"), F.col("category_name").alias("s_category"),
-            F.col("parent_category_id").alias("s_parent_category"), F.col("category_level").alias("s_level"),
-            F.col("size").alias("s_size"), F.col("color").alias("s_color"), F.col("ean13").alias("s_ean13"),
-            F.col("stock_quantity").alias("s_stock"), F.col("has_prestashop_data").alias("s_has_shop"),
-            F.lit(True).alias("s_found"),
-        ), "sku", "left")
+    catalogue = _catalogue(sources, needed)
+    if catalogue is not None:
+        rows = rows.join(catalogue, "sku", "left")
     return rows.select(*[_COLUMNS[c][1]().alias(c) for c in wanted])
 
 

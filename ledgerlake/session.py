@@ -12,9 +12,11 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join key even when a following aggregation on the same key then needs its own shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
+CLEANING = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
 
 
 def build_session(app: str = "ledgerlake", master: str | None = None, **extra: str) -> SparkSession:
@@ -22,11 +24,17 @@ def build_session(app: str = "ledgerlake", master: str | None = None, **extra: s
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in extra.items()}}.items():
+    for key, value in {**SETTINGS, **CLEANING, **{k.replace("__", "."): v for k, v in extra.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> None:
+    """Apply the settings to a session somebody else built."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``); a local run without one gets a temporary folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

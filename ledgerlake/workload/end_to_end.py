@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.plans import bronze, dims, verified
+from ledgerlake.plans.expired import expired_catalogue
 from ledgerlake.plans.facts import DeferredSources, sales_detail
 from ledgerlake.plans.semantic import SemanticModel
 from ledgerlake.workload import standins as st
@@ -32,8 +33,8 @@ def sources_from_pages(spark: SparkSession, sf: str) -> DeferredSources:
         return bronze.invoice_lines(st.bulk_raw(spark, sf), rest(), ties=LINE_TIES, headers=headers())
 
     def sku_dim() -> DataFrame:
-        catalogue = dims.dim_product_sku(dims.shop_catalogue(st.shop_raw(spark, sf)))
-        return dims.dim_product_sku_enriched(lines(), catalogue)
+        shop = dims.shop_catalogue(st.shop_raw(spark, sf), expired_catalogue(st.expired_list(spark, sf)))
+        return dims.dim_product_sku_enriched(lines(), dims.dim_product_sku(shop))
 
     return DeferredSources(lines=lines, invoices=headers, customers=lambda: bronze.customers(rest()),
                            products=lambda: bronze.products(rest()), sku_dim=sku_dim)
@@ -64,9 +65,3 @@ def entry_query(spark, sf):
     return monthly_revenue_from_pages(spark, sf)
 
 
-@query("entry_category_revenue_from_pages", None)
-def category_revenue_from_pages(spark, sf):
-    """All lookups of the fact on entities built from pages."""
-    sources = sources_from_pages(spark, sf)
-    return sales_detail(sources, ["category", "delivery_country", "customer_segment", "line_revenue_dkk"]) \
-        .groupBy("category", "delivery_country", "customer_segment").agg(F.sum("line_revenue_dkk").alias("revenue"))

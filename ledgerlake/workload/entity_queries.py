@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 from ledgerlake.functions import lookups as lk
 from ledgerlake.operators import keys
 from ledgerlake.plans import bronze, dims, expired, reports
+from ledgerlake.plans.facts import sales_detail
 from ledgerlake.workload import standins as st
-from ledgerlake.workload.end_to_end import LINE_TIES
+from ledgerlake.workload.end_to_end import LINE_TIES, sources_from_pages
 from ledgerlake.workload.registry import query
-from ledgerlake.workload.sql_parts import LINE_FIELDS, LINES, currency, pick, rate, with_parts
+from ledgerlake.workload.sql_parts import (
+    COUNTRY_CASE, INVOICES, LINE_FIELDS, LINES, currency, in_list, pick, rate, with_parts,
+)
 
 FIRST, SECOND = f"'{st.FIRST_LOAD}'", f"'{st.SECOND_LOAD}'"
 NO_NUMBER, NO_TEXT, NO_AMOUNT = "CAST(NULL AS BIGINT)", "CAST(NULL AS VARCHAR)", "CAST(NULL AS DOUBLE)"
@@ -370,3 +373,31 @@ enriched AS (
 @query("dim2_product_sku_enriched", with_parts("SELECT * FROM enriched", EXPIRED, SHOP, DIM, LINES, ENRICHED))
 def dim2(spark, sf):
     return dims.dim_product_sku_enriched(st.lines(spark, sf), dims.dim_product_sku(_shop(spark, sf)))
+
+
+# --- the whole path -------------------------------------------------------------------------------------------------
+
+NEWEST_LINES = f"""versions AS (
+  SELECT {LINE_FIELDS}, l_linestatus FROM lineitem),
+ln AS (
+  SELECT *, round(line_net_amount * (coalesce({rate('invoice_number')}, 100.0) / 100), 2) AS revenue
+  FROM versions QUALIFY row_number() OVER (
+    PARTITION BY invoice_number, line_number
+    ORDER BY l_linestatus DESC, {', '.join(f'{c} DESC NULLS LAST' for c in LINE_TIES)}) = 1)"""
+
+
+@query("entry_category_revenue_from_pages", with_parts(f"""
+SELECT CASE WHEN ln.sku = 'Diverse' THEN 'B2B Wholesale' WHEN ln.sku IN {in_list(lk.ADJUSTMENT_SKUS)} THEN 'Adjustments'
+            ELSE coalesce(e.category_name, 'Uncategorized') END AS category,
+       coalesce(e.size, 'none') AS size, {COUNTRY_CASE} AS delivery_country,
+       CASE c_nationkey % 3 WHEN 1 THEN 'B2C' WHEN 2 THEN 'B2B' ELSE 'Unknown' END AS customer_segment,
+       round(sum(revenue), 2) AS revenue
+FROM ln JOIN (SELECT *, coalesce(delivery_country, recipient_country) AS raw_country FROM inv) i
+       ON ln.invoice_number = i.invoice_number AND invoice_date IS NOT NULL
+  JOIN customer ON customer_number = c_custkey LEFT JOIN enriched e ON ln.sku = e.sku
+GROUP BY ALL""", EXPIRED, SHOP, DIM, INVOICES, NEWEST_LINES, ENRICHED))
+def category_revenue_from_pages(spark, sf):
+    """Every lookup of the fact on entities built from pages."""
+    by = ["category", "size", "delivery_country", "customer_segment"]
+    rows = sales_detail(sources_from_pages(spark, sf), [*by, "line_revenue_dkk"]).fillna("none", ["size"])
+    return rows.groupBy(*by).agg(F.sum("line_revenue_dkk").alias("revenue"))

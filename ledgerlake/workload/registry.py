@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.session import tune
+
 Run = Callable[[SparkSession, str], DataFrame]
 
 
@@ -42,6 +44,11 @@ def query(name: str, sql: str | None = None, scale: int = 2, **scales: int) -> C
     def register(run: Run) -> Run:
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = Query(lambda spark, sf: portable(run(spark, sf), scale, scales), sql)
+
+        def tuned(spark: SparkSession, sf: str) -> DataFrame:
+            tune(spark)
+            return portable(run(spark, sf), scale, scales)
+
+        QUERIES[name] = Query(tuned, sql)
         return run
     return register
