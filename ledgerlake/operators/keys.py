@@ -55,6 +55,24 @@ def dense_keys(df: DataFrame, cols: Sequence[str], name: str, base: int = 0, sig
     return _with_offset(layout, sizes).select(*cols, (F.lit(base) + F.lit(sign) * rank).cast("bigint").alias(name))
 
 
+def dense_ranks_within(df: DataFrame, group: str, col: str, name: str) -> DataFrame:
+    """Rank 1, 2, ... of each distinct ``col`` within a ``group``, NULL last; one pass for all groups.
+
+    Meant for a handful of groups: one row per partition and group reaches the driver. Groups are not NULL.
+    """
+    layout = _ordered_layout(df.select(group, col).distinct(), _nulls_last([group, col]))
+    starts = layout.groupBy(group, _PART).agg(F.count(F.lit(1)), F.min(_POS)).collect()
+    rows, seen = [], {}
+    for value, part, size, first in sorted(starts, key=lambda r: (r[1], r[3])):
+        rows.append((value, part, seen.get(value, 0) - first))
+        seen[value] = seen.get(value, 0) + size
+    shifts = df.sparkSession.createDataFrame(pa.table({
+        group: pa.array([r[0] for r in rows], pa.string()), _PART: pa.array([r[1] for r in rows], pa.int64()),
+        "_offset": pa.array([r[2] for r in rows], pa.int64())}))
+    rank = (F.col("_offset") + F.col(_POS) + 1).cast("bigint")
+    return layout.join(F.broadcast(shifts), [group, _PART]).select(group, col, rank.alias(name))
+
+
 def attach_key(df: DataFrame, keys: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
     """Null-safe lookup of ids made by :func:`dense_keys`."""
     renamed = keys.select(*[F.col(c).alias(f"_k_{c}") for c in cols], name)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import lookups as lk
 from ledgerlake.functions.text import blank_to_null, normalise_sku, to_number
-from ledgerlake.operators.keys import attach_key, dense_keys, row_keys
+from ledgerlake.operators.keys import attach_key, dense_ranks_within, row_keys
 from ledgerlake.sources.files import EXPIRED_COLUMNS
 
 
@@ -28,20 +28,25 @@ def _stamp() -> Column:
     return F.to_timestamp(F.lit(lk.EXPIRED_STAMP))
 
 
-def _value_keys(rows: DataFrame, column: str, name: str, base: int) -> DataFrame:
-    values = rows.select(column).filter(F.col(column).isNotNull())
-    return dense_keys(values, [column], name, base=base)
-
-
 def expired_catalogue(expired: DataFrame) -> ExpiredCatalogue:
     """Each distinct product, size and colour text gets one id, and each listed SKU row one combination id."""
     rows = expired.select(*EXPIRED_COLUMNS) \
         .withColumn("product_name", blank_to_null(F.col("PRODUCT"))) \
         .withColumn("size_value", blank_to_null(F.col("SIZE"))) \
         .withColumn("color_value", blank_to_null(F.col("COLOR")))
-    product_ids = dense_keys(rows, ["product_name"], "product_id")
-    size_ids = _value_keys(rows, "size_value", "option_value_id", lk.SIZE_KEY_BASE)
-    colour_ids = _value_keys(rows, "color_value", "option_value_id", lk.COLOUR_KEY_BASE)
+    kinds = {"product": "product_name", "size": "size_value", "colour": "color_value"}
+    texts = rows.select(F.explode(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), F.col(column).alias("text")) for kind, column in kinds.items()])).alias("t"))
+    named = texts.select("t.*").filter((F.col("kind") == "product") | F.col("text").isNotNull())
+    ranks = dense_ranks_within(named, "kind", "text", "rank")
+
+    def ids(kind: str, name: str, base: int) -> DataFrame:
+        return ranks.filter(F.col("kind") == kind).select(
+            F.col("text").alias(kinds[kind]), (F.lit(base) - F.col("rank")).cast("bigint").alias(name))
+
+    product_ids = ids("product", "product_id", 0)
+    size_ids = ids("size", "option_value_id", lk.SIZE_KEY_BASE)
+    colour_ids = ids("colour", "option_value_id", lk.COLOUR_KEY_BASE)
 
     listed = expired.select(*EXPIRED_COLUMNS).filter(blank_to_null(F.col("SKU")).isNotNull())
     numbered = row_keys(listed, ["SKU"], "combination_id") \
@@ -68,14 +73,14 @@ def expired_catalogue(expired: DataFrame) -> ExpiredCatalogue:
         F.lit(lk.EXPIRED_CATEGORY_DEPTH).cast("bigint").alias("level_depth"),
     )
 
-    def values(ids: DataFrame, column: str, group: int) -> DataFrame:
-        return ids.select(_stamp().alias("api_timestamp"), "option_value_id",
+    def values(keys: DataFrame, column: str, group: int) -> DataFrame:
+        return keys.select(_stamp().alias("api_timestamp"), "option_value_id",
                           F.lit(group).cast("bigint").alias("option_group_id"),
                           F.col(column).alias("option_value_name"))
 
-    def links(ids: DataFrame, source: str, column: str) -> DataFrame:
+    def links(keys: DataFrame, source: str, column: str) -> DataFrame:
         owned = numbered.select("combination_id", blank_to_null(F.col(source)).alias(column))
-        return owned.join(ids, column).select(_stamp().alias("api_timestamp"), "combination_id", "option_value_id")
+        return owned.join(keys, column).select(_stamp().alias("api_timestamp"), "combination_id", "option_value_id")
 
     return ExpiredCatalogue(
         products=products, categories=categories, combinations=combinations,

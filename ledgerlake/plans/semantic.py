@@ -337,7 +337,7 @@ class SemanticModel:
         measures = [self._measure(home, m, day) for m in metrics]
         columns = {c for _, needed, _ in [*tests, *measures] for c in needed}
         rows = self.frames[home.name](sorted(columns)).filter(reduce(or_, [test for _, _, test in tests]))
-        passed = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, _, test in tests]))
+        passed = F.array_remove(F.array(*[F.when(test, name).otherwise("") for name, _, test in tests]), "")
         return rows.withColumn("filter_name", F.explode(passed)).groupBy("filter_name").agg(
             *[build.alias(name) for name, _, build in measures])
 

@@ -55,6 +55,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
+def fact(spark: SparkSession, sf: str) -> DataFrame:
+    """``lineitem``, spread over the cores when it has fewer splits than that.
+
+    A file of one row group is read by one task and everything up to the first shuffle would stay there. A table with
+    at least one split per core, so any large one, is left as it is.
+    """
+    rows, cores = table(spark, sf, "lineitem"), spark.sparkContext.defaultParallelism
+    splits = rows.rdd.getNumPartitions()
+    return rows if splits >= cores else rows.repartition(min(cores, 8 * splits))
+
+
 def array_literal(values: list) -> str:
     """SQL text of an array; text values here hold no quotes."""
     return "array(" + ", ".join(
@@ -107,7 +118,7 @@ LINE_COLUMNS = {
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
     """All lines with base-currency amounts, as the materialised entity would hold them."""
-    rows = table(spark, sf, "lineitem").selectExpr(
+    rows = fact(spark, sf).selectExpr(
         *[f"{e} as {n}" for n, e in LINE_COLUMNS.items()], "cast(l_shipdate as timestamp) as api_timestamp")
     factor = rate("invoice_number")
     return rows.select(
@@ -295,7 +306,7 @@ def invoice_pages(spark: SparkSession, sf: str) -> DataFrame:
 def line_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Lines in bulk pages. Keys repeat here, so pages are cut from the scan order, not by key."""
     scan = F.monotonically_increasing_id()
-    rows = table(spark, sf, "lineitem").withColumn("_scan", scan)
+    rows = fact(spark, sf).withColumn("_scan", scan)
     # One page per 1000 consecutive rows of a scan partition: bounded however often an invoice number occurs.
     page = F.shiftright("_scan", 33) * 1_000_000_000 + F.floor(F.col("_scan").bitwiseAND(F.lit((1 << 33) - 1)) / 1000)
     cols = {name: F.expr(text) for name, text in LINE_COLUMNS.items()}
