@@ -104,7 +104,7 @@ MARK_SEEDS = [
 
 
 def country_table(spark: SparkSession) -> DataFrame:
-    """One row per accepted spelling (97 rows, fixed): standard name, market of the spelling, market of the standard name.
+    """One row per accepted spelling: standard name, market of the spelling, market of the standard name.
 
     The market as written looks at the raw spelling, so only the spelling equal to the standard name has one.
     """
