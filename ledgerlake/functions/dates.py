@@ -13,37 +13,39 @@ def as_of_date(as_of: dt.date | str | None) -> Column:
     return F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
 
 
-def between_days(day: Column, start: Column, end: Column) -> Column:
-    return (day >= start) & (day < end)
+Bounds = tuple[Column, Column | None]  # first day, and the first day after the range if it ends
 
 
-def since(day: Column, as_of: Column, days: int) -> Column:
-    """Rolling window with a lower bound only."""
-    return day >= F.date_sub(as_of, days)
-
+def within(day: Column, bounds: Bounds) -> Column:
+    start, end = bounds
+    return day >= start if end is None else (day >= start) & (day < end)
 
-def year_start(as_of: Column, offset: int = 0) -> Column:
-    return F.add_months(F.trunc(as_of, "YEAR"), 12 * offset)
 
+def within_month(month: Column, bounds: Bounds) -> Column:
+    """The months a range touches, for tables partitioned by month (first day of it)."""
+    start, end = bounds
+    first = month >= F.trunc(start, "MONTH")
+    return first if end is None else first & (month < end)
 
-def month_start(as_of: Column, offset: int = 0) -> Column:
-    return F.add_months(F.trunc(as_of, "MONTH"), offset)
 
-
-def quarter_start(as_of: Column, offset: int = 0) -> Column:
-    return F.add_months(F.trunc(as_of, "QUARTER"), 3 * offset)
+def last_days(as_of: Column, days: int) -> Bounds:
+    """Rolling window with a lower bound only."""
+    return F.date_sub(as_of, days), None
 
 
-def in_year(day: Column, as_of: Column, offset: int = 0) -> Column:
-    return between_days(day, year_start(as_of, offset), year_start(as_of, offset + 1))
+def year_of(as_of: Column, offset: int = 0) -> Bounds:
+    start = F.trunc(as_of, "YEAR")
+    return F.add_months(start, 12 * offset), F.add_months(start, 12 * (offset + 1))
 
 
-def in_month(day: Column, as_of: Column, offset: int = 0) -> Column:
-    return between_days(day, month_start(as_of, offset), month_start(as_of, offset + 1))
+def month_of(as_of: Column, offset: int = 0) -> Bounds:
+    start = F.trunc(as_of, "MONTH")
+    return F.add_months(start, offset), F.add_months(start, offset + 1)
 
 
-def in_quarter(day: Column, as_of: Column, offset: int = 0) -> Column:
-    return between_days(day, quarter_start(as_of, offset), quarter_start(as_of, offset + 1))
+def quarter_of(as_of: Column, offset: int = 0) -> Bounds:
+    start = F.trunc(as_of, "QUARTER")
+    return F.add_months(start, 3 * offset), F.add_months(start, 3 * (offset + 1))
 
 
 GRAINS = {"day": None, "week": "WEEK", "month": "MONTH", "quarter": "QUARTER", "year": "YEAR"}

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.lookups import MARK_SEEDS
 from ledgerlake.operators.variants import array_at, get
+from ledgerlake.session import local_table
 
 MARK_SCHEMA = (
     "api_endpoint string, base string, last_updated_timestamp timestamp, last_invoice_number bigint, "
@@ -23,7 +24,7 @@ MARK_SCHEMA = (
 
 def seed_marks(spark: SparkSession, now: dt.datetime) -> DataFrame:
     rows = [(path, base, None, number, now, 0, 0, now, now) for path, base, number in MARK_SEEDS]
-    return spark.createDataFrame(rows, MARK_SCHEMA)
+    return local_table(spark, rows, MARK_SCHEMA)
 
 
 def delta_by_time(df: DataFrame, column: str, mark: dt.datetime | str | None) -> DataFrame:

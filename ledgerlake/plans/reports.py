@@ -22,7 +22,7 @@ WEEKLY_COLUMNS = ("sale_date", "invoice_id", "category", "customer_segment", "pr
 def weekly_kpis(sales: DataFrame, as_of: Day = None) -> DataFrame:
     """One row. Revenue and orders end before the reporting day; top category and segments have no upper bound."""
     day, today, revenue = F.col("sale_date"), dates.as_of_date(as_of), F.col("line_revenue_dkk")
-    week = sales.filter(dates.since(day, today, 7))
+    week = sales.filter(dates.within(day, dates.last_days(today, 7)))
     closed, segment = day < today, F.col("customer_segment")
     best = (week.filter(F.col("prestashop_match_status") == "Matched").groupBy("category")
             .agg(F.sum(revenue).alias("revenue"))
@@ -42,8 +42,8 @@ def weekly_kpis(sales: DataFrame, as_of: Day = None) -> DataFrame:
 def sales_alert(sales: DataFrame, threshold: float, as_of: Day = None) -> DataFrame:
     """One row: the last 7 days against the threshold and the 7 days before. No revenue at all gives no alert."""
     day, today, revenue = F.col("sale_date"), dates.as_of_date(as_of), F.col("line_revenue_dkk")
-    this_week = dates.since(day, today, 7)
-    figures = sales.filter(dates.since(day, today, 14)).agg(
+    this_week = dates.within(day, dates.last_days(today, 7))
+    figures = sales.filter(dates.within(day, dates.last_days(today, 14))).agg(
         F.sum(F.when(this_week, revenue)).alias("this_week_revenue"),
         F.sum(F.when(~this_week, revenue)).alias("last_week_revenue"),
         F.countDistinct(F.when(this_week, F.col("invoice_id"))).alias("this_week_orders"))

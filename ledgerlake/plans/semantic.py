@@ -41,9 +41,16 @@ class Metric:
 
 @dataclass(frozen=True)
 class Filter:
-    columns: tuple[str, ...]
-    build: Callable[[Column], Column]  # reporting day -> predicate
+    """A predicate: a test of one column, or the days a time dimension may have."""
+
+    column: str
+    test: Callable[[Column], Column] | None = None
     synonyms: tuple[str, ...] = ()
+    bounds: Callable[[Column], dates.Bounds] | None = None  # reporting day -> range
+
+    def build(self, as_of: Column) -> Column:
+        column = F.col(self.column)
+        return self.test(column) if self.bounds is None else dates.within(column, self.bounds(as_of))
 
 
 @dataclass(frozen=True)
@@ -130,10 +137,11 @@ def order_value() -> Column:
     return guarded_ratio(F.sum("line_revenue_dkk"), F.countDistinct("invoice_id").cast("double"))
 
 
-def _growth(period: Callable[[Column, Column, int], Column]) -> Callable[[Column], Column]:
+def _growth(period: Callable[[Column, int], dates.Bounds]) -> Callable[[Column], Column]:
     def build(as_of: Column) -> Column:
         day, revenue = F.col("sale_date"), F.col("line_revenue_dkk")
-        return percent_change(sum_if(period(day, as_of, 0), revenue), sum_if(period(day, as_of, -1), revenue))
+        now, before = (sum_if(dates.within(day, period(as_of, offset)), revenue) for offset in (0, -1))
+        return percent_change(now, before)
     return build
 
 
@@ -153,66 +161,58 @@ SALES_METRICS = {
         "customer count", "unique customers", "number of customers", "distinct customers")),
     "total_units": Metric(("quantity_sold",), _sum("quantity_sold"), (
         "units sold", "total quantity", "total volume", "pieces sold")),
-    "revenue_growth_yoy_pct": Metric(("sale_date", "line_revenue_dkk"), _growth(dates.in_year), (
+    "revenue_growth_yoy_pct": Metric(("sale_date", "line_revenue_dkk"), _growth(dates.year_of), (
         "year over year growth", "yoy growth", "annual growth", "yearly growth")),
-    "revenue_growth_mom_pct": Metric(("sale_date", "line_revenue_dkk"), _growth(dates.in_month), (
+    "revenue_growth_mom_pct": Metric(("sale_date", "line_revenue_dkk"), _growth(dates.month_of), (
         "month over month growth", "mom growth", "monthly growth")),
 }
 
 
-def _equals(column: str, value: str | bool) -> Callable[[Column], Column]:
-    return lambda _: F.col(column) == F.lit(value)
+def _equals(column: str, value: str | bool, *synonyms: str) -> Filter:
+    return Filter(column, lambda c: c == F.lit(value), synonyms)
 
 
-def _among(column: str, *values: str) -> Callable[[Column], Column]:
-    return lambda _: F.col(column).isin(*values)
+def _among(column: str, values: list[str], *synonyms: str) -> Filter:
+    return Filter(column, lambda c: c.isin(*values), synonyms)
 
 
-def _last_days(days: int) -> Callable[[Column], Column]:
-    return lambda as_of: dates.since(F.col("sale_date"), as_of, days)
+def _last_days(days: int, *synonyms: str) -> Filter:
+    return Filter("sale_date", synonyms=synonyms, bounds=lambda as_of: dates.last_days(as_of, days))
 
 
-def _period(period: Callable[[Column, Column, int], Column], offset: int) -> Callable[[Column], Column]:
-    return lambda as_of: period(F.col("sale_date"), as_of, offset)
+def _period(period: Callable[[Column, int], dates.Bounds], offset: int, *synonyms: str) -> Filter:
+    return Filter("sale_date", synonyms=synonyms, bounds=lambda as_of: period(as_of, offset))
 
 
-_STATUS, _DATE, _SEGMENT, _COUNTRY = (
-    ("prestashop_match_status",), ("sale_date",), ("customer_segment",), ("delivery_country",))
-
 # Filter names, synonyms, windows and value lists.
 SALES_FILTERS = {
-    "matched_products": Filter(_STATUS, _equals("prestashop_match_status", "Matched"), (
-        "prestashop matched", "enriched products", "matched only", "prestashop enriched")),
-    "product_sales_only": Filter(_STATUS, _equals("prestashop_match_status", "Matched"), (
-        "exclude adjustments", "products only", "no freight", "no discounts")),
-    "current_year": Filter(_DATE, _period(dates.in_year, 0), (
-        "this year", "year to date", "ytd", "current fiscal year")),
-    "last_year": Filter(_DATE, _period(dates.in_year, -1), ("previous year", "prior year", "last fiscal year")),
-    "last_week": Filter(_DATE, _last_days(7), ("past week", "previous week", "past 7 days")),
-    "last_month": Filter(_DATE, _last_days(30), ("past month", "previous month", "past 30 days", "last 30 days")),
-    "last_quarter": Filter(_DATE, _last_days(90), (
-        "past quarter", "previous quarter", "last 90 days", "past 90 days")),
-    "b2b_only": Filter(_SEGMENT, _equals("customer_segment", "B2B"), (
-        "business customers only", "wholesale only", "b2b segment", "business sales")),
-    "b2c_only": Filter(_SEGMENT, _equals("customer_segment", "B2C"), (
-        "consumer sales only", "direct sales only", "b2c segment", "retail sales")),
-    "this_month": Filter(_DATE, _period(dates.in_month, 0), (
-        "current month", "month to date", "mtd", "this month to date")),
-    "last_month_complete": Filter(_DATE, _period(dates.in_month, -1), (
-        "previous month complete", "prior month", "last full month", "previous calendar month")),
-    "this_quarter": Filter(_DATE, _period(dates.in_quarter, 0), (
-        "current quarter", "quarter to date", "qtd", "this quarter to date")),
-    "last_quarter_complete": Filter(_DATE, _period(dates.in_quarter, -1), (
-        "previous quarter complete", "prior quarter", "last full quarter", "previous calendar quarter")),
-    "top_categories": Filter(("category",), _among("category", "Harnesses", "Leads", "Collars"), (
-        "main categories", "core products", "primary categories", "key products")),
-    "scandinavia": Filter(_COUNTRY, _among("delivery_country", "Denmark", "Norway", "Sweden"), (
-        "nordic countries", "scandinavian countries", "nordic region", "scandinavia region")),
-    "dach_region": Filter(_COUNTRY, _among("delivery_country", "Germany", "Austria", "Switzerland"), (
-        "dach", "german speaking countries", "dach countries")),
-    "western_europe": Filter(
-        _COUNTRY, _among("delivery_country", "France", "United Kingdom", "Netherlands", "Belgium", "Luxembourg"), (
-            "western europe region", "west europe", "western european countries")),
+    "matched_products": _equals("prestashop_match_status", "Matched", "prestashop matched", "enriched products",
+                                "matched only", "prestashop enriched"),
+    "product_sales_only": _equals("prestashop_match_status", "Matched", "exclude adjustments", "products only",
+                                  "no freight", "no discounts"),
+    "current_year": _period(dates.year_of, 0, "this year", "year to date", "ytd", "current fiscal year"),
+    "last_year": _period(dates.year_of, -1, "previous year", "prior year", "last fiscal year"),
+    "last_week": _last_days(7, "past week", "previous week", "past 7 days"),
+    "last_month": _last_days(30, "past month", "previous month", "past 30 days", "last 30 days"),
+    "last_quarter": _last_days(90, "past quarter", "previous quarter", "last 90 days", "past 90 days"),
+    "b2b_only": _equals("customer_segment", "B2B", "business customers only", "wholesale only", "b2b segment",
+                        "business sales"),
+    "b2c_only": _equals("customer_segment", "B2C", "consumer sales only", "direct sales only", "b2c segment",
+                        "retail sales"),
+    "this_month": _period(dates.month_of, 0, "current month", "month to date", "mtd", "this month to date"),
+    "last_month_complete": _period(dates.month_of, -1, "previous month complete", "prior month", "last full month",
+                                   "previous calendar month"),
+    "this_quarter": _period(dates.quarter_of, 0, "current quarter", "quarter to date", "qtd", "this quarter to date"),
+    "last_quarter_complete": _period(dates.quarter_of, -1, "previous quarter complete", "prior quarter",
+                                     "last full quarter", "previous calendar quarter"),
+    "top_categories": _among("category", ["Harnesses", "Leads", "Collars"], "main categories", "core products",
+                             "primary categories", "key products"),
+    "scandinavia": _among("delivery_country", ["Denmark", "Norway", "Sweden"], "nordic countries",
+                          "scandinavian countries", "nordic region", "scandinavia region"),
+    "dach_region": _among("delivery_country", ["Germany", "Austria", "Switzerland"], "dach",
+                          "german speaking countries", "dach countries"),
+    "western_europe": _among("delivery_country", ["France", "United Kingdom", "Netherlands", "Belgium", "Luxembourg"],
+                             "western europe region", "west europe", "western european countries"),
 }
 
 SALES = Entity("sales", ("invoice_id", "line_id"), SALES_DIMENSIONS, SALES_TIME, SALES_FACTS, SALES_METRICS,
@@ -238,8 +238,7 @@ PRODUCT = Entity("product", ("product_sku",), _dimensions(
 ), _dimensions(("last_updated_date", ["last modified", "updated date", "last update"])), {
     "price_impact": Fact("price_impact", "avg", ("variant price adjustment", "price modifier")),
 }, filters={
-    "active_products": Filter(("is_active",), _equals("is_active", True), (
-        "active only", "available products", "current products")),
+    "active_products": _equals("is_active", True, "active only", "available products", "current products"),
 })
 ENTITIES = {e.name: e for e in (SALES, CUSTOMER, PRODUCT)}
 RELATIONSHIPS = (
@@ -275,23 +274,27 @@ class SemanticModel:
     """Queries by name over entity views.
 
     ``frames`` gives, per entity, a function from the needed columns to a view having them; the sales view uses that
-    to leave out lookups a question does not need.
+    to leave out lookups a question does not need. ``month_partition`` names the month column of a sales view stored
+    by month: date ranges then also cut its partitions.
     """
 
-    def __init__(self, frames: dict[str, Frame], check_keys: bool = True):
+    def __init__(self, frames: dict[str, Frame], check_keys: bool = True, month_partition: str | None = None):
         self.frames = frames
         self.check_keys = check_keys
+        self.month_partition = month_partition
 
     def query(
         self, entity: str = "sales", dims: Iterable[str | tuple[str, str]] = (), metrics: Iterable[str] = (),
         filters: Iterable[str] = (), order_by: Sequence[tuple[str, str]] = (), limit: int | None = None,
         as_of: dt.date | str | None = None, where: Sequence[tuple[str, Callable[[Column], Column]]] = (),
+        period: dates.Bounds | None = None,
     ) -> DataFrame:
         """Metrics by dimensions.
 
         A dimension is a name, a (time dimension, grain) pair, or ``entity.name`` for a related entity. A metric is a
         metric name or a fact name, which takes the fact's default aggregation. ``where`` adds predicates on a
-        dimension as (name, test). ``order_by`` names result columns with "asc" or "desc".
+        dimension as (name, test), ``period`` a range on the sale date. ``order_by`` names result columns with "asc"
+        or "desc".
         """
         home = ENTITIES[entity]
         day = dates.as_of_date(as_of)
@@ -299,19 +302,16 @@ class SemanticModel:
         own = [s for s in selected if s.source == home.name]
         related = [s for s in selected if s.source != home.name]
         measures = [self._measure(home, m, day) for m in metrics]
-        tests = [self._filter(home, f, day) for f in filters]
-        extra = [(self._dimension(home, name), test) for name, test in where]
+        tests = [self._filter(home, f) for f in filters]
+        if period is not None:
+            tests.append(Filter("sale_date", bounds=lambda _: period))
+        tests += [Filter(self._own_column(home, name), test) for name, test in where]
 
-        columns = {c for _, cs, _ in measures for c in cs} | {c for cs, _ in tests for c in cs}
-        columns |= {self._own_column(home, d) for d in dims if self._own_column(home, d)}
-        columns |= {self._own_column(home, name) for name, _ in where}
+        columns = {c for _, cs, _ in measures for c in cs} | {f.column for f in tests}
+        columns |= {self._own_column(home, d) for d in dims} - {None}
         for s in related:
             columns |= set(self._relationship(home, s.source).columns)
-        rows = self.frames[home.name](sorted(columns))
-        for _, predicate in tests:
-            rows = rows.filter(predicate)
-        for dimension, test in extra:
-            rows = rows.filter(test(dimension.column))
+        rows = self._rows(home, columns, tests, day)
         for source in {s.source for s in related}:
             rows = self._join(rows, home, source, [s for s in related if s.source == source])
 
@@ -333,14 +333,26 @@ class SemanticModel:
         The view is cut to rows passing any filter first, which reaches the scan when all are date ranges.
         """
         home, day = ENTITIES[entity], dates.as_of_date(as_of)
-        tests = [(name, *self._filter(home, name, day)) for name in filters]
+        tests = {name: self._filter(home, name) for name in filters}
         measures = [self._measure(home, m, day) for m in metrics]
-        columns = {c for _, needed, _ in [*tests, *measures] for c in needed}
-        rows = self.frames[home.name](sorted(columns)).filter(reduce(or_, [test for _, _, test in tests]))
-        passed = F.array_remove(F.array(*[F.when(test, name).otherwise("") for name, _, test in tests]), "")
+        columns = {c for _, cs, _ in measures for c in cs} | {f.column for f in tests.values()}
+        predicates = {name: f.build(day) for name, f in tests.items()}
+        rows = self._rows(home, columns, [], day).filter(reduce(or_, predicates.values()))
+        passed = F.array_remove(F.array(*[F.when(p, name).otherwise("") for name, p in predicates.items()]), "")
         return rows.withColumn("filter_name", F.explode(passed)).groupBy("filter_name").agg(
             *[build.alias(name) for name, _, build in measures])
 
+    def _rows(self, home: Entity, columns: set[str], tests: list[Filter], day: Column) -> DataFrame:
+        ranges = [f for f in tests if f.bounds is not None]
+        by_month = home.name == "sales" and self.month_partition is not None and ranges
+        rows = self.frames[home.name](sorted(columns | ({self.month_partition} if by_month else set())))
+        for f in tests:
+            rows = rows.filter(f.build(day))
+        if by_month:
+            for f in ranges:
+                rows = rows.filter(dates.within_month(F.col(self.month_partition), f.bounds(day)))
+        return rows
+
     def _dimension(self, home: Entity, dim: str | tuple[str, str]) -> _Selected:
         name, grain = dim if isinstance(dim, tuple) else (dim, None)
         if "." in name:
@@ -358,11 +370,14 @@ class SemanticModel:
         return _Selected(F.col(found[1].column), found[0], home.name)
 
     def _own_column(self, home: Entity, dim: str | tuple[str, str]) -> str | None:
+        """Column behind a dimension of the entity itself, None for a related one."""
         name = dim[0] if isinstance(dim, tuple) else dim
         if "." in name:
             return None
         found = _find(home.dimensions, name) or _find(home.time_dimensions, name)
-        return None if found is None else found[1].column
+        if found is None:
+            raise UnknownNameError(f"{home.name} has no dimension {name!r}")
+        return found[1].column
 
     def _measure(self, home: Entity, name: str, day: Column) -> tuple[str, tuple[str, ...], Column]:
         found = _find(home.metrics, name)
@@ -374,11 +389,11 @@ class SemanticModel:
         aggregate = F.sum if found[1].aggregation == "sum" else F.avg
         return found[0], (found[1].column,), aggregate(found[1].column)
 
-    def _filter(self, home: Entity, name: str, day: Column) -> tuple[tuple[str, ...], Column]:
+    def _filter(self, home: Entity, name: str) -> Filter:
         found = _find(home.filters, name)
         if found is None:
             raise UnknownNameError(f"{home.name} has no filter {name!r}")
-        return found[1].columns, found[1].build(day)
+        return found[1]
 
     def _relationship(self, home: Entity, other: str) -> Relationship:
         for relationship in RELATIONSHIPS:

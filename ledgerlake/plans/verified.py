@@ -36,10 +36,10 @@ def segments_last_quarter(model: SemanticModel, as_of: Day = None) -> DataFrame:
 
 def top_products_this_month(model: SemanticModel, as_of: Day = None, k: int = 10) -> DataFrame:
     """From the first of the month, no upper bound."""
-    start = dates.month_start(dates.as_of_date(as_of))
+    start, _ = dates.month_of(dates.as_of_date(as_of))
     keys = ["product_sku", "product_name", "category", "size", "color"]
     result = model.query(dims=keys, metrics=["total_units", "total_revenue"], filters=["matched_products"],
-                         where=[("sale_date", lambda day: day >= start)], as_of=as_of,
+                         period=(start, None), as_of=as_of,
                          order_by=[("total_revenue", "desc"), ("product_sku", "asc")], limit=k)
     return result.toDF(*keys, "units", "revenue")
 
@@ -47,8 +47,7 @@ def top_products_this_month(model: SemanticModel, as_of: Day = None, k: int = 10
 def monthly_trend(model: SemanticModel, year: int) -> DataFrame:
     first = F.lit(f"{year}-01-01").cast("date")
     result = model.query(dims=[("sale_date", "month")], metrics=["total_revenue", "total_orders", "average_order_value"],
-                         where=[("sale_date", lambda day: dates.in_year(day, first))],
-                         order_by=[("sale_date_month", "asc")])
+                         period=dates.year_of(first), order_by=[("sale_date_month", "asc")])
     return result.toDF("month", "revenue", "orders", "aov")
 
 
@@ -67,8 +66,8 @@ def size_colour_this_year(model: SemanticModel, as_of: Day = None, k: int = 20)
 
 def week_over_week(sales: DataFrame, as_of: Day = None) -> DataFrame:
     day, today = F.col("sale_date"), dates.as_of_date(as_of)
-    recent = sales.filter(dates.since(day, today, 14))
-    period = F.when(dates.since(day, today, 7), "This Week").otherwise("Last Week")
+    recent = sales.filter(dates.within(day, dates.last_days(today, 14)))
+    period = F.when(dates.within(day, dates.last_days(today, 7)), "This Week").otherwise("Last Week")
     return recent.groupBy(period.alias("period")).agg(
         F.sum("line_revenue_dkk").alias("revenue"), F.countDistinct("invoice_id").alias("orders"),
         F.sum("quantity_sold").alias("units")).orderBy(F.desc("period"))
@@ -93,9 +92,10 @@ def categories_by_segment(model: SemanticModel, as_of: Day = None) -> DataFrame:
 def category_growth(sales: DataFrame, as_of: Day = None) -> DataFrame:
     """Whole current year against whole last year; one range covers both, so the scan reads two years only."""
     day, today, revenue = F.col("sale_date"), dates.as_of_date(as_of), F.col("line_revenue_dkk")
-    both = dates.between_days(day, dates.year_start(today, -1), dates.year_start(today, 1))
+    this_year, last_year = dates.year_of(today), dates.year_of(today, -1)
+    both = dates.within(day, (last_year[0], this_year[1]))
     totals = sales.filter(both & (F.col("prestashop_match_status") == "Matched")).groupBy("category").agg(
-        sum_if(dates.in_year(day, today), revenue).alias("current_year_revenue"),
-        sum_if(dates.in_year(day, today, -1), revenue).alias("last_year_revenue"))
+        sum_if(dates.within(day, this_year), revenue).alias("current_year_revenue"),
+        sum_if(dates.within(day, last_year), revenue).alias("last_year_revenue"))
     change = percent_change(F.col("current_year_revenue"), F.col("last_year_revenue"))
     return totals.withColumn("growth_pct", change).orderBy(F.desc_nulls_last("current_year_revenue"))

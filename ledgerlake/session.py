@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -58,3 +60,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """``checkpoint()`` needs a directory; the session's own one wins."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
+_ARROW = {"string": pa.string(), "bigint": pa.int64(), "boolean": pa.bool_(), "timestamp": pa.timestamp("us", "UTC")}
+
+
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table kept in the plan, so Spark knows its size; times are UTC."""
+    fields = T.StructType.fromDDL(schema)
+    columns = zip(*rows) if rows else [[] for _ in fields]
+    return spark.createDataFrame(pa.table({
+        f.name: pa.array(list(values), _ARROW[f.dataType.simpleString()]) for f, values in zip(fields, columns)}))

@@ -16,6 +16,22 @@ def materialise(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def publish_by_month(fact: DataFrame, path: str, day: str = "sale_date", month: str = "sale_month") -> None:
+    """Write a fact partitioned by month, so that questions about a period read that period only.
+
+    The rebalance hint gives each month its own files and splits a month too large for one task.
+    """
+    dated = fact.withColumn(month, F.trunc(F.col(day), "MONTH"))
+    (dated.hint("rebalance", F.col(month)).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(month).parquet(path))
+
+
+def published(spark: SparkSession, path: str, schema: T.StructType, month: str = "sale_month") -> Callable[[list[str]], DataFrame]:
+    """Column-wise reader of a published fact, for the semantic model with ``month_partition``."""
+    stored = spark.read.schema(T.StructType([*schema.fields, T.StructField(month, T.DateType())])).parquet(path)
+    return lambda columns: stored.select(*columns)
+
+
 def save_bucketed(df: DataFrame, table: str, keys: tuple[str, ...], buckets: int) -> DataFrame:
     """Save as a table bucketed and sorted by its join key: joins of two such tables on it need no shuffle."""
     layout = df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)

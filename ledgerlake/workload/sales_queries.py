@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from ledgerlake.functions import dates
 from ledgerlake.operators.dedup import top_per_group
 from ledgerlake.plans import dims, facts, reports, verified
+from ledgerlake.plans.semantic import SemanticModel
+from ledgerlake.session import scratch_path
+from ledgerlake.sources import store
 from ledgerlake.workload import standins as st
 from ledgerlake.workload.registry import query
 from ledgerlake.workload.sql_parts import (
@@ -375,6 +378,19 @@ def vq11(spark, sf):
         st.sales(spark, sf, "sale_date", "line_revenue_dkk", "category", "prestashop_match_status"), st.AS_OF)
 
 
+# --- published fact -------------------------------------------------------------------------------------------------
+
+@query("vq3_from_published_fact", on_sales(
+    f"SELECT customer_segment, CAST(count(DISTINCT customer_id) AS BIGINT) AS customers, {AGG}, {AOV} "
+    f"FROM sales WHERE sale_date >= {AS_OF} - 90 GROUP BY customer_segment"), aov=6)
+def vq3_published(spark, sf):
+    """The whole fact written by month, then the question on it: only the months of the period are read."""
+    path, fact = scratch_path(spark, "sales"), st.sales(spark, sf)
+    store.publish_by_month(fact, path)
+    model = SemanticModel({"sales": store.published(spark, path, fact.schema)}, month_partition="sale_month")
+    return verified.segments_last_quarter(model, st.AS_OF)
+
+
 # --- reports --------------------------------------------------------------------------------------------------------
 
 @query("rpt1_weekly_kpis", on_sales(f"""

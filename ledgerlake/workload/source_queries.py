@@ -258,7 +258,7 @@ SELECT api_endpoint, CASE WHEN api_endpoint = 'invoices/booked' THEN 0 END::BIGI
 FROM ({REST_PAGES_SQL}) GROUP BY 1""")
 def inc5(spark, sf):
     marks = inc.seed_marks(spark, NOW).filter("base = 'REST'").select("api_endpoint", "last_invoice_number")
-    return st.rest_raw(spark, sf).join(F.broadcast(marks), "api_endpoint").groupBy(
+    return st.rest_raw(spark, sf).join(marks, "api_endpoint").groupBy(
         "api_endpoint", "last_invoice_number").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -138,3 +138,32 @@ def test_missing_headings_are_named():
 def test_fact_rows_do_not_multiply_when_lookups_are_unique(sources):
     dated = sources.invoices.filter(F.col("invoice_date").isNotNull())
     assert facts.sales_detail(sources).count() == sources.lines.join(dated, "invoice_number").count()
+
+
+def test_hot_sku_is_split_even_when_the_aggregation_keeps_its_key(spark):
+    """Most lines carry one SKU; the lookup join must not leave them in one task."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    lines = spark.range(0, 40000, 1, 8).selectExpr(
+        "id % 5000 as invoice_number", "id as line_number", "if(id % 3 = 0, 'hot', concat('S', id % 500)) as sku",
+        "'x' as line_description", "1.0D as quantity", "1.0D as unit_net_price_base_currency",
+        "1.0D as unit_cost_price_base_currency", "cast(hash(id) as double) as line_net_amount_base_currency",
+        "cast(null as timestamp) as api_timestamp")
+    invoices = spark.range(5000).selectExpr(
+        "id as invoice_number", "date'2025-01-01' as invoice_date", "id as customer_number", "'DKK' as invoice_currency",
+        "100.0D as exchange_rate", "'DK' as delivery_country", "'DK' as recipient_country")
+    catalogue = spark.range(500).selectExpr("concat('S', id) as sku", "concat('C', id % 5) as product_group_name", "'n' as product_name")
+    sources = facts.DeferredSources(lines=lambda: lines, invoices=lambda: invoices, products=lambda: catalogue)
+    previous = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        fact = facts.sales_detail(sources, ["product_sku", "product_category_economic", "line_revenue_dkk"])
+        totals = fact.groupBy("product_sku", "product_category_economic").agg(F.sum("line_revenue_dkk").alias("r"))
+        assert totals.collect() and "skew=true" in plan(totals)
+    finally:
+        for key, value in previous.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

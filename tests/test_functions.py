@@ -53,8 +53,8 @@ def test_money_text_has_no_upper_limit(spark):
 ])
 def test_calendar_periods(spark, as_of, offset, month, quarter, year):
     days = spark.sql("select explode(sequence(date'2023-12-01', date'2026-01-31')) d")
-    for period, (first, last) in ((dates.in_month, month), (dates.in_quarter, quarter), (dates.in_year, year)):
-        found = days.filter(period(F.col("d"), dates.as_of_date(as_of), offset)).agg(F.min("d"), F.max("d")).first()
+    for period, (first, last) in ((dates.month_of, month), (dates.quarter_of, quarter), (dates.year_of, year)):
+        found = days.filter(dates.within(F.col("d"), period(dates.as_of_date(as_of), offset))).agg(F.min("d"), F.max("d")).first()
         assert (str(found[0]), str(found[1])) == (first, last)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgerlake.operators.joins import DuplicateKeyError
 from ledgerlake.plans import reports, semantic, verified
 from ledgerlake.plans.semantic import SemanticModel, UnknownNameError
+from ledgerlake.sources import store
 
 AS_OF = "2025-03-15"
 COLUMNS = ("invoice_id bigint, sale_date date, customer_id bigint, customer_name string, customer_segment string, product_sku string, "
@@ -165,3 +166,22 @@ def test_audits(sales):
     assert reports.size_colour_table(sales, 1).first().line_count == 8
     overview = {(r.market, r.category): r for r in reports.market_overview(sales, "2024-01-01").collect()}
     assert overview["Nordics", "Harnesses"].orders == 5
+
+
+@pytest.mark.parametrize("name,months", [("last_week", {"2025-03-01"}), ("last_month", {"2025-03-01"}),
+                                         ("last_year", {"2024-03-01", "2024-12-01"}), ("last_quarter_complete", {"2024-12-01"})])
+def test_published_fact_reads_only_the_months_asked_for(spark, sales, model, tmp_path, name, months):
+    path = str(tmp_path / "fact")
+    store.publish_by_month(sales, path)
+    by_month = SemanticModel({"sales": store.published(spark, path, sales.schema)}, month_partition="sale_month")
+    got = by_month.query(dims=["category"], metrics=["total_revenue"], filters=[name], as_of=AS_OF)
+    assert rows(got) == rows(model.query(dims=["category"], metrics=["total_revenue"], filters=[name], as_of=AS_OF))
+    text = plan(got)
+    assert "PartitionFilters: [isnotnull(sale_month" in text and "invoice_id" not in text
+    assert {str(f).split("sale_month=")[1][:10] for f in stored_files(by_month, name)} == months
+
+
+def stored_files(model, name):
+    home = semantic.SALES
+    rows_ = model._rows(home, {"line_revenue_dkk"}, [model._filter(home, name)], semantic.dates.as_of_date(AS_OF))
+    return {r[0] for r in rows_.select(F.input_file_name()).distinct().collect()}
