@@ -39,6 +39,25 @@ def delta_by_number(df: DataFrame, column: str, mark: int | None) -> DataFrame:
     return df if not mark else df.filter(F.col(column) >= F.lit(mark + 1))
 
 
+# What an endpoint's mark is compared with.
+DELTA_COLUMNS = {
+    "customers": ("last_updated", "last_updated_timestamp"),
+    "products": ("last_updated", "last_updated_timestamp"),
+    "invoices/booked": ("invoice_number", "last_invoice_number"),
+    "invoices/booked/lines": ("invoice_number", "last_invoice_number"),
+}
+
+
+def new_records(records: DataFrame, endpoint: str, marks: DataFrame) -> DataFrame:
+    """Records of an entity a run has to take, by the endpoint's mark; endpoints without a rule are taken whole."""
+    if endpoint not in DELTA_COLUMNS:
+        return records
+    column, mark = DELTA_COLUMNS[endpoint]
+    row = marks.filter(F.col("api_endpoint") == endpoint).select(F.max(mark)).first()
+    delta = delta_by_time if mark == "last_updated_timestamp" else delta_by_number
+    return delta(records, column, row[0])
+
+
 def _largest(array: Column, path: str, type_: str) -> Column:
     return F.array_max(F.transform(array, lambda record: get(record, path, type_, lenient=True)))
 

@@ -2,57 +2,46 @@
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ledgerlake.plans import bronze, dims, verified
-from ledgerlake.plans.expired import expired_catalogue
-from ledgerlake.plans.facts import DeferredSources, sales_detail
+from ledgerlake.plans import verified
+from ledgerlake.plans.facts import sales_detail
 from ledgerlake.plans.semantic import SemanticModel
+from ledgerlake.plans.views import Warehouse, register_views
 from ledgerlake.workload import standins as st
 from ledgerlake.workload.registry import query
-from ledgerlake.workload.sql_parts import LINE_FIELDS, rate
+from ledgerlake.workload.sql_parts import LINE_FIELDS, currency, rate
 
 LINE_TIES = ("sku", "line_description", "quantity", "unit_net_price", "unit_cost_price", "line_net_amount",
              "discount_percentage", "vat_rate")
 
 
-def sources_from_pages(spark: SparkSession, sf: str) -> DeferredSources:
-    @cache
-    def rest() -> DataFrame:
-        return st.rest_raw(spark, sf)
-
-    @cache
-    def headers() -> DataFrame:
-        return bronze.invoices(rest())
+def erp_warehouse(spark: SparkSession, sf: str) -> Warehouse:
+    """Without shop data: for questions that need no SKU attributes."""
+    return Warehouse(st.rest_raw(spark, sf), st.bulk_raw(spark, sf), shop_raw=None, line_ties=LINE_TIES)
 
-    @cache
-    def lines() -> DataFrame:
-        return bronze.invoice_lines(st.bulk_raw(spark, sf), rest(), ties=LINE_TIES, headers=headers())
 
-    def sku_dim() -> DataFrame:
-        shop = dims.shop_catalogue(st.shop_raw(spark, sf), expired_catalogue(st.expired_list(spark, sf)))
-        return dims.dim_product_sku_enriched(lines(), dims.dim_product_sku(shop))
-
-    return DeferredSources(lines=lines, invoices=headers, customers=lambda: bronze.customers(rest()),
-                           products=lambda: bronze.products(rest()), sku_dim=sku_dim)
+def full_warehouse(spark: SparkSession, sf: str) -> Warehouse:
+    return Warehouse(st.rest_raw(spark, sf), st.bulk_raw(spark, sf), st.shop_raw(spark, sf), st.expired_list(spark, sf),
+                     st.packaging(spark, sf), line_ties=LINE_TIES)
 
 
 def monthly_revenue_from_pages(spark: SparkSession, sf: str, year: int = st.TREND_YEAR) -> DataFrame:
-    sources = sources_from_pages(spark, sf)
+    sources = erp_warehouse(spark, sf).sources
     model = SemanticModel({"sales": lambda columns: sales_detail(sources, columns)})
     return verified.monthly_trend(model, year)
 
 
-@query("entry_monthly_revenue_from_pages", f"""
-WITH versions AS (
+NEWEST = f"""versions AS (
   SELECT {LINE_FIELDS}, l_linestatus FROM lineitem),
 newest AS (
   SELECT * FROM versions QUALIFY row_number() OVER (
     PARTITION BY invoice_number, line_number
-    ORDER BY l_linestatus DESC, {', '.join(f'{c} DESC NULLS LAST' for c in LINE_TIES)}) = 1),
+    ORDER BY l_linestatus DESC, {', '.join(f'{c} DESC NULLS LAST' for c in LINE_TIES)}) = 1)"""
+
+
+@query("entry_monthly_revenue_from_pages", f"""
+WITH {NEWEST},
 sold AS (
   SELECT CAST(o_orderdate AS DATE) AS day, invoice_number,
          round(line_net_amount * (coalesce({rate('o_orderkey')}, 100.0) / 100), 2) AS revenue
@@ -65,3 +54,16 @@ def entry_query(spark, sf):
     return monthly_revenue_from_pages(spark, sf)
 
 
+@query("views_sql_on_lines", f"""
+WITH {NEWEST}
+SELECT {currency('o_orderkey')} AS invoice_currency, newest.sku, CAST(count(*) AS BIGINT) AS line_count,
+       round(sum(quantity), 2) AS units, max(p_type) AS product_group_name
+FROM newest JOIN orders ON invoice_number = o_orderkey LEFT JOIN part ON newest.sku = 'SKU' || p_partkey GROUP BY 1, 2""")
+def views_sql(spark, sf):
+    """SQL text on registered views."""
+    register_views(spark, erp_warehouse(spark, sf), "ledgerlake_", "invoice_lines", "products")
+    return spark.sql("""
+        SELECT l.invoice_currency, l.sku, count(*) AS line_count, sum(l.quantity) AS units,
+               max(p.product_group_name) AS product_group_name
+        FROM ledgerlake_invoice_lines l LEFT JOIN ledgerlake_products p ON l.sku = p.sku
+        GROUP BY l.invoice_currency, l.sku""")

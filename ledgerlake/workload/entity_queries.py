@@ -8,11 +8,12 @@ from ledgerlake.functions import lookups as lk
 from ledgerlake.operators import keys
 from ledgerlake.plans import bronze, dims, expired, reports
 from ledgerlake.plans.facts import sales_detail
+from ledgerlake.plans.views import register_views
 from ledgerlake.workload import standins as st
-from ledgerlake.workload.end_to_end import LINE_TIES, sources_from_pages
+from ledgerlake.workload.end_to_end import LINE_TIES, full_warehouse
 from ledgerlake.workload.registry import query
 from ledgerlake.workload.sql_parts import (
-    COUNTRY_CASE, INVOICES, LINE_FIELDS, LINES, currency, in_list, pick, rate, with_parts,
+    COUNTRY_CASE, INVOICES, LINE_FIELDS, LINES, PACKAGING, currency, in_list, pick, rate, with_parts,
 )
 
 FIRST, SECOND = f"'{st.FIRST_LOAD}'", f"'{st.SECOND_LOAD}'"
@@ -399,5 +400,22 @@ GROUP BY ALL""", EXPIRED, SHOP, DIM, INVOICES, NEWEST_LINES, ENRICHED))
 def category_revenue_from_pages(spark, sf):
     """Every lookup of the fact on entities built from pages."""
     by = ["category", "size", "delivery_country", "customer_segment"]
-    rows = sales_detail(sources_from_pages(spark, sf), [*by, "line_revenue_dkk"]).fillna("none", ["size"])
+    rows = sales_detail(full_warehouse(spark, sf).sources, [*by, "line_revenue_dkk"]).fillna("none", ["size"])
     return rows.groupBy(*by).agg(F.sum("line_revenue_dkk").alias("revenue"))
+
+
+@query("views_sql_on_packaging", with_parts(f"""
+SELECT CASE c_nationkey % 3 WHEN 1 THEN 'B2C' WHEN 2 THEN 'B2B' ELSE 'Unknown' END AS customer_segment,
+       k.prestashop_match_status AS packaging_match_status, CAST(count(*) AS BIGINT) AS lines,
+       round(sum(ln.quantity * k.carton_kg_per_unit::DOUBLE), 3) AS carton_kg
+FROM ln JOIN inv ON ln.invoice_number = inv.invoice_number AND invoice_date IS NOT NULL
+  JOIN customer ON customer_number = c_custkey LEFT JOIN dim_pkg k ON ln.sku = k.sku
+WHERE ln.quantity > 0 AND ln.sku NOT IN {in_list([*lk.ADJUSTMENT_SKUS, lk.WHOLESALE_SKU])}
+GROUP BY ALL""", EXPIRED, SHOP, DIM, INVOICES, NEWEST_LINES, ENRICHED, "ps AS (FROM enriched)", PACKAGING), carton_kg=3)
+def views_sql_packaging(spark, sf):
+    """SQL text on the packaging view, with every view of the chain behind it."""
+    register_views(spark, full_warehouse(spark, sf), "ledgerlake_", "vw_epr_detail")
+    return spark.sql("""
+        SELECT customer_segment, packaging_match_status, count(*) AS lines,
+               sum(quantity_sold * carton_kg_per_unit) AS carton_kg
+        FROM ledgerlake_vw_epr_detail GROUP BY customer_segment, packaging_match_status""")

@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import pytest
 from conftest import day, plan, rows
-from fixtures import FIRST, SAMPLE_INVOICE, SAMPLE_LINES, SHOP_PAGES, customer, invoice, line
+from fixtures import EXPIRED_ROWS, EXPIRED_SCHEMA, FIRST, SAMPLE_INVOICE, SAMPLE_LINES, SHOP_PAGES, customer, invoice, line
 from pyspark.sql import functions as F
 
 from ledgerlake.plans import bronze, dims, facts, packaging
 from ledgerlake.plans.facts import SalesSources
+from ledgerlake.plans.views import VIEWS, Warehouse, register_views
 
 
 @pytest.fixture
@@ -167,3 +168,20 @@ def test_hot_sku_is_split_even_when_the_aggregation_keeps_its_key(spark):
     finally:
         for key, value in previous.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_views_answer_sql(spark, raw):
+    rest = raw("REST", (FIRST, "invoices/booked", 0, {"collection": [SAMPLE_INVOICE]}))
+    bulk = raw("OPENAPI", (FIRST, "invoices/booked/lines", 0, {"items": SAMPLE_LINES}))
+    warehouse = Warehouse(rest, bulk, raw("SHOP", *SHOP_PAGES))
+    created = register_views(spark, warehouse)
+    assert "vw_sales_detail" in created and "vw_epr_detail" not in created and len(created) == 15
+    got = spark.sql("SELECT delivery_country, round(sum(line_revenue_dkk), 2) r, sum(product_revenue_dkk) p "
+                    "FROM vw_sales_detail GROUP BY 1")
+    assert rows(got) == [("France", 294.89, 249.97)]
+    full = Warehouse(rest, bulk, raw("SHOP", *SHOP_PAGES), spark.createDataFrame(EXPIRED_ROWS, EXPIRED_SCHEMA),
+                     spark.createDataFrame([], "sku string, carton_kg_per_unit decimal(10,4), plastic_kg_per_unit decimal(10,4), "
+                                               "foam_kg_per_unit decimal(10,4), date_uploaded timestamp, source_file string"))
+    assert len(register_views(spark, full, "full_")) == len(VIEWS) == 22
+    for name in VIEWS:
+        spark.table(f"full_{name}").limit(1).collect()

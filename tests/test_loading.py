@@ -107,6 +107,17 @@ def test_marks_advance_only_for_endpoints_with_records(spark, raw):
     assert kept["customers"].last_updated_timestamp == got["customers"].last_updated_timestamp
 
 
+def test_new_records_follow_the_endpoint_rule(spark, raw):
+    run = raw("REST", (FIRST, "customers", 0, {"collection": [
+        customer(1, lastUpdated="2025-01-02T00:00:00Z"), customer(2, lastUpdated="2024-01-02T00:00:00Z")]}),
+        (FIRST, "invoices/booked", 0, {"collection": [invoice(7), invoice(5)]}))
+    marks = inc.update_marks(inc.seed_marks(spark, T1), inc.run_stats(run, "REST"), T2)
+    assert rows(inc.new_records(bronze.customers(run), "customers", marks), "customer_number") == [(1,)]
+    assert inc.new_records(bronze.invoices(run), "invoices/booked", marks).count() == 0
+    assert inc.new_records(bronze.invoices(run), "invoices/booked", inc.seed_marks(spark, T1)).count() == 2
+    assert inc.new_records(bronze.invoices(run), "invoices/drafts", marks).count() == 2
+
+
 def test_bulk_marks_follow_document_numbers(raw):
     run = raw("OPENAPI", (FIRST, "invoices/booked/lines", 0, {"items": [line(4, 1), line(11, 1)]}),
               (FIRST, "invoices/booked/lines", 1, {"items": [line(8, 1)]}))
