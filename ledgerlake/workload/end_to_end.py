@@ -8,6 +8,8 @@ from ledgerlake.plans import verified
 from ledgerlake.plans.facts import sales_detail
 from ledgerlake.plans.semantic import SemanticModel
 from ledgerlake.plans.views import Warehouse, register_views
+from ledgerlake.session import scratch_path
+from ledgerlake.sources.store import materialise
 from ledgerlake.workload import standins as st
 from ledgerlake.workload.registry import query
 from ledgerlake.workload.sql_parts import LINE_FIELDS, currency, rate
@@ -22,8 +24,13 @@ def erp_warehouse(spark: SparkSession, sf: str) -> Warehouse:
 
 
 def full_warehouse(spark: SparkSession, sf: str) -> Warehouse:
-    return Warehouse(st.rest_raw(spark, sf), st.bulk_raw(spark, sf), st.shop_raw(spark, sf), st.expired_list(spark, sf),
-                     st.packaging(spark, sf), line_ties=LINE_TIES)
+    """With headers and lines stored: the fact, the SKU names and the rates all read them."""
+    found = Warehouse(st.rest_raw(spark, sf), st.bulk_raw(spark, sf), st.shop_raw(spark, sf), st.expired_list(spark, sf),
+                      st.packaging(spark, sf), line_ties=LINE_TIES)
+    path = scratch_path(spark, "entities")
+    found.invoices = materialise(found.invoices, f"{path}/invoices")
+    found.invoice_lines = materialise(found.invoice_lines, f"{path}/invoice_lines")
+    return found
 
 
 def monthly_revenue_from_pages(spark: SparkSession, sf: str, year: int = st.TREND_YEAR) -> DataFrame:
