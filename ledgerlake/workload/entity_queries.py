@@ -108,7 +108,7 @@ REST_PAGES_SQL = " UNION ALL ".join([
     _pages_sql("invoices/booked", SECOND, "o_orderkey", "(FROM orders WHERE o_orderstatus = 'P')"),
 ])
 _BRANDS = "(SELECT DISTINCT CAST(split_part(p_brand, '#', 2) AS BIGINT) AS b FROM part)"
-_VALUES = ("(SELECT DISTINCT 100 + p_size AS id FROM part UNION ALL SELECT 2000 + dense_rank() OVER (ORDER BY w) "
+_VALUES = ("(SELECT DISTINCT 100 + p_size AS id FROM part UNION ALL SELECT 2000 + ascii(w) "
            "FROM (SELECT DISTINCT split_part(p_name, ' ', 1) AS w FROM part))")
 SHOP_PAGES_SQL = " UNION ALL ".join([
     _pages_sql("products", FIRST, "b", _BRANDS), _pages_sql("products", SECOND, "b", f"(FROM {_BRANDS} WHERE b >= 10)"),
@@ -260,7 +260,7 @@ def rpt12_ranges(spark, sf):
 # --- shop entities and SKU dimensions -------------------------------------------------------------------------------
 
 SHOP = f"""words AS (
-  SELECT w, 2000 + dense_rank() OVER (ORDER BY w) AS id
+  SELECT w, CAST(2000 + ascii(w) AS BIGINT) AS id
   FROM (SELECT DISTINCT split_part(p_name, ' ', 1) AS w FROM part)),
 brands AS (SELECT DISTINCT CAST(split_part(p_brand, '#', 2) AS BIGINT) AS b, p_brand FROM part),
 all_products AS (

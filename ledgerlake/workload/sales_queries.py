@@ -41,7 +41,7 @@ def _fact_select() -> str:
 
 @query("fct1_sales_detail", on_sales(f"SELECT {_fact_select()} FROM sales"), exchange_rate=6)
 def fct1(spark, sf):
-    return st.sales(spark, sf).drop("data_last_refreshed")
+    return st.sales(spark, sf, spread=True).drop("data_last_refreshed")
 
 
 def _count_by(name: str, *columns: str) -> None:
@@ -50,7 +50,7 @@ def _count_by(name: str, *columns: str) -> None:
     @query(name, on_sales(f"SELECT {keys}, CAST(count(*) AS BIGINT) AS line_count, "
                           f"round(sum(line_revenue_dkk), 2) AS revenue FROM sales GROUP BY {keys}"))
     def run(spark, sf):
-        return st.sales(spark, sf, *columns, "line_revenue_dkk").groupBy(*columns).agg(
+        return st.sales(spark, sf, *columns, "line_revenue_dkk", spread=True).groupBy(*columns).agg(
             F.count(F.lit(1)).alias("line_count"), F.sum("line_revenue_dkk").alias("revenue"))
 
 
@@ -113,7 +113,7 @@ def _packaging_dim(spark, sf):
 
 
 def _epr(spark, sf):
-    return facts.epr_detail(st.sales(spark, sf, *facts.EPR_SALES_COLUMNS), _packaging_dim(spark, sf))
+    return facts.epr_detail(st.sales(spark, sf, *facts.EPR_SALES_COLUMNS, spread=True), _packaging_dim(spark, sf))
 
 
 @query("fct12_epr_detail", on_epr("""
@@ -247,7 +247,7 @@ def _filters(name: str, names: list[str]) -> None:
 
     @query(name, on_sales(sql))
     def run(spark, sf):
-        return st.model(spark, sf).by_filter(names, metrics=["total_revenue", "total_orders"], as_of=st.AS_OF) \
+        return st.model(spark, sf, spread=True).by_filter(names, metrics=["total_revenue", "total_orders"], as_of=st.AS_OF) \
             .toDF("filter_name", "revenue", "orders")
 
 
@@ -385,7 +385,7 @@ def vq11(spark, sf):
     f"FROM sales WHERE sale_date >= {AS_OF} - 90 GROUP BY customer_segment"), aov=6)
 def vq3_published(spark, sf):
     """The whole fact written by month, then the question on it: only the months of the period are read."""
-    path, fact = scratch_path(spark, "sales"), st.sales(spark, sf)
+    path, fact = scratch_path(spark, "sales"), st.sales(spark, sf, spread=True)
     store.publish_by_month(fact, path)
     model = SemanticModel({"sales": store.published(spark, path, fact.schema)}, month_partition="sale_month")
     return verified.segments_last_quarter(model, st.AS_OF)
@@ -437,7 +437,7 @@ SELECT prestashop_match_status, CAST(count(*) AS BIGINT) AS line_count,
        round(sum(line_revenue_dkk) * 100.0 / sum(sum(line_revenue_dkk)) OVER (), 2) AS pct_of_revenue
 FROM sales GROUP BY prestashop_match_status"""))
 def rpt4(spark, sf):
-    return reports.match_status_audit(st.sales(spark, sf, "prestashop_match_status", "line_revenue_dkk"))
+    return reports.match_status_audit(st.sales(spark, sf, "prestashop_match_status", "line_revenue_dkk", spread=True))
 
 
 @query("rpt5_category_margins", on_sales(f"""
@@ -448,7 +448,7 @@ FROM sales WHERE {MATCHED} AND product_revenue_dkk > 0 GROUP BY category"""))
 def rpt5(spark, sf):
     return reports.category_margins(st.sales(
         spark, sf, "category", "product_sku", "quantity_sold", "line_revenue_dkk", "line_profit_dkk",
-        "prestashop_match_status", "product_revenue_dkk"))
+        "prestashop_match_status", "product_revenue_dkk", spread=True))
 
 
 @query("rpt5_size_colour_table", on_sales(f"""
@@ -459,7 +459,7 @@ ORDER BY revenue_dkk DESC, size NULLS LAST, color NULLS LAST LIMIT 20"""))
 def rpt5_table(spark, sf):
     return reports.size_colour_table(st.sales(
         spark, sf, "size", "color", "quantity_sold", "line_revenue_dkk", "prestashop_match_status",
-        "product_revenue_dkk"))
+        "product_revenue_dkk", spread=True))
 
 
 @query("rpt6_sku_match_rate", with_parts("""

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.money import to_base_currency
-from ledgerlake.operators.keys import dense_keys
 from ledgerlake.operators.variants import parse
 from ledgerlake.plans import dims
 from ledgerlake.plans.facts import DeferredSources, sales_detail
@@ -116,9 +115,9 @@ LINE_COLUMNS = {
 }
 
 
-def lines(spark: SparkSession, sf: str) -> DataFrame:
+def lines(spark: SparkSession, sf: str, spread: bool = False) -> DataFrame:
     """All lines with base-currency amounts, as the materialised entity would hold them."""
-    rows = fact(spark, sf).selectExpr(
+    rows = (fact(spark, sf) if spread else table(spark, sf, "lineitem")).selectExpr(
         *[f"{e} as {n}" for n, e in LINE_COLUMNS.items()], "cast(l_shipdate as timestamp) as api_timestamp")
     factor = rate("invoice_number")
     return rows.select(
@@ -186,20 +185,23 @@ def sku_dim(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def sources(spark: SparkSession, sf: str) -> DeferredSources:
+def sources(spark: SparkSession, sf: str, spread: bool = False) -> DeferredSources:
     return DeferredSources(
-        lines=lambda: lines(spark, sf), invoices=lambda: invoices(spark, sf), customers=lambda: customers(spark, sf),
+        lines=lambda: lines(spark, sf, spread), invoices=lambda: invoices(spark, sf), customers=lambda: customers(spark, sf),
         products=lambda: products(spark, sf), sku_dim=lambda: sku_dim(spark, sf))
 
 
-def sales(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    """The sales fact with the given columns, all of the view without any."""
-    return sales_detail(sources(spark, sf), columns or None)
+def sales(spark: SparkSession, sf: str, *columns: str, spread: bool = False) -> DataFrame:
+    """The sales fact with the given columns, all of the view without any.
+
+    ``spread`` is for questions that work on most rows; those that keep a few days of them gain nothing from it.
+    """
+    return sales_detail(sources(spark, sf, spread), columns or None)
 
 
-def model(spark: SparkSession, sf: str) -> SemanticModel:
+def model(spark: SparkSession, sf: str, spread: bool = False) -> SemanticModel:
     return SemanticModel({
-        "sales": lambda columns: sales(spark, sf, *columns),
+        "sales": lambda columns: sales(spark, sf, *columns, spread=spread),
         "customer": lambda columns: dims.customer_master(customers(spark, sf)),
         "product": lambda columns: dims.product_master(sku_dim(spark, sf)),
     })
@@ -306,7 +308,7 @@ def invoice_pages(spark: SparkSession, sf: str) -> DataFrame:
 def line_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Lines in bulk pages. Keys repeat here, so pages are cut from the scan order, not by key."""
     scan = F.monotonically_increasing_id()
-    rows = fact(spark, sf).withColumn("_scan", scan)
+    rows = table(spark, sf, "lineitem").withColumn("_scan", scan)
     # One page per 1000 consecutive rows of a scan partition: bounded however often an invoice number occurs.
     page = F.shiftright("_scan", 33) * 1_000_000_000 + F.floor(F.col("_scan").bitwiseAND(F.lit((1 << 33) - 1)) / 1000)
     cols = {name: F.expr(text) for name, text in LINE_COLUMNS.items()}
@@ -358,9 +360,9 @@ def shop_pages(spark: SparkSession, sf: str) -> DataFrame:
     id_ = F.col("r_regionkey") + 1
     categories = F.struct(id_.alias("id"), F.when(id_ == 1, "Shop").otherwise(F.col("r_name")).alias("name"),
                           F.lit(2).alias("id_parent"), F.lit("1").alias("active"), (id_ % 3).alias("level_depth"))
-    words = colour_ids(spark, sf)
-    coloured = part.withColumn("word", colour()).join(words, "word")
-    options = F.array(_nested("id", 100 + F.col("p_size").cast("bigint")), _nested("id", F.col("word_id")))
+    # Option ids: 100 + size, and 2000 + code of the first letter, which differs for all colour words.
+    colour_id = (2000 + F.ascii(colour())).cast("bigint")
+    options = F.array(_nested("id", 100 + F.col("p_size").cast("bigint")), _nested("id", colour_id))
     combination = F.struct(
         (F.col("p_partkey") + 1).alias("id"), brand.alias("id_product"),
         F.when(F.col("p_size") != 50, part_sku()).alias("reference"),
@@ -369,24 +371,18 @@ def shop_pages(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("p_size") <= 45, _nested("product_option_values", options)).alias("associations"))
     sizes = part.select((100 + F.col("p_size").cast("bigint")).alias("id"), F.lit(1).alias("g"),
                         F.col("p_size").cast("string").alias("n")).distinct()
-    values = sizes.unionByName(words.select(F.col("word_id").alias("id"), F.lit(2).alias("g"), F.col("word").alias("n")))
+    values = sizes.unionByName(part.select(colour_id.alias("id"), F.lit(2).alias("g"), colour().alias("n")).distinct())
     value = F.struct("id", F.col("g").alias("id_attribute_group"), F.col("n").alias("name"))
     return (landed(brands, "products", "products", FIRST_LOAD, page_of(F.col("b")), product(F.lower("p_brand")))
             .unionByName(landed(brands.filter("b >= 10"), "products", "products", SECOND_LOAD, page_of(F.col("b")),
                                 product(F.col("p_brand"))))
             .unionByName(landed(region, "categories", "categories", FIRST_LOAD, page_of(id_), categories))
-            .unionByName(landed(coloured, "combinations", "combinations", FIRST_LOAD, page_of(F.col("p_partkey")),
+            .unionByName(landed(part, "combinations", "combinations", FIRST_LOAD, page_of(F.col("p_partkey")),
                                 combination))
             .unionByName(landed(values, "product_option_values", "product_option_values", FIRST_LOAD,
                                 page_of(F.col("id")), value)))
 
 
-def colour_ids(spark: SparkSession, sf: str) -> DataFrame:
-    """An option id per colour word, from 2001 upward; eight words at every scale."""
-    words = table(spark, sf, "part").select(colour().alias("word"))
-    return dense_keys(words, ["word"], "word_id", base=2000, sign=1)
-
-
 def shop_raw(spark: SparkSession, sf: str) -> DataFrame:
     return raw(shop_pages(spark, sf), "SHOP")
 
