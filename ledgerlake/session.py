@@ -16,7 +16,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even when a following aggregation on the same key then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 CLEANING = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
 

@@ -1,4 +1,4 @@
-"""Landing as a file stream: every new page file once, marks after pages."""
+"""Landing pages, as one batch or as a file stream: every page file once, marks after pages."""
 
 from __future__ import annotations
 
@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.operators.incremental import run_stats, seed_marks, update_marks
-from ledgerlake.sources.pages import LANDED_SCHEMA, append_raw, parse_page_files, parse_page_lines, to_raw
+from ledgerlake.sources.pages import (
+    LANDED_SCHEMA, append_raw, parse_page_files, parse_page_lines, read_pages, reload_raw, to_raw,
+)
 from ledgerlake.sources.store import commit_marks, read_marks
 
 
@@ -43,6 +45,20 @@ def land_batch(
     return write
 
 
+def land_once(
+    spark: SparkSession, root: str, kind: str, raw_path: str, marks_path: str, version: int, now: dt.datetime,
+    lines: bool = False,
+) -> None:
+    """One batch load of a landing folder. Shop pages are a full refresh and replace the store; the others are added
+    and advance the marks, as version ``version``."""
+    if kind.upper() == "SHOP":
+        reload_raw(read_pages(spark, root, kind, lines, F.lit(now)), raw_path)
+        return
+    landed = spark.read.schema(LANDED_SCHEMA).option("wholetext", not lines).format("text").load(root)
+    land_batch(kind, raw_path, marks_path, lambda: now)(
+        parse_page_lines(landed) if lines else parse_page_files(landed), version)
+
+
 def start_landing(
     spark: SparkSession, root: str, kind: str, raw_path: str, marks_path: str, checkpoint: str,
     clock: Callable[[], dt.datetime], lines: bool = False, files_per_batch: int = 1000,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerlake.operators import incremental as inc
 from ledgerlake.plans import bronze, reports
 from ledgerlake.sources import config, files, pages, store
-from ledgerlake.streaming.landing import land_batch, start_landing
+from ledgerlake.streaming.landing import land_batch, land_once, start_landing
 
 T1, T2 = dt.datetime(2025, 1, 1, 6), dt.datetime(2025, 2, 1, 6)
 
@@ -200,3 +200,17 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert pages.read_raw(spark, raw_path).count() == 1
     marks = store.read_marks(spark, marks_path, lambda: inc.seed_marks(spark, T1))
     assert marks.filter("api_endpoint = 'invoices/booked'").first().total_records_loaded == 2
+
+
+def test_batch_loads_add_or_replace(spark, tmp_path):
+    raw_path, shop_path, marks_path = (str(tmp_path / d) for d in ("raw", "shop", "marks"))
+    for version, number in ((0, 4), (1, 6), (1, 6)):
+        root = tmp_path / f"in{version}"
+        land(root, "invoices/booked", f"l{version}", 0, {"collection": [invoice(number)]})
+        land(tmp_path / f"shop{version}", "products", f"l{version}", 0, {"products": [{"id": number}]})
+        land_once(spark, str(root), "REST", raw_path, marks_path, version, T1)
+        land_once(spark, str(tmp_path / f"shop{version}"), "SHOP", shop_path, marks_path, version, T1)
+    marks = {r.api_endpoint: r for r in store.read_marks(spark, marks_path, lambda: inc.seed_marks(spark, T1)).collect()}
+    assert (marks["invoices/booked"].last_invoice_number, marks["invoices/booked"].total_records_loaded) == (6, 2)
+    assert rows(bronze.invoices(pages.read_raw(spark, raw_path)), "invoice_number") == [(4,), (6,)]
+    assert rows(bronze.shop_products(pages.read_raw(spark, shop_path)), "product_id") == [(6,)]
