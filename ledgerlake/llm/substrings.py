@@ -29,8 +29,10 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from ledgerlake.llm.common import map_rows
+from ledgerlake.llm.common import map_rows, pack
 
 WINDOW, BLOCK = 20, 10
 assert 2 * BLOCK - 1 <= WINDOW
@@ -166,16 +168,15 @@ def anchors(docs: DataFrame, buckets: int, chunk_words: int = CHUNK) -> DataFram
     return map_rows(docs, rows, SENT, flush=64)
 
 
-def windows(candidates: DataFrame, buckets: int, chunk_words: int = CHUNK) -> DataFrame:
+def windows(rows: DataFrame, hits: DataFrame, buckets: int, chunk_words: int = CHUNK) -> DataFrame:
     """Packed windows of ``WINDOW`` words that hold a hit. Of windows equal within a chunk the earliest is sent; the others
     are repeats already."""
-    def rows(found: Iterator[dict]) -> Iterator[tuple]:
+    def packed(found: Iterator[dict]) -> Iterator[tuple]:
         for chunk in _chunks(found, WINDOW, chunk_words):
             hashes, ids, places = [], [], []
             for r, words in chunk:
                 wanted = np.zeros(len(words) + 1, np.int64)
-                hit = np.concatenate([np.frombuffer(h, "<u4") for h in r["hits"]]).astype(np.int64)
-                hit = hit[hit + BLOCK <= len(words)]
+                hit = r["places"][r["places"] + BLOCK <= len(words)]
                 np.add.at(wanted, np.maximum(0, hit - BLOCK + 1), 1)
                 np.add.at(wanted, hit + 1, -1)
                 starts = np.flatnonzero(np.cumsum(wanted)[:len(words) - WINDOW + 1] > 0)
@@ -199,14 +200,37 @@ def windows(candidates: DataFrame, buckets: int, chunk_words: int = CHUNK) -> Da
             bucket = (_finish(raw, _ODD[-3]) >> np.uint64(20)) % np.uint64(buckets)
             yield from send(keys, bucket.astype(np.int32), docs_, at, np.zeros(len(raw), bool), 8, group)
 
-    return map_rows(candidates, rows, SENT, flush=64)
+    return with_places(rows, hits, lambda found: packed(r for r in found if len(r["places"])), SENT)
+
+
+def with_places(rows: DataFrame, places: DataFrame, each: Callable, schema: str | T.StructType) -> DataFrame:
+    """``each`` over the rows of a part, with the ``places`` picked in their document."""
+    arrow = to_arrow_schema(rows.sparkSession.createDataFrame([], schema).schema)
+
+    def part(left: pa.Table, right: pa.Table) -> pa.Table:
+        picked = [unpack_places(b, n) for b, n in zip(right["places"].to_pylist(), right["n"].to_pylist())]
+        docs, at = map(np.concatenate, zip(*picked)) if picked else (np.zeros(0, np.int64),) * 2
+        order = np.lexsort((at, docs))
+        docs, at = docs[order], at[order]
+
+        def dicts() -> Iterator[dict]:
+            for start in range(0, left.num_rows, 256):
+                for r in left.slice(start, 256).to_pylist():
+                    low, high = np.searchsorted(docs, r["doc_id"], "left"), np.searchsorted(docs, r["doc_id"], "right")
+                    yield r | {"places": at[low:high]}
 
+        done = list(each(dicts()))
+        return pa.Table.from_batches([pack(done[k:k + 1000], arrow) for k in range(0, len(done), 1000)], schema=arrow)
 
-def met(sent: DataFrame, width: int, judge: Callable) -> DataFrame:
-    """(doc_id, places): what ``judge(keys, flags, docs, places)`` picks in each bucket, and the combined windows."""
-    schema = pa.schema([("doc_id", pa.int64()), ("places", pa.binary())])
+    return rows.groupBy("part").cogroup(places.groupBy("part")).applyInArrow(part, schema)
 
-    def bucket(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+
+def met(sent: DataFrame, width: int, parts: int, judge: Callable) -> DataFrame:
+    """(part, n, places): what ``judge(keys, flags, docs, places)`` picks in each bucket, and the combined windows, packed for
+    each part of the documents."""
+    schema = pa.schema([("part", pa.int32()), ("n", pa.int32()), ("places", pa.binary())])
+
+    def bucket(rows: list[dict]) -> pa.RecordBatch:
         n = sum(r["n"] for r in rows)
         keys = np.zeros((n, 8), np.uint8)
         keys[:, :width] = np.frombuffer(b"".join(r["keys"] for r in rows), np.uint8).reshape(n, width)
@@ -215,27 +239,31 @@ def met(sent: DataFrame, width: int, judge: Callable) -> DataFrame:
         picked = judge(keys.view("<u8").reshape(n), flags, docs, places)
         more_docs, more = map(np.concatenate, zip(*[unpack_places(r["others"], r["m"]) for r in rows]))
         docs, places = np.concatenate((docs[picked], more_docs)), np.concatenate((places[picked], more))
-        order = np.lexsort((places, docs))
-        docs, places = docs[order], places[order].astype("<u4")
-        edges = np.flatnonzero(np.concatenate(([True], docs[1:] != docs[:-1], [True]))) if len(docs) else np.zeros(1, np.int64)
-        raw, cuts = places.tobytes(), (4 * edges).astype(np.int32)
-        column = pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(cuts.tobytes()), pa.py_buffer(raw)])
-        for at in range(0, len(edges) - 1, 20_000):
-            yield pa.RecordBatch.from_arrays([pa.array(docs[edges[at:at + 20_000][:len(edges) - 1 - at]], pa.int64()), column.slice(at, 20_000)],
-                                             schema=schema)
+        ids, which = np.unique(docs, return_inverse=True)
+        part = np.array([part_of(i, parts) for i in ids.tolist()], np.int32)[which]
+        order = np.lexsort((places, docs, part))
+        part, docs, places = part[order], docs[order], places[order]
+        edges = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True]))) if len(part) else np.zeros(1, np.int64)
+        return pack([(int(part[a]), int(b - a), pack_places(docs[a:b], places[a:b])) for a, b in zip(edges[:-1], edges[1:])], schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
         for batch in batches:
             for r in batch.to_pylist():
                 if held and held[0]["bucket"] != r["bucket"]:
-                    yield from bucket(held)
+                    yield bucket(held)
                     held = []
                 held.append(r)
         if held:
-            yield from bucket(held)
+            yield bucket(held)
+
+    return sent.repartition(F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(run, "part int, n int, places binary")
+
 
-    return sent.repartition(F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(run, "doc_id long, places binary")
+def part_of(doc_id: int, parts: int) -> int:
+    """As ``pmod(xxhash64(doc_id), parts)``."""
+    value = xxhash.xxh64_intdigest(doc_id.to_bytes(8, "little", signed=True), 42)
+    return (value - (1 << 64) if value >> 63 else value) % parts
 
 
 def _anchored(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -258,29 +286,28 @@ def _later(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, places: np.nda
     return order[(doc != doc[lead]) | (place != place[lead])]
 
 
-def repeated(docs: DataFrame, id_col: str = "doc_id", text: str = "text", chunk: int = CHUNK, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """doc_id, text, ``row`` (a struct of the other columns) and ``repeats`` (packed starts of the windows that also start
-    earlier; null: none), one row per row. The texts are shuffled once, for the windows and for the result."""
+def with_repeats(docs: DataFrame, each: Callable, schema: str | T.StructType, id_col: str = "doc_id", text: str = "text",
+                 chunk: int = CHUNK, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """``each`` over rows with doc_id, text, ``row`` (the other columns) and ``places``, the starts of the windows that also
+    start earlier. Documents are dealt into parts by id; the texts are shuffled once, for the windows and for the result."""
     others = [F.col(c) for c in docs.columns if c not in (id_col, text)]
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text).alias("text"),
                        *([F.struct(*others).alias("row")] if others else []))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // bucket_bytes))
-    sent = anchors(rows.select("doc_id", "text"), buckets, chunk)
-    hits = met(sent, 3, _anchored).groupBy("doc_id").agg(F.collect_list("places").alias("hits"))
-    candidates = rows.join(hits, "doc_id").sortWithinPartitions("doc_id")
-    later = met(windows(candidates, buckets, chunk), 8, _later).groupBy("doc_id").agg(F.collect_list("places").alias("repeats"))
-    return rows.join(later, "doc_id", "left")
+    hits = met(anchors(rows.select("doc_id", "text"), buckets, chunk), 3, buckets, _anchored)
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
+    later = met(windows(rows, hits, buckets, chunk), 8, buckets, _later)
+    return with_places(rows, later, each, schema)
 
 
-def kept_words(text: str | None, repeats: list[bytes] | None) -> tuple[int, list[bytes]]:
+def kept_words(text: str | None, repeats: np.ndarray) -> tuple[int, list[bytes]]:
     """(number of words, words outside repeated windows)."""
     words = words_of(text)
-    if not repeats:
+    starts = np.unique(repeats[repeats + WINDOW <= len(words)])
+    if not len(starts):
         return len(words), words
     cover = np.zeros(len(words) + 1, np.int64)
-    starts = np.unique(np.concatenate([np.frombuffer(r, "<u4") for r in repeats]).astype(np.int64))
-    starts = starts[starts + WINDOW <= len(words)]
     cover[starts] += 1
     np.subtract.at(cover, starts + WINDOW, 1)
     free = np.cumsum(cover)[:-1] == 0
@@ -291,11 +318,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """doc_id, n_words, n_removed, kept_sha256 (kept words joined by one space) of every row."""
     def rows(found: Iterator[dict]) -> Iterator[tuple]:
         for r in found:
-            n, kept = kept_words(r["text"], r["repeats"])
+            n, kept = kept_words(r["text"], r["places"])
             yield None if r["doc_id"] == NO_ID else r["doc_id"], n, n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()
 
-    return map_rows(repeated(docs.select(id_col, text), id_col, text, **options), rows,
-                    "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return with_repeats(docs.select(id_col, text), rows, "doc_id long, n_words long, n_removed long, kept_sha256 string", id_col, text, **options)
 
 
 def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n_chars: str = "n_chars", **options: int) -> DataFrame:
@@ -306,7 +332,7 @@ def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n
 
     def rows(found: Iterator[dict]) -> Iterator[tuple]:
         for r in found:
-            n, kept = kept_words(r["text"], r["repeats"])
+            n, kept = kept_words(r["text"], r["places"])
             if n and not kept:
                 continue
             whole = len(kept) == n
@@ -316,4 +342,4 @@ def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n
                 own[n_chars] = len(new)
             yield tuple(own[c] for c in names)
 
-    return map_rows(repeated(docs, id_col, text, **options), rows, docs.schema, flush=256)
+    return with_repeats(docs, rows, docs.schema, id_col, text, **options)
