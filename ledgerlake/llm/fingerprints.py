@@ -109,7 +109,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     through a second, small join that pairs a partition's last with the next one's first."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("text")).sortWithinPartitions(
+    ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
         F.col("doc_id").asc_nulls_first(), F.col("text")).withColumn("part", F.spark_partition_id())
     result = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 

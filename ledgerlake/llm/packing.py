@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ledgerlake.llm import tokens
 from ledgerlake.llm.common import map_rows, pack, stored
-from ledgerlake.llm.tokens import WordEncoder
 
 WINDOW, SHORTEST, END_ID = 2048, 64, 1
 LONG_SHARE = 0.75
@@ -59,7 +59,7 @@ def pieces(docs: DataFrame, tokenizer: str, spaced: bool = True, id_col: str = "
     end = np.array([END_ID], "<u4").tobytes()
 
     def rows(found: Iterator[dict]) -> Iterator[tuple]:
-        encoder = WordEncoder(tokenizer, spaced)
+        encoder = tokens.encoder(tokenizer, spaced)
         for r in found:
             ids = memoryview(encoder.encode(r["text"]) + end)
             n, start = len(ids) // 4, 0

@@ -23,12 +23,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.llm import tokens
 from ledgerlake.llm.common import filesystem, map_rows, stored, write_file
-from ledgerlake.llm.tokens import WordEncoder
 from ledgerlake.session import scratch_path
 
 END_ID, SHARD_IDS = 2, 1 << 20
 ROUNDS, ROUND_RULES, LEAST_COUNT = 3, 5000, 16
+TASK_SHARDS = 4
 MAGIC = b"RPR1"
 
 
@@ -153,11 +154,11 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, spaced: bool = Fa
     """Write all documents; returns the manifest: part, number, path, n_docs, n_ids, stored_bytes."""
     end = np.array([END_ID], "<u4").tobytes()
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("text")).sortWithinPartitions(
+    ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
         F.col("doc_id").asc_nulls_first(), F.col("text")).withColumn("part", F.spark_partition_id())
 
     def write(found: Iterator[dict]) -> Iterator[tuple]:
-        encoder, number = WordEncoder(tokenizer, spaced), 0
+        encoder, number = tokens.encoder(tokenizer, spaced), 0
         doc_ids, parts, counts, held, part = [], [], [], 0, 0
 
         def close() -> tuple:
@@ -203,7 +204,8 @@ def read_shards(manifest: DataFrame) -> DataFrame:
             for doc_id, first, n in zip(shard.doc_ids, shard.first_id.tolist(), shard.counts.tolist()):
                 yield doc_id, r["shard_start"] + first, n, zlib.crc32(ids[4 * first:4 * (first + n)])
 
-    return map_rows(shards.repartition(F.col("path")), read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    tasks = max(1, sum(n for _, n in totals) // (TASK_SHARDS * SHARD_IDS))
+    return map_rows(shards.repartition(tasks, F.col("path")), read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def round_trip(docs: DataFrame, tokenizer: str, **options) -> DataFrame:

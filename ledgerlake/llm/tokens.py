@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import re
 from array import array
+from functools import lru_cache
 
 #: Words, and pre-tokens, kept by each worker; a full table is emptied.
 CACHE_WORDS = 700_000
+_PLAIN = re.compile(r"( ?)([A-Za-z]+)([.,!]?)")
 _GAP = re.compile(r"(?<=\S) (?=\S)")
 # White space but the space and the line break: ASCII controls and the Unicode spaces.
 _ODD = frozenset(chr(c) for c in range(0x3001) if chr(c).isspace()) - {" ", "\n"}
@@ -26,7 +28,11 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._normalizer = self._tokenizer.normalizer
         self._lead = " " if spaced else ""
+        # How the library writes a leading space, and whether it lower-cases.
+        self._mark = self._pre_tokens(self._lead + "a")[0][:-1]
+        self._lower = self._pre_tokens("A")[0] == "a"
         self._words: dict[str, bytes] = {}
         self._tokens: dict[str, bytes] = {}
 
@@ -47,11 +53,20 @@ class WordEncoder:
                 known[word] = self._ids(self._lead + word)
             return head + b"".join(map(known.__getitem__, words[1:]))
 
+    def _pre_tokens(self, word: str) -> list[str]:
+        if self._normalizer is not None:
+            word = self._normalizer.normalize_str(word)
+        return [token for token, _ in self._tokenizer.pre_tokenizer.pre_tokenize_str(word)]
+
     def _ids(self, word: str) -> bytes:
-        if self._tokenizer.normalizer is not None:
-            word = self._tokenizer.normalizer.normalize_str(word)
-        known, out = self._tokens, []
-        for token, _ in self._tokenizer.pre_tokenizer.pre_tokenize_str(word):
+        known, out, plain = self._tokens, [], _PLAIN.fullmatch(word)
+        if plain is None:
+            tokens = self._pre_tokens(word)
+        else:  # ASCII letters and one mark need no normalising
+            space, letters, mark = plain.groups()
+            letters = letters.lower() if self._lower else letters
+            tokens = [self._mark + letters if space else letters, mark] if mark else [self._mark + letters if space else letters]
+        for token in tokens:
             ids = known.get(token)
             if ids is None:
                 if len(known) > CACHE_WORDS:
@@ -59,3 +74,9 @@ class WordEncoder:
                 ids = known[token] = array("I", [t.id for t in self._tokenizer.model.tokenize(token)]).tobytes()
             out.append(ids)
         return b"".join(out)
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str, spaced: bool) -> WordEncoder:
+    """One per worker process: its words serve all its tasks."""
+    return WordEncoder(path, spaced)

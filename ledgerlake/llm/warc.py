@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import filesystem, map_rows, stored, write_file
 from ledgerlake.session import scratch_path
 
-FRAME_BYTES, BUNDLE_BYTES, LEVEL = 1 << 20, 64 << 20, 3
+FRAME_BYTES, BUNDLE_BYTES, TASK_BYTES, LEVEL = 1 << 20, 64 << 20, 16 << 20, 3
 # Fixed values of the seekable format: skippable frame magic, seek table magic.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 DATE = "2024-01-01T00:00:00Z"
@@ -160,7 +160,8 @@ def read_bundles(record_map: DataFrame) -> DataFrame:
                        fields["WARC-Payload-Digest"].removeprefix("sha1:"), block)
 
     listed = map_rows(record_map.select("bundle").distinct(), frames, "bundle string, frame int, at long, packed long, plain long")
-    return map_rows(listed.repartition(F.col("bundle"), F.col("frame")), records,
+    tasks = max(1, (record_map.agg(F.sum("size")).first()[0] or 0) // TASK_BYTES)
+    return map_rows(listed.repartition(tasks, F.col("bundle"), F.col("frame")), records,
                     "id long, record_type string, refers_to long, digest string, block binary", flush=64)
 
 
