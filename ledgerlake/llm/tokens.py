@@ -14,7 +14,8 @@ from functools import lru_cache
 
 #: Words, and pre-tokens, kept by each worker; a full table is emptied.
 CACHE_WORDS = 700_000
-_PLAIN = re.compile(r"( ?)([A-Za-z]+)([.,!]?)")
+# Western letters, then marks other than the apostrophe: always these two pre-tokens.
+_PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _GAP = re.compile(r"(?<=\S) (?=\S)")
 # White space but the space and the line break: ASCII controls and the Unicode spaces.
 _ODD = frozenset(chr(c) for c in range(0x3001) if chr(c).isspace()) - {" ", "\n"}
@@ -33,6 +34,7 @@ class WordEncoder:
         # How the library writes a leading space, and whether it lower-cases.
         self._mark = self._pre_tokens(self._lead + "a")[0][:-1]
         self._lower = self._pre_tokens("A")[0] == "a"
+        self._written = {ord(c): self._pre_tokens(c)[0] for c in map(chr, range(0xC0, 0x100)) if c.isalpha()}
         self._words: dict[str, bytes] = {}
         self._tokens: dict[str, bytes] = {}
 
@@ -62,10 +64,12 @@ class WordEncoder:
         known, out, plain = self._tokens, [], _PLAIN.fullmatch(word)
         if plain is None:
             tokens = self._pre_tokens(word)
-        else:  # ASCII letters and one mark need no normalising
-            space, letters, mark = plain.groups()
+        else:
+            space, letters, marks = plain.groups()
             letters = letters.lower() if self._lower else letters
-            tokens = [self._mark + letters if space else letters, mark] if mark else [self._mark + letters if space else letters]
+            if not letters.isascii():
+                letters = letters.translate(self._written)
+            tokens = (self._mark + letters if space else letters, marks) if marks else (self._mark + letters if space else letters,)
         for token in tokens:
             ids = known.get(token)
             if ids is None:
