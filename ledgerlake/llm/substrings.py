@@ -14,8 +14,9 @@ Skew: within a chunk equal windows are combined and one of them is sent with its
 documents reaches its bucket once per chunk; the rest travel as places only. Buckets grow in number with the input. A
 chunk's combined windows go to the same bucket as the one sent, so a repeated task cannot split them.
 
-Null and empty texts have no words. Rows without an id come before all others and, like rows of equal id, count as one
-document for the order of windows, yet each row is judged and returned by itself.
+Null and empty texts have no words. Rows without an id come before all others. Rows of equal id, or without one, that
+differ in their text are ordered by a hash of the text; rows equal in both start at the same places, so neither repeats the
+other. A place is one number, the text's hash above the start, so that order is the order of numbers.
 """
 
 from __future__ import annotations
@@ -47,6 +48,11 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").split()
 
 
+def tag_of(text: str | None) -> int:
+    """What precedes the starts of a text's windows: 31 bits of its hash, shifted above any start."""
+    return xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass")) >> 33 << 32
+
+
 def _finish(x: np.ndarray, multiplier: np.uint64) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * multiplier
     return x ^ (x >> np.uint64(29))
@@ -76,13 +82,13 @@ def _from_planes(raw: bytes, dtype: str, n: int) -> np.ndarray:
 def pack_places(docs: np.ndarray, places: np.ndarray) -> bytes:
     """Places in the order of a chunk, as differences; neighbours mostly share the document."""
     doc = np.diff(docs, prepend=np.int64(0))
-    step = np.where((doc == 0) & (np.arange(len(doc)) > 0), np.diff(places, prepend=np.int64(0)), places).astype("<i4")
+    step = np.where((doc == 0) & (np.arange(len(doc)) > 0), np.diff(places, prepend=np.int64(0)), places).astype("<i8")
     return zstandard.ZstdCompressor(level=1).compress(_planes(doc.astype("<i8")) + _planes(step))
 
 
 def unpack_places(blob: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(blob, max_output_size=max(1, 12 * n))
-    doc, step = _from_planes(raw, "<i8", n), _from_planes(raw[8 * n:], "<i4", n).astype(np.int64)
+    raw = zstandard.ZstdDecompressor().decompress(blob, max_output_size=max(1, 16 * n))
+    doc, step = _from_planes(raw, "<i8", n), _from_planes(raw[8 * n:], "<i8", n)
     new = doc != 0
     new[:1] = True
     sums = np.cumsum(step)
@@ -143,12 +149,14 @@ def anchors(docs: DataFrame, buckets: int, chunk_words: int = CHUNK) -> DataFram
             rolled = _rolling(hashes, BLOCK, _ODD[:BLOCK])
             place = np.arange(len(hashes)) - np.repeat(starts, counts)
             inside = (place + BLOCK <= np.repeat(counts, counts))[:len(rolled)]
-            places = place[:len(rolled)][inside]
+            tags = np.repeat(np.array([tag_of(r["text"]) for r, _ in chunk], np.int64), counts)
+            blocks = (place % BLOCK == 0)[:len(rolled)][inside]
+            places = (place + tags)[:len(rolled)][inside]
             mixed = _finish(rolled[inside], _ODD[-1])
             ids = np.repeat(np.array([_id(r) for r, _ in chunk], np.int64), counts)[:len(rolled)][inside]
             for at in range(0, len(mixed), 2 * CHUNK):
                 part = slice(at, at + 2 * CHUNK)
-                flags = places[part] % BLOCK == 0
+                flags = blocks[part]
 
                 def group(order: np.ndarray, edge: np.ndarray, flags=flags) -> tuple[np.ndarray, np.ndarray]:
                     size = np.diff(np.append(edge, len(order)))
@@ -182,7 +190,7 @@ def windows(rows: DataFrame, hits: DataFrame, buckets: int, chunk_words: int = C
                 starts = np.flatnonzero(np.cumsum(wanted)[:len(words) - WINDOW + 1] > 0)
                 hashes.append(_rolling(_word_hashes(words), WINDOW, _ODD[BLOCK:BLOCK + WINDOW])[starts])
                 ids.append(np.full(len(starts), _id(r), np.int64))
-                places.append(starts)
+                places.append(starts + tag_of(r["text"]))
             raw, docs_, at = np.concatenate(hashes), np.concatenate(ids), np.concatenate(places)
             if not len(raw):
                 continue
@@ -217,7 +225,9 @@ def with_places(rows: DataFrame, places: DataFrame, each: Callable, schema: str
             for start in range(0, left.num_rows, 256):
                 for r in left.slice(start, 256).to_pylist():
                     low, high = np.searchsorted(docs, r["doc_id"], "left"), np.searchsorted(docs, r["doc_id"], "right")
-                    yield r | {"places": at[low:high]}
+                    tag = tag_of(r["text"]) if low < high else 0
+                    low, high = low + np.searchsorted(at[low:high], [tag, tag + (1 << 32)])
+                    yield r | {"places": at[low:high] - tag}
 
         done = list(each(dicts()))
         return pa.Table.from_batches([pack(done[k:k + 1000], arrow) for k in range(0, len(done), 1000)], schema=arrow)
