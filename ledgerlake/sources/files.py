@@ -12,7 +12,7 @@ EXPIRED_COLUMNS = ["PRODUCT", "COLOR", "SIZE", "SKU", "EAN", "CATEGORY_NO", "CAT
 
 def read_packaging_csv(spark: SparkSession, path: str) -> DataFrame:
     """Exported spreadsheet with header, every column text, null markers as NULL."""
-    raw = spark.read.option("header", True).option("sep", ",").option("quote", '"').option("escape", '"').csv(path)
+    raw = spark.read.option("header", True).option("sep", ",").option("quote", '"').option("escape", '"').option("multiLine", True).csv(path)
     return raw.select(*[null_tokens(F.col(f"`{c}`")).alias(c) for c in raw.columns])
 
 
@@ -20,7 +20,7 @@ def read_expired_list(spark: SparkSession, path: str, format: str = "csv") -> Da
     """Seven text columns; ``format`` is csv (with header) or parquet."""
     schema = ", ".join(f"{c} string" for c in EXPIRED_COLUMNS)
     reader = spark.read.schema(schema)
-    return reader.option("header", True).option("quote", '"').option("escape", '"').csv(path) \
+    return reader.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).csv(path) \
         if format == "csv" else reader.parquet(path)
 
 
@@ -30,5 +30,5 @@ def reload_table(df: DataFrame, path: str) -> None:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """CSV with header; text is quoted where needed. One file per partition: order is not a property of the export."""
+    """CSV with header; text is quoted where needed, line breaks included. One file per partition: order is not a property of the export."""
     df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)

@@ -4,11 +4,13 @@ A landing folder holds ``api_endpoint=<url-encoded endpoint>/load_id=<load>/`` w
 (``page-<number>.json``) or JSON lines of ``{"page_number": n, "page": {...}}``. JSON lines keep the number of files
 independent of the number of pages and are the form for large landings.
 
-RAW columns: date_inserted, api_endpoint, page_number, record_count_per_page, collection_json, load_id.
+RAW columns: date_inserted, api_endpoint, page_number, record_count_per_page, collection_json, load_id. The store is also
+partitioned by the batch that landed a page, so that a load may arrive in many batches and from several sources.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,23 +67,56 @@ def land_page_lines(pages: DataFrame, root: str) -> None:
         .write.mode("append").partitionBy("api_endpoint", "load_id").text(root)
 
 
-def append_raw(raw: DataFrame, path: str) -> None:
-    """Add a load; writing the same load again replaces it instead of doubling it."""
-    (raw.select(*RAW_COLUMNS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("api_endpoint", "load_id").parquet(path))
+def _with_batch(raw: DataFrame, batch: str) -> DataFrame:
+    return raw.select(*RAW_COLUMNS, F.lit(batch).alias("batch"))
 
 
-def reload_raw(raw: DataFrame, path: str) -> None:
+def append_raw(raw: DataFrame, path: str, batch: str = "once") -> None:
+    """Add the pages of a batch; writing the same load and batch again replaces them instead of doubling them."""
+    (_with_batch(raw, batch).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("api_endpoint", "load_id", "batch").parquet(path))
+
+
+def reload_raw(raw: DataFrame, path: str, batch: str = "once") -> None:
     """Truncate, then load: the store holds only the newest full refresh."""
-    (raw.select(*RAW_COLUMNS).write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy("api_endpoint", "load_id").parquet(path))
+    (_with_batch(raw, batch).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("api_endpoint", "load_id", "batch").parquet(path))
 
 
 RAW_SCHEMA = (
     "date_inserted timestamp, page_number bigint, record_count_per_page bigint, collection_json variant, "
-    "api_endpoint string, load_id string"
+    "api_endpoint string, load_id string, batch string"
 )
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_SCHEMA).parquet(path).select(*RAW_COLUMNS)
+
+
+def landed_elsewhere(spark: SparkSession, path: str, batch: str) -> DataFrame | None:
+    """(api_endpoint, load_id, page_number) of pages that other batches have landed; None before the first."""
+    try:
+        stored = spark.read.schema(RAW_SCHEMA).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return stored.where(F.col("batch") != batch).select("api_endpoint", "load_id", "page_number")
+
+
+def not_in(raw: DataFrame, landed: DataFrame | None) -> DataFrame:
+    """Pages that are not among the landed ones; unnumbered pages of a load count as one page."""
+    if landed is None:
+        return raw
+    keys = ["api_endpoint", "load_id", "page_number"]
+    other = landed.distinct().toDF(*[f"_{k}" for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return raw.join(other, same, "left_anti")
+
+
+def read_batch(spark: SparkSession, path: str, batch: str) -> DataFrame:
+    """The pages one batch has landed."""
+    stored = spark.read.schema(RAW_SCHEMA).parquet(path)
+    return stored.where(F.col("batch") == batch).select(*RAW_COLUMNS)

@@ -39,23 +39,42 @@ def save_bucketed(df: DataFrame, table: str, keys: tuple[str, ...], buckets: int
     return df.sparkSession.table(table)
 
 
-def commit_marks(marks: DataFrame, path: str, version: int) -> None:
-    """Add a version. It appears with one file rename, after which readers see it; a replay replaces its own version."""
-    (marks.withColumn("version", F.lit(version)).coalesce(1).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(path))
+def commit_marks(marks: DataFrame, path: str, version: int, batch: str = "") -> None:
+    """Add a version of the marks of each base (API kind) in ``marks``; a replay replaces its own version. ``batch`` names
+    what wrote it. Kinds do not touch each other's versions; one writer per kind at a time."""
+    (marks.withColumns({"version": F.lit(version), "batch": F.lit(batch)}).coalesce(1).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("base", "version").parquet(path))
 
 
-def read_marks(
-    spark: SparkSession, path: str, seed: Callable[[], DataFrame], before: int | None = None,
-) -> DataFrame:
-    """Newest committed marks, or those before a version; the seed when there are none."""
+def _mark_versions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     try:
-        versions = spark.read.schema(seed().schema.add("version", T.IntegerType())).parquet(path)
+        return spark.read.schema(T.StructType(list(schema)).add("batch", T.StringType()).add("version", T.IntegerType())).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return seed()
+        return None
+
+
+def mark_version(spark: SparkSession, path: str, schema: T.StructType, base: str, batch: str) -> int:
+    """The version a batch has written for a base, or else the next one."""
+    versions = _mark_versions(spark, path, schema)
+    if versions is None:
+        return 0
+    own, last = versions.where(F.col("base") == base).agg(
+        F.max(F.when(F.col("batch") == batch, F.col("version"))), F.max("version")).first()
+    return own if own is not None else 0 if last is None else last + 1
+
+
+def read_marks(
+    spark: SparkSession, path: str, seed: Callable[[], DataFrame], before: int | None = None,
+) -> DataFrame:
+    """Per base the newest committed marks, or those before a version; the seed's for bases without any."""
+    seeds = seed()
+    versions = _mark_versions(spark, path, seeds.schema)
+    if versions is None:
+        return seeds
     if before is not None:
         versions = versions.filter(F.col("version") < before)
-    newest = versions.agg(F.max("version")).first()[0]
-    return seed() if newest is None else versions.filter(F.col("version") == newest).drop("version")
+    newest = versions.groupBy("base").agg(F.max("version").alias("version"))
+    committed = versions.join(newest, ["base", "version"]).select(*seeds.columns)
+    return committed.unionByName(seeds.join(newest, "base", "left_anti").select(*seeds.columns))

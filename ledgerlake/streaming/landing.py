@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.operators.incremental import run_stats, seed_marks, update_marks
 from ledgerlake.sources.pages import (
-    LANDED_SCHEMA, append_raw, parse_page_files, parse_page_lines, read_pages, reload_raw, to_raw,
+    LANDED_SCHEMA, append_raw, landed_elsewhere, not_in, parse_page_files, parse_page_lines, read_batch, read_pages, reload_raw,
+    to_raw,
 )
-from ledgerlake.sources.store import commit_marks, read_marks
+from ledgerlake.sources.config import active_endpoints
+from ledgerlake.sources.store import commit_marks, mark_version, read_marks
 
 
 def stream_pages(spark: SparkSession, root: str, lines: bool = False, files_per_batch: int = 1000) -> DataFrame:
@@ -24,46 +27,74 @@ def stream_pages(spark: SparkSession, root: str, lines: bool = False, files_per_
 
 
 def land_batch(
-    kind: str, raw_path: str, marks_path: str, clock: Callable[[], dt.datetime],
+    kind: str, raw_path: str, marks_path: str, clock: Callable[[], dt.datetime], source: str = "batch",
+    endpoints: DataFrame | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """Per micro-batch: append RAW, then commit marks.
+    """Per micro-batch: append the pages that RAW lacks, then commit marks.
 
-    A replayed batch rewrites its own RAW partitions (``load_id`` carries the batch) and computes its marks from the
-    version before it, so running it twice gives the same state.
+    A batch is known by its source and number. A replayed one rewrites its own RAW partitions and computes its marks from
+    the version before its own, so running it twice gives the same state; batches of other sources are left alone. Shop
+    pages are a full refresh: the first batch of a newer load replaces the store, later batches of that load add to it.
+    ``endpoints`` is the endpoint configuration; without one, all pages are taken.
     """
+    base = kind.upper()
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark, now = batch.sparkSession, clock()
-        tagged = batch.withColumn("load_id", F.concat_ws("-", "load_id", F.lit(f"b{batch_id}")))
-        raw = to_raw(tagged, kind, F.lit(now)).persist()
-        try:
-            append_raw(raw, raw_path)
-            if kind.upper() != "SHOP":
-                marks = read_marks(spark, marks_path, lambda: seed_marks(spark, now), before=batch_id)
-                commit_marks(update_marks(marks, run_stats(raw, kind), now), marks_path, batch_id)
-        finally:
-            raw.unpersist()
+        spark, now, name = batch.sparkSession, clock(), f"{source}-{batch_id}"
+        raw = to_raw(batch, kind, F.lit(now))
+        if endpoints is not None:
+            raw = raw.join(active_endpoints(endpoints, base).select(F.col("endpoint_path").alias("api_endpoint")), "api_endpoint", "left_semi")
+        landed = landed_elsewhere(spark, raw_path, name)
+        if base == "SHOP":
+            _refresh(raw, landed, raw_path, name)
+            return
+        # Written before it is counted: the pages found new must be the same ones in both.
+        append_raw(not_in(raw, landed), raw_path, name)
+        added = read_batch(spark, raw_path, name)
+        schema = seed_marks(spark, now).schema
+        version = mark_version(spark, marks_path, schema, base, name)
+        marks = read_marks(spark, marks_path, lambda: seed_marks(spark, now), before=version).where(F.col("base") == base)
+        commit_marks(update_marks(marks, run_stats(added, kind), now), marks_path, version, name)
     return write
 
 
+def _refresh(raw: DataFrame, landed: DataFrame | None, raw_path: str, name: str) -> None:
+    newest = raw.agg(F.max("load_id")).first()[0]
+    if newest is None:
+        return
+    stored = None if landed is None else landed.agg(F.max("load_id")).first()[0]
+    pages = raw.where(F.col("load_id") == newest)
+    if stored is None or newest > stored:
+        reload_raw(pages, raw_path, name)
+    elif newest == stored:
+        append_raw(not_in(pages, landed), raw_path, name)
+
+
 def land_once(
     spark: SparkSession, root: str, kind: str, raw_path: str, marks_path: str, version: int, now: dt.datetime,
-    lines: bool = False,
+    lines: bool = False, source: str = "once", endpoints: DataFrame | None = None,
 ) -> None:
-    """One batch load of a landing folder. Shop pages are a full refresh and replace the store; the others are added
-    and advance the marks, as version ``version``."""
+    """One batch load of a landing folder, as batch ``version`` of its source. Shop pages are a full refresh and replace the
+    store; of the others those that RAW lacks are added and advance the marks, so a second call adds nothing."""
     if kind.upper() == "SHOP":
-        reload_raw(read_pages(spark, root, kind, lines, F.lit(now)), raw_path)
+        pages = read_pages(spark, root, kind, lines, F.lit(now))
+        if endpoints is not None:
+            pages = pages.join(active_endpoints(endpoints, "SHOP").select(F.col("endpoint_path").alias("api_endpoint")), "api_endpoint", "left_semi")
+        reload_raw(pages, raw_path, f"{source}-{version}")
         return
     landed = spark.read.schema(LANDED_SCHEMA).option("wholetext", not lines).format("text").load(root)
-    land_batch(kind, raw_path, marks_path, lambda: now)(
+    land_batch(kind, raw_path, marks_path, lambda: now, source, endpoints)(
         parse_page_lines(landed) if lines else parse_page_files(landed), version)
 
 
 def start_landing(
     spark: SparkSession, root: str, kind: str, raw_path: str, marks_path: str, checkpoint: str,
-    clock: Callable[[], dt.datetime], lines: bool = False, files_per_batch: int = 1000,
+    clock: Callable[[], dt.datetime], lines: bool = False, files_per_batch: int = 1000, source: str | None = None,
+    endpoints: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Process what has landed and stop; start again with the same checkpoint for newer files."""
+    """Process what has landed and stop; start again with the same checkpoint for newer files. Batch numbers belong to the
+    checkpoint, so without a name the source is named after it."""
+    source = source or f"stream-{zlib.crc32(checkpoint.encode()):08x}"
     return (stream_pages(spark, root, lines, files_per_batch).writeStream
-            .foreachBatch(land_batch(kind, raw_path, marks_path, clock))
+            .foreachBatch(land_batch(kind, raw_path, marks_path, clock, source, endpoints))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

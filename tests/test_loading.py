@@ -214,3 +214,51 @@ def test_batch_loads_add_or_replace(spark, tmp_path):
     assert (marks["invoices/booked"].last_invoice_number, marks["invoices/booked"].total_records_loaded) == (6, 2)
     assert rows(bronze.invoices(pages.read_raw(spark, raw_path)), "invoice_number") == [(4,), (6,)]
     assert rows(bronze.shop_products(pages.read_raw(spark, shop_path)), "product_id") == [(6,)]
+
+
+def _marks(spark, path):
+    return {r.api_endpoint: r for r in store.read_marks(spark, path, lambda: inc.seed_marks(spark, T1)).collect()}
+
+
+def test_sources_share_folders_without_loss(spark, tmp_path):
+    """A batch load, a stream and a stream with a new checkpoint add to one load; bulk marks live beside REST marks."""
+    raw_path, bulk_path, marks_path = (str(tmp_path / d) for d in ("raw", "bulkraw", "marks"))
+    rest, bulk = tmp_path / "rest", tmp_path / "bulk"
+    for n in range(3):
+        land(rest, "invoices/booked", "a", n, {"collection": [invoice(n + 1)]})
+    for version in (0, 1):  # the second run adds nothing
+        land_once(spark, str(rest), "REST", raw_path, marks_path, version, T1)
+    assert pages.read_raw(spark, raw_path).count() == 3 and _marks(spark, marks_path)["invoices/booked"].total_records_loaded == 3
+    for n, check in ((3, "c1"), (4, "c2")):
+        land(rest, "invoices/booked", "a", n, {"collection": [invoice(n + 1)] * (n == 3)})
+        start_landing(spark, str(rest), "REST", raw_path, marks_path, str(tmp_path / check), lambda: T2, files_per_batch=1).awaitTermination()
+    land(bulk, "invoices/booked/lines", "a", 0, {"items": [line(4, 1)]})
+    start_landing(spark, str(bulk), "OPENAPI", bulk_path, marks_path, str(tmp_path / "c3"), lambda: T2).awaitTermination()
+    found = pages.read_raw(spark, raw_path)
+    assert rows(found, "load_id", "page_number") == [("a", n) for n in range(5)]
+    check = inc.load_completeness(found, 1).first()
+    assert (check.load_id, check.page_count, check.complete) == ("a", 5, True)
+    marks = _marks(spark, marks_path)
+    assert (marks["invoices/booked"].total_records_loaded, marks["invoices/booked"].last_invoice_number) == (4, 4)
+    assert marks["invoices/booked/lines"].total_records_loaded == 1 and len(marks) == 4
+
+
+def test_shop_stream_replaces_per_load(spark, tmp_path):
+    root, raw_path, check = (str(tmp_path / d) for d in ("in", "raw", "check"))
+    for load, ids in (("a", (1, 2)), ("b", (3, 4))):
+        for n, i in enumerate(ids):
+            land(tmp_path / "in", "products", load, n, {"products": [{"id": i}]})
+        start_landing(spark, root, "SHOP", raw_path, str(tmp_path / "marks"), check, lambda: T1, files_per_batch=1).awaitTermination()
+        assert rows(pages.read_raw(spark, raw_path), "load_id", "page_number") == [(load, 0), (load, 1)]
+
+
+def test_inactive_endpoints_are_not_landed(spark, tmp_path):
+    from ledgerlake.sources.config import ENDPOINT_SCHEMA
+
+    config = spark.createDataFrame([("customers", "REST", None, 1000, 0, False, T1), ("invoices/booked", "REST", None, 1000, 0, True, T1)], ENDPOINT_SCHEMA)
+    land(tmp_path / "in", "customers", "a", 0, {"collection": [{"customerNumber": 1}]})
+    land(tmp_path / "in", "invoices/booked", "a", 0, {"collection": [invoice(1)]})
+    raw_path, marks_path = str(tmp_path / "raw"), str(tmp_path / "marks")
+    land_once(spark, str(tmp_path / "in"), "REST", raw_path, marks_path, 0, T1, endpoints=config)
+    assert rows(pages.read_raw(spark, raw_path), "api_endpoint") == [("invoices/booked",)]
+    assert _marks(spark, marks_path)["customers"].total_records_loaded == 0
