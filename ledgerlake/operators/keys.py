@@ -86,22 +86,20 @@ def attach_key(df: DataFrame, keys: DataFrame, cols: Sequence[str], name: str) -
 def row_keys(df: DataFrame, order: Sequence[str], name: str, base: int = 0, sign: int = -1) -> DataFrame:
     """A consecutive number per row by ``order``, ties broken by all other columns.
 
-    Equal rows are counted first and expanded again at the end, in bounded units when a row has very many copies, so
+    Equal rows are counted first and expanded again at the end, in bounded units, so
     neither the sort nor the expansion puts one value's rows into one task.
     """
     cols = [*order, *[c for c in df.columns if c not in order]]
     counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
     layout = _ordered_layout(counted, _nulls_last(cols))
-    stats = layout.groupBy(_PART).agg(F.sum("_copies"), F.max("_copies")).collect()
+    stats = layout.groupBy(_PART).agg(F.sum("_copies")).collect()
     running = Window.partitionBy(_PART).orderBy(_POS).rowsBetween(Window.unboundedPreceding, 0)
     placed = _with_offset(layout.withColumn("_upto", F.sum("_copies").over(running)), [(r[0], r[1]) for r in stats])
     first = F.col("_offset") + F.col("_upto") - F.col("_copies") + 1
     placed = placed.select(*df.columns, first.alias("_first"), (first + F.col("_copies") - 1).alias("_last"))
-    if any(r[2] > COPIES_PER_TASK_UNIT for r in stats):
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        units = F.sequence("_first", "_last", F.lit(COPIES_PER_TASK_UNIT))
-        placed = (placed.withColumn("_from", F.explode(units)).repartition(partitions, "_from")
-                  .withColumn("_last", F.least("_last", F.col("_from") + COPIES_PER_TASK_UNIT - 1))
-                  .withColumn("_first", F.col("_from")).drop("_from"))
+    units = F.sequence("_first", "_last", F.lit(COPIES_PER_TASK_UNIT))
+    placed = (placed.withColumn("_from", F.explode(units)).repartition("_from")
+              .withColumn("_last", F.least("_last", F.col("_from") + COPIES_PER_TASK_UNIT - 1))
+              .withColumn("_first", F.col("_from")).drop("_from"))
     numbered = placed.withColumn("_number", F.explode(F.sequence("_first", "_last")))
     return numbered.select(*df.columns, (F.lit(base) + F.lit(sign) * F.col("_number")).cast("bigint").alias(name))
