@@ -17,6 +17,11 @@ def normalise_sku(col: Column) -> Column:
     return F.upper(F.trim(col))
 
 
+def strip(col: Column) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.regexp_replace(col, r"^\s+|\s+$", "")
+
+
 def core_name(*names: Column) -> Column:
     """First known name without its colour suffix."""
     return F.regexp_replace(F.coalesce(*names), COLOUR_SUFFIX, "")
@@ -28,8 +33,8 @@ def null_tokens(col: Column, tokens: tuple[str, ...] = ("NULL", "null", "")) ->
 
 
 def to_number(col: Column) -> Column:
-    """Whole number from text, NULL when it is not one (fractions round half up)."""
-    return col.try_cast("decimal(38,0)").try_cast("bigint")
+    """Whole number of up to 38 digits from text, NULL when it is not one (fractions round half up)."""
+    return col.try_cast("decimal(38,0)")
 
 
 def to_double(col: Column) -> Column:

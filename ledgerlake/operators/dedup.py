@@ -22,16 +22,26 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
+def _newest(df: DataFrame, keys: Sequence[str], ts: str) -> tuple[DataFrame, Column]:
+    newest = df.groupBy(*keys).agg(F.max(ts).alias("_newest")).where(F.col("_newest").isNotNull())
+    newest = newest.select("_newest", *[F.col(k).alias(f"_k_{k}") for k in keys])
+    same = F.col(ts) == F.col("_newest")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return newest, same
+
+
 def retain_latest(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
-    """Rows whose ``ts`` is the newest of their key; all rows of a tied newest ``ts`` stay."""
-    newest = df.groupBy(*keys).agg(F.max(ts).alias(ts))
-    return df.join(newest, [*keys, ts], "left_semi")
+    """Rows whose ``ts`` is the newest of their key; all rows of a tied newest ``ts`` stay. NULL keys form one group, rows
+    without ``ts`` are never the newest."""
+    return df.join(*_newest(df, keys, ts), "left_semi")
 
 
 def superseded(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
-    """The complement: rows a retention pass removes."""
-    newest = df.groupBy(*keys).agg(F.max(ts).alias(ts))
-    return df.join(newest, [*keys, ts], "left_anti")
+    """The rows a retention pass removes: older than the newest of their key. As with NOT IN, rows with a NULL in key or
+    ``ts`` are not removed."""
+    known = df.dropna(subset=[*keys, ts])
+    return known.join(*_newest(known, keys, ts), "left_anti")
 
 
 def top_per_group(

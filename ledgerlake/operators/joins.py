@@ -20,8 +20,8 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateKeyError(f"{list(keys)} repeats: {repeated[0].asDict()}")
 
 
-def many_to_one(left: DataFrame, right: DataFrame, on: Sequence[str], check: bool = True) -> DataFrame:
-    """Left lookup join that keeps the left row count; ``check`` verifies the right key first.
+def many_to_one(left: DataFrame, right: DataFrame, on: Sequence[str], check: bool = False) -> DataFrame:
+    """Left lookup join that keeps the left row count; ``check`` verifies the right key first, which costs a job.
 
     No broadcast hint: Spark broadcasts the right side when its measured size is under the threshold and otherwise
     shuffles both, splitting a hot key on the left at run time.

@@ -58,14 +58,14 @@ def expired_catalogue(expired: DataFrame) -> ExpiredCatalogue:
     )
 
     known = rows.filter(F.col("PRODUCT").isNotNull()) \
-        .select("product_name", to_number(F.col("CATEGORY_NO")).alias("id_category_default")).distinct()
+        .select("product_name", to_number(F.col("CATEGORY_NO")).try_cast("bigint").alias("id_category_default")).distinct()
     products = attach_key(known, product_ids, ["product_name"], "product_id").select(
         _stamp().alias("api_timestamp"), "product_id", "product_name", "id_category_default",
         F.lit(False).alias("active"), _stamp().alias("date_added"), _stamp().alias("date_updated"),
     )
 
     categories = expired.filter(F.col("CATEGORY_NO").isNotNull()).select(
-        to_number(F.col("CATEGORY_NO")).alias("category_id"),
+        to_number(F.col("CATEGORY_NO")).try_cast("bigint").alias("category_id"),
         blank_to_null(F.col("CATEGORY_NAME")).alias("category_name_da"),
     ).distinct().select(
         _stamp().alias("api_timestamp"), "category_id", "category_name_da",

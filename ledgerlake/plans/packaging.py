@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.money import grams_to_kg
-from ledgerlake.functions.text import contains_space, to_double
+from ledgerlake.functions.text import contains_space, strip, to_double
 
 # Accepted headings per column, in order of preference.
 HEADINGS = {
@@ -40,7 +40,7 @@ def resolve_headings(columns: Sequence[str]) -> dict[str, str]:
 def clean_packaging(sheet: DataFrame, uploaded: dt.datetime | str, source: str = SOURCE) -> DataFrame:
     """Kilograms per unit and SKU: heading lines, blanks and 'nan' markers go, unreadable weights become NULL."""
     heading = resolve_headings(sheet.columns)
-    sku = F.trim(F.col(f"`{heading['SKU']}`"))
+    sku = strip(F.col(f"`{heading['SKU']}`"))
     carton, plastic = (F.col(f"`{heading[h]}`") for h in list(HEADINGS)[1:])
     return sheet.select(
         sku.alias("sku"), grams_to_kg(to_double(carton)).alias("carton_kg_per_unit"),

@@ -230,7 +230,7 @@ PRODUCT = Entity("product", ("product_sku",), _dimensions(
     ("product_sku", ["sku", "product code", "item number", "article number"]),
     ("product_name", ["item name", "product description", "product title"]),
     ("category_name", ["category", "product category", "product group"]),
-    ("size", ["product size", "size variant"]),
+    ("size", ["product size", "size variant", "size option"]),
     ("color", ["product color", "color variant", "colour"]),
     ("ean13", ["barcode", "ean", "gtin"]),
     ("is_active", ["active", "product active", "is available"]),

@@ -122,10 +122,12 @@ def mth3(spark, sf):
 
 
 @query("cst1_try_number", with_parts(
-    f"SELECT CATEGORY_NO AS given, TRY_CAST(CATEGORY_NO AS BIGINT) AS number, {N} FROM ex GROUP BY 1, 2", EXPIRED))
+    f"""SELECT CATEGORY_NO AS given, CAST(TRY_CAST(CATEGORY_NO AS DECIMAL(38,0)) AS VARCHAR) AS number,
+       CAST(TRY_CAST(CATEGORY_NO || '00000000000000000000' AS DECIMAL(38,0)) AS VARCHAR) AS long_number, {N} FROM ex GROUP BY 1, 2, 3""", EXPIRED))
 def cst1(spark, sf):
     return st.expired_list(spark, sf).groupBy(
-        F.col("CATEGORY_NO").alias("given"), text.to_number(F.col("CATEGORY_NO")).alias("number")) \
+        F.col("CATEGORY_NO").alias("given"), text.to_number(F.col("CATEGORY_NO")).cast("string").alias("number"),
+        text.to_number(F.concat("CATEGORY_NO", F.lit("0" * 20))).cast("string").alias("long_number")) \
         .agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -131,7 +131,7 @@ def test_many_to_one_checks_and_keeps_row_count(spark):
     right = spark.createDataFrame([(1, "a"), (3, "c"), (None, "x"), (None, "y")], "k int, v string")
     assert rows(joins.many_to_one(left, right, ["k"])) == [(1, "a"), (1, "a"), (2, None), (None, None)]
     with pytest.raises(joins.DuplicateKeyError):
-        joins.many_to_one(left, right.unionByName(right), ["k"])
+        joins.many_to_one(left, right.unionByName(right), ["k"], check=True)
 
 
 def test_one_sided_condition_suppresses_the_match_only(spark):
@@ -140,3 +140,11 @@ def test_one_sided_condition_suppresses_the_match_only(spark):
     usable = (F.col("name") != "Shop") | F.col("name").isNull()
     assert rows(joins.lookup_where(left, right, "c", "id", usable), "c", "id", "name") == [
         (1, None, None), (2, 2, None), (3, 3, "Leads")]
+
+
+def test_retention_keeps_null_keys(spark):
+    from ledgerlake.operators import dedup
+
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 1), ("a", 2), ("b", None)], "k string, t int")
+    assert rows(dedup.retain_latest(df, ["k"], "t")) == [("a", 2), (None, 2)]
+    assert rows(dedup.superseded(df, ["k"], "t")) == [("a", 1)]
