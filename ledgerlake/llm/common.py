@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import posixpath
 import uuid
 from collections.abc import Callable, Iterator
@@ -15,7 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ledgerlake.session import scratch_path, tune
 
 #: Rows of an Arrow batch; texts are long, so the default of 10,000 would hold too much memory.
-ARROW_ROWS = "2000"
+ARROW_ROWS = "500"
 
 
 def prepare(spark: SparkSession) -> None:
@@ -55,10 +57,18 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[tuple]], s
                 held = []
         if held:
             yield pack(held, arrow)
+        release()
 
     return df.mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Give freed memory back to the system: workers live on between tasks and stages, beside their executor's heap."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library offers it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def pack(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows)) if rows else [()] * len(schema)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import map_rows
+from ledgerlake.llm.common import map_rows, release
 
 COLUMNS, DIMENSIONS, NEIGHBOURS, MAX_LABELLED, THRESHOLD = 4096, 48, 25, 4000, 0.3
 #: Documents of one product with the labelled vectors.
@@ -54,7 +54,7 @@ def terms(text: str | None, known: dict[str, str]) -> Counter:
     for word, n in Counter(words).items():
         shape = known.get(word)
         if shape is None:
-            if len(known) > 200_000:
+            if len(known) > 100_000:
                 known.clear()
             shape = known[word] = _shape(word)[:24]
         shapes.append((shape, n))
@@ -167,8 +167,10 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known: dict[str, str] = {}
         for batch in batches:
-            parts = [shared.value.score(batch.slice(at, 256).to_pylist(), known) for at in range(0, len(batch), 256)]
+            parts = [shared.value.score(batch.slice(at, 128).to_pylist(), known) for at in range(0, len(batch), 128)]
             yield pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
+        known.clear()
+        release()
 
     return docs.withColumn(name, scored(F.col(text)))
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import map_rows, stored
+from ledgerlake.llm.common import map_rows, release, stored
 from ledgerlake.llm.components import components
 
 SHINGLE, RADIUS, HALF = 3, 3, 32
@@ -66,6 +66,7 @@ def fingerprint_column(text: Column) -> Column:
     def prints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield pa.array([f"{fingerprint(t):016x}" for t in batch.to_pylist()], pa.string())
+        release()
 
     return prints(text)
 

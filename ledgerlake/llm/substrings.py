@@ -33,12 +33,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ledgerlake.llm.common import map_rows, pack
+from ledgerlake.llm.common import map_rows, pack, release
 
 WINDOW, BLOCK = 20, 10
 assert 2 * BLOCK - 1 <= WINDOW
-CHUNK = 1 << 20
-BUCKET_BYTES = 16 << 20
+CHUNK = 1 << 19
+BUCKET_BYTES = 8 << 20
 NO_ID = -(1 << 63)
 # Multipliers of the words of a block and of a window, and of the finishing step: random odd numbers of a fixed seed.
 _ODD = np.random.default_rng(20).integers(0, 1 << 63, 2 * WINDOW + 4, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -230,7 +230,10 @@ def with_places(rows: DataFrame, places: DataFrame, each: Callable, schema: str
                     yield r | {"places": at[low:high] - tag}
 
         done = list(each(dicts()))
-        return pa.Table.from_batches([pack(done[k:k + 1000], arrow) for k in range(0, len(done), 1000)], schema=arrow)
+        out = pa.Table.from_batches([pack(done[k:k + 1000], arrow) for k in range(0, len(done), 1000)], schema=arrow)
+        done.clear()
+        release()
+        return out
 
     return rows.groupBy("part").cogroup(places.groupBy("part")).applyInArrow(part, schema)
 
@@ -266,6 +269,7 @@ def met(sent: DataFrame, width: int, parts: int, judge: Callable) -> DataFrame:
                 held.append(r)
         if held:
             yield bucket(held)
+        release()
 
     return sent.repartition(F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(run, "part int, n int, places binary")
 

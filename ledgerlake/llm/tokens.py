@@ -13,7 +13,7 @@ from array import array
 from functools import lru_cache
 
 #: Words, and pre-tokens, kept by each worker; a full table is emptied.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 500_000
 # Western letters, then marks other than the apostrophe: always these two pre-tokens.
 _PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _GAP = re.compile(r"(?<=\S) (?=\S)")
