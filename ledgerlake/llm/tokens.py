@@ -13,7 +13,7 @@ from array import array
 from functools import lru_cache
 
 #: Words, and pre-tokens, kept by each worker; a full table is emptied.
-CACHE_WORDS = 500_000
+CACHE_WORDS, CACHE_TOKENS = 350_000, 150_000
 # Western letters, then marks other than the apostrophe: always these two pre-tokens.
 _PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _GAP = re.compile(r"(?<=\S) (?=\S)")
@@ -73,7 +73,7 @@ class WordEncoder:
         for token in tokens:
             ids = known.get(token)
             if ids is None:
-                if len(known) > CACHE_WORDS:
+                if len(known) > CACHE_TOKENS:
                     known.clear()
                 ids = known[token] = array("I", [t.id for t in self._tokenizer.model.tokenize(token)]).tobytes()
             out.append(ids)
