@@ -14,6 +14,10 @@ from ledgerlake.llm.common import prepare, stored, table
 from ledgerlake.llm.queries import tokenizer_path
 
 
+#: Words that a worker remembers the ids of: fewer than alone, beside what earlier stages left in memory.
+WORDS_PER_WORKER = 250_000
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score at least the threshold."""
     prepare(spark)
@@ -50,7 +54,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 ids."""
     prepare(spark)
-    return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), words=WORDS_PER_WORKER)
 
 
 STAGES = [

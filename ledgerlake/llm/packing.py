@@ -54,12 +54,13 @@ def cuts(n: int, window: int = WINDOW) -> list[int]:
     return [*out, rest] if rest else out
 
 
-def pieces(docs: DataFrame, tokenizer: str, spaced: bool = True, id_col: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, spaced: bool = True, id_col: str = "doc_id", text: str = "text", window: int = WINDOW,
+           words: int = tokens.CACHE_WORDS) -> DataFrame:
     """One row per piece, in the order of the document."""
     end = np.array([END_ID], "<u4").tobytes()
 
     def rows(found: Iterator[dict]) -> Iterator[tuple]:
-        encoder = tokens.encoder(tokenizer, spaced)
+        encoder = tokens.encoder(tokenizer, spaced, words)
         for r in found:
             ids = memoryview(encoder.encode(r["text"]) + end)
             n, start = len(ids) // 4, 0

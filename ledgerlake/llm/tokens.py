@@ -12,8 +12,8 @@ import re
 from array import array
 from functools import lru_cache
 
-#: Words, and pre-tokens, kept by each worker; a full table is emptied.
-CACHE_WORDS, CACHE_TOKENS = 350_000, 150_000
+#: Words, and pre-tokens, kept by each worker, about 200 bytes each; a full table is emptied.
+CACHE_WORDS = 700_000
 # Western letters, then marks other than the apostrophe: always these two pre-tokens.
 _PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _GAP = re.compile(r"(?<=\S) (?=\S)")
@@ -25,12 +25,12 @@ class WordEncoder:
     """``encode(text)``: the ids as little-endian unsigned 32-bit integers. ``spaced``: the tokenizer keeps spaces, each
     as part of the word after it."""
 
-    def __init__(self, path: str, spaced: bool):
+    def __init__(self, path: str, spaced: bool, words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._normalizer = self._tokenizer.normalizer
-        self._lead = " " if spaced else ""
+        self._lead, self._most = " " if spaced else "", words
         # How the library writes a leading space, and whether it lower-cases.
         self._mark = self._pre_tokens(self._lead + "a")[0][:-1]
         self._lower = self._pre_tokens("A")[0] == "a"
@@ -49,7 +49,7 @@ class WordEncoder:
         try:
             return head + b"".join(map(known.__getitem__, words[1:]))
         except KeyError:
-            if len(known) > CACHE_WORDS:
+            if len(known) > self._most:
                 known.clear()
             for word in set(words[1:]).difference(known):
                 known[word] = self._ids(self._lead + word)
@@ -73,7 +73,7 @@ class WordEncoder:
         for token in tokens:
             ids = known.get(token)
             if ids is None:
-                if len(known) > CACHE_TOKENS:
+                if len(known) > self._most:
                     known.clear()
                 ids = known[token] = array("I", [t.id for t in self._tokenizer.model.tokenize(token)]).tobytes()
             out.append(ids)
@@ -81,6 +81,6 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, spaced: bool) -> WordEncoder:
+def encoder(path: str, spaced: bool, words: int = CACHE_WORDS) -> WordEncoder:
     """One per worker process: its words serve all its tasks."""
-    return WordEncoder(path, spaced)
+    return WordEncoder(path, spaced, words)
