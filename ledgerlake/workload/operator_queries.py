@@ -27,7 +27,7 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
 
 
 # A tenth of the keys is NULL; as text, which both sides print alike.
-_PART_OR_NULL = F.expr("CASE WHEN l_partkey % 10 <> 3 THEN CAST(l_partkey AS STRING) END AS l_partkey")
+_PART_OR_NULL = "CASE WHEN l_partkey % 10 <> 3 THEN CAST(l_partkey AS STRING) END AS l_partkey"
 
 
 @query("ded1_latest_per_key", LATEST_EVENTS)
@@ -78,7 +78,7 @@ SELECT CAST(k AS VARCHAR) AS l_partkey, CAST(l_shipdate AS VARCHAR) AS l_shipdat
 FROM (SELECT *, CASE WHEN l_partkey % 10 <> 3 THEN l_partkey END AS k FROM lineitem)
 QUALIFY l_shipdate = max(l_shipdate) OVER (PARTITION BY k)""")
 def ded6(spark, sf):
-    rows = st.table(spark, sf, "lineitem").select(_PART_OR_NULL, "l_shipdate", "l_orderkey", "l_linenumber")
+    rows = st.table(spark, sf, "lineitem").selectExpr(_PART_OR_NULL, "l_shipdate", "l_orderkey", "l_linenumber")
     return dedup.retain_latest(rows, ["l_partkey"], "l_shipdate")
 
 
@@ -182,7 +182,7 @@ SELECT l_partkey, {N} FROM (
     FROM (SELECT l_shipdate, CASE WHEN l_partkey % 10 <> 3 THEN l_partkey END AS k FROM lineitem))
 WHERE old GROUP BY 1""")
 def joi8(spark, sf):
-    rows = st.table(spark, sf, "lineitem").select(_PART_OR_NULL, "l_shipdate")
+    rows = st.table(spark, sf, "lineitem").selectExpr(_PART_OR_NULL, "l_shipdate")
     return dedup.superseded(rows, ["l_partkey"], "l_shipdate").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
 
 
