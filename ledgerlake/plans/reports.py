@@ -20,19 +20,29 @@ WEEKLY_COLUMNS = ("sale_date", "invoice_id", "category", "customer_segment", "pr
 
 
 def weekly_kpis(sales: DataFrame, as_of: Day = None) -> DataFrame:
-    """One row. Revenue and orders end before the reporting day; top category and segments have no upper bound."""
+    """One row. Revenue and orders end before the reporting day; top category and segments have no upper bound.
+
+    One pass over the lines: a rollup gives the figures of every category and of all, and the few category rows then compete.
+    """
     day, today, revenue = F.col("sale_date"), dates.as_of_date(as_of), F.col("line_revenue_dkk")
     week = sales.filter(dates.within(day, dates.last_days(today, 7)))
-    closed, segment = day < today, F.col("customer_segment")
-    best = (week.filter(F.col("prestashop_match_status") == "Matched").groupBy("category")
-            .agg(F.sum(revenue).alias("revenue"))
-            .orderBy(F.desc_nulls_last("revenue"), F.asc_nulls_last("category")).limit(1))
-    totals = week.agg(
+    closed, segment, known = day < today, F.col("customer_segment"), F.col("prestashop_match_status") == "Matched"
+    figures = week.rollup("category").agg(
+        F.grouping("category").alias("_all"),
+        F.count(F.when(known, True)).alias("_lines"), F.sum(F.when(known, revenue)).alias("_matched"),
         F.sum(F.when(closed, revenue)).alias("revenue"),
         F.countDistinct(F.when(closed, F.col("invoice_id"))).alias("orders"),
         sum_if(segment == "B2B", revenue).alias("b2b_revenue"), sum_if(segment == "B2C", revenue).alias("b2c_revenue"),
     )
-    top = totals.withColumn("_top", best.select(F.struct("category", "revenue")).scalar())
+    total, rival = F.col("_all") == 1, (F.col("_all") == 0) & (F.col("_lines") > 0)
+    # The least by: known revenue first, higher revenue, known category first, category.
+    place = F.struct(F.col("_matched").isNull().alias("no_revenue"), (-F.col("_matched")).alias("less"),
+                     F.col("category").isNull().alias("no_category"), F.col("category").alias("category"),
+                     F.col("_matched").alias("revenue"))
+    top = figures.agg(
+        *[F.max(F.when(total, F.col(c))).alias(c) for c in ("revenue", "b2b_revenue", "b2c_revenue")],
+        F.coalesce(F.max(F.when(total, F.col("orders"))), F.lit(0).cast("bigint")).alias("orders"),
+        F.min(F.when(rival, place)).alias("_top"))
     return top.select(
         "revenue", "orders", guarded_ratio(F.col("revenue"), F.col("orders").cast("double")).alias("aov"),
         F.col("_top.category").alias("top_category"), F.col("_top.revenue").alias("top_category_revenue"),
