@@ -7,7 +7,7 @@ Anchors: every document is cut into reference blocks of 10 words. A window of 20
 two windows are equal, a block inside the earlier one equals a rolling 10-word window inside the later one. Blocks are
 indexed and every rolling window probes the index by 24 bits of a hash within its bucket; a chance hit costs work, never a
 wrong result. Extension: hits spread over the windows that hold them, those are compared by the hash of all 20 words (64
-bits besides the bucket), and neighbouring equal windows join to maximal repeats.
+bits, besides a bucket chosen by an independent hash), and neighbouring equal windows join to maximal repeats.
 
 Bytes: a task handles its documents in chunks and sends one packed row per chunk and bucket, about four bytes a window.
 Skew: within a chunk equal windows are combined and one of them is sent with its hash, so a passage in a third of all
@@ -40,8 +40,10 @@ assert 2 * BLOCK - 1 <= WINDOW
 CHUNK = 1 << 19
 BUCKET_BYTES = 8 << 20
 NO_ID = -(1 << 63)
-# Multipliers of the words of a block and of a window, and of the finishing step: random odd numbers of a fixed seed.
-_ODD = np.random.default_rng(20).integers(0, 1 << 63, 2 * WINDOW + 4, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+# Multipliers of the words of a block, of a window and of a window's bucket, and of the finishing steps: random odd numbers
+# of a fixed seed.
+_ODD = np.random.default_rng(20).integers(0, 1 << 63, BLOCK + 2 * WINDOW + 3, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_OF_BLOCK, _OF_WINDOW, _OF_BUCKET = _ODD[:BLOCK], _ODD[BLOCK:BLOCK + WINDOW], _ODD[BLOCK + WINDOW:BLOCK + 2 * WINDOW]
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -146,7 +148,7 @@ def anchors(docs: DataFrame, buckets: int, chunk_words: int = CHUNK) -> DataFram
             counts = np.array([len(w) for _, w in chunk])
             starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
             hashes = np.concatenate([_word_hashes(w) for _, w in chunk])
-            rolled = _rolling(hashes, BLOCK, _ODD[:BLOCK])
+            rolled = _rolling(hashes, BLOCK, _OF_BLOCK)
             place = np.arange(len(hashes)) - np.repeat(starts, counts)
             inside = (place + BLOCK <= np.repeat(counts, counts))[:len(rolled)]
             tags = np.repeat(np.array([tag_of(r["text"]) for r, _ in chunk], np.int64), counts)
@@ -181,19 +183,23 @@ def windows(rows: DataFrame, hits: DataFrame, buckets: int, chunk_words: int = C
     are repeats already."""
     def packed(found: Iterator[dict]) -> Iterator[tuple]:
         for chunk in _chunks(found, WINDOW, chunk_words):
-            hashes, ids, places = [], [], []
+            hashes, homes, ids, places = [], [], [], []
             for r, words in chunk:
                 wanted = np.zeros(len(words) + 1, np.int64)
                 hit = r["places"][r["places"] + BLOCK <= len(words)]
                 np.add.at(wanted, np.maximum(0, hit - BLOCK + 1), 1)
                 np.add.at(wanted, hit + 1, -1)
                 starts = np.flatnonzero(np.cumsum(wanted)[:len(words) - WINDOW + 1] > 0)
-                hashes.append(_rolling(_word_hashes(words), WINDOW, _ODD[BLOCK:BLOCK + WINDOW])[starts])
+                if not len(starts):
+                    continue
+                of_words = _word_hashes(words)
+                hashes.append(_rolling(of_words, WINDOW, _OF_WINDOW)[starts])
+                homes.append(_rolling(of_words, WINDOW, _OF_BUCKET)[starts])
                 ids.append(np.full(len(starts), _id(r), np.int64))
                 places.append(starts + tag_of(r["text"]))
-            raw, docs_, at = np.concatenate(hashes), np.concatenate(ids), np.concatenate(places)
-            if not len(raw):
+            if not hashes:
                 continue
+            raw, home, docs_, at = map(np.concatenate, (hashes, homes, ids, places))
 
             def group(order: np.ndarray, edge: np.ndarray, docs_=docs_, at=at) -> tuple[np.ndarray, np.ndarray]:
                 size = np.diff(np.append(edge, len(order)))
@@ -205,7 +211,7 @@ def windows(rows: DataFrame, hits: DataFrame, buckets: int, chunk_words: int = C
                 return order[edge], order[later]
 
             keys = _finish(raw, _ODD[-2])
-            bucket = (_finish(raw, _ODD[-3]) >> np.uint64(20)) % np.uint64(buckets)
+            bucket = (_finish(home, _ODD[-3]) >> np.uint64(20)) % np.uint64(buckets)
             yield from send(keys, bucket.astype(np.int32), docs_, at, np.zeros(len(raw), bool), 8, group)
 
     return with_places(rows, hits, lambda found: packed(r for r in found if len(r["places"])), SENT)
