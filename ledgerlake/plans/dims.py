@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,28 +18,36 @@ from ledgerlake.plans.expired import ExpiredCatalogue
 UNKNOWN_PRODUCT, UNCATEGORISED = "Unknown Product", "Uncategorized"
 
 
-@dataclass(frozen=True)
+@dataclass
 class ShopCatalogue:
-    """The five shop entities, active and expired together."""
+    """The five shop entities, active and expired together; each is planned when asked for."""
 
-    products: DataFrame
-    categories: DataFrame
-    combinations: DataFrame
-    combination_options: DataFrame
-    option_values: DataFrame
+    shop_raw: DataFrame
+    expired: ExpiredCatalogue | None = None
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return bronze.shop_products(self.shop_raw, self.expired and self.expired.products)
+
+    @cached_property
+    def categories(self) -> DataFrame:
+        return bronze.shop_categories(self.shop_raw, self.expired and self.expired.categories)
+
+    @cached_property
+    def combinations(self) -> DataFrame:
+        return bronze.shop_combinations(self.shop_raw, self.expired and self.expired.combinations)
+
+    @cached_property
+    def combination_options(self) -> DataFrame:
+        return bronze.shop_combination_options(self.shop_raw, self.expired and self.expired.combination_options)
+
+    @cached_property
+    def option_values(self) -> DataFrame:
+        return bronze.shop_option_values(self.shop_raw, self.expired and self.expired.option_values)
 
 
 def shop_catalogue(shop_raw: DataFrame, expired: ExpiredCatalogue | None = None) -> ShopCatalogue:
-    def part(name: str) -> DataFrame | None:
-        return None if expired is None else getattr(expired, name)
-
-    return ShopCatalogue(
-        products=bronze.shop_products(shop_raw, part("products")),
-        categories=bronze.shop_categories(shop_raw, part("categories")),
-        combinations=bronze.shop_combinations(shop_raw, part("combinations")),
-        combination_options=bronze.shop_combination_options(shop_raw, part("combination_options")),
-        option_values=bronze.shop_option_values(shop_raw, part("option_values")),
-    )
+    return ShopCatalogue(shop_raw, expired)
 
 
 def _newest(df: DataFrame, *keys: str) -> DataFrame:

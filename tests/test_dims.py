@@ -81,3 +81,18 @@ def test_master_views(spark, dim):
     assert len(view.columns) == 14
     assert rows(view, "customer_id", "customer_segment", "customer_city") == [
         (1, "B2C", "Unknown"), (2, "B2B", "Unknown"), (3, "Unknown", "Unknown"), (4, "Unknown", "Unknown")]
+
+
+def test_categories_are_planned_without_a_job(spark, raw):
+    pages = raw("SHOP", *SHOP_PAGES)
+    listed = spark.createDataFrame(EXPIRED_ROWS, EXPIRED_SCHEMA)
+    context = spark.sparkContext
+    context.setJobGroup("planning categories", "")
+    try:
+        shop = dims.shop_catalogue(pages, expired_catalogue(listed))
+        assert shop.categories.columns
+        assert not context.statusTracker().getJobIdsForGroup("planning categories")
+        assert shop.option_values.columns
+        assert context.statusTracker().getJobIdsForGroup("planning categories")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
