@@ -6,10 +6,10 @@ read again for the next one. All but the last return the columns of ``documents`
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import decontamination, packing, quality, simhash_mih, substrings
+from ledgerlake.llm import decontamination, near_copies, packing, quality, substrings
 from ledgerlake.llm.common import prepare, stored, table
 from ledgerlake.llm.queries import tokenizer_path
 
@@ -26,17 +26,10 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest doc_id. Of repeated rows one stays; groups whose documents all
-    lack an id keep one of each fingerprint."""
+    """One document of each group of near copies (3 bits of SimHash, or 0.8 of the five-word shingles), also among rows
+    without an id: the one with the smallest doc_id."""
     prepare(spark)
-    found = simhash_mih.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    no_id = F.lit(substrings.NO_ID)
-    kept = stored(spark, found.select(F.coalesce("doc_id", no_id).alias("_id"), F.col("fingerprint").alias("_print")).distinct(), "kept")
-    prints = simhash_mih.fingerprint_column(F.col("text"))
-    marked = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), no_id), "_print": prints})
-    first = Window.partitionBy("_id", "_print").orderBy(*[F.col(c) for c in docs.columns])
-    chosen = marked.join(kept, ["_id", "_print"], "left_semi").withColumn("_nth", F.row_number().over(first))
-    return chosen.where("_nth = 1").select(*docs.columns)
+    return near_copies.without_copies(docs)
 
 
 def strip_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
