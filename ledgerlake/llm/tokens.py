@@ -3,7 +3,8 @@
 A byte-pair tokenizer never joins text across the places where its pre-tokenizer cuts, and every pre-tokenizer used here
 cuts before a single space between two visible characters. Texts are taken apart there. The library normalises,
 pre-tokenizes and encodes every word it has not seen; ids are put together again. The result equals that of encoding the
-whole text at once; tests compare both. Strings of special tokens in a text are ordinary text.
+whole text at once; tests compare both. Added tokens of the file, such as <|endoftext|>, have their own ids as the library
+gives them by default: a text that may hold one is encoded by the library whole.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from functools import lru_cache
 CACHE_WORDS = 700_000
 # Western letters, then marks other than the apostrophe: always these two pre-tokens.
 _PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_MARKS = re.compile(r"[!-/:-@\[-`{-~]*")
 _GAP = re.compile(r"(?<=\S) (?=\S)")
 # White space but the space and the line break: ASCII controls and the Unicode spaces.
 _ODD = frozenset(chr(c) for c in range(0x3001) if chr(c).isspace()) - {" ", "\n"}
@@ -23,9 +25,9 @@ _ODD = frozenset(chr(c) for c in range(0x3001) if chr(c).isspace()) - {" ", "\n"
 
 class WordEncoder:
     """``encode(text)``: the ids as little-endian unsigned 32-bit integers. ``spaced``: the tokenizer keeps spaces, each
-    as part of the word after it."""
+    as part of the word after it. ``added``: strings of added tokens get the ids of these; else they are ordinary text."""
 
-    def __init__(self, path: str, spaced: bool, words: int = CACHE_WORDS):
+    def __init__(self, path: str, spaced: bool, words: int = CACHE_WORDS, added: bool = False):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
@@ -37,11 +39,16 @@ class WordEncoder:
         self._written = {ord(c): self._pre_tokens(c)[0] for c in map(chr, range(0xC0, 0x100)) if c.isalpha()}
         self._words: dict[str, bytes] = {}
         self._tokens: dict[str, bytes] = {}
+        # Marks that the added tokens begin with, which no normalizer changes; of a token without any: every text.
+        tokens = self._tokenizer.get_added_tokens_decoder().values() if added else ()
+        self._added = sorted({_MARKS.match(t.content)[0] for t in tokens})
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text; of none: nothing."""
         if not text:
             return b""
+        if any(marks in text for marks in self._added):
+            return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         words = text.split(" ")
         if "" in words or " \n" in text or "\n " in text or not _ODD.isdisjoint(text):
             words = _GAP.split(text)
@@ -83,4 +90,4 @@ class WordEncoder:
 @lru_cache(maxsize=2)
 def encoder(path: str, spaced: bool, words: int = CACHE_WORDS) -> WordEncoder:
     """One per worker process: its words serve all its tasks."""
-    return WordEncoder(path, spaced, words)
+    return WordEncoder(path, spaced, words, added=True)

@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from ledgerlake.llm import decontamination, packing, quality, repair, simhash_mih, substrings
+from ledgerlake.llm import decontamination, packing, quality, repair, simhash_mih, substrings, tokens
 from ledgerlake.llm.queries import tokenizer_path
 from ledgerlake.llm.tokens import WordEncoder
 from ledgerlake.session import scratch_path
@@ -37,6 +37,26 @@ def test_words_encode_as_the_whole_text(name, spaced, sample):
         assert np.frombuffer(own.encode(text), "<u4").tolist() == whole(text), text
 
 
+ADDED = ["a <|endoftext|> b", "<|endoftext|>", "x<|startoftext|>y <|ENDOFTEXT|>", "a <| b |> c", "no such <endoftext>", "<|endoftext|><|endoftext|> z"]
+
+
+@pytest.mark.parametrize("name,spaced", [(BYTES, True), (WORDS, False)])
+def test_added_tokens_as_the_library_has_them(name, spaced, sample):
+    default, own = Tokenizer.from_file(tokenizer_path(name)), tokens.encoder(tokenizer_path(name), spaced)
+    for text in ADDED + [r.text for r in sample.collect()]:
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == default.encode(text or "", add_special_tokens=False).ids, text
+
+
+def test_added_tokens_in_packing_and_token_files(docs):
+    df = docs(*enumerate(ADDED))
+    for name, end, rows in ((BYTES, packing.END_ID, packing.pack_documents(df, tokenizer_path(BYTES))),
+                            (WORDS, repair.END_ID, repair.round_trip(df, tokenizer_path(WORDS)))):
+        default = Tokenizer.from_file(tokenizer_path(name))
+        want = {i: zlib.crc32(np.array(default.encode(t, add_special_tokens=False).ids + [end], "<u4").tobytes()) for i, t in enumerate(ADDED)}
+        assert all(r.start == 0 or name == WORDS for r in rows.collect())
+        assert {r.doc_id: r.ids_crc32 for r in rows.collect() if name == WORDS or r.length == r.doc_tokens} .items() <= want.items()
+
+
 def checked_pieces(rows, texts):
     whole, ids = library(BYTES), {}
     for i, t in texts:
