@@ -16,6 +16,9 @@ from ledgerlake.llm.queries import tokenizer_path
 
 #: Words that a worker remembers the ids of: fewer than alone, beside what earlier stages left in memory.
 WORDS_PER_WORKER = 250_000
+#: Documents that hold a benchmark item of fewer than ``decontamination.MIN_CHARS`` characters go as well. An item of one
+#: common word takes every document with that word along.
+SHORT_ITEMS = True
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +44,7 @@ def strip_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     prepare(spark)
-    return decontamination.without_items(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.without_items(docs, table(spark, sf_dir, "benchmark"), short=SHORT_ITEMS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,8 +6,9 @@ at least one piece occurs unchanged. One automaton finds all pieces of all items
 starts are near each other share a window, and Myers' bit-parallel algorithm gives the least edit distance of the item to
 any part of the window.
 
-Items of fewer than ``MIN_CHARS`` characters after that are left out, as any text may hold them; equal items are searched
-once. Items go to the tasks in blocks of at most
+Items of fewer than ``MIN_CHARS`` characters after that are left out, or with ``short`` found where they stand unchanged as
+whole words (next to a script that writes no spaces: anywhere). Items without letters and digits match nothing; equal items
+are searched once. Items go to the tasks in blocks of at most
 ``BLOCK_CHARS`` characters, one pass over the documents per block, so a large benchmark costs more passes and not more
 memory. Null and empty texts match nothing.
 """
@@ -24,6 +25,9 @@ from ledgerlake.llm.common import map_rows, stored
 
 RATE, BLOCK_CHARS, MIN_CHARS = 0.08, 4_000_000, 16
 _WORDS = re.compile(r"[^\W_]+")
+# Scripts without spaces between words: Thai to Myanmar, Khmer, Chinese and Japanese.
+_UNSPACED = r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]"
+_OPEN_START, _OPEN_END = re.compile(rf"^ (?={_UNSPACED})"), re.compile(rf"(?<={_UNSPACED}) $")
 
 
 def normalise(text: str | None) -> str:
@@ -54,7 +58,7 @@ def myers(pattern: str, text: str, most: int) -> int | None:
 class Matcher:
     """All items of a block; ``find(text)`` yields (item position, least edits)."""
 
-    def __init__(self, items: list[str], rate: float):
+    def __init__(self, items: list[str], rate: float, short: bool = False):
         import ahocorasick
 
         self.items = [normalise(i) for i in items]
@@ -62,7 +66,10 @@ class Matcher:
         pieces: dict[str, list[tuple[int, int]]] = {}
         for n, (item, k) in enumerate(zip(self.items, self.budget)):
             if len(item) - 2 < MIN_CHARS:
-                continue
+                if not short or not item.strip():
+                    continue
+                item = self.items[n] = _OPEN_END.sub("", _OPEN_START.sub("", item))
+                k = self.budget[n] = 0
             at = [len(item) * j // (k + 1) for j in range(k + 2)]
             for a, b in zip(at, at[1:]):
                 pieces.setdefault(item[a:b], []).append((n, b - 1))
@@ -99,8 +106,9 @@ def _near(starts: list[int], gap: int) -> Iterator[tuple[int, int]]:
     yield first, last
 
 
-def find_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """doc_id, item_id, edits, budget: one row per document and benchmark item found in it."""
+def find_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_chars: int = BLOCK_CHARS, short: bool = False) -> DataFrame:
+    """doc_id, item_id, edits, budget: one row per document and benchmark item found in it; with ``short`` also items of
+    fewer than ``MIN_CHARS`` characters."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).where("text IS NOT NULL")
     by_text = items.groupBy("text").agg(F.min("item_id").alias("_key"))
@@ -113,7 +121,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_
         shared = spark.sparkContext.broadcast(some)
 
         def match(batch: Iterator[dict], shared=shared) -> Iterator[tuple]:
-            matcher = Matcher([t for _, t in shared.value], rate)
+            matcher = Matcher([t for _, t in shared.value], rate, short)
             for r in batch:
                 for n, edits in matcher.find(r["text"]):
                     yield r["doc_id"], shared.value[n][1], edits, matcher.budget[n]
@@ -125,7 +133,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_
     return hits.join(items.withColumnRenamed("text", "_text"), "_text").select("doc_id", "item_id", "edits", "budget").distinct()
 
 
-def without_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
+def without_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, short: bool = False) -> DataFrame:
     """The documents in which no item is found, with all their columns. Rows without an id are kept."""
-    hits = stored(docs.sparkSession, find_items(docs, benchmark, rate).select(F.col("doc_id").alias("_found")).distinct(), "leaks")
+    hits = stored(docs.sparkSession, find_items(docs, benchmark, rate, short=short).select(F.col("doc_id").alias("_found")).distinct(), "leaks")
     return docs.join(hits, F.col("doc_id") == F.col("_found"), "left_anti")

@@ -60,7 +60,7 @@ def op6_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return decontamination.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), short=True)
 
 
 def op8_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

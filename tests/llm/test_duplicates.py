@@ -213,6 +213,28 @@ def test_leaks_with_edits(spark, docs):
     assert decontamination.find_items(docs((1, "x")), benchmark.limit(0)).count() == 0
 
 
+def test_short_items_unchanged_as_whole_words(spark, docs):
+    items = ["What is 12 x 9?", "cat", "日本の首都はどこですか", "?!", "", "ไทย", "what  is 12 X 9"]
+    rows = [(1, "so: what is 12 x 9 ?"), (2, "what is 12 x 99"), (3, "concatenate"), (4, "a Cat."), (5, "問題「日本の首都はどこですか」"),
+            (6, "次の日本の首都はどこですか答え"), (7, "日本の首都は"), (8, None), (9, "what is 13 x 9"), (10, "x" * 50 + " cat cat")]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {tuple(r) for r in decontamination.find_items(docs(*rows), benchmark, short=True).collect()}
+    assert got == {(1, 0, 0, 0), (1, 6, 0, 0), (4, 1, 0, 0), (5, 2, 0, 0), (6, 2, 0, 0), (10, 1, 0, 0)}
+    kept = decontamination.without_items(docs(*rows), benchmark, short=True)
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 7, 8, 9]
+
+
+def test_short_items_in_query_and_pipeline(spark, docs, tmp_path):
+    import corpus_pipeline
+    from ledgerlake.llm import queries
+
+    df = docs((1, "they ask what is 12 x 9 there"), (2, "nothing of that"))
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, "What is 12 x 9?")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert [tuple(r) for r in queries.op7_benchmark_decontamination(spark, str(tmp_path)).collect()] == [(1, 7, 0, 0)]
+    assert [r.doc_id for r in dict(corpus_pipeline.STAGES)["benchmark decontamination"](spark, df, str(tmp_path)).collect()] == [2]
+
+
 def test_places_round_trip():
     rnd = np.random.default_rng(1)
     ids = np.array([5, 5, 5, -(1 << 63), -(1 << 63), 9, 5, 5, 5], np.int64)
