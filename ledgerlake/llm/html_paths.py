@@ -3,9 +3,9 @@
 1. Every page scores its containers: visible text outside links, passed up the tree with a discount; menus, headers,
    footers, sidebars, notices, adverts, forms, scripts and reader comments score nothing.
 2. Paths of tags and classes, digits removed, are voted on per host. Votes are sums, so a host of any size is combined
-   before the shuffle.
-3. Every page is read again with its host's paths: the best-voted path that occurs on the page gives the text. A page on
-   which none occurs, or without a host, uses its own best container.
+   before the shuffle. Every path with a vote counts, however many a host has.
+3. Each page's own paths meet the votes of its host; pages are told apart by a digest, and the best-voted path that holds
+   text on the page wins. Every page is read again with it. A page without a host uses its own best container.
 
 White space inside a block becomes one space, blocks are joined by a line break in page order, character references are
 decoded. A null or empty page, and one without visible text, gives the empty text. ``<br>`` is white space inside a block.
@@ -24,8 +24,6 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import map_rows, stored
 from ledgerlake.llm.url_filter import host_and_path
 
-#: Paths kept per host, best first; pages with none of them fall back to their own best container.
-PATHS_PER_HOST = 16
 DISCOUNT = 0.9
 
 _TOKEN = re.compile(
@@ -175,45 +173,50 @@ class Page:
             out[path] = max(out.get(path, 0.0), score * weight)
         return out
 
-    def text(self, paths: list[str]) -> str:
-        """Blocks inside the containers of the first of the paths that occurs and holds text, else of the best own one."""
+    def text(self, path: str | None) -> str:
+        """Blocks inside the containers of the path, without one of the best own path."""
         if not self.blocks:
             return ""
-        scores = self.scores()
-        own = max(sorted(scores), key=scores.__getitem__)
-        chosen = next((p for p in paths if scores.get(p, 0.0) > 0), own)
+        if path is None:
+            scores = self.scores()
+            path = max(sorted(scores), key=scores.__getitem__)
         inside = []
-        for path, parent, _ in self.containers:
-            inside.append(path == chosen or parent >= 0 and inside[parent])
+        for own, parent, _ in self.containers:
+            inside.append(own == path or parent >= 0 and inside[parent])
         return "\n".join(text for text, _, container in self.blocks if inside[container])
 
 
-def vote(pages: DataFrame) -> DataFrame:
-    """(host, paths): container paths per host, best first, from (host, html). Pages vote for every container that scores
-    at least half of their best one, in proportion to its score."""
+def candidates(pages: DataFrame) -> DataFrame:
+    """(host, page, path, vote) of every container with a score, from (host, page, html). Pages vote for every container that
+    scores at least half of their best one, in proportion to its score; the others have a vote of 0."""
     def votes(rows: Iterator[dict]) -> Iterator[tuple]:
         for r in rows:
             scores = Page(r["html"]).scores()
             best = max(scores.values())
             for path, score in scores.items():
-                if best > 0 and score >= 0.5 * best:
-                    yield r["host"], path, round(1000 * score / best)
+                if score > 0:
+                    yield r["host"], r["page"], path, round(1000 * score / best) if score >= 0.5 * best else 0
 
-    cast = map_rows(pages.where("host <> ''").select("host", "html"), votes, "host string, path string, vote long")
-    tally = cast.groupBy("host", "path").agg(F.sum("vote").alias("votes"))
-    ranked = tally.groupBy("host").agg(F.slice(F.sort_array(F.collect_list(F.struct(-F.col("votes"), "path"))), 1, PATHS_PER_HOST).alias("r"))
-    return ranked.select("host", F.col("r.path").alias("paths"))
+    return map_rows(pages.where("host <> ''").select("host", "page", "html"), votes, "host string, page string, path string, vote long")
+
+
+def choose(found: DataFrame) -> DataFrame:
+    """(host, page, path): of each page's candidates the one with most votes on its host, then the first in order."""
+    tally = found.where("vote > 0").groupBy("host", "path").agg(F.sum("vote").alias("votes"))
+    ranked = found.select("host", "page", "path").join(tally, ["host", "path"])
+    best = ranked.groupBy("host", "page").agg(F.min(F.struct(-F.col("votes"), "path")).alias("b"))
+    return best.select("host", "page", F.col("b.path").alias("path"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """page_id, url, text, n_chars of every row."""
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
-    rows = rows.withColumn("host", host_and_path(F.col("url"))[0])
-    winners = stored(pages.sparkSession, vote(rows), "host-paths")
+    rows = rows.withColumns({"host": host_and_path(F.col("url"))[0], "page": F.md5("html")})
+    winners = stored(pages.sparkSession, choose(stored(pages.sparkSession, candidates(rows), "page-paths")), "host-paths")
 
     def read(found: Iterator[dict]) -> Iterator[tuple]:
         for r in found:
-            text = Page(r["html"]).text(r["paths"] or [])
+            text = Page(r["html"]).text(r["path"])
             yield r["page_id"], r["url"], text, len(text)
 
-    return map_rows(rows.join(winners, "host", "left"), read, "page_id long, url string, text string, n_chars long", flush=256)
+    return map_rows(rows.join(winners, ["host", "page"], "left"), read, "page_id long, url string, text string, n_chars long", flush=256)

@@ -47,6 +47,21 @@ def test_consensus_overrules_a_page(pages):
     assert alone.startswith("a very long side")
 
 
+def test_templates_of_a_host_beyond_the_best_voted(pages):
+    """30 themes on one host: in each, three pages outvote the one whose side text is longer than its article."""
+    themes = [f"theme{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(30)]
+
+    def page(theme, body, side):
+        return f"<body><div class='{theme}'><p>{body}</p></div><div class='{theme}x'><p>{side}</p></div></body>"
+
+    rows, odd = [], []
+    for n, theme in enumerate(themes):
+        rows += [(100 * n + k, "http://many.example/", page(theme, f"main text {k} of the page " * 20, "short")) for k in range(3)]
+        odd.append((100 * n + 99, "http://many.example/", page(theme, f"brief text of {theme}", "a long side text that outweighs all others " * 9)))
+    got = {r.page_id: r.text for r in html_paths.extract(pages(*rows, *odd)).collect()}
+    assert [got[100 * n + 99] for n in range(30)] == [f"brief text of {theme}" for theme in themes]
+
+
 def test_page_edge_cases(pages, spark):
     rows = [(1, None, None), (2, "no host", ""), (None, "http://b.example", "plain text, no markup &amp; nothing"),
             (4, "http://b.example", "<p>unclosed <b>bold <i>x"), (4, "http://b.example", "<p>unclosed <b>bold <i>x"),
