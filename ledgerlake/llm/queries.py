@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm import (
+    byte_bpe,
     decontamination,
     fingerprints,
+    hard_negatives,
     html_paths,
     packing,
     quality,
     repair,
     simhash_mih,
+    spelling,
     substrings,
     url_filter,
     warc,
@@ -78,10 +81,28 @@ def op10_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_byte_bpe_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    prepare(spark)
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op12_spelling_gram_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return spelling.spelling_forms(table(spark, sf_dir, "documents"))
+
+
+def op13_threshold_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_html_consensus_paths, op2_simhash_near_dedup, op3_document_fingerprints, op4_url_wildcard_filter, op5_hierarchical_packing,
-        op6_warc_bundles, op7_benchmark_decontamination, op8_repair_token_files, op9_substring_dedup, op10_quality_neighbours)
+        op6_warc_bundles, op7_benchmark_decontamination, op8_repair_token_files, op9_substring_dedup, op10_quality_neighbours, op11_byte_bpe_matrices,
+        op12_spelling_gram_blocks, op13_threshold_hard_negatives)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -126,4 +147,59 @@ k AS (
 SELECT d.doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN k USING (doc_id)""",
+    "op12_spelling_gram_blocks": r"""
+WITH RECURSIVE t AS (
+    SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS crc
+    FROM range(256) r(i)),
+d AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+r AS (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+    FROM d WHERE length(run) >= 6 GROUP BY ALL),
+b AS (SELECT *, hex(encode(concat(doc_id, ':', run))) AS bytes FROM r),
+h AS (
+    SELECT run, n, xor(4294967295, list_reduce(
+        list_transform(range(length(bytes) // 2), lambda i: CAST('0x' || substr(bytes, 2 * i + 1, 2) AS BIGINT)),
+        lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1]), 4294967295)) AS h
+    FROM b, t),
+w AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n
+    FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h)
+    WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+x AS (SELECT word, unnest(range(length(word))) AS i FROM w),
+cut AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM x),
+e AS (
+    SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT word, rest FROM cut WHERE rest IN (SELECT word FROM w)
+    UNION SELECT rest, word FROM cut WHERE rest IN (SELECT word FROM w)),
+m AS (
+    SELECT e.word, count(*) AS n_near, arg_min(struct_pack(near := v.word, n := v.n), struct_pack(less := -v.n, near := encode(v.word))) AS best
+    FROM e JOIN w v ON v.word = e.near GROUP BY e.word),
+f AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best.n >= 5 * w.n THEN best.near END AS form,
+           CASE WHEN best.n >= 5 * w.n THEN best.n END AS form_n
+    FROM w LEFT JOIN m USING (word)),
+c AS (
+    SELECT word, word AS root, 0 AS steps FROM f
+    UNION ALL SELECT c.word, f.form, steps + 1 FROM c JOIN f ON f.word = c.root WHERE f.form IS NOT NULL)
+SELECT f.word, form, root, n, n_near, form_n
+FROM f JOIN (SELECT word, arg_max(root, steps) AS root FROM c GROUP BY word) USING (word)""",
+    "op13_threshold_hard_negatives": """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+    SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) <= 10""",
 }
