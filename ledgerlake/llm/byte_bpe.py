@@ -36,7 +36,7 @@ from ledgerlake.llm.common import release
 #: Bytes of a match up to which it is a row of a matrix.
 WIDE = 256
 #: Words kept by each worker, about 300 bytes each; a full table is emptied.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 #: Characters of the texts whose new words are encoded together, and cells of a matrix.
 BLOCK_CHARS, CELLS = 2_000_000, 1 << 20
 NONE = np.int32(2**31 - 1)
