@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,26 +24,63 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
-def _newest(df: DataFrame, keys: Sequence[str], ts: str) -> tuple[DataFrame, Column]:
-    newest = df.groupBy(*keys).agg(F.max(ts).alias("_newest")).where(F.col("_newest").isNotNull())
-    newest = newest.select("_newest", *[F.col(k).alias(f"_k_{k}") for k in keys])
-    same = F.col(ts) == F.col("_newest")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return newest, same
+def _null_safe(left: Sequence[str], right: Sequence[str]) -> Column:
+    return reduce(and_, (F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)))
+
+
+def _loose_pairs(df: DataFrame, groups: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """(key, ts) pairs that may equal the newest of some other key because of a NULL in either.
+
+    Two keys may be equal if they agree in the columns known on both sides. So each pair looks up every set of columns that a
+    group may know, each group answers every set that a pair may know, and both write NULL in what either lacks: one
+    equi-join by those sets, the common values and the time. Only data with NULL keys has such pairs at all.
+    """
+    sets = range(1 << len(keys))
+    known = reduce(lambda a, b: a.bitwiseOR(b), (F.when(F.col(k).isNotNull(), 1 << n).otherwise(0) for n, k in enumerate(keys)))
+    names = [f"_v{n}" for n in range(len(keys))]
+
+    def common(other: str) -> list[Column]:
+        return [F.when((F.col("_own").bitwiseAND(1 << n) != 0) & (F.col(other).bitwiseAND(1 << n) != 0), F.col(k)).alias(v)
+                for n, (k, v) in enumerate(zip(keys, names))]
+
+    any_null = reduce(or_, (F.col(k).isNull() for k in keys))
+    # Without NULL keys anywhere no pair passes, and what follows has no rows.
+    nulls = df.agg(F.coalesce(F.bool_or(any_null), F.lit(False))).scalar()
+    pairs = df.where(F.col(ts).isNotNull() & nulls).select(*keys, ts).distinct()
+    asked = pairs.withColumn("_own", known).withColumn("_group", F.explode(F.array(*map(F.lit, sets)))).where(
+        f"_own & _group != {len(sets) - 1}").withColumn("_at", F.explode(F.array(F.col(ts), F.lit(None)))).select(
+        *keys, ts, F.col("_own").alias("_pair"), "_group", F.col("_at"), *common("_group"))
+    answers = groups.withColumn("_own", known).withColumn("_pair", F.explode(F.array(*map(F.lit, sets)))).select(
+        F.col("_pair").alias("_a_pair"), F.col("_own").alias("_a_group"), F.col("_newest").alias("_a_at"),
+        *[c.alias(f"_a{c_name}") for c, c_name in zip(common("_pair"), names)]).distinct()
+    theirs = ["_pair", "_group", "_at", *names]
+    found = asked.join(answers, _null_safe(theirs, [f"_a{c}" for c in theirs]), "left_semi")
+    return found.select(*keys, ts).distinct()
+
+
+def _kept_pairs(df: DataFrame, keys: Sequence[str], ts: str) -> tuple[DataFrame, Column]:
+    """The (key, ts) pairs, with known ``ts``, that are or may be the newest of a key; and the join with them."""
+    groups = df.groupBy(*keys).agg(F.max(ts).alias("_newest"))
+    newest = groups.where(F.col("_newest").isNotNull()).select(*keys, F.col("_newest").alias(ts))
+    names = [f"_k_{n}" for n in range(len(keys) + 1)]
+    kept = newest.unionByName(_loose_pairs(df, groups, keys, ts)).toDF(*names)
+    return kept, _null_safe([*keys, ts], names)
 
 
 def retain_latest(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
-    """Rows whose ``ts`` is the newest of their key; all rows of a tied newest ``ts`` stay. NULL keys form one group, rows
-    without ``ts`` are never the newest."""
-    return df.join(*_newest(df, keys, ts), "left_semi")
+    """What stays after deleting every row whose (key, ``ts``) is NOT IN the (key, newest ``ts``) pairs of all keys; all rows of
+    a tied newest ``ts`` stay.
+
+    As in SQL, a comparison with a NULL is neither true nor false and deletes nothing: rows without ``ts`` stay, and so do rows that
+    differ from a pair only where a NULL stands on either side.
+    """
+    dated = df.where(F.col(ts).isNotNull())
+    return dated.join(*_kept_pairs(df, keys, ts), "left_semi").unionByName(df.where(F.col(ts).isNull()))
 
 
 def superseded(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
-    """The rows a retention pass removes: older than the newest of their key. As with NOT IN, rows with a NULL in key or
-    ``ts`` are not removed."""
-    known = df.dropna(subset=[*keys, ts])
-    return known.join(*_newest(known, keys, ts), "left_anti")
+    """The rows a retention pass deletes: exactly those ``retain_latest`` does not keep."""
+    return df.where(F.col(ts).isNotNull()).join(*_kept_pairs(df, keys, ts), "left_anti")
 
 
 def top_per_group(

@@ -73,13 +73,37 @@ def ded5(spark, sf):
         .select("c_custkey", "o_orderkey", "o_totalprice")
 
 
-@query("ded6_retention", """
-SELECT CAST(k AS VARCHAR) AS l_partkey, CAST(l_shipdate AS VARCHAR) AS l_shipdate, l_orderkey, l_linenumber::BIGINT AS l_linenumber
-FROM (SELECT *, CASE WHEN l_partkey % 10 <> 3 THEN l_partkey END AS k FROM lineitem)
-QUALIFY l_shipdate = max(l_shipdate) OVER (PARTITION BY k)""")
+# Rows with and without a key and a day; no key of a day is NULL, so that a row may match a pair only in part.
+_RETENTION = """
+r AS (SELECT CASE WHEN l_partkey % 10 <> 3 THEN CAST(l_partkey AS VARCHAR) END AS l_partkey,
+             CASE WHEN l_quantity <> 11 THEN CAST(l_shipdate AS VARCHAR) END AS l_shipdate,
+             l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber FROM lineitem),
+newest AS (SELECT l_partkey, max(l_shipdate) FROM r GROUP BY l_partkey)"""
+
+
+def _retention_rows(spark, sf):
+    return st.table(spark, sf, "lineitem").selectExpr(
+        _PART_OR_NULL, "CASE WHEN l_quantity <> 11 THEN CAST(l_shipdate AS STRING) END AS l_shipdate", "l_orderkey", "l_linenumber")
+
+
+@query("ded6_retention", f"""
+WITH {_RETENTION}
+SELECT * FROM r WHERE ((l_partkey, l_shipdate) NOT IN (SELECT * FROM newest)) IS NOT TRUE""")
 def ded6(spark, sf):
-    rows = st.table(spark, sf, "lineitem").selectExpr(_PART_OR_NULL, "l_shipdate", "l_orderkey", "l_linenumber")
-    return dedup.retain_latest(rows, ["l_partkey"], "l_shipdate")
+    return dedup.retain_latest(_retention_rows(spark, sf), ["l_partkey"], "l_shipdate")
+
+
+@query("ded6_composite_retention", """
+WITH r AS (SELECT CASE WHEN o_custkey % 5 <> 2 THEN CAST(o_custkey % 97 AS VARCHAR) END AS who,
+                  CASE WHEN o_orderkey % 7 <> 1 THEN o_orderpriority END AS priority,
+                  CASE WHEN o_totalprice >= 20000 THEN CAST(o_orderdate AS VARCHAR) END AS day, o_orderkey FROM orders)
+SELECT * FROM r WHERE ((who, priority, day) NOT IN (SELECT who, priority, max(day) FROM r GROUP BY who, priority)) IS NOT TRUE""")
+def ded6_composite(spark, sf):
+    rows = st.table(spark, sf, "orders").selectExpr(
+        "CASE WHEN o_custkey % 5 <> 2 THEN CAST(o_custkey % 97 AS STRING) END AS who",
+        "CASE WHEN o_orderkey % 7 <> 1 THEN o_orderpriority END AS priority",
+        "CASE WHEN o_totalprice >= 20000 THEN CAST(o_orderdate AS STRING) END AS day", "o_orderkey")
+    return dedup.retain_latest(rows, ["who", "priority"], "day")
 
 
 @query("win1_row_number", """
@@ -177,13 +201,11 @@ def joi7(spark, sf):
 
 
 @query("joi8_composite_not_in", f"""
-SELECT l_partkey, {N} FROM (
-    SELECT CAST(k AS VARCHAR) AS l_partkey, k IS NOT NULL AND l_shipdate < max(l_shipdate) OVER (PARTITION BY k) AS old
-    FROM (SELECT l_shipdate, CASE WHEN l_partkey % 10 <> 3 THEN l_partkey END AS k FROM lineitem))
-WHERE old GROUP BY 1""")
+WITH {_RETENTION}
+SELECT l_partkey, {N} FROM r WHERE (l_partkey, l_shipdate) NOT IN (SELECT * FROM newest) GROUP BY 1""")
 def joi8(spark, sf):
-    rows = st.table(spark, sf, "lineitem").selectExpr(_PART_OR_NULL, "l_shipdate")
-    return dedup.superseded(rows, ["l_partkey"], "l_shipdate").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
+    return dedup.superseded(_retention_rows(spark, sf), ["l_partkey"], "l_shipdate").groupBy("l_partkey").agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 @query("joi9_duplicate_safe_lookup", f"""

@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import datetime as dt
 import json
 import sys
 from pathlib import Path
@@ -36,17 +35,3 @@ def raw(spark):
         df = spark.createDataFrame(rows, "load_id string, api_endpoint string, page_number bigint, page string")
         return to_raw(df.withColumn("collection_json", parse(F.col("page"))), kind, F.to_timestamp("load_id"))
     return build
-
-
-def rows(df, *columns):
-    """Sorted tuples of the given columns."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=lambda r: tuple((v is None, str(type(v)), v) for v in r))
-
-
-def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def day(text: str) -> dt.date:
-    return dt.date.fromisoformat(text)

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import decimal
 
-from conftest import plan, rows
+from helpers import plan, rows
 from fixtures import FIRST, SAMPLE_INVOICE, SAMPLE_LINES, SECOND, customer, invoice, line
 from pyspark.sql import functions as F
 

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from helpers import rows
 from fixtures import EXPIRED_ROWS, EXPIRED_SCHEMA, SHOP_PAGES
 from pyspark.sql import functions as F
 

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import day, plan, rows
+from helpers import day, plan, rows
 from fixtures import EXPIRED_ROWS, EXPIRED_SCHEMA, FIRST, SAMPLE_INVOICE, SAMPLE_LINES, SHOP_PAGES, customer, invoice, line
 from pyspark.sql import functions as F
 

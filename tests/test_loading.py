@@ -5,7 +5,7 @@ import json
 import urllib.parse
 
 import pytest
-from conftest import rows
+from helpers import rows
 from fixtures import FIRST, SECOND, customer, invoice, line
 from pyspark.sql import functions as F
 

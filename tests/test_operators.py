@@ -3,7 +3,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as hs
 from pyspark.sql import functions as F
@@ -142,9 +142,45 @@ def test_one_sided_condition_suppresses_the_match_only(spark):
         (1, None, None), (2, 2, None), (3, 3, "Leads")]
 
 
-def test_retention_keeps_null_keys(spark):
+def _equal(a, b):
+    return None if a is None or b is None else a == b
+
+
+def _not_in(row, pairs):
+    """SQL's row NOT IN (pairs): True, False or None."""
+    unknown = False
+    for pair in pairs:
+        same = [_equal(a, b) for a, b in zip(row, pair)]
+        if all(same):
+            return False
+        unknown |= False not in same
+    return None if unknown else True
+
+
+def test_retention_treats_nulls_as_not_in_does(spark):
     from ledgerlake.operators import dedup
 
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 1), ("a", 2), ("b", None)], "k string, t int")
-    assert rows(dedup.retain_latest(df, ["k"], "t")) == [("a", 2), (None, 2)]
+    assert rows(dedup.retain_latest(df, ["k"], "t")) == [("a", 2), ("b", None), (None, 1), (None, 2)]
     assert rows(dedup.superseded(df, ["k"], "t")) == [("a", 1)]
+
+
+@pytest.mark.parametrize("seed,nulls", [(1, 0.0), (2, 0.15), (3, 0.4), (4, 0.8)])
+@pytest.mark.parametrize("width", [1, 2])
+def test_retention_equals_not_in_row_by_row(spark, seed, nulls, width):
+    import random
+
+    from ledgerlake.operators import dedup
+
+    rnd = random.Random(seed)
+    data = [tuple(None if rnd.random() < nulls * (0.6 if n == width else 1) else rnd.randrange(9 if n == width else 5) for n in range(width + 1))
+            for _ in range(60)]
+    pairs = [(*key, max((r[-1] for r in data if r[:-1] == key and r[-1] is not None), default=None)) for key in {r[:-1] for r in data}]
+    keys = [f"k{n}" for n in range(width)]
+    df = spark.createDataFrame(data, ", ".join(f"{k} int" for k in keys) + ", t int").withColumn("payload", F.lit("x"))
+    ordered = sorted(data, key=lambda r: [(v is None, v or 0) for v in r])
+    want = {True: [r for r in ordered if _not_in(r, pairs) is True], False: [r for r in ordered if _not_in(r, pairs) is not True]}
+    assert rows(dedup.superseded(df, keys, "t"), *keys, "t") == want[True]
+    assert rows(dedup.retain_latest(df, keys, "t"), *keys, "t") == want[False]
+    loops = plan(dedup.superseded(df, keys, "t")).count("NestedLoop") + plan(dedup.retain_latest(df, keys, "t")).count("NestedLoop")
+    assert loops == 0

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.joins import DuplicateKeyError

@@ -3,7 +3,7 @@ from __future__ import annotations
 import decimal
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
