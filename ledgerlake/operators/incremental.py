@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.lookups import MARK_SEEDS
@@ -124,13 +124,35 @@ def load_completeness(pages: DataFrame, page_size: int, start_page: int = 0) ->
     )
 
 
+#: Page numbers that one task sorts at a time when it looks for runs.
+RUN_BLOCK = 1 << 16
+
+
+def page_runs(pages: DataFrame) -> DataFrame:
+    """Runs of consecutive page numbers per (api_endpoint, load_id): first_page and last_page. Unnumbered pages are in none.
+
+    Pages are read once and sorted within blocks of ``RUN_BLOCK`` page numbers, so a load with most of the pages is dealt
+    over many tasks. What is left are the runs of each block; those that touch across a border are joined over these few rows.
+    """
+    load, page = ["api_endpoint", "load_id"], F.col("page_number")
+    single = pages.where(page.isNotNull()).select(*load, page.alias("first_page"), page.alias("last_page"))
+    parts = _coalesced(single, Window.partitionBy(*load, F.floor(F.col("first_page") / RUN_BLOCK)).orderBy("first_page"),
+                       [*map(F.col, load), F.floor(F.col("first_page") / RUN_BLOCK).alias("_block")])
+    return _coalesced(parts, Window.partitionBy(*load).orderBy("first_page"), [F.col(c) for c in load])
+
+
+def _coalesced(runs: DataFrame, order: WindowSpec, group: list[Column]) -> DataFrame:
+    """The runs of each window partition, those that touch or repeat put together."""
+    begins = F.coalesce(F.col("first_page") > F.lag("last_page").over(order) + 1, F.lit(True))
+    numbered = runs.withColumn("_begins", begins).withColumn("_run", F.count_if("_begins").over(order))
+    return numbered.groupBy(*group, "_run").agg(F.min("first_page").alias("first_page"), F.max("last_page").alias("last_page")).drop("_run", "_block")
+
+
 def page_gaps(pages: DataFrame) -> DataFrame:
-    """Last page number before each gap of a load; the join key includes the page number, so no endpoint is hot."""
-    seen = pages.select("api_endpoint", "load_id", "page_number").distinct()
-    followed = seen.withColumn("page_number", F.col("page_number") - 1)
-    tail = seen.groupBy("api_endpoint", "load_id").agg(F.max("page_number").alias("page_number"))
-    keys = ["api_endpoint", "load_id", "page_number"]
-    return seen.join(followed.unionByName(tail), keys, "left_anti")
+    """Last page number before each gap of a load: the ends of its runs but the last."""
+    later = Window.partitionBy("api_endpoint", "load_id").orderBy("first_page")
+    ends = page_runs(pages).withColumn("_next", F.lead("first_page").over(later))
+    return ends.where(F.col("_next").isNotNull()).select("api_endpoint", "load_id", F.col("last_page").alias("page_number"))
 
 
 def ingest_summary(pages: DataFrame) -> DataFrame:

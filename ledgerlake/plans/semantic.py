@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import dates
 from ledgerlake.functions.money import guarded_ratio, percent_change
-from ledgerlake.operators.aggregates import sum_if
 from ledgerlake.operators.joins import assert_unique
 
 Frame = Callable[[Sequence[str]], DataFrame]  # columns wanted -> view with at least these
@@ -32,11 +31,22 @@ class Fact:
     synonyms: tuple[str, ...] = ()
 
 
+@dataclass(frozen=True)
+class Parts:
+    """An aggregate taken apart: sums over rows and numbers of distinct values, and how they make the result. Sums of parts
+    of the rows add up, so an aggregate can be made for many overlapping sets of rows in one pass, or from stored parts."""
+
+    sums: tuple[Callable[[Column], Column], ...] = ()  # reporting day -> what a row adds
+    distinct: tuple[str, ...] = ()
+    combine: Callable[[Sequence[Column], Sequence[Column]], Column] = lambda sums, counts: (*sums, *counts)[0]
+
+
 @dataclass(frozen=True)
 class Metric:
     columns: tuple[str, ...]
     build: Callable[[Column], Column]  # reporting day -> aggregate
     synonyms: tuple[str, ...] = ()
+    parts: Parts | None = None
 
 
 @dataclass(frozen=True)
@@ -121,50 +131,61 @@ SALES_FACTS = {
 }
 
 
-def _sum(column: str) -> Callable[[Column], Column]:
-    return lambda _: F.sum(column)
+def _value(column: str) -> Callable[[Column], Column]:
+    return lambda _: F.col(column)
+
 
+def _sum(column: str, *synonyms: str) -> Metric:
+    return Metric((column,), lambda _: F.sum(column), synonyms, Parts((_value(column),)))
 
-def _distinct(column: str) -> Callable[[Column], Column]:
-    return lambda _: F.countDistinct(column)
 
+def _distinct(column: str, *synonyms: str) -> Metric:
+    return Metric((column,), lambda _: F.countDistinct(column), synonyms, Parts(distinct=(column,)))
 
-def _margin(_: Column) -> Column:
-    return guarded_ratio(F.sum("line_profit_dkk"), F.sum("line_revenue_dkk")) * 100
+
+def _margin(*synonyms: str) -> Metric:
+    def share(profit: Column, revenue: Column) -> Column:
+        return guarded_ratio(profit, revenue) * 100
+
+    columns = ("line_profit_dkk", "line_revenue_dkk")
+    return Metric(columns, lambda _: share(*map(F.sum, columns)), synonyms,
+                  Parts(tuple(map(_value, columns)), combine=lambda sums, _: share(*sums)))
 
 
 def order_value() -> Column:
     return guarded_ratio(F.sum("line_revenue_dkk"), F.countDistinct("invoice_id").cast("double"))
 
 
-def _growth(period: Callable[[Column, int], dates.Bounds]) -> Callable[[Column], Column]:
+def _order_value(*synonyms: str) -> Metric:
+    return Metric(("line_revenue_dkk", "invoice_id"), lambda _: order_value(), synonyms, Parts(
+        (_value("line_revenue_dkk"),), ("invoice_id",), lambda sums, counts: guarded_ratio(sums[0], counts[0].cast("double"))))
+
+
+def _growth(period: Callable[[Column, int], dates.Bounds], *synonyms: str) -> Metric:
+    def within(offset: int) -> Callable[[Column], Column]:
+        return lambda as_of: F.when(dates.within(F.col("sale_date"), period(as_of, offset)), F.col("line_revenue_dkk")).otherwise(0.0)
+
     def build(as_of: Column) -> Column:
-        day, revenue = F.col("sale_date"), F.col("line_revenue_dkk")
-        now, before = (sum_if(dates.within(day, period(as_of, offset)), revenue) for offset in (0, -1))
-        return percent_change(now, before)
-    return build
+        return percent_change(F.sum(within(0)(as_of)), F.sum(within(-1)(as_of)))
+
+    return Metric(("sale_date", "line_revenue_dkk"), build, synonyms,
+                  Parts((within(0), within(-1)), combine=lambda sums, _: percent_change(*sums)))
 
 
 # Metric names and synonyms.
 SALES_METRICS = {
-    "total_revenue": Metric(("line_revenue_dkk",), _sum("line_revenue_dkk"), (
-        "total sales", "sum of revenue", "total turnover", "gross revenue")),
-    "total_profit": Metric(("line_profit_dkk",), _sum("line_profit_dkk"), (
-        "total gross profit", "sum of profit", "total earnings")),
-    "profit_margin_pct": Metric(("line_profit_dkk", "line_revenue_dkk"), _margin, (
-        "profit margin", "margin percentage", "gross margin", "margin pct")),
-    "average_order_value": Metric(("line_revenue_dkk", "invoice_id"), lambda _: order_value(), (
-        "aov", "avg order value", "average invoice value", "average basket", "mean order value")),
-    "total_orders": Metric(("invoice_id",), _distinct("invoice_id"), (
-        "order count", "invoice count", "number of orders", "total invoices")),
-    "total_customers": Metric(("customer_id",), _distinct("customer_id"), (
-        "customer count", "unique customers", "number of customers", "distinct customers")),
-    "total_units": Metric(("quantity_sold",), _sum("quantity_sold"), (
-        "units sold", "total quantity", "total volume", "pieces sold")),
-    "revenue_growth_yoy_pct": Metric(("sale_date", "line_revenue_dkk"), _growth(dates.year_of), (
-        "year over year growth", "yoy growth", "annual growth", "yearly growth")),
-    "revenue_growth_mom_pct": Metric(("sale_date", "line_revenue_dkk"), _growth(dates.month_of), (
-        "month over month growth", "mom growth", "monthly growth")),
+    "total_revenue": _sum("line_revenue_dkk", "total sales", "sum of revenue", "total turnover", "gross revenue"),
+    "total_profit": _sum("line_profit_dkk", "total gross profit", "sum of profit", "total earnings"),
+    "profit_margin_pct": _margin("profit margin", "margin percentage", "gross margin", "margin pct"),
+    "average_order_value": _order_value(
+        "aov", "avg order value", "average invoice value", "average basket", "mean order value"),
+    "total_orders": _distinct("invoice_id", "order count", "invoice count", "number of orders", "total invoices"),
+    "total_customers": _distinct(
+        "customer_id", "customer count", "unique customers", "number of customers", "distinct customers"),
+    "total_units": _sum("quantity_sold", "units sold", "total quantity", "total volume", "pieces sold"),
+    "revenue_growth_yoy_pct": _growth(
+        dates.year_of, "year over year growth", "yoy growth", "annual growth", "yearly growth"),
+    "revenue_growth_mom_pct": _growth(dates.month_of, "month over month growth", "mom growth", "monthly growth"),
 }
 
 
@@ -247,6 +268,15 @@ RELATIONSHIPS = (
 )
 
 
+def _bit(column: str, n: int) -> Column:
+    return F.col(column).bitwiseAND(F.lit(1 << n)) != 0
+
+
+def _counts(key: str, bits: int) -> Column:
+    """Numbers of known values with each bit, from rows of one value each."""
+    return F.array(*[F.count_if(F.col(key).isNotNull() & _bit("_bits", n)) for n in range(bits)]).alias(f"_c{key}")
+
+
 def _find(items: dict, name: str):
     """Item by its name, else by synonym; case, spaces and underscores do not matter."""
     wanted = name.strip().lower().replace("_", " ")
@@ -330,17 +360,38 @@ class SemanticModel:
     ) -> DataFrame:
         """Metrics per named filter in one pass over the view; a filter nothing passes has no row.
 
-        The view is cut to rows passing any filter first, which reaches the scan when all are date ranges.
+        The view is cut to rows passing any filter first, which reaches the scan when all are date ranges. No row is
+        copied for a second filter: each carries a bit per filter it passes, and the few totals are dealt out at the end.
         """
         home, day = ENTITIES[entity], dates.as_of_date(as_of)
         tests = {name: self._filter(home, name) for name in filters}
-        measures = [self._measure(home, m, day) for m in metrics]
-        columns = {c for _, cs, _ in measures for c in cs} | {f.column for f in tests.values()}
-        predicates = {name: f.build(day) for name, f in tests.items()}
-        rows = self._rows(home, columns, [], day).filter(reduce(or_, predicates.values()))
-        passed = F.array_remove(F.array(*[F.when(p, name).otherwise("") for name, p in predicates.items()]), "")
-        return rows.withColumn("filter_name", F.explode(passed)).groupBy("filter_name").agg(
-            *[build.alias(name) for name, _, build in measures])
+        found = [self._parts(home, m) for m in metrics]
+        columns = {c for _, cs, _ in found for c in cs} | {f.column for f in tests.values()}
+        passes = [f.build(day) for f in tests.values()]
+        rows = self._rows(home, columns, [], day).filter(reduce(or_, passes))
+        # One bit per filter. Sums are kept per filter; distinct values are counted once per value, by the bits of its rows.
+        bits = reduce(lambda a, b: a.bitwiseOR(b), (F.when(p, F.lit(1 << n)).otherwise(F.lit(0)).cast("bigint") for n, p in enumerate(passes)))
+        terms = [term for _, _, parts in found for term in parts.sums]
+        ids = list(dict.fromkeys(c for _, _, parts in found for c in parts.distinct))
+        rows = rows.select(bits.alias("_bits"), *[term(day).alias(f"_t{t}") for t, term in enumerate(terms)], *[F.col(c).alias(f"_d{d}") for d, c in enumerate(ids)])
+        named = {f"_n{n}": F.count_if(_bit("_bits", n)) for n in range(len(passes))}
+        named |= {f"_s{t}_{n}": F.sum(F.when(_bit("_bits", n), F.col(f"_t{t}"))) for t in range(len(terms)) for n in range(len(passes))}
+        keys = [f"_d{d}" for d in range(len(ids))]
+        totals = rows.groupBy(*keys).agg(F.bit_or("_bits").alias("_bits"), *[c.alias(name) for name, c in named.items()])
+        sums = totals.agg(*[F.sum(name).alias(name) for name in named], *([_counts("_d0", len(passes))] if len(ids) == 1 else []))
+        for key in keys if len(keys) > 1 else []:
+            per_value = totals.groupBy(key).agg(F.bit_or("_bits").alias("_bits"))
+            sums = sums.withColumn(f"_c{key}", per_value.agg(_counts(key, len(passes))).scalar())
+        results = []
+        for n, name in enumerate(tests):
+            at, values = 0, []
+            for metric, _, parts in found:
+                own = [F.col(f"_s{at + t}_{n}") for t in range(len(parts.sums))]
+                at += len(parts.sums)
+                counts = [F.col(f"_c_d{ids.index(c)}")[n] for c in parts.distinct]
+                values.append(parts.combine(own, counts).alias(metric))
+            results.append(F.struct(F.lit(name).alias("filter_name"), F.col(f"_n{n}").alias("_rows"), *values))
+        return sums.select(F.inline(F.array(*results))).where("_rows > 0").drop("_rows")
 
     def _rows(self, home: Entity, columns: set[str], tests: list[Filter], day: Column) -> DataFrame:
         ranges = [f for f in tests if f.bounds is not None]
@@ -389,6 +440,17 @@ class SemanticModel:
         aggregate = F.sum if found[1].aggregation == "sum" else F.avg
         return found[0], (found[1].column,), aggregate(found[1].column)
 
+    def _parts(self, home: Entity, name: str) -> tuple[str, tuple[str, ...], Parts]:
+        found = _find(home.metrics, name)
+        if found is not None:
+            return found[0], found[1].columns, found[1].parts
+        key, columns, _ = self._measure(home, name, F.lit(None))
+        value = _value(columns[0])
+        if _find(home.facts, name)[1].aggregation == "sum":
+            return key, columns, Parts((value,))
+        known = lambda day: F.when(value(day).isNotNull(), 1.0)
+        return key, columns, Parts((value, known), combine=lambda sums, _: guarded_ratio(*sums))
+
     def _filter(self, home: Entity, name: str) -> Filter:
         found = _find(home.filters, name)
         if found is None:

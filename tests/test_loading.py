@@ -5,7 +5,7 @@ import json
 import urllib.parse
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 from fixtures import FIRST, SECOND, customer, invoice, line
 from pyspark.sql import functions as F
 
@@ -157,6 +157,23 @@ def test_page_gaps(raw):
     assert rows(inc.page_gaps(run)) == [("e", FIRST, 1), ("e", FIRST, 4)]
 
 
+def test_page_runs_across_blocks(spark, raw, monkeypatch):
+    monkeypatch.setattr(inc, "RUN_BLOCK", 4)
+    numbers = [0, 1, 2, 3, 4, 5, 9, 9, 10, 11, 12, 30, 31, 33]
+    run = raw("REST", *[(FIRST, "e", n, {}) for n in numbers], *[(SECOND, "f", n, {}) for n in (7, 8)])
+    odd = run.unionByName(run.limit(1).withColumn("page_number", F.lit(None).cast("bigint")))
+    runs = [("e", FIRST, 0, 5), ("e", FIRST, 9, 12), ("e", FIRST, 30, 31), ("e", FIRST, 33, 33), ("f", SECOND, 7, 8)]
+    assert rows(inc.page_runs(odd), "api_endpoint", "load_id", "first_page", "last_page") == runs
+    assert rows(inc.page_gaps(odd)) == [("e", FIRST, 5), ("e", FIRST, 12), ("e", FIRST, 31)]
+    assert inc.page_gaps(odd.where("false")).count() == 0
+
+
+def test_page_gaps_read_pages_once(spark, tmp_path):
+    spark.range(100).selectExpr("'e' AS api_endpoint", "'l' AS load_id", "id AS page_number").write.parquet(str(tmp_path / "p"))
+    text = plan(inc.page_gaps(spark.read.parquet(str(tmp_path / "p"))))
+    assert text.count("FileScan") == 1 and "Join" not in text
+
+
 def test_ingest_summary_has_a_total(raw):
     run = raw("REST", (FIRST, "a", 0, {"collection": [{}]}), (FIRST, "a", 1, {}), (FIRST, "b", 0, {"collection": [{}, {}]}))
     assert rows(inc.ingest_summary(run)) == [("a", 1, 2), ("b", 2, 1), (None, 3, 3)]

@@ -91,6 +91,25 @@ def test_by_filter_matches_single_queries(model):
     assert got == {n: orders(model, n) for n in names}
 
 
+@pytest.mark.parametrize("metrics", [
+    list(semantic.SALES_METRICS), ["total_customers", "aov", "line_revenue_dkk", "unit_price_dkk"], ["gross margin", "selling price"]])
+def test_by_filter_gives_every_metric_as_query_does(model, metrics):
+    names = list(semantic.SALES_FILTERS)
+    got = {r.filter_name: r for r in model.by_filter(names, metrics, as_of=AS_OF).collect()}
+    for name in names:
+        want = model.query(metrics=metrics, filters=[name], as_of=AS_OF).first().asDict()
+        some = orders(model, name) > 0
+        assert (name in got) == some
+        for metric, value in want.items() if some else ():
+            assert got[name][metric] == (value if value is None else pytest.approx(value)), (name, metric)
+
+
+def test_by_filter_copies_no_rows(model):
+    text = plan(model.by_filter(list(semantic.SALES_FILTERS), ["total_revenue", "total_orders"], as_of=AS_OF))
+    assert text.count("Generate") == 1 and "Expand" not in text
+    assert text.index("Generate") < text.index("HashAggregate")  # on the single row of totals only
+
+
 @pytest.mark.parametrize("name,first", [("current_year", "2025-01-01"), ("this_month", "2025-03-01"),
                                         ("last_quarter_complete", "2024-10-01"), ("last_week", "2025-03-08")])
 def test_date_filters_reach_the_scan(model, name, first):
