@@ -58,6 +58,45 @@ def new_records(records: DataFrame, endpoint: str, marks: DataFrame) -> DataFram
     return delta(records, column, row[0])
 
 
+# Where a record has what a mark is compared with, and the array of its pages, per API kind.
+RECORD_DELTAS = {
+    "REST": ("collection", {
+        "customers": ("$.lastUpdated", "last_updated_timestamp"), "products": ("$.lastUpdated", "last_updated_timestamp"),
+        "invoices/booked": ("$.bookedInvoiceNumber", "last_invoice_number")}),
+    "OPENAPI": ("items", {"invoices/booked/lines": ("$.documentId", "last_invoice_number")}),
+}
+
+
+def cut_to_marks(pages: DataFrame, kind: str, marks: DataFrame) -> DataFrame:
+    """Pages without the records that a load driven by marks would not ask for: changed before the mark (the record at it is taken
+    again), or numbered up to it. ``marks``: a row per (api_endpoint, load_id). Endpoints without a rule and loads
+    without a mark are taken whole. Records are cut inside their page, so all pages stay, some of them empty.
+    """
+    key, rules = RECORD_DELTAS[kind.upper()]
+    of = marks.select(F.col("api_endpoint").alias("_endpoint"), F.col("load_id").alias("_load"), "last_updated_timestamp", "last_invoice_number")
+    page, array = F.col("collection_json"), array_at(F.col("collection_json"), f"$.{key}")
+
+    def wanted(record: Column) -> Column:
+        keep = F.lit(True)
+        for endpoint, (path, mark) in rules.items():
+            if mark == "last_updated_timestamp":
+                new = F.col(mark).isNull() | (get(record, path, "timestamp", lenient=True) >= F.col(mark))
+            else:
+                new = (F.coalesce(F.col(mark), F.lit(0)) <= 0) | (get(record, path, "bigint", lenient=True) > F.col(mark))
+            keep = F.when(F.col("api_endpoint") == endpoint, F.coalesce(new, F.lit(False))).otherwise(keep)
+        return keep
+
+    rows = pages.join(of, F.col("api_endpoint").eqNullSafe(F.col("_endpoint")) & F.col("load_id").eqNullSafe(F.col("_load")), "left")
+    rows = rows.withColumn("_kept", F.filter(array, wanted))
+    parts = F.transform_values(page.cast("map<string,variant>"), lambda name, value: F.when(
+        name == key, F.to_variant_object("_kept")).otherwise(value))
+    cut = F.size("_kept") < F.size(array)
+    return rows.select(*[
+        F.when(cut, F.to_variant_object(parts)).otherwise(page).alias(c) if c == "collection_json"
+        else F.when(cut, F.size("_kept")).otherwise(F.col(c)).cast("bigint").alias(c) if c == "record_count_per_page"
+        else F.col(c) for c in pages.columns])
+
+
 def _largest(array: Column, path: str, type_: str) -> Column:
     return F.array_max(F.transform(array, lambda record: get(record, path, type_, lenient=True)))
 

@@ -10,7 +10,9 @@ partitioned by the batch that landed a page, so that a load may arrive in many b
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Callable
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,30 +95,19 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_SCHEMA).parquet(path).select(*RAW_COLUMNS)
 
 
-def landed_elsewhere(spark: SparkSession, path: str, batch: str) -> DataFrame | None:
-    """(api_endpoint, load_id, page_number) of pages that other batches have landed; None before the first."""
-    try:
-        stored = spark.read.schema(RAW_SCHEMA).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return stored.where(F.col("batch") != batch).select("api_endpoint", "load_id", "page_number")
-
-
-def not_in(raw: DataFrame, landed: DataFrame | None) -> DataFrame:
-    """Pages that are not among the landed ones; unnumbered pages of a load count as one page."""
-    if landed is None:
-        return raw
-    keys = ["api_endpoint", "load_id", "page_number"]
-    other = landed.distinct().toDF(*[f"_{k}" for k in keys])
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return raw.join(other, same, "left_anti")
-
-
-def read_batch(spark: SparkSession, path: str, batch: str) -> DataFrame:
-    """The pages one batch has landed."""
-    stored = spark.read.schema(RAW_SCHEMA).parquet(path)
-    return stored.where(F.col("batch") == batch).select(*RAW_COLUMNS)
+def drop_loads(spark: SparkSession, path: str, older: Callable[[str, str], bool]) -> None:
+    """Remove the partitions of loads for which ``older`` (endpoint, load) holds. Only names are read, not pages."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "api_endpoint=*/load_id=*")) or ():
+        folder = status.getPath()
+        endpoint, load = (unquote(f.getName().split("=", 1)[1]) for f in (folder.getParent(), folder))
+        if older(endpoint, load):
+            fs.delete(folder, True)
+
+
+def read_batch(spark: SparkSession, path: str, batch: str, of: Column | None = None) -> DataFrame:
+    """The pages one batch has landed; ``of`` names its loads, so that no other partition is looked at."""
+    stored = spark.read.schema(RAW_SCHEMA).parquet(path).where(F.col("batch") == batch)
+    return (stored if of is None else stored.where(of)).select(*RAW_COLUMNS)

@@ -44,6 +44,7 @@ NULLABLE_WHOLE = {
     "inc4_update_marks": ("last_invoice_number",),
     "inc5_seeded_marks": ("last_invoice_number",),
     "inc7_stream_landing": ("mark",),
+    "inc10_mark_driven_landing": ("mark",),
     "cst1_try_number": ("number",),
 }
 NULLABLE_FLAGS = {

@@ -16,8 +16,8 @@ from ledgerlake.plans import bronze
 from ledgerlake.plans import packaging as pkg
 from ledgerlake.plans import reports
 from ledgerlake.session import scratch_path
-from ledgerlake.sources import config, files, pages, store
-from ledgerlake.streaming.landing import start_landing
+from ledgerlake.sources import config, files, page_index, pages, store
+from ledgerlake.streaming.landing import land_once, start_landing
 from ledgerlake.workload import standins as st
 from ledgerlake.workload.entity_queries import BULK_PAGES_SQL, EXPIRED, REST_PAGES_SQL, SHOP_PAGES_SQL
 from ledgerlake.workload.registry import query
@@ -155,25 +155,28 @@ def jsn1(spark, sf):
     return parsed.groupBy(variants.get(F.col("doc"), "$.k", "bigint").alias("k")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("jsn2_path_access", "SELECT c_custkey, CAST(c_nationkey % 3 AS BIGINT) AS grp, CAST(NULL AS VARCHAR) AS missing FROM customer")
+@query("jsn2_path_access", """
+SELECT c_custkey, CAST(c_nationkey % 3 AS BIGINT) AS grp, CAST(NULL AS VARCHAR) AS missing FROM customer
+UNION ALL SELECT c_custkey, CAST(c_nationkey % 3 AS BIGINT), NULL FROM customer WHERE c_mktsegment = 'BUILDING'""")
 def jsn2(spark, sf):
-    raw = st.raw(st.customer_pages(spark, sf).filter(F.col("load_id") == st.FIRST_LOAD), "REST")
+    raw = st.raw(st.customer_pages(spark, sf), "REST")
     return variants.flatten(raw, "customers", "$.collection", {
         "c_custkey": ("$.customerNumber", "bigint"), "grp": ("$.customerGroup.customerGroupNumber", "bigint"),
         "missing": ("$.customergroup.customerGroupNumber", "string")}).select("c_custkey", "grp", "missing")
 
 
-@query("jsn3_typed_casts", """
+@query("jsn3_typed_casts", f"""
 SELECT o_orderkey AS number, CAST(round(o_totalprice) AS BIGINT) AS whole, o_totalprice AS amount,
        CAST(o_orderkey AS VARCHAR) AS text,
-       CASE WHEN o_totalprice >= 2000 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day
-FROM orders""")
+       CASE WHEN o_totalprice >= 2000 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day, load_id
+FROM (SELECT *, '{st.FIRST_LOAD}' AS load_id FROM orders
+      UNION ALL SELECT *, '{st.SECOND_LOAD}' FROM orders WHERE o_orderstatus = 'P')""")
 def jsn3(spark, sf):
-    raw = st.raw(st.invoice_pages(spark, sf).filter(F.col("load_id") == st.FIRST_LOAD), "REST")
+    raw = st.raw(st.invoice_pages(spark, sf), "REST")
     return variants.flatten(raw, "invoices/booked", "$.collection", {
         "number": ("$.bookedInvoiceNumber", "bigint"), "whole": ("$.netAmount", "decimal(38,0)"),
         "amount": ("$.netAmount", "double"), "text": ("$.bookedInvoiceNumber", "string"),
-        "day": ("$.date", "date")}).select("number", "whole", "amount", "text", "day")
+        "day": ("$.date", "date")}).select("number", "whole", "amount", "text", "day", F.col("api_timestamp").cast("string").alias("load_id"))
 
 
 @query("jsn4_flatten", """
@@ -278,6 +281,52 @@ def inc7(spark, sf):
     return totals.join(marks, "api_endpoint", "left")
 
 
+@query("inc7_page_index", f"""
+SELECT api_endpoint, loaded AS load_id, CAST(count(*) AS BIGINT) AS pages, CAST(0 AS BIGINT) AS again
+FROM ({REST_PAGES_SQL}) GROUP BY 1, 2""")
+def inc7_index(spark, sf):
+    """The same folder landed by two sources: the second finds every page in the index of its load."""
+    landed = st.customer_pages(spark, sf).unionByName(st.product_pages(spark, sf)).unionByName(st.invoice_pages(spark, sf))
+    root, base = _landed(spark, landed), scratch_path(spark, "index")
+    for source in ("one", "two"):
+        land_once(spark, root, "REST", f"{base}/raw", f"{base}/marks", 0, NOW, lines=True, source=source)
+    found = page_index.read_index(spark, f"{base}/raw").groupBy("api_endpoint", "load_id", "batch").agg(
+        F.sum(F.bitmap_count("pages")).alias("pages"))
+    again = F.coalesce(F.sum(F.when(F.col("batch") == "two-0", F.col("pages"))), F.lit(0))
+    return found.groupBy("api_endpoint", "load_id").agg(
+        F.sum(F.when(F.col("batch") == "one-0", F.col("pages"))).alias("pages"), again.alias("again"))
+
+
+EARLY = "o_orderkey < 9000"
+
+
+@query("inc10_mark_driven_landing", f"""
+WITH mark AS (SELECT max(o_orderkey) AS m FROM orders WHERE {EARLY}),
+late AS (SELECT o_orderkey FROM orders, mark WHERE o_orderkey > m)
+SELECT 'invoices/booked' AS api_endpoint, (SELECT CAST(count(*) AS BIGINT) FROM orders WHERE {EARLY}) AS first_load,
+       (SELECT CAST(count(*) AS BIGINT) FROM late) AS second_load,
+       (SELECT CAST(count(*) AS BIGINT) FROM orders WHERE {EARLY}) + (SELECT CAST(count(*) AS BIGINT) FROM late) AS total,
+       (SELECT greatest(max(o_orderkey), (SELECT m FROM mark)) FROM orders) AS mark
+UNION ALL
+SELECT 'customers', CAST(count(*) AS BIGINT), CAST(count(*) FILTER (c_nationkey >= (SELECT max(c_nationkey) FROM customer)) AS BIGINT),
+       CAST(count(*) + count(*) FILTER (c_nationkey >= (SELECT max(c_nationkey) FROM customer)) AS BIGINT), NULL FROM customer""")
+def inc10(spark, sf):
+    """Two loads, the second with all records of the table: only those beyond the marks of the first reach RAW."""
+    orders, key = st.table(spark, sf, "orders"), F.col("o_orderkey")
+    record = F.struct(key.alias("bookedInvoiceNumber"), F.col("o_totalprice").alias("netAmount"))
+    people = st.customer_record(F.lit("Old Town"))
+    base = scratch_path(spark, "driven")
+    for version, (load, rows) in enumerate(((st.FIRST_LOAD, orders.where(EARLY)), (st.SECOND_LOAD, orders))):
+        landed = st.landed(rows, "invoices/booked", "collection", load, st.page_of(key), record).unionByName(
+            st.landed(st.table(spark, sf, "customer"), "customers", "collection", load, st.page_of(F.col("c_custkey")), people))
+        land_once(spark, _landed(spark, landed), "REST", f"{base}/raw", f"{base}/marks", version, NOW, lines=True, only_new=True)
+    records = {name: F.sum(F.when(F.col("load_id") == load, F.col("record_count_per_page"))).alias(name)
+               for name, load in (("first_load", st.FIRST_LOAD), ("second_load", st.SECOND_LOAD))}
+    marks = store.read_marks(spark, f"{base}/marks", lambda: inc.seed_marks(spark, NOW)).select(
+        "api_endpoint", F.col("total_records_loaded").alias("total"), F.nullif("last_invoice_number", F.lit(0)).alias("mark"))
+    return pages.read_raw(spark, f"{base}/raw").groupBy("api_endpoint").agg(*records.values()).join(marks, "api_endpoint")
+
+
 @query("inc8_load_completeness", """
 WITH p AS (SELECT event_id // 1000 AS page, count(*) AS n FROM events GROUP BY 1)
 SELECT 'invoices/booked/lines' AS api_endpoint, CAST(count(*) AS BIGINT) AS page_count, CAST(sum(n) AS BIGINT) AS records,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import incremental as inc
 from ledgerlake.plans import bronze, reports
-from ledgerlake.sources import config, files, pages, store
+from ledgerlake.sources import config, files, page_index, pages, store
 from ledgerlake.streaming.landing import land_batch, land_once, start_landing
 
 T1, T2 = dt.datetime(2025, 1, 1, 6), dt.datetime(2025, 2, 1, 6)
@@ -279,3 +279,107 @@ def test_inactive_endpoints_are_not_landed(spark, tmp_path):
     land_once(spark, str(tmp_path / "in"), "REST", raw_path, marks_path, 0, T1, endpoints=config)
     assert rows(pages.read_raw(spark, raw_path), "api_endpoint") == [("invoices/booked",)]
     assert _marks(spark, marks_path)["customers"].total_records_loaded == 0
+
+
+def test_shop_endpoints_may_have_different_loads(spark, tmp_path):
+    """Loads of one run named apart per endpoint: each endpoint keeps its newest one."""
+    root, raw_path, check = (str(tmp_path / d) for d in ("in", "raw", "check"))
+
+    def run():
+        start_landing(spark, root, "SHOP", raw_path, str(tmp_path / "marks"), check, lambda: T1, files_per_batch=2).awaitTermination()
+        return rows(pages.read_raw(spark, raw_path), "api_endpoint", "load_id", "page_number")
+
+    land(tmp_path / "in", "products", "2025-01-01 06:00", 0, {"products": [{"id": 1}]})
+    land(tmp_path / "in", "products", "2025-01-01 06:00", 1, {"products": [{"id": 2}]})
+    land(tmp_path / "in", "categories", "2025-01-01 06:07", 0, {"categories": [{"id": 1}]})
+    land(tmp_path / "in", "combinations", "2025-01-01 06:09", 0, {"combinations": [{"id": 1}]})
+    first = [("categories", "2025-01-01 06:07", 0), ("combinations", "2025-01-01 06:09", 0),
+             ("products", "2025-01-01 06:00", 0), ("products", "2025-01-01 06:00", 1)]
+    assert run() == first
+    land(tmp_path / "in", "products", "2025-02-01 06:00", 0, {"products": [{"id": 3}]})
+    land(tmp_path / "in", "categories", "2024-12-01 06:00", 0, {"categories": [{"id": 9}]})  # older than what is there
+    assert run() == [*first[:2], ("products", "2025-02-01 06:00", 0)]
+    index = page_index.read_index(spark, raw_path)
+    assert rows(index.select("api_endpoint", "load_id").distinct()) == [(e, at) for e, at, _ in [*first[:2], ("products", "2025-02-01 06:00", 0)]]
+
+
+def test_a_batch_meets_its_own_loads_only(spark, tmp_path):
+    raw_path, marks_path = str(tmp_path / "raw"), str(tmp_path / "marks")
+    for version, load in enumerate("abc"):
+        for n in (0, 40_000):
+            land(tmp_path / load, "invoices/booked", load, n, {"collection": [invoice(n + version)]})
+        land_once(spark, str(tmp_path / load), "REST", raw_path, marks_path, version, T1)
+    batch = pages.read_pages(spark, str(tmp_path / "b"), "REST")
+    loads = page_index.loads_of(batch)
+    landed = page_index.landed_by_others(spark, raw_path, "once-9", loads)
+    assert {r[0].split("load_id=")[1][0] for r in landed.select(F.input_file_name()).collect()} == {"b"}
+    text = plan(page_index.not_landed(batch, landed))
+    assert "PartitionFilters" in text and "load_id#" in text.split("PartitionFilters: [")[-1].split("]")[0]
+    assert page_index.not_landed(batch, landed).count() == 0
+    assert page_index.not_landed(batch, page_index.landed_by_others(spark, raw_path, "once-1", loads)).count() == 2
+    mine = pages.read_batch(spark, raw_path, "once-1", page_index.of_loads(loads))
+    assert {r[0].split("load_id=")[1][0] for r in mine.select("page_number").select(F.input_file_name()).collect()} <= {"b"}
+
+
+def test_index_of_odd_page_numbers(spark, tmp_path, raw):
+    numbers = [0, 1, 7, 8, 32767, 32768, 32769, -1, -32768, 10**12]
+    path = str(tmp_path / "raw")
+    some = raw("REST", *[(FIRST, "e", n, {}) for n in numbers[::2]])
+    nameless = some.limit(1).withColumn("page_number", F.lit(None).cast("bigint"))
+    pages.append_raw(some, path, "one")  # a store without an index gets one
+    asked = raw("REST", *[(FIRST, "e", n, {}) for n in numbers]).unionByName(nameless)
+    loads = page_index.loads_of(asked)
+    new = page_index.not_landed(asked, page_index.landed_by_others(spark, path, "two", loads))
+    assert sorted(r.page_number for r in new.collect() if r.page_number is not None) == sorted(numbers[1::2])
+    pages.append_raw(nameless, path, "three")
+    page_index.write_index(spark, path, "three", {load: 5 for load in loads})
+    landed = page_index.landed_by_others(spark, path, "two", loads)
+    assert page_index.not_landed(asked, landed).where("page_number IS NULL").count() == 0
+    assert page_index.starts(landed, [*loads, ("e", "new")], 7) == {loads[0]: 0, ("e", "new"): 7}
+
+
+def test_only_records_beyond_the_marks_land(spark, tmp_path):
+    raw_path, bulk_path, marks_path = (str(tmp_path / d) for d in ("raw", "bulk", "marks"))
+
+    def run(folder, kind, version, path):
+        land_once(spark, str(tmp_path / folder), kind, path, marks_path, version, T1, only_new=True)
+        return _marks(spark, marks_path)
+
+    land(tmp_path / "a", "customers", "a", 0, {"collection": [customer(1, lastUpdated="2025-01-02T00:00:00Z"), customer(2)], "pagination": {"n": 1}})
+    land(tmp_path / "a", "invoices/booked", "a", 0, {"collection": [invoice(4), invoice(6)]})
+    land(tmp_path / "a", "other", "a", 0, {"collection": [{"x": 1}]})
+    land(tmp_path / "al", "invoices/booked/lines", "a", 0, {"items": [line(4, 1), line(6, 1)]})
+    assert run("a", "REST", 0, raw_path)["invoices/booked"].total_records_loaded == 2
+    run("al", "OPENAPI", 0, bulk_path)
+    land(tmp_path / "b", "customers", "b", 0, {"collection": [
+        customer(1, lastUpdated="2025-01-01T00:00:00Z"), customer(3, lastUpdated="2025-01-02T00:00:00Z"),
+        customer(4, lastUpdated="2025-03-02T00:00:00Z")], "pagination": {"n": 2}})
+    land(tmp_path / "b", "invoices/booked", "b", 0, {"collection": [invoice(5), invoice(6)]})
+    land(tmp_path / "b", "invoices/booked", "b", 1, {"collection": [invoice(9), invoice(2)]})
+    land(tmp_path / "b", "other", "b", 0, {"collection": [{"x": 1}]})
+    land(tmp_path / "bl", "invoices/booked/lines", "b", 0, {"items": [line(6, 2), line(7, 1)]})
+    for _ in range(2):
+        marks = run("b", "REST", 1, raw_path)
+        assert (marks["invoices/booked"].total_records_loaded, marks["invoices/booked"].last_run_records) == (3, 1)
+        assert (marks["customers"].total_records_loaded, str(marks["customers"].last_updated_timestamp)) == (4, "2025-03-02 00:00:00")
+        assert (marks["invoices/booked"].last_invoice_number, marks["other"].total_records_loaded) == (9, 2)
+    assert run("bl", "OPENAPI", 1, bulk_path)["invoices/booked/lines"].total_records_loaded == 3
+    second = pages.read_raw(spark, raw_path).where("load_id = 'b'")
+    assert rows(second, "api_endpoint", "page_number", "record_count_per_page") == [
+        ("customers", 0, 2), ("invoices/booked", 0, 0), ("invoices/booked", 1, 1), ("other", 0, 1)]
+    kept = second.where("api_endpoint = 'customers'").select(F.to_json("collection_json").alias("j")).first().j
+    assert [r["customerNumber"] for r in json.loads(kept)["collection"]] == [3, 4] and json.loads(kept)["pagination"] == {"n": 2}
+    assert rows(bronze.invoices(pages.read_raw(spark, raw_path)), "invoice_number") == [(4,), (6,), (9,)]
+
+
+def test_pages_of_a_load_follow_the_marks_it_began_with(spark, tmp_path):
+    """The page with high numbers comes first; the marks it sets must not cut the other pages of its load."""
+    root, raw_path, marks_path = (str(tmp_path / d) for d in ("in", "raw", "marks"))
+    land(tmp_path / "in", "invoices/booked", "a", 0, {"collection": [invoice(3)]})
+    for n, numbers in ((0, (8, 9)), (1, (2, 4, 5))):
+        start_landing(spark, root, "REST", raw_path, marks_path, str(tmp_path / "check"), lambda: T1, only_new=True).awaitTermination()
+        land(tmp_path / "in", "invoices/booked", "b", n, {"collection": [invoice(i) for i in numbers]})
+    start_landing(spark, root, "REST", raw_path, marks_path, str(tmp_path / "check"), lambda: T1, only_new=True).awaitTermination()
+    assert rows(bronze.invoices(pages.read_raw(spark, raw_path)), "invoice_number") == [(3,), (4,), (5,), (8,), (9,)]
+    mark = _marks(spark, marks_path)["invoices/booked"]
+    assert mark.total_records_loaded == 5
