@@ -368,7 +368,11 @@ class SemanticModel:
         found = [self._parts(home, m) for m in metrics]
         columns = {c for _, cs, _ in found for c in cs} | {f.column for f in tests.values()}
         passes = [f.build(day) for f in tests.values()]
-        rows = self._rows(home, columns, [], day).filter(reduce(or_, passes))
+        ranges = [f.bounds(day) for f in tests.values() if f.bounds is not None]
+        months = self.month_partition if home.name == "sales" and len(ranges) == len(tests) else None
+        rows = self._rows(home, columns | ({months} if months else set()), [], day).filter(reduce(or_, passes))
+        if months:
+            rows = rows.filter(reduce(or_, (dates.within_month(F.col(months), r) for r in ranges)))
         # One bit per filter. Sums are kept per filter; distinct values are counted once per value, by the bits of its rows.
         bits = reduce(lambda a, b: a.bitwiseOR(b), (F.when(p, F.lit(1 << n)).otherwise(F.lit(0)).cast("bigint") for n, p in enumerate(passes)))
         terms = [term for _, _, parts in found for term in parts.sums]

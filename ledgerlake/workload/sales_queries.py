@@ -10,6 +10,7 @@ from ledgerlake.plans import dims, facts, reports, verified
 from ledgerlake.plans.semantic import SemanticModel
 from ledgerlake.session import scratch_path
 from ledgerlake.sources import store
+from ledgerlake.sources.month_store import MonthStore
 from ledgerlake.workload import standins as st
 from ledgerlake.workload.registry import query
 from ledgerlake.workload.sql_parts import (
@@ -21,6 +22,11 @@ AOV = "round(sum(line_revenue_dkk) / nullif(count(DISTINCT invoice_id), 0), 6) A
 UNITS = "round(sum(quantity_sold), 2) AS units"
 MATCHED = "prestashop_match_status = 'Matched'"
 
+
+def today():
+    return dates.as_of_date(st.AS_OF)
+
+
 # --- sales fact -----------------------------------------------------------------------------------------------------
 
 FACT_COLUMNS = [c for c in facts.sales_columns() if c != "data_last_refreshed"]
@@ -241,19 +247,20 @@ _FILTER_SQL = {
 }
 
 
-def _filters(name: str, names: list[str]) -> None:
+def _filters(name: str, names: list[str], model=st.model) -> None:
     sql = " UNION ALL ".join(
         f"SELECT '{n}' AS filter_name, {AGG} FROM sales WHERE {_FILTER_SQL[n]} HAVING count(*) > 0" for n in names)
 
     @query(name, on_sales(sql))
     def run(spark, sf):
-        return st.model(spark, sf).by_filter(names, metrics=["total_revenue", "total_orders"], as_of=st.AS_OF) \
+        return model(spark, sf).by_filter(names, metrics=["total_revenue", "total_orders"], as_of=st.AS_OF) \
             .toDF("filter_name", "revenue", "orders")
 
 
-_filters("sem8_rolling_filters", ["last_week", "last_month", "last_quarter"])
+_filters("sem8_rolling_filters", ["last_week", "last_month", "last_quarter"], st.stored_model)
 _filters("sem9_calendar_filters", [
-    "current_year", "last_year", "this_month", "last_month_complete", "this_quarter", "last_quarter_complete"])
+    "current_year", "last_year", "this_month", "last_month_complete", "this_quarter", "last_quarter_complete"],
+         st.stored_model)
 _filters("sem10_value_filters", [
     "matched_products", "product_sales_only", "b2b_only", "b2c_only", "top_categories", "scandinavia", "dach_region",
     "western_europe"])
@@ -300,20 +307,20 @@ def sem13(spark, sf):
     f"SELECT round(sum(line_revenue_dkk), 2) AS total_revenue_dkk, CAST(count(DISTINCT invoice_id) AS BIGINT) AS orders "
     f"FROM sales WHERE sale_date >= {AS_OF} - 7"))
 def vq1(spark, sf):
-    return verified.last_week_revenue(st.model(spark, sf), st.AS_OF)
+    return verified.last_week_revenue(st.stored_model(spark, sf), st.AS_OF)
 
 
 @query("vq2_last_month_by_category", on_sales(
     f"SELECT category, {AGG}, {UNITS} FROM sales WHERE sale_date >= {AS_OF} - 30 AND {MATCHED} GROUP BY category"))
 def vq2(spark, sf):
-    return verified.last_month_by_category(st.model(spark, sf), st.AS_OF)
+    return verified.last_month_by_category(st.stored_model(spark, sf), st.AS_OF)
 
 
 @query("vq3_b2b_vs_b2c_last_quarter", on_sales(
     f"SELECT customer_segment, CAST(count(DISTINCT customer_id) AS BIGINT) AS customers, {AGG}, {AOV} "
     f"FROM sales WHERE sale_date >= {AS_OF} - 90 GROUP BY customer_segment"), aov=6)
 def vq3(spark, sf):
-    return verified.segments_last_quarter(st.model(spark, sf), st.AS_OF)
+    return verified.segments_last_quarter(st.stored_model(spark, sf), st.AS_OF)
 
 
 @query("vq4_top_products_this_month", on_sales(f"""
@@ -321,20 +328,20 @@ SELECT product_sku, product_name, category, size, color, {UNITS}, round(sum(line
 FROM sales WHERE sale_date >= date_trunc('month', {AS_OF}) AND {MATCHED}
 GROUP BY 1, 2, 3, 4, 5 ORDER BY revenue DESC, product_sku LIMIT 10"""))
 def vq4(spark, sf):
-    return verified.top_products_this_month(st.model(spark, sf), st.AS_OF)
+    return verified.top_products_this_month(st.stored_model(spark, sf), st.AS_OF)
 
 
 @query("vq5_monthly_trend", on_sales(f"""
 SELECT CAST(CAST(date_trunc('month', sale_date) AS DATE) AS VARCHAR) AS month, {AGG}, {AOV}
 FROM sales WHERE year(sale_date) = {st.TREND_YEAR} GROUP BY 1"""), aov=6)
 def vq5(spark, sf):
-    return verified.monthly_trend(st.model(spark, sf), st.TREND_YEAR)
+    return verified.monthly_trend(st.stored_model(spark, sf), st.TREND_YEAR)
 
 
 @query("vq6_sales_by_country_last_month", on_sales(
     f"SELECT delivery_country, {AGG} FROM sales WHERE sale_date >= {AS_OF} - 30 GROUP BY delivery_country"))
 def vq6(spark, sf):
-    return verified.countries_last_month(st.model(spark, sf), st.AS_OF)
+    return verified.countries_last_month(st.stored_model(spark, sf), st.AS_OF)
 
 
 @query("vq7_size_color_performance_ytd", on_sales(f"""
@@ -342,29 +349,29 @@ SELECT size, color, {UNITS}, round(sum(line_revenue_dkk), 2) AS revenue
 FROM sales WHERE year(sale_date) = year({AS_OF}) AND {MATCHED} GROUP BY 1, 2
 ORDER BY revenue DESC, size NULLS LAST, color NULLS LAST LIMIT 20"""))
 def vq7(spark, sf):
-    return verified.size_colour_this_year(st.model(spark, sf), st.AS_OF)
+    return verified.size_colour_this_year(st.stored_model(spark, sf), st.AS_OF)
 
 
 @query("vq8_week_over_week", on_sales(f"""
 SELECT CASE WHEN sale_date >= {AS_OF} - 7 THEN 'This Week' ELSE 'Last Week' END AS period, {AGG}, {UNITS}
 FROM sales WHERE sale_date >= {AS_OF} - 14 GROUP BY 1"""))
 def vq8(spark, sf):
-    return verified.week_over_week(
-        st.sales(spark, sf, "sale_date", "line_revenue_dkk", "invoice_id", "quantity_sold"), st.AS_OF)
+    return verified.week_over_week(st.published(spark, sf).read(
+        ["sale_date", "line_revenue_dkk", "invoice_id", "quantity_sold"], dates.last_days(today(), 14)), st.AS_OF)
 
 
 @query("vq9_top_customers_last_quarter", on_sales(f"""
 SELECT customer_name, customer_segment, delivery_country, {AGG} FROM sales WHERE sale_date >= {AS_OF} - 90
 GROUP BY 1, 2, 3 ORDER BY revenue DESC, customer_name, delivery_country LIMIT 10"""))
 def vq9(spark, sf):
-    return verified.top_customers_last_quarter(st.model(spark, sf), st.AS_OF)
+    return verified.top_customers_last_quarter(st.stored_model(spark, sf), st.AS_OF)
 
 
 @query("vq10_category_by_segment_this_year", on_sales(f"""
 SELECT customer_segment, category, {UNITS}, round(sum(line_revenue_dkk), 2) AS revenue
 FROM sales WHERE year(sale_date) = year({AS_OF}) AND {MATCHED} GROUP BY 1, 2"""))
 def vq10(spark, sf):
-    return verified.categories_by_segment(st.model(spark, sf), st.AS_OF)
+    return verified.categories_by_segment(st.stored_model(spark, sf), st.AS_OF)
 
 
 @query("vq11_yoy_growth_by_category", on_sales(f"""
@@ -374,12 +381,41 @@ SELECT category, round({_YEAR.format(AS_OF, 0)}, 2) AS current_year_revenue,
          AS growth_pct
 FROM sales WHERE {MATCHED} AND year(sale_date) IN (year({AS_OF}), year({AS_OF}) - 1) GROUP BY category"""), growth_pct=6)
 def vq11(spark, sf):
-    return verified.category_growth(
-        st.sales(spark, sf, "sale_date", "line_revenue_dkk", "category", "prestashop_match_status"), st.AS_OF)
+    years = dates.year_of(today(), -1)[0], dates.year_of(today())[1]
+    return verified.category_growth(st.published(spark, sf).read(
+        ["sale_date", "line_revenue_dkk", "category", "prestashop_match_status"], years), st.AS_OF)
 
 
 # --- published fact -------------------------------------------------------------------------------------------------
 
+_MONTH_ROWS = """
+SELECT CAST(CAST(date_trunc('month', sale_date) AS DATE) AS VARCHAR) AS month, CAST(count(*) AS BIGINT) AS n,
+       round(sum(line_revenue_dkk), 2) AS revenue FROM sales GROUP BY 1"""
+
+
+def _stored_months(store):
+    return store.read(["sale_month", "line_revenue_dkk"]).groupBy(F.col("sale_month").alias("month")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("line_revenue_dkk").alias("revenue"))
+
+
+@query("pub1_publish_months", on_sales(_MONTH_ROWS))
+def pub1(spark, sf):
+    """A publication of the whole fact into a new store: what the questions on months save, and what it costs once."""
+    return _stored_months(st.publish(spark, sf))
+
+
+@query("pub2_republish_changed_months", on_sales(f"""
+SELECT m.*, date_trunc('month', CAST(m.month AS DATE)) = date_trunc('month', {AS_OF}) AS rewritten FROM ({_MONTH_ROWS}) m"""))
+def pub2(spark, sf):
+    """A fact that lacks half of one month's lines, then the whole one: the second publication writes that month only."""
+    fact = st.sales(spark, sf)
+    within = dates.within(F.col("sale_date"), dates.month_of(today())) & (F.col("line_id") % 2 == 0)
+    store = MonthStore(spark, scratch_path(spark, "sales-again"), fact.schema)
+    store.publish(fact.where(~within))
+    changed = store.publish(fact)
+    return _stored_months(store).withColumn("rewritten", F.col("month").isin(changed))
+
+
 @query("vq3_from_published_fact", on_sales(
     f"SELECT customer_segment, CAST(count(DISTINCT customer_id) AS BIGINT) AS customers, {AGG}, {AOV} "
     f"FROM sales WHERE sale_date >= {AS_OF} - 90 GROUP BY customer_segment"), aov=6)
@@ -406,7 +442,7 @@ SELECT round(sum(line_revenue_dkk) FILTER (sale_date < {AS_OF}), 2) AS revenue,
        round(sum(CASE WHEN customer_segment = 'B2C' THEN line_revenue_dkk ELSE 0 END), 2) AS b2c_revenue
 FROM sales WHERE sale_date >= {AS_OF} - 7"""), aov=6)
 def rpt1(spark, sf):
-    return reports.weekly_kpis(st.sales(spark, sf, *reports.WEEKLY_COLUMNS), st.AS_OF)
+    return reports.weekly_kpis(st.published(spark, sf).read(reports.WEEKLY_COLUMNS, dates.last_days(today(), 7)), st.AS_OF)
 
 
 @query("rpt2_sales_alert", on_sales(f"""
@@ -418,7 +454,8 @@ FROM (SELECT round(sum(line_revenue_dkk) FILTER (sale_date >= {AS_OF} - 7), 2) A
              CAST(count(DISTINCT invoice_id) FILTER (sale_date >= {AS_OF} - 7) AS BIGINT) AS this_week_orders
       FROM sales WHERE sale_date >= {AS_OF} - 14)"""), decline_pct=6)
 def rpt2(spark, sf):
-    return reports.sales_alert(st.sales(spark, sf, "sale_date", "line_revenue_dkk", "invoice_id"), 150000, st.AS_OF)
+    recent = st.published(spark, sf).read(["sale_date", "line_revenue_dkk", "invoice_id"], dates.last_days(today(), 14))
+    return reports.sales_alert(recent, 150000, st.AS_OF)
 
 
 @query("rpt3_market_overview", on_sales(f"""
@@ -483,7 +520,8 @@ def rpt7(spark, sf):
 SELECT packaging_match_status, CAST(count(*) AS BIGINT) AS lines, CAST(count(DISTINCT sku) AS BIGINT) AS unique_skus
 FROM epr WHERE sale_date >= {AS_OF} - INTERVAL 1 YEAR GROUP BY 1"""))
 def rpt10(spark, sf):
-    return reports.packaging_match_quality(_epr(spark, sf), st.AS_OF)
+    year = st.published(spark, sf).read(facts.EPR_SALES_COLUMNS, (F.add_months(today(), -12), None))
+    return reports.packaging_match_quality(facts.epr_detail(year, _packaging_dim(spark, sf)), st.AS_OF)
 
 
 @query("rpt12_view_counts", on_sales("""

@@ -14,6 +14,8 @@ from ledgerlake.operators.variants import parse
 from ledgerlake.plans import dims
 from ledgerlake.plans.facts import DeferredSources, sales_detail
 from ledgerlake.plans.semantic import SemanticModel
+from ledgerlake.session import scratch_path
+from ledgerlake.sources.month_store import MonthStore
 from ledgerlake.sources.pages import to_raw
 
 AS_OF = "2001-08-02"
@@ -186,6 +188,30 @@ def sales(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     return sales_detail(sources(spark, sf), columns or None)
 
 
+_PUBLISHED: dict[tuple[str, str], MonthStore] = {}
+
+
+def publish(spark: SparkSession, sf: str) -> MonthStore:
+    """The whole fact in a new store by month: the work of a scheduled publication."""
+    fact = sales(spark, sf)
+    store = MonthStore(spark, scratch_path(spark, "sales-by-month"), fact.schema)
+    store.publish(fact, source=sf)
+    return store
+
+
+def published(spark: SparkSession, sf: str) -> MonthStore:
+    """The store that questions read, published once per session; they do not publish themselves."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _PUBLISHED:
+        _PUBLISHED[key] = publish(spark, sf)
+    return _PUBLISHED[key]
+
+
+def stored_model(spark: SparkSession, sf: str) -> SemanticModel:
+    """The model on the published fact: periods are months of it."""
+    return SemanticModel({**model(spark, sf).frames, "sales": published(spark, sf).read}, month_partition="sale_month")
+
+
 def model(spark: SparkSession, sf: str) -> SemanticModel:
     return SemanticModel({
         "sales": lambda columns: sales(spark, sf, *columns),
