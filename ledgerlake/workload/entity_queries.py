@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlake.functions import lookups as lk
 from ledgerlake.operators import keys
 from ledgerlake.plans import bronze, dims, expired, reports
 from ledgerlake.plans.facts import sales_detail
@@ -13,7 +12,7 @@ from ledgerlake.workload import standins as st
 from ledgerlake.workload.end_to_end import LINE_TIES, full_warehouse
 from ledgerlake.workload.registry import query
 from ledgerlake.workload.sql_parts import (
-    COUNTRY_CASE, INVOICES, LINE_FIELDS, LINES, PACKAGING, currency, in_list, pick, rate, with_parts,
+    ADJUSTMENTS, COUNTRY_CASE, INVOICES, LINE_FIELDS, LINES, PACKAGING, currency, pick, rate, with_parts,
 )
 
 FIRST, SECOND = f"'{st.FIRST_LOAD}'", f"'{st.SECOND_LOAD}'"
@@ -148,7 +147,7 @@ def rpt8_endpoints(spark, sf):
 # --- expired SKUs ---------------------------------------------------------------------------------------------------
 
 _EXPIRED_TIES = ", ".join(f"{c} NULLS LAST" for c in ["SKU", "PRODUCT", "COLOR", "SIZE", "EAN", "CATEGORY_NO", "CATEGORY_NAME"])
-STAMP = f"'{lk.EXPIRED_STAMP}'"
+STAMP = "'2024-01-01 00:00:00'"  # a fixed value
 EXPIRED = f"""ex AS (
   SELECT CASE WHEN p_size = 1 THEN '  ' WHEN p_size <> 2 THEN ' ' || p_name END AS PRODUCT,
          CASE WHEN p_size <> 3 THEN split_part(p_name, ' ', 1) END AS COLOR,
@@ -388,7 +387,7 @@ ln AS (
 
 
 @query("entry_category_revenue_from_pages", with_parts(f"""
-SELECT CASE WHEN ln.sku = 'Diverse' THEN 'B2B Wholesale' WHEN ln.sku IN {in_list(lk.ADJUSTMENT_SKUS)} THEN 'Adjustments'
+SELECT CASE WHEN ln.sku = 'Diverse' THEN 'B2B Wholesale' WHEN ln.sku IN {ADJUSTMENTS} THEN 'Adjustments'
             ELSE coalesce(e.category_name, 'Uncategorized') END AS category,
        coalesce(e.size, 'none') AS size, {COUNTRY_CASE} AS delivery_country,
        CASE c_nationkey % 3 WHEN 1 THEN 'B2C' WHEN 2 THEN 'B2B' ELSE 'Unknown' END AS customer_segment,
@@ -410,7 +409,7 @@ SELECT CASE c_nationkey % 3 WHEN 1 THEN 'B2C' WHEN 2 THEN 'B2B' ELSE 'Unknown' E
        round(sum(ln.quantity * k.carton_kg_per_unit::DOUBLE), 3) AS carton_kg
 FROM ln JOIN inv ON ln.invoice_number = inv.invoice_number AND invoice_date IS NOT NULL
   JOIN customer ON customer_number = c_custkey LEFT JOIN dim_pkg k ON ln.sku = k.sku
-WHERE ln.quantity > 0 AND ln.sku NOT IN {in_list([*lk.ADJUSTMENT_SKUS, lk.WHOLESALE_SKU])}
+WHERE ln.quantity > 0 AND ln.sku NOT IN {ADJUSTMENTS} AND ln.sku <> 'Diverse'
 GROUP BY ALL""", EXPIRED, SHOP, DIM, INVOICES, NEWEST_LINES, ENRICHED, "ps AS (FROM enriched)", PACKAGING), carton_kg=3)
 def views_sql_packaging(spark, sf):
     """SQL text on the packaging view, with every view of the chain behind it."""

@@ -29,7 +29,7 @@ def today():
 
 # --- sales fact -----------------------------------------------------------------------------------------------------
 
-FACT_COLUMNS = [c for c in facts.sales_columns() if c != "data_last_refreshed"]
+FACT_COLUMNS = facts.sales_columns()
 _ROUNDED = {"exchange_rate": 6, "quantity_sold": 2, "unit_price_dkk": 2, "line_revenue_dkk": 2, "product_revenue_dkk": 2,
             "unit_cost_dkk": 2, "line_cost_dkk": 2, "line_profit_dkk": 2}
 _BIG = {"parent_category_id", "category_level", "prestashop_stock_qty"}
@@ -41,13 +41,13 @@ def _fact_select() -> str:
             return f"round({c}, {_ROUNDED[c]}) AS {c}"
         if c in _BIG:
             return f"CAST({c} AS BIGINT) AS {c}"
-        return f"CAST(sale_date AS VARCHAR) AS {c}" if c == "sale_date" else c
+        return f"CAST({c} AS VARCHAR) AS {c}" if c in ("sale_date", "data_last_refreshed") else c
     return ", ".join(item(c) for c in FACT_COLUMNS)
 
 
 @query("fct1_sales_detail", on_sales(f"SELECT {_fact_select()} FROM sales"), exchange_rate=6)
 def fct1(spark, sf):
-    return st.sales(spark, sf).drop("data_last_refreshed")
+    return st.sales(spark, sf)
 
 
 def _count_by(name: str, *columns: str) -> None:
@@ -427,6 +427,47 @@ def vq3_published(spark, sf):
     return verified.segments_last_quarter(model, st.AS_OF)
 
 
+# --- totals of months: orders and order values without the lines of whole months ----------------------------------------
+
+@query("vq3_from_month_totals", on_sales(
+    f"SELECT customer_segment, CAST(count(DISTINCT customer_id) AS BIGINT) AS customers, {AGG}, {AOV} "
+    f"FROM sales WHERE sale_date >= {AS_OF} - 90 GROUP BY customer_segment"), aov=6)
+def vq3_totals(spark, sf):
+    return st.month_totals(spark, sf).query(
+        ["customer_segment"], ["total_customers", "total_revenue", "total_orders", "average_order_value"],
+        dates.last_days(today(), 90)).toDF("customer_segment", "customers", "revenue", "orders", "aov")
+
+
+@query("vq5_from_month_totals", on_sales(f"""
+SELECT CAST(CAST(date_trunc('month', sale_date) AS DATE) AS VARCHAR) AS month, {AGG}, {AOV}
+FROM sales WHERE year(sale_date) = {st.TREND_YEAR} GROUP BY 1"""), aov=6)
+def vq5_totals(spark, sf):
+    year = dates.year_of(F.lit(f"{st.TREND_YEAR}-01-01").cast("date"))
+    return st.month_totals(spark, sf).query(
+        ["sale_month"], ["total_revenue", "total_orders", "average_order_value"], year).toDF("month", "revenue", "orders", "aov")
+
+
+@query("vq8_from_month_totals", on_sales(f"""
+SELECT CASE WHEN sale_date >= {AS_OF} - 7 THEN 'This Week' ELSE 'Last Week' END AS period, {AGG}, {UNITS}
+FROM sales WHERE sale_date >= {AS_OF} - 14 GROUP BY 1"""))
+def vq8_totals(spark, sf):
+    totals = st.month_totals(spark, sf)
+    this_week, last_week = (
+        totals.query([], ["total_revenue", "total_orders", "total_units"], period).select(F.lit(name).alias("period"), "*")
+        for name, period in (("This Week", dates.last_days(today(), 7)), ("Last Week", (F.date_sub(today(), 14), F.date_sub(today(), 7)))))
+    return this_week.unionByName(last_week).toDF("period", "revenue", "orders", "units")
+
+
+@query("sem4_totals_from_months", on_sales(f"""
+SELECT round(sum(line_revenue_dkk), 2) AS total_revenue, CAST(count(DISTINCT invoice_id) AS BIGINT) AS total_orders,
+       CAST(count(DISTINCT customer_id) AS BIGINT) AS total_customers FROM sales WHERE sale_date >= DATE '1996-02-11'
+       AND sale_date < DATE '2000-11-20'"""))
+def sem4_months(spark, sf):
+    """Years of customers that bought in many months, counted once; the days at both ends come from the fact."""
+    period = F.lit("1996-02-11").cast("date"), F.lit("2000-11-20").cast("date")
+    return st.month_totals(spark, sf).query([], ["total_revenue", "total_orders", "total_customers"], period)
+
+
 # --- reports --------------------------------------------------------------------------------------------------------
 
 @query("rpt1_weekly_kpis", on_sales(f"""

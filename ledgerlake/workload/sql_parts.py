@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from ledgerlake.functions import lookups as lk
 from ledgerlake.workload import standins as st
 
 
@@ -26,20 +25,55 @@ def rate(key: str) -> str:
     return pick(key, [r for _, r in st.CURRENCIES], "DOUBLE")
 
 
-def in_list(values) -> str:
-    return "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")"
-
-
 AS_OF = f"DATE '{st.AS_OF}'"
 CATEGORY_CASE = "CASE p_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in st.CATEGORIES.items()) + " END"
-COUNTRY_CASE = "CASE " + " ".join(
-    f"WHEN raw_country IN {in_list(s)} THEN '{c}'" for c, s in lk.COUNTRY_SPELLINGS.items()) \
-    + " ELSE coalesce(raw_country, 'Unknown') END"
-
-
-def market_case(column: str) -> str:
-    return "CASE " + " ".join(f"WHEN {column} IN {in_list(c)} THEN '{m}'" for m, c in lk.MARKETS.items()) \
-        + " ELSE 'Other' END"
+# Fixed values, written out here once more so that the SQL does not depend on the engine's own lookups.
+COUNTRY_CASE = """CASE
+  WHEN raw_country IN ('United Kingdom', 'England', 'GB', 'Great Britain', 'UK') THEN 'United Kingdom'
+  WHEN raw_country IN ('JP', 'Japan') THEN 'Japan'
+  WHEN raw_country IN ('Danmark', 'Denmark', 'DK') THEN 'Denmark'
+  WHEN raw_country IN ('SE', 'Sweden', 'Sverige') THEN 'Sweden'
+  WHEN raw_country IN ('NO', 'Norway', 'Norge') THEN 'Norway'
+  WHEN raw_country IN ('FR', 'France') THEN 'France'
+  WHEN raw_country IN ('BE', 'Belgium', 'Belgique', 'België') THEN 'Belgium'
+  WHEN raw_country IN ('FI', 'Finland', 'Suomi') THEN 'Finland'
+  WHEN raw_country IN ('DE', 'Germany', 'Deutschland') THEN 'Germany'
+  WHEN raw_country IN ('NL', 'Netherlands', 'Nederland', 'Holland') THEN 'Netherlands'
+  WHEN raw_country IN ('US', 'USA', 'United States', 'United States of America') THEN 'United States'
+  WHEN raw_country IN ('CH', 'Switzerland', 'Schweiz', 'Suisse') THEN 'Switzerland'
+  WHEN raw_country IN ('AT', 'Austria', 'Österreich') THEN 'Austria'
+  WHEN raw_country IN ('IT', 'Italy', 'Italia') THEN 'Italy'
+  WHEN raw_country IN ('ES', 'Spain', 'España') THEN 'Spain'
+  WHEN raw_country IN ('CN', 'China') THEN 'China'
+  WHEN raw_country IN ('PL', 'Poland', 'Polska') THEN 'Poland'
+  WHEN raw_country IN ('LT', 'Lithuania', 'Lietuva') THEN 'Lithuania'
+  WHEN raw_country IN ('AU', 'Australia') THEN 'Australia'
+  WHEN raw_country IN ('EE', 'Estonia', 'Eesti') THEN 'Estonia'
+  WHEN raw_country IN ('SG', 'Singapore') THEN 'Singapore'
+  WHEN raw_country IN ('NZ', 'New Zealand') THEN 'New Zealand'
+  WHEN raw_country IN ('GR', 'Greece', 'Ελλάδα') THEN 'Greece'
+  WHEN raw_country IN ('LU', 'Luxembourg', 'Luxemburg', 'Lëtzebuerg') THEN 'Luxembourg'
+  WHEN raw_country IN ('PT', 'Portugal') THEN 'Portugal'
+  WHEN raw_country IN ('IS', 'Iceland', 'Ísland') THEN 'Iceland'
+  WHEN raw_country IN ('CA', 'Canada') THEN 'Canada'
+  WHEN raw_country IN ('HU', 'Hungary', 'Magyarország') THEN 'Hungary'
+  WHEN raw_country IN ('JE', 'Jersey') THEN 'Jersey'
+  WHEN raw_country IN ('IE', 'Ireland', 'Éire') THEN 'Ireland'
+  WHEN raw_country IN ('RO', 'Romania', 'România') THEN 'Romania'
+  WHEN raw_country IN ('BG', 'Bulgaria', 'България') THEN 'Bulgaria'
+  ELSE coalesce(raw_country, 'Unknown') END"""
+MARKET_CASE = """CASE
+  WHEN raw_country IN ('Denmark', 'Sweden', 'Norway', 'Finland', 'Iceland') THEN 'Nordics'
+  WHEN raw_country IN ('United Kingdom', 'Ireland', 'France', 'Belgium', 'Netherlands', 'Germany', 'Switzerland', 'Austria',
+                       'Luxembourg', 'Jersey') THEN 'Western Europe'
+  WHEN raw_country IN ('Spain', 'Portugal', 'Italy', 'Greece') THEN 'Southern Europe'
+  WHEN raw_country IN ('Poland', 'Hungary', 'Romania', 'Bulgaria', 'Lithuania', 'Estonia') THEN 'Central & Eastern Europe'
+  WHEN raw_country IN ('United States', 'Canada') THEN 'North America'
+  WHEN raw_country IN ('Japan', 'China', 'Singapore', 'Australia', 'New Zealand') THEN 'Asia-Pacific'
+  ELSE 'Other' END"""
+ADJUSTMENTS = "('rabat', 'fragtum', 'fragtmm', 'diff')"
+NO_REVENUE = "('rabat', 'fragtmm', 'fragtum')"
+COLOUR_TAIL = " : Color - .*$| - Color : .*$| - Farve : .*$| - Färg : .*$| - Colour : .*$"
 
 
 INVOICES = f"""inv AS (
@@ -63,7 +97,7 @@ LINE_FIELDS = f"""l_orderkey AS invoice_number, CAST(l_linenumber AS BIGINT) AS
          l_discount AS discount_percentage, l_tax AS vat_rate"""
 
 LINES = f"""ln0 AS (
-  SELECT {LINE_FIELDS}, {rate('l_orderkey')} AS rate FROM lineitem),
+  SELECT {LINE_FIELDS}, {rate('l_orderkey')} AS rate, CAST(l_shipdate AS TIMESTAMP) AS api_timestamp FROM lineitem),
 ln AS (
   SELECT *, round(unit_net_price * (coalesce(rate, 100.0) / 100), 2) AS unit_net_price_base_currency,
          round(unit_cost_price * (coalesce(rate, 100.0) / 100), 2) AS unit_cost_price_base_currency,
@@ -122,25 +156,25 @@ sales AS (
          CASE WHEN customer_group_number = 1 THEN 'B2C' WHEN customer_group_number >= 2 THEN 'B2B'
               ELSE 'Unknown' END AS customer_segment,
          sku AS product_sku, coalesce(dim_name, 'Unknown Product') AS product_name,
-         regexp_replace(coalesce(erp_name, line_description, 'Unknown Product'), '{lk.COLOUR_SUFFIX}', '', 'g')
+         regexp_replace(coalesce(erp_name, line_description, 'Unknown Product'), '{COLOUR_TAIL}', '', 'g')
            AS core_product_economic,
          coalesce(product_group_name, 'Other') AS product_category_economic,
-         CASE WHEN sku = 'Diverse' THEN 'B2B Wholesale' WHEN sku IN {in_list(lk.ADJUSTMENT_SKUS)} THEN 'Adjustments'
+         CASE WHEN sku = 'Diverse' THEN 'B2B Wholesale' WHEN sku IN {ADJUSTMENTS} THEN 'Adjustments'
               WHEN category_name IS NOT NULL THEN category_name ELSE 'Uncategorized' END AS category,
          parent_category_id, category_level, size, color, ean13, stock_quantity AS prestashop_stock_qty,
          CASE WHEN sku = 'Diverse' THEN 'B2B Wholesale'
-              WHEN sku IN {in_list(lk.ADJUSTMENT_SKUS)} THEN 'Adjustment Item'
+              WHEN sku IN {ADJUSTMENTS} THEN 'Adjustment Item'
               WHEN dim_sku IS NOT NULL THEN 'Matched' ELSE 'Not in PrestaShop' END AS prestashop_match_status,
-         {COUNTRY_CASE} AS delivery_country, {market_case('raw_country')} AS market,
+         {COUNTRY_CASE} AS delivery_country, {MARKET_CASE} AS market,
          invoice_currency, exchange_rate, quantity AS quantity_sold,
          unit_net_price_base_currency AS unit_price_dkk, line_net_amount_base_currency AS line_revenue_dkk,
-         CASE WHEN sku IN {in_list(lk.ZERO_REVENUE_SKUS)} OR sku LIKE 'fragt%' THEN 0
+         CASE WHEN sku IN {NO_REVENUE} OR sku LIKE 'fragt%' THEN 0
               WHEN line_net_amount_base_currency < 0 THEN 0
               ELSE line_net_amount_base_currency END AS product_revenue_dkk,
          coalesce(unit_cost_price_base_currency, 0) AS unit_cost_dkk,
          coalesce(unit_cost_price_base_currency, 0) * quantity AS line_cost_dkk,
          line_net_amount_base_currency - coalesce(unit_cost_price_base_currency, 0) * quantity AS line_profit_dkk,
-         coalesce(has_prestashop_data, FALSE) AS has_prestashop_data
+         coalesce(has_prestashop_data, FALSE) AS has_prestashop_data, api_timestamp AS data_last_refreshed
   FROM joined)"""
 
 PACKAGING = f"""pkg_rows AS (
@@ -170,7 +204,7 @@ EPR = f"""epr AS (
          k.prestashop_match_status AS packaging_match_status
   FROM sales s LEFT JOIN dim_pkg k ON s.product_sku = k.sku
   WHERE s.sale_date IS NOT NULL AND s.quantity_sold > 0
-    AND s.product_sku NOT IN {in_list([*lk.ADJUSTMENT_SKUS, lk.WHOLESALE_SKU])})"""
+    AND s.product_sku NOT IN {ADJUSTMENTS} AND s.product_sku <> 'Diverse')"""
 
 
 def with_parts(body: str, *parts: str) -> str:

@@ -13,6 +13,7 @@ from ledgerlake.functions.money import to_base_currency
 from ledgerlake.operators.variants import parse
 from ledgerlake.plans import dims
 from ledgerlake.plans.facts import DeferredSources, sales_detail
+from ledgerlake.plans.month_totals import MonthTotals
 from ledgerlake.plans.semantic import SemanticModel
 from ledgerlake.session import scratch_path
 from ledgerlake.sources.month_store import MonthStore
@@ -207,6 +208,15 @@ def published(spark: SparkSession, sf: str) -> MonthStore:
     return _PUBLISHED[key]
 
 
+def month_totals(spark: SparkSession, sf: str) -> MonthTotals:
+    """Totals of the published fact by segment, brought up to it."""
+    store = published(spark, sf)
+    totals = MonthTotals(store, f"{store.path}/totals-by-segment", ["customer_segment"], [
+        "total_revenue", "total_units", "total_orders", "total_customers", "average_order_value"])
+    totals.publish()
+    return totals
+
+
 def stored_model(spark: SparkSession, sf: str) -> SemanticModel:
     """The model on the published fact: periods are months of it."""
     return SemanticModel({**model(spark, sf).frames, "sales": published(spark, sf).read}, month_partition="sale_month")

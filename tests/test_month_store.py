@@ -149,3 +149,4 @@ def test_a_failed_publication_changes_nothing(spark, store):
     again = MonthStore(spark, store.path, store.schema)
     assert again.version == 0 and again.read(["invoice_id"]).count() == 6
     assert dt.date(2025, 3, 1) in again.months
+
