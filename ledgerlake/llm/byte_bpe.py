@@ -35,8 +35,8 @@ from ledgerlake.llm.common import release
 
 #: Bytes of a match up to which it is a row of a matrix.
 WIDE = 256
-#: Words kept by each worker, about 300 bytes each; a full table is emptied.
-CACHE_WORDS = 600_000
+#: Words kept by each worker, about 200 bytes each; a full table is emptied.
+CACHE_WORDS = 900_000
 #: Characters of the texts whose new words are encoded together, and cells of a matrix.
 BLOCK_CHARS, CELLS = 2_000_000, 1 << 20
 NONE = np.int32(2**31 - 1)
@@ -97,22 +97,23 @@ class Codec:
         self.pairs = PairTable({
             (ranks[token[:k]], ranks[token[k:]]): rank for token, rank in ranks.items()
             for k in range(1, len(token)) if token[:k] in ranks and token[k:] in ranks})
-        # Ids of words with the space before them, and as decimal text.
+        # Ids of words with the space before them.
         self._words: dict[str, bytes] = {}
-        self._written: dict[str, str] = {}
+        self._decimal = {rank: str(rank) for rank in self._bytes}
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self._bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        return [ids for ids, _ in self.encode_written(texts)]
+    def digests(self, ids: bytes) -> tuple[int, str, str]:
+        """Number of ids, SHA-256 of the decimal ids with one space between, SHA-256 of the decoded bytes."""
+        numbers = np.frombuffer(ids, "<u4").tolist()
+        written, decoded = " ".join(map(self._decimal.__getitem__, numbers)), b"".join(map(self._bytes.__getitem__, numbers))
+        return len(numbers), hashlib.sha256(written.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
-    def encode_written(self, texts: list[str | None]) -> Iterator[tuple[bytes, str]]:
-        """Ids and the same ids as decimal numbers with one space between."""
+    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         cut, new = [], {}
         if len(self._words) > self._most:
             self._words.clear()
-            self._written.clear()
         for text in texts:
             words = self._split(text or "")
             cut.append(words)
@@ -120,17 +121,9 @@ class Codec:
                 new[words[0]] = None
                 new.update(dict.fromkeys(" " + w for w in set(words[1:]).difference(self._words)))
         heads = self._encode_words([w for w in new if w])
-        for word, ids in heads.items():
-            if word[0] == " ":
-                self._words[word[1:]], self._written[word[1:]] = ids, " ".join(map(str, np.frombuffer(ids, "<u4").tolist()))
+        self._words.update((word[1:], ids) for word, ids in heads.items() if word[0] == " ")
         for words in cut:
-            if not words:
-                yield b"", ""
-                continue
-            head = heads.get(words[0], b"")
-            written = [" ".join(map(str, np.frombuffer(head, "<u4").tolist()))] if head else []
-            yield (head + b"".join(map(self._words.__getitem__, words[1:])),
-                   " ".join(written + list(map(self._written.__getitem__, words[1:]))))
+            yield heads.get(words[0], b"") + b"".join(map(self._words.__getitem__, words[1:])) if words else b""
 
     def _split(self, text: str) -> list[str]:
         """Words between single spaces; all but the first have lost the space before them."""
@@ -282,8 +275,7 @@ def round_trip(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text
     """``key``, n_tokens, ids_sha256 (of the decimal ids, one space between), decoded_sha256 (of the decoded ids)."""
     def rows(texts: list[str | None]) -> Iterator[tuple]:
         codes = codec(path, pattern)
-        for ids, written in codes.encode_written(texts):
-            yield len(ids) // 4, hashlib.sha256(written.encode()).hexdigest(), hashlib.sha256(codes.decode(ids)).hexdigest()
+        return map(codes.digests, codes.encode(texts))
 
     return _mapped(df, key, text, [("n_tokens", pa.int64(), "long"), ("ids_sha256", pa.string(), "string"),
                                    ("decoded_sha256", pa.string(), "string")], rows)

@@ -1,9 +1,9 @@
 """Token ids of whole texts by the tokenizers library, each distinct word encoded once per worker.
 
 A byte-pair tokenizer never joins text across the places where its pre-tokenizer cuts, and every pre-tokenizer used here
-cuts before a single space between two visible characters. Texts are taken apart there. The library normalises,
-pre-tokenizes and encodes every word it has not seen; ids are put together again. The result equals that of encoding the
-whole text at once; tests compare both. Added tokens of the file, such as <|endoftext|>, have their own ids as the library
+cuts before a single space between two visible characters and around line breaks. Texts are taken apart there. The library
+normalises, pre-tokenizes and encodes every word it has not seen; ids are put together again. The result equals that of encoding
+the whole text at once; tests compare both. Added tokens of the file, such as <|endoftext|>, have their own ids as the library
 gives them by default: a text that may hold one is encoded by the library whole.
 """
 
@@ -13,14 +13,36 @@ import re
 from array import array
 from functools import lru_cache
 
-#: Words, and pre-tokens, kept by each worker, about 200 bytes each; a full table is emptied.
+#: Words, and runs of letters, kept by each worker, about 200 bytes each. A half-full table is set aside, and words met again
+#: move on into the next one.
 CACHE_WORDS = 700_000
 # Western letters, then marks other than the apostrophe: always these two pre-tokens.
-_PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
 _MARKS = re.compile(r"[!-/:-@\[-`{-~]*")
-_GAP = re.compile(r"(?<=\S) (?=\S)")
+_GAP = re.compile(r" (?=\S)(?<=\S )")
 # White space but the space and the line break: ASCII controls and the Unicode spaces.
-_ODD = frozenset(chr(c) for c in range(0x3001) if chr(c).isspace()) - {" ", "\n"}
+_ODD = re.compile("[" + "".join(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n") + "]").search
+
+
+class Table:
+    """Ids by word; learns the missing ones."""
+
+    def __init__(self, learn, most: int):
+        self._learn, self._most = learn, most
+        self.known: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
+
+    def of(self, words: list[str]) -> bytes:
+        """Ids of the words, put together."""
+        try:
+            return b"".join(map(self.known.__getitem__, words))
+        except KeyError:
+            if len(self.known) > self._most // 2:
+                self._before, self.known = self.known, {}
+            known, before, learn = self.known, self._before, self._learn
+            for word in set(words).difference(known):
+                known[word] = before.get(word) or learn(word)
+            return b"".join(map(known.__getitem__, words))
 
 
 class WordEncoder:
@@ -31,14 +53,16 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._normalizer = self._tokenizer.normalizer
-        self._lead, self._most = " " if spaced else "", words
+        self._normalizer, self._model = self._tokenizer.normalizer, self._tokenizer.model
         # How the library writes a leading space, and whether it lower-cases.
-        self._mark = self._pre_tokens(self._lead + "a")[0][:-1]
+        self._mark = self._pre_tokens(" a")[0][:-1] if spaced else ""
         self._lower = self._pre_tokens("A")[0] == "a"
         self._written = {ord(c): self._pre_tokens(c)[0] for c in map(chr, range(0xC0, 0x100)) if c.isalpha()}
-        self._words: dict[str, bytes] = {}
-        self._tokens: dict[str, bytes] = {}
+        self._break = self._all("\n")
+        # A word after a space, one after none, and a run of marks after letters.
+        self._spaced = Table(lambda word: self._one(self._mark, word, " " if spaced else ""), words)
+        self._bare = Table(lambda word: self._one("", word, ""), words) if spaced else self._spaced
+        self._letters, self._most = {}, words
         # Marks that the added tokens begin with, which no normalizer changes; of a token without any: every text.
         tokens = self._tokenizer.get_added_tokens_decoder().values() if added else ()
         self._added = sorted({_MARKS.match(t.content)[0] for t in tokens})
@@ -49,42 +73,46 @@ class WordEncoder:
             return b""
         if any(marks in text for marks in self._added):
             return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        words = text.split(" ")
-        if "" in words or " \n" in text or "\n " in text or not _ODD.isdisjoint(text):
-            words = _GAP.split(text)
-        head, known = self._ids(words[0]), self._words
-        try:
-            return head + b"".join(map(known.__getitem__, words[1:]))
-        except KeyError:
-            if len(known) > self._most:
-                known.clear()
-            for word in set(words[1:]).difference(known):
-                known[word] = self._ids(self._lead + word)
-            return head + b"".join(map(known.__getitem__, words[1:]))
+        # Of more than two line breaks, or two at the end, the pre-tokenizer makes one piece.
+        if "\n\n\n" not in text and text[-2:] != "\n\n" and not _ODD(text):
+            lines = [line.split(" ") for line in text.split("\n")]
+            if not any("" in line and len(line) > 1 for line in lines):
+                return self._break.join([self._line(line) if line[0] else b"" for line in lines])
+        return self._line(_GAP.split(text))
+
+    def _line(self, words: list[str]) -> bytes:
+        return self._bare.of(words[:1]) + self._spaced.of(words[1:])
 
     def _pre_tokens(self, word: str) -> list[str]:
         if self._normalizer is not None:
             word = self._normalizer.normalize_str(word)
         return [token for token, _ in self._tokenizer.pre_tokenizer.pre_tokenize_str(word)]
 
-    def _ids(self, word: str) -> bytes:
-        known, out, plain = self._tokens, [], _PLAIN.fullmatch(word)
+    def _token(self, token: str) -> bytes:
+        return array("I", [t.id for t in self._model.tokenize(token)]).tobytes()
+
+    def _all(self, text: str) -> bytes:
+        return b"".join(map(self._token, self._pre_tokens(text)))
+
+    def _one(self, mark: str, word: str, lead: str) -> bytes:
+        plain = _PLAIN(word)
         if plain is None:
-            tokens = self._pre_tokens(word)
-        else:
-            space, letters, marks = plain.groups()
-            letters = letters.lower() if self._lower else letters
-            if not letters.isascii():
-                letters = letters.translate(self._written)
-            tokens = (self._mark + letters if space else letters, marks) if marks else (self._mark + letters if space else letters,)
-        for token in tokens:
-            ids = known.get(token)
-            if ids is None:
-                if len(known) > self._most:
-                    known.clear()
-                ids = known[token] = array("I", [t.id for t in self._tokenizer.model.tokenize(token)]).tobytes()
-            out.append(ids)
-        return b"".join(out)
+            return self._all(lead + word)
+        letters, marks = plain.groups()
+        ids = self._run(mark, letters)
+        return ids + self._run("", marks) if marks else ids
+
+    def _run(self, mark: str, run: str) -> bytes:
+        """Ids of letters, or of marks; many words differ in the marks behind them only."""
+        known, key = self._letters, mark + run
+        ids = known.get(key)
+        if ids is None:
+            if len(known) > self._most:
+                known.clear()
+            if self._lower:
+                run = run.lower()
+            ids = known[key] = self._token(mark + (run if run.isascii() else run.translate(self._written)))
+        return ids
 
 
 @lru_cache(maxsize=2)
