@@ -1,10 +1,11 @@
 """Token files compressed by Re-Pair grammars.
 
 Documents are put in ascending id order by one range partitioning; each task writes its documents as shards of about
-``SHARD_IDS`` ids. In a shard, frequent pairs of neighbouring symbols are replaced by new symbols, round after round; a
-round takes the most frequent pairs together, and where two occurrences overlap the left one is replaced. Pairs never
-cross a document's end. The file holds the rules with their expansion lengths, the remaining symbols, and per document its
-id, first id and first symbol, so a document or a range of ids is decoded without expanding the rest.
+``SHARD_IDS`` ids. In a shard, pairs of neighbouring symbols that occur ``LEAST_COUNT`` times or more are replaced by new
+symbols, round after round until there is none; a round takes all such pairs together, and where two occurrences overlap that
+of the more frequent pair is replaced. Pairs never cross a document's end. The file holds the rules with their expansion lengths, the
+remaining symbols, and per document its id, first id and first symbol. A document, or a range of ids that may begin and end
+inside one, is decoded without expanding the rest: the lengths tell which half of a rule an offset falls in.
 
 Positions in the whole corpus come from the numbers of ids per task, one number each; they are added when files are read.
 Only files listed in the committed manifest are read. Null and empty texts have the end id alone; rows without an id come
@@ -13,7 +14,6 @@ first; equal ids are ordered by text.
 
 from __future__ import annotations
 
-import bisect
 import struct
 import zlib
 from collections.abc import Iterator
@@ -28,60 +28,108 @@ from ledgerlake.llm.common import filesystem, map_rows, stored, write_file
 from ledgerlake.session import scratch_path
 
 END_ID, SHARD_IDS = 2, 1 << 20
-ROUNDS, ROUND_RULES, LEAST_COUNT = 3, 5000, 16
+#: Occurrences that a pair needs for a rule of its own. A rule costs twelve bytes before compression.
+LEAST_COUNT = 16
+#: Passes in which a round settles overlapping pairs; what is open then is left to the next round.
+PASSES = 8
 TASK_SHARDS = 4
 MAGIC = b"RPR1"
 
 
+def _frequent(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct pairs that occur often enough, and how often."""
+    ordered = np.sort(pairs)
+    edges = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1], [True])))
+    counts = np.diff(edges)
+    often = counts >= LEAST_COUNT
+    return ordered[edges[:-1]][often], counts[often]
+
+
 def compress(ids: np.ndarray, end_id: int = END_ID, vocabulary: int | None = None) -> tuple[int, np.ndarray, np.ndarray]:
-    """(first new symbol, rules, symbols): rule k replaces the pair ``rules[k]`` by symbol ``first + k``."""
+    """(first new symbol, rules, symbols): rule k replaces the pair ``rules[k]`` by symbol ``first + k``.
+
+    Each round replaces all pairs frequent enough, and the rounds go on until there is none. Counts of old pairs only fall, so a
+    round looks at pairs with a symbol of the round before; when these are used up it looks at all pairs once more."""
     symbols = ids.astype(np.uint32)
     base = top = int(symbols.max(initial=0)) + 1 if vocabulary is None else vocabulary
     rules: list[np.ndarray] = []
-    for _ in range(ROUNDS):
-        if len(symbols) < 2:
-            break
+    new_from = 0  # symbols from here on are new; 0: look at all
+    while len(symbols) > 1:
         # Pairs of small symbols are one 32-bit number, which sorts faster.
         wide, shift = (np.uint32, 16) if top < 1 << 16 else (np.uint64, 32)
+        low = wide((1 << shift) - 1)
         usable = (symbols[:-1] != end_id) & (symbols[1:] != end_id)
+        if new_from:
+            new = symbols >= new_from
+            usable &= new[:-1] | new[1:]
         place = np.flatnonzero(usable)
         pairs = (symbols[place].astype(wide) << wide(shift)) | symbols[place + 1].astype(wide)
-        ordered = np.sort(pairs)
-        if not len(ordered):
-            break
-        edges = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1], [True])))
-        counts, distinct = np.diff(edges), ordered[edges[:-1]]
-        frequent = np.flatnonzero(counts >= LEAST_COUNT)
-        if not len(frequent):
-            break
-        chosen = np.sort(distinct[frequent[np.argsort(-counts[frequent], kind="stable")[:ROUND_RULES]]])
-        left, right = np.zeros(top, bool), np.zeros(top, bool)
-        left[chosen >> wide(shift)], right[chosen & wide((1 << shift) - 1)] = True, True
-        maybe = left[symbols[place]] & right[symbols[place + 1]]
-        place, pairs = place[maybe], pairs[maybe]
-        at = np.searchsorted(chosen, pairs)
-        at[at == len(chosen)] = 0
-        hit = chosen[at] == pairs
-        where, rule = place[hit], at[hit]
-        # In a run of neighbouring hits every second one is taken, from its left end.
-        nth = np.arange(len(where))
-        fresh = np.concatenate(([True], np.diff(where) > 1))
-        even = (nth - np.maximum.accumulate(np.where(fresh, nth, 0))) % 2 == 0
-        taken = where[even]
-        symbols[taken] = (top + rule[even]).astype(np.uint32)
+        chosen, counts = _frequent(pairs) if len(pairs) >= LEAST_COUNT else (pairs[:0], place[:0])
+        taken, rule = _disjoint(place, pairs, chosen, counts, top, wide(shift), low)
+        if len(taken):  # overlaps may have left a pair too few places
+            uses = np.bincount(rule, minlength=len(chosen))
+            enough = uses >= LEAST_COUNT // 2
+            chosen, number = chosen[enough], np.cumsum(enough) - 1
+            taken, rule = taken[enough[rule]], number[rule[enough[rule]]]
+        if not len(taken):
+            if not new_from:
+                break
+            new_from = 0
+            continue
+        symbols[taken] = (top + rule).astype(np.uint32)
         keep = np.ones(len(symbols), bool)
         keep[taken + 1] = False
         symbols = symbols[keep]
-        rules.append(np.stack([chosen >> wide(shift), chosen & wide((1 << shift) - 1)], axis=1).astype(np.uint32))
-        top += len(chosen)
+        rules.append(np.stack([chosen >> wide(shift), chosen & low], axis=1).astype(np.uint32))
+        new_from, top = top, top + len(chosen)
     return base, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), symbols
 
 
+def _disjoint(place: np.ndarray, pairs: np.ndarray, chosen: np.ndarray, counts: np.ndarray, top: int, shift, low) -> tuple[np.ndarray, np.ndarray]:
+    """Places of chosen pairs that do not overlap, in order, and which pair each is. The more frequent pair goes first, so all
+    copies of a passage are cut alike wherever they stand."""
+    if not len(chosen):
+        return place[:0], place[:0]
+    left, right = np.zeros(top, bool), np.zeros(top, bool)
+    left[chosen >> shift], right[chosen & low] = True, True
+    maybe = left[pairs >> shift] & right[pairs & low]
+    place, pairs = place[maybe], pairs[maybe]
+    at = np.searchsorted(chosen, pairs)
+    at[at == len(chosen)] = 0
+    hit = chosen[at] == pairs
+    where, rule = place[hit], at[hit]
+    # Ranks without ties; among equally frequent pairs an order without any run along the text.
+    mixed = (np.arange(len(chosen), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+    rank = np.empty(len(chosen), np.int64)
+    rank[np.lexsort((mixed, counts))] = np.arange(len(chosen))
+    places, rules = [], []
+    for _ in range(PASSES):
+        if not len(where):
+            break
+        beside = np.diff(where) == 1
+        # Of a run of one pair, as in "aaaa", every second place counts, from its left end.
+        nth = np.arange(len(where))
+        begins = np.concatenate(([True], ~(beside & (rule[1:] == rule[:-1]))))
+        height = np.where((nth - np.maximum.accumulate(np.where(begins, nth, 0))) % 2 == 0, rank[rule], -1)
+        best = height >= 0
+        best[1:] &= ~beside | (height[1:] > height[:-1])
+        best[:-1] &= ~beside | (height[:-1] > height[1:])
+        places.append(where[best])
+        rules.append(rule[best])
+        gone = best.copy()
+        gone[1:] |= beside & best[:-1]
+        gone[:-1] |= beside & best[1:]
+        where, rule = where[~gone], rule[~gone]
+    where, rule = np.concatenate(places), np.concatenate(rules)
+    order = np.argsort(where)
+    return where[order], rule[order]
+
+
 def expansion_lengths(base: int, rules: np.ndarray) -> np.ndarray:
-    lengths = np.ones(len(rules), np.uint32)
-    for k, (a, b) in enumerate(rules.tolist()):
-        lengths[k] = (lengths[a - base] if a >= base else 1) + (lengths[b - base] if b >= base else 1)
-    return lengths
+    lengths = []
+    for a, b in rules.tolist():
+        lengths.append((lengths[a - base] if a >= base else 1) + (lengths[b - base] if b >= base else 1))
+    return np.array(lengths, np.uint32)
 
 
 def expand(base: int, rules: np.ndarray, symbols: np.ndarray) -> np.ndarray:
@@ -131,20 +179,45 @@ class Shard:
         self.lengths = np.frombuffer(body[6], "<u4")
         self.symbols = np.frombuffer(body[7], f"<u{width}").astype(np.uint32)
         assert len(self.doc_ids) == n and len(self.symbols) == n_symbols
+        # Where each symbol's ids end.
+        self._ends = np.cumsum(np.concatenate((np.ones(self.base, np.int64), self.lengths))[self.symbols])
 
     def document(self, k: int) -> np.ndarray:
         stop = self.first_symbol[k + 1] if k + 1 < len(self.doc_ids) else len(self.symbols)
         return expand(self.base, self.rules, self.symbols[self.first_symbol[k]:stop])
 
     def ids(self, start: int, stop: int) -> np.ndarray:
-        """Ids of a range: expands from the document that holds its first id."""
-        k = max(0, bisect.bisect_right(self.first_id.tolist(), start) - 1)
-        out, at = [np.zeros(0, np.uint32)], int(self.first_id[k]) if self.doc_ids else 0
-        begin = at
-        while at < stop and k < len(self.doc_ids):
-            out.append(self.document(k))
-            at, k = at + int(self.counts[k]), k + 1
-        return np.concatenate(out)[start - begin:stop - begin]
+        """Ids of a range. The first and the last symbol are entered where the range begins and ends; what lies outside
+        it is skipped by the lengths of the rules and never expanded."""
+        start, stop = max(0, start), min(stop, int(self._ends[-1]) if len(self._ends) else 0)
+        if start >= stop:
+            return np.zeros(0, np.uint32)
+        first, last = np.searchsorted(self._ends, [start, stop - 1], side="right").tolist()
+        before = int(self._ends[first - 1]) if first else 0
+        if first == last:
+            return self._part(int(self.symbols[first]), start - before, stop - before)
+        edge = int(self._ends[last - 1])
+        return np.concatenate([
+            self._part(int(self.symbols[first]), start - before, int(self._ends[first]) - before),
+            expand(self.base, self.rules, self.symbols[first + 1:last]), self._part(int(self.symbols[last]), 0, stop - edge)])
+
+    def _length(self, symbol: int) -> int:
+        return int(self.lengths[symbol - self.base]) if symbol >= self.base else 1
+
+    def _part(self, symbol: int, start: int, stop: int) -> np.ndarray:
+        """Ids start to stop of a symbol's expansion."""
+        out, todo = [], [(symbol, start, stop)]
+        while todo:
+            symbol, start, stop = todo.pop()
+            if start >= stop:
+                continue
+            if start == 0 and stop == self._length(symbol):
+                out.append(expand(self.base, self.rules, np.array([symbol], np.uint32)))
+                continue
+            left, right = self.rules[symbol - self.base].tolist()
+            n = self._length(left)
+            todo += [(right, max(0, start - n), stop - n), (left, start, min(stop, n))]
+        return np.concatenate(out) if out else np.zeros(0, np.uint32)
 
     def all_ids(self) -> np.ndarray:
         return expand(self.base, self.rules, self.symbols)

@@ -109,6 +109,34 @@ def test_grammar_round_trip():
     assert len(repair.compress(np.tile(np.arange(3, 11, dtype=np.uint32), 500))[2]) < 4000 / 4
 
 
+def test_rounds_go_on_until_no_pair_is_frequent():
+    rnd = np.random.default_rng(5)
+    passage = rnd.integers(3, 40_000, 1000).astype(np.uint32)
+    once = np.tile(passage, 500)
+    apart = np.concatenate([np.concatenate((rnd.integers(3, 40_000, rnd.integers(1, 9)), passage, [2])) for _ in range(500)]).astype(np.uint32)
+    text = rnd.zipf(1.3, 60_000).clip(3, 30_000).astype(np.uint32)
+    for ids, most in ((once, 0.01), (apart, 0.02), (text, 1)):
+        base, rules, symbols = repair.compress(ids)
+        assert repair.expand(base, rules, symbols).tolist() == ids.tolist() and len(symbols) <= most * len(ids)
+        # Occurrences as pairs are replaced: from the left, without overlap within a run of one pair.
+        left = Counter()
+        for a, b, c in zip(symbols.tolist(), symbols[1:].tolist(), [*symbols[2:].tolist(), -1]):
+            left[a, b] += a != 2 and b != 2
+        assert max(left.values()) < 2 * repair.LEAST_COUNT, max(left.values())
+    image = len(repair.encode_shard([1], once.tobytes(), [len(once)]))
+    assert image < 0.02 * once.nbytes
+
+
+def test_ranges_begin_and_end_inside_rules():
+    rnd = np.random.default_rng(6)
+    passage = rnd.integers(3, 500, 700)
+    ids = np.concatenate([np.append(np.tile(passage, 30), 2), np.append(rnd.integers(3, 9, 5000), 2)]).astype("<u4")
+    shard = repair.Shard(repair.encode_shard([1, 2], ids.tobytes(), [30 * 700 + 1, 5001]))
+    assert shard.lengths.max() >= 64
+    for start, stop in [(0, len(ids)), (-5, len(ids) + 5), *sorted(map(sorted, rnd.integers(0, len(ids), (300, 2)).tolist())), (9, 9), (9, 3)]:
+        assert shard.ids(start, stop).tolist() == ids[max(0, start):max(0, stop)].tolist()
+
+
 def test_shard_random_access():
     rnd = np.random.default_rng(4)
     documents = [np.append(rnd.zipf(1.5, n).clip(3, 4000), 2).astype("<u4") for n in (0, 50, 3000, 1, 700, 0)]
