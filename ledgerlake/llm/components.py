@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import stored
 
 MAX_ROUNDS = 60
+#: Links of one file of a round: late rounds are small, and every file is a task of each join that follows.
+FILE_LINKS = 500_000
 
 
 def _to_smallest(links: DataFrame, keep_node: bool) -> DataFrame:
@@ -42,5 +44,6 @@ def components(links: DataFrame) -> DataFrame:
         both = pairs.unionByName(pairs.select(F.col("other").alias("node"), F.col("node").alias("other")))
         large = _to_smallest(both, keep_node=True)
         oriented = large.select(F.greatest("node", "other").alias("node"), F.least("node", "other").alias("other"))
-        pairs = stored(spark, _to_smallest(oriented, keep_node=False), "links")
+        # Rounds never add links, so the last count bounds this one.
+        pairs = stored(spark, _to_smallest(oriented, keep_node=False).coalesce(max(1, -(-2 * state[0] // FILE_LINKS))), "links")
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")

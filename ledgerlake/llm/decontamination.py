@@ -21,7 +21,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import map_rows, stored
+from ledgerlake.llm.common import map_rows, stored, unused
 
 RATE, BLOCK_CHARS, MIN_CHARS = 0.08, 4_000_000, 16
 _WORDS = re.compile(r"[^\W_]+")
@@ -108,13 +108,18 @@ def _near(starts: list[int], gap: int) -> Iterator[tuple[int, int]]:
 
 def find_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_chars: int = BLOCK_CHARS, short: bool = False) -> DataFrame:
     """doc_id, item_id, edits, budget: one row per document and benchmark item found in it; with ``short`` also items of
-    fewer than ``MIN_CHARS`` characters."""
-    spark = docs.sparkSession
+    fewer than ``MIN_CHARS`` characters. One pass over the documents per ``block_chars`` characters of items."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    return _found(rows, "doc_id", benchmark, rate, block_chars, short)
+
+
+def _found(rows: DataFrame, key: str, benchmark: DataFrame, rate: float, block_chars: int, short: bool) -> DataFrame:
+    """``key``, item_id, edits, budget, from rows of (``key``, text)."""
+    spark = rows.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).where("text IS NOT NULL")
     by_text = items.groupBy("text").agg(F.min("item_id").alias("_key"))
     total = by_text.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-2 * total // block_chars))  # half full on average, so that hashing keeps blocks near the bound
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     found = []
     for block in range(blocks):
         some = [(r["_key"], r["text"]) for r in by_text.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).orderBy("text").collect()]
@@ -124,16 +129,20 @@ def find_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_
             matcher = Matcher([t for _, t in shared.value], rate, short)
             for r in batch:
                 for n, edits in matcher.find(r["text"]):
-                    yield r["doc_id"], shared.value[n][1], edits, matcher.budget[n]
+                    yield r[key], shared.value[n][1], edits, matcher.budget[n]
 
-        found.append(map_rows(rows, match, "doc_id long, _text string, edits int, budget int"))
+        found.append(map_rows(rows, match, f"{key} {rows.schema[key].dataType.simpleString()}, _text string, edits int, budget int"))
     hits = found[0]
     for more in found[1:]:
         hits = hits.unionByName(more)
-    return hits.join(items.withColumnRenamed("text", "_text"), "_text").select("doc_id", "item_id", "edits", "budget").distinct()
+    return hits.join(items.withColumnRenamed("text", "_text"), "_text").select(key, "item_id", "edits", "budget").distinct()
 
 
 def without_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, short: bool = False) -> DataFrame:
-    """The documents in which no item is found, with all their columns. Rows without an id are kept."""
-    hits = stored(docs.sparkSession, find_items(docs, benchmark, rate, short=short).select(F.col("doc_id").alias("_found")).distinct(), "leaks")
-    return docs.join(hits, F.col("doc_id") == F.col("_found"), "left_anti")
+    """The documents in which no item is found, with all their columns. A row goes by its own text, whether it has an id or shares
+    one with others."""
+    found = unused(docs, "_found")
+    digest = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+    rows = docs.select(digest.alias("digest"), "text")
+    hits = _found(rows, "digest", benchmark, rate, BLOCK_CHARS, short).select(F.col("digest").alias(found)).distinct()
+    return docs.join(stored(docs.sparkSession, hits, "leaks"), digest == F.col(found), "left_anti")

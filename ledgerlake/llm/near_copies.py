@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import simhash_mih
-from ledgerlake.llm.common import map_rows, stored
+from ledgerlake.llm.common import map_rows, stored, unused
 from ledgerlake.llm.components import components
 
 SHINGLE, SIMILAR, BANDS, ROWS = 5, 0.8, 24, 6
@@ -115,8 +115,9 @@ def without_copies(docs: DataFrame) -> DataFrame:
     """One row of each group, with all columns: the one with the smallest doc_id; rows without an id stay only where no
     other does."""
     spark = docs.sparkSession
-    keyed = docs.withColumn("_key", F.md5(F.coalesce("text", F.lit(""))))
-    texts = keyed.select(F.col("_key").alias("key"), "text")
+    key, group, nth = (unused(docs, name) for name in ("_key", "_group", "_nth"))
+    keyed = docs.withColumn(key, F.md5(F.coalesce("text", F.lit(""))))
+    texts = keyed.select(F.col(key).alias("key"), "text")
 
     def rows(found: Iterator[dict]) -> Iterator[tuple]:
         for r in found:
@@ -128,8 +129,8 @@ def without_copies(docs: DataFrame) -> DataFrame:
     by_print = stored(spark, prints.groupBy("fp").agg(F.min("node").alias("node")), "near-simhash")
     equal = prints.select("fp", F.col("node").alias("a")).distinct().join(by_print.withColumnRenamed("node", "b"), "fp").select("a", "b")
     found = components(simhash_mih.links(by_print).unionByName(equal).unionByName(similar_links(texts, prints)))
-    groups = prints.select(F.col("key").alias("_key"), "node").distinct().join(found, "node", "left").select(
-        "_key", F.coalesce("component", "node").alias("_group"))
-    first = Window.partitionBy("_group").orderBy(F.col("doc_id").cast("long").asc_nulls_last(), *[F.col(c) for c in docs.columns])
-    chosen = keyed.join(groups, "_key").withColumn("_nth", F.row_number().over(first))
-    return chosen.where("_nth = 1").select(*docs.columns)
+    groups = prints.select(F.col("key").alias(key), "node").distinct().join(found, "node", "left").select(
+        key, F.coalesce("component", "node").alias(group))
+    first = Window.partitionBy(group).orderBy(F.col("doc_id").cast("long").asc_nulls_last(), *[F.col(c) for c in docs.columns])
+    chosen = keyed.join(groups, key).withColumn(nth, F.row_number().over(first))
+    return chosen.where(F.col(nth) == 1).select(*docs.columns)

@@ -12,8 +12,8 @@ Balance: the sequences of a tier are dealt into step groups of ``STEP_IDS`` padd
 the same.
 
 Where a document is cut depends on its length alone, so ids are made, cut and checked in one pass over the texts and
-never stored or shuffled; packing sees lengths only. Pieces are dealt into groups of about ``GROUP_PIECES`` by hash, and
-each group is packed by itself. Null and empty texts have the end id alone. Repeated rows are packed each; a row without
+never stored or shuffled; packing sees lengths only. Pieces are dealt into groups of about ``GROUP_PIECES`` by a hash of
+their place in the stored table, and each group is packed by itself. Null and empty texts have the end id alone. Repeated rows are packed each; a row without
 an id keeps the null.
 """
 
@@ -119,7 +119,8 @@ def pack_pieces(found: DataFrame, window: int = WINDOW) -> DataFrame:
     found = stored(spark, found, "pieces")
     groups = max(1, -(-found.count() // GROUP_PIECES))
     arrow = to_arrow_schema(spark.createDataFrame([], PACKED).schema)
-    dealt = found.withColumn("_group", F.pmod(F.xxhash64(*found.columns), F.lit(groups)).cast("long"))
+    # By the place in the stored table: equal pieces of repeated rows are dealt like any others.
+    dealt = found.withColumn("_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).cast("long"))
 
     def packed(group: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         rows.sort(key=lambda r: (r[0] is not None, r))

@@ -120,19 +120,23 @@ class Model:
 
 
 def fit(counts: np.ndarray, labels: list[int]) -> Model:
-    """From the hashed counts of the labelled texts; rows of zeros are texts without words."""
+    """From the hashed counts of the labelled texts, which are used up; rows of zeros are texts without words."""
     known, blank = np.array(labels, np.int64), ~counts.any(axis=1)
     empty = float(known[blank].mean()) if blank.any() else 0.5
-    counts, known = counts[~blank], known[~blank]
+    if blank.any():
+        counts, known = counts[~blank], known[~blank]
     if not len(known):
         return Model(np.zeros(COLUMNS, np.float32), np.zeros((COLUMNS, 1), np.float32), np.zeros((0, 1), np.float32), known, empty)
-    idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
-    weighted = _unit(counts * idf)
+    idf = np.log((1 + len(counts)) / (1 + np.count_nonzero(counts, axis=0))).astype(np.float32) + 1
+    # In place and in single precision: the driver holds one matrix of the sample, no copies.
+    weighted = counts
+    weighted *= idf
+    for at in range(0, len(weighted), BLOCK):
+        weighted[at:at + BLOCK] = _unit(weighted[at:at + BLOCK])
     # The leading right singular vectors, by subspace iteration from a fixed start.
-    axes = np.random.default_rng(7).standard_normal((COLUMNS, min(DIMENSIONS, COLUMNS)))
+    axes = np.random.default_rng(7).standard_normal((COLUMNS, min(DIMENSIONS, COLUMNS))).astype(np.float32)
     for _ in range(8):
-        axes = np.linalg.qr(weighted.T @ (weighted @ axes))[0]
-    axes = axes.astype(np.float32)
+        axes = np.linalg.qr((weighted.T @ (weighted @ axes)).astype(np.float64))[0].astype(np.float32)
     return Model(idf, axes, _unit(weighted @ axes), known, empty)
 
 
@@ -150,13 +154,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_
         for r in rows:
             row = vectors([r["text"]], {})[0]
             at = np.flatnonzero(row)
-            yield r["doc_id"], r["quality"], at.tolist(), row[at].tolist()
+            yield r["doc_id"], r["quality"], at.astype("<u2").tobytes(), row[at].astype("<f4").tobytes()
 
-    found = map_rows(texts, counted, "doc_id long, quality int, at array<int>, n array<float>").orderBy("doc_id").collect()
-    counts = np.zeros((len(found), COLUMNS), np.float32)
+    found = map_rows(texts, counted, "doc_id long, quality int, at binary, n binary").orderBy("doc_id").collect()
+    counts, labels = np.zeros((len(found), COLUMNS), np.float32), [r["quality"] for r in found]
     for k, r in enumerate(found):
-        counts[k, r["at"]] = r["n"]
-    return counts, [r["quality"] for r in found]
+        counts[k, np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["n"], "<f4")
+    found.clear()
+    release()
+    return counts, labels
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:

@@ -22,13 +22,14 @@ other. A place is one number, the text's hash above the start, so that order is
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -40,6 +41,8 @@ assert 2 * BLOCK - 1 <= WINDOW
 CHUNK = 1 << 19
 BUCKET_BYTES = 8 << 20
 NO_ID = -(1 << 63)
+_WHITE = " \t\n\x0b\x0c\r"
+_PARTS = re.compile(r"[\x20\x09-\x0D]+|[^\x20\x09-\x0D]+")
 # Multipliers of the words of a block, of a window and of a window's bucket, and of the finishing steps: random odd numbers
 # of a fixed seed.
 _ODD = np.random.default_rng(20).integers(0, 1 << 63, BLOCK + 2 * WINDOW + 3, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -52,7 +55,12 @@ def words_of(text: str | None) -> list[bytes]:
 
 def tag_of(text: str | None) -> int:
     """What precedes the starts of a text's windows: 31 bits of its hash, shifted above any start."""
-    return xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass")) >> 33 << 32
+    return xxhash.xxh64_intdigest((text or "").encode("utf-8", "surrogatepass"), 42) >> 33 << 32
+
+
+def _tag(text: str) -> Column:
+    """``tag_of`` as a column."""
+    return F.shiftleft(F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), 33), 32)
 
 
 def _finish(x: np.ndarray, multiplier: np.uint64) -> np.ndarray:
@@ -258,8 +266,7 @@ def met(sent: DataFrame, width: int, parts: int, judge: Callable) -> DataFrame:
         picked = judge(keys.view("<u8").reshape(n), flags, docs, places)
         more_docs, more = map(np.concatenate, zip(*[unpack_places(r["others"], r["m"]) for r in rows]))
         docs, places = np.concatenate((docs[picked], more_docs)), np.concatenate((places[picked], more))
-        ids, which = np.unique(docs, return_inverse=True)
-        part = np.array([part_of(i, parts) for i in ids.tolist()], np.int32)[which]
+        part = part_of(docs, places >> np.int64(32) << np.int64(32), parts)
         order = np.lexsort((places, docs, part))
         part, docs, places = part[order], docs[order], places[order]
         edges = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True]))) if len(part) else np.zeros(1, np.int64)
@@ -280,10 +287,27 @@ def met(sent: DataFrame, width: int, parts: int, judge: Callable) -> DataFrame:
     return sent.repartition(F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(run, "part int, n int, places binary")
 
 
-def part_of(doc_id: int, parts: int) -> int:
-    """As ``pmod(xxhash64(doc_id), parts)``."""
-    value = xxhash.xxh64_intdigest(doc_id.to_bytes(8, "little", signed=True), 42)
-    return (value - (1 << 64) if value >> 63 else value) % parts
+# The primes of XXH64.
+_PRIMES = [np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
+
+
+def _xxh64(numbers: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """XXH64 of single 64-bit numbers."""
+    def turned(x: np.ndarray, by: int) -> np.ndarray:
+        return x << np.uint64(by) | x >> np.uint64(64 - by)
+
+    first, second, third, fourth, fifth = _PRIMES
+    out = seed + fifth + np.uint64(8) ^ turned(numbers * second, 31) * first
+    out = turned(out, 27) * first + fourth
+    out = (out ^ out >> np.uint64(33)) * second
+    out = (out ^ out >> np.uint64(29)) * third
+    return out ^ out >> np.uint64(32)
+
+
+def part_of(docs: np.ndarray, tags: np.ndarray, parts: int) -> np.ndarray:
+    """As ``pmod(xxhash64(doc_id, tag), parts)``: rows without an id, or of one id, are dealt by their texts."""
+    own = _xxh64(docs.astype(np.int64).view(np.uint64), np.full(len(docs), 42, np.uint64))
+    return (_xxh64(tags.astype(np.int64).view(np.uint64), own).view(np.int64) % parts).astype(np.int32)
 
 
 def _anchored(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -309,54 +333,67 @@ def _later(keys: np.ndarray, flags: np.ndarray, docs: np.ndarray, places: np.nda
 def with_repeats(docs: DataFrame, each: Callable, schema: str | T.StructType, id_col: str = "doc_id", text: str = "text",
                  chunk: int = CHUNK, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``each`` over rows with doc_id, text, ``row`` (the other columns) and ``places``, the starts of the windows that also
-    start earlier. Documents are dealt into parts by id; the texts are shuffled once, for the windows and for the result."""
+    start earlier. Documents are dealt into parts by id and text; the texts are shuffled once, for the windows and for the result."""
     others = [F.col(c) for c in docs.columns if c not in (id_col, text)]
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text).alias("text"),
                        *([F.struct(*others).alias("row")] if others else []))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // bucket_bytes))
     hits = met(anchors(rows.select("doc_id", "text"), buckets, chunk), 3, buckets, _anchored)
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64(F.col("doc_id"), _tag("text")), F.lit(buckets)).cast("int"))
     later = met(windows(rows, hits, buckets, chunk), 8, buckets, _later)
     return with_places(rows, later, each, schema)
 
 
-def kept_words(text: str | None, repeats: np.ndarray) -> tuple[int, list[bytes]]:
-    """(number of words, words outside repeated windows)."""
-    words = words_of(text)
-    starts = np.unique(repeats[repeats + WINDOW <= len(words)])
-    if not len(starts):
-        return len(words), words
-    cover = np.zeros(len(words) + 1, np.int64)
+def free_places(n: int, repeats: np.ndarray) -> np.ndarray:
+    """Places, of ``n`` words, outside repeated windows."""
+    starts = np.unique(repeats[repeats + WINDOW <= n])
+    cover = np.zeros(n + 1, np.int64)
     cover[starts] += 1
     np.subtract.at(cover, starts + WINDOW, 1)
-    free = np.cumsum(cover)[:-1] == 0
-    return len(words), [words[k] for k in np.flatnonzero(free).tolist()]
+    return np.flatnonzero(np.cumsum(cover)[:-1] == 0)
+
+
+def cut_out(text: str, free: np.ndarray) -> str:
+    """The text with the words at ``free`` places only. White space between words that stay neighbours stays as it is; where
+    words went in between, it is that before them if it has a line break, else that behind them."""
+    parts = _PARTS.findall(text)
+    lead = 1 - (parts[0].strip(_WHITE) != "")  # the first word's position among the parts
+    words = (lead + 2 * free).tolist()
+    out = [parts[0]] if lead and words[0] == 1 else []
+    for before, at in zip([None, *words], words):
+        if before is not None:
+            gap = parts[before + 1]
+            out.append(gap if at == before + 2 or "\n" in gap else parts[at - 1])
+        out.append(parts[at])
+    return "".join(out) + (parts[-1] if words[-1] == len(parts) - 2 else "")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options: int) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (kept words joined by one space) of every row."""
     def rows(found: Iterator[dict]) -> Iterator[tuple]:
         for r in found:
-            n, kept = kept_words(r["text"], r["places"])
-            yield None if r["doc_id"] == NO_ID else r["doc_id"], n, n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()
+            words = words_of(r["text"])
+            free = free_places(len(words), r["places"]).tolist()
+            kept = words if len(free) == len(words) else [words[k] for k in free]
+            yield None if r["doc_id"] == NO_ID else r["doc_id"], len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()
 
     return with_repeats(docs.select(id_col, text), rows, "doc_id long, n_words long, n_removed long, kept_sha256 string", id_col, text, **options)
 
 
 def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n_chars: str = "n_chars", **options: int) -> DataFrame:
-    """The documents with all their columns, repeated words taken out. A text that loses words becomes its kept words joined
-    by one space, with its length in ``n_chars`` if there is such a column; a document that loses all its words goes. Others
-    stay as they are."""
+    """The documents with all their columns, repeated words cut out of their texts, with the new length in ``n_chars`` if there
+    is such a column; a document that loses all its words goes. Others stay as they are."""
     names = docs.columns
 
     def rows(found: Iterator[dict]) -> Iterator[tuple]:
         for r in found:
-            n, kept = kept_words(r["text"], r["places"])
-            if n and not kept:
+            n = len(words_of(r["text"]))
+            free = free_places(n, r["places"])
+            if n and not len(free):
                 continue
-            whole = len(kept) == n
-            new = r["text"] if whole else b" ".join(kept).decode("utf-8", "surrogatepass")
+            whole = len(free) == n
+            new = r["text"] if whole else cut_out(r["text"], free)
             own = {**(r.get("row") or {}), id_col: None if r["doc_id"] == NO_ID else r["doc_id"], text: new}
             if n_chars in own and not whole:
                 own[n_chars] = len(new)

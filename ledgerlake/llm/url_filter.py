@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import ascii_lower
+from ledgerlake.llm.common import ascii_lower, unused
 
 #: The rules of the query, as (verdict, host and path prefix).
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
@@ -126,5 +126,6 @@ def judge(urls: DataFrame, rules=RULES, blocked=BLOCKED_GLOBS, url: str = "url")
             ], names=["rule", "verdict"])
 
     host, path = host_and_path(F.col(url))
-    found = urls.withColumns({"host": host, "path": path}).withColumn("_judged", decide(F.concat("host", "path")))
-    return found.withColumns({"rule": F.col("_judged.rule"), "verdict": F.col("_judged.verdict")}).drop("_judged")
+    judged = unused(urls, "_judged")
+    found = urls.withColumns({"host": host, "path": path}).withColumn(judged, decide(F.concat("host", "path")))
+    return found.withColumns({"rule": F.col(f"{judged}.rule"), "verdict": F.col(f"{judged}.verdict")}).drop(judged)

@@ -208,7 +208,11 @@ def test_leaks_with_edits(spark, docs):
         got = [(r.doc_id, r.item_id, r.edits) for r in decontamination.find_items(docs(*rows, extra="1 AS budget"), benchmark, block_chars=block_chars).collect()]
         assert len(got) == len(set(got)) and set(got) == want
     kept = decontamination.without_items(docs(*rows), benchmark)
-    assert {r.doc_id for r in kept.collect()} == {i for i, _ in rows} - {i for i, _, _ in want if i is not None}
+    assert {r.doc_id for r in kept.collect()} == {i for i, _ in rows} - {i for i, _, _ in want}
+    # Rows go by their own text: without an id, and beside a leaking row of the same id.
+    mixed = docs((None, items[0]), (None, "clean words"), (7, "so: " + items[1]), (7, "clean too"), extra="1 AS _found")
+    left = decontamination.without_items(mixed, benchmark)
+    assert sorted(r.text for r in left.collect()) == ["clean too", "clean words"] and left.columns == mixed.columns
     assert kept.columns == docs().columns and decontamination.find_items(docs(), benchmark).count() == 0
     assert decontamination.find_items(docs((1, "x")), benchmark.limit(0)).count() == 0
 
@@ -235,6 +239,28 @@ def test_short_items_in_query_and_pipeline(spark, docs, tmp_path):
     assert [r.doc_id for r in dict(corpus_pipeline.STAGES)["benchmark decontamination"](spark, df, str(tmp_path)).collect()] == [2]
 
 
+def test_words_are_cut_out_of_the_text_as_it_is():
+    rnd = random.Random(9)
+    for _ in range(400):
+        words = ["w%d" % rnd.randrange(9) for _ in range(rnd.randint(1, 30))]
+        text = rnd.choice(["", " ", "\n"]) + "".join(w + rnd.choice([" ", "  ", "\n", "\n\n", "\t"]) for w in words[:-1]) + words[-1] + rnd.choice(["", "\n"])
+        free = np.array(sorted(rnd.sample(range(len(words)), rnd.randint(1, len(words)))))
+        new = substrings.cut_out(text, free)
+        assert new.split() == [words[k] for k in free]
+        if len(free) == len(words):
+            assert new == text
+    assert substrings.cut_out("\tTitle\n\na b c d\ne  f\n", np.array([0, 1, 4, 5, 6])[:4]) == "\tTitle\n\na d\ne"
+    assert substrings.cut_out("one\n\nx y\nz two", np.array([0, 4])) == "one\n\ntwo"
+
+
+def test_parts_are_those_of_the_column(spark, docs):
+    rows = [(None, None), (None, "a"), (None, "b c"), (5, "ü"), (5, "x" * 100), (-7, ""), (2**62, "z")]
+    df = docs(*rows).selectExpr(f"coalesce(doc_id, {substrings.NO_ID}) AS doc_id", "text").withColumn("tag", substrings._tag("text"))
+    got = df.selectExpr("doc_id", "text", "tag", "cast(pmod(xxhash64(doc_id, tag), 97) as int) AS part").collect()
+    assert [r.tag for r in got] == [substrings.tag_of(r.text) for r in got] and min(r.tag for r in got) >= 0
+    assert substrings.part_of(np.array([r.doc_id for r in got]), np.array([r.tag for r in got]), 97).tolist() == [r.part for r in got]
+
+
 def test_places_round_trip():
     rnd = np.random.default_rng(1)
     ids = np.array([5, 5, 5, -(1 << 63), -(1 << 63), 9, 5, 5, 5], np.int64)
