@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import decontamination, near_copies, packing, quality, substrings
-from ledgerlake.llm.common import prepare, stored, table
+from ledgerlake.llm.common import prepare, stored, table, unused
 from ledgerlake.llm.queries import tokenizer_path
 
 
@@ -25,7 +25,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents that score at least the threshold."""
     prepare(spark)
     model = quality.fit(*quality.labelled_sample(docs, table(spark, sf_dir, "labels")))
-    return quality.score(docs, model, name="_score").where(F.col("_score") >= quality.THRESHOLD).drop("_score")
+    score = unused(docs, "_score")
+    return quality.score(docs, model, name=score).where(F.col(score) >= quality.THRESHOLD).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
