@@ -32,6 +32,9 @@ END_ID, SHARD_IDS = 2, 1 << 20
 LEAST_COUNT = 16
 #: Passes in which a round settles overlapping pairs; what is open then is left to the next round.
 PASSES = 8
+SLOT_BITS = 18
+#: Ids of a rule's expansion up to which it is kept whole while a shard is read.
+FLAT = 1024
 TASK_SHARDS = 4
 MAGIC = b"RPR1"
 
@@ -65,7 +68,7 @@ def compress(ids: np.ndarray, end_id: int = END_ID, vocabulary: int | None = Non
         place = np.flatnonzero(usable)
         pairs = (symbols[place].astype(wide) << wide(shift)) | symbols[place + 1].astype(wide)
         chosen, counts = _frequent(pairs) if len(pairs) >= LEAST_COUNT else (pairs[:0], place[:0])
-        taken, rule = _disjoint(place, pairs, chosen, counts, top, wide(shift), low)
+        taken, rule = _disjoint(place, pairs, chosen, counts)
         if len(taken):  # overlaps may have left a pair too few places
             uses = np.bincount(rule, minlength=len(chosen))
             enough = uses >= LEAST_COUNT // 2
@@ -85,19 +88,33 @@ def compress(ids: np.ndarray, end_id: int = END_ID, vocabulary: int | None = Non
     return base, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), symbols
 
 
-def _disjoint(place: np.ndarray, pairs: np.ndarray, chosen: np.ndarray, counts: np.ndarray, top: int, shift, low) -> tuple[np.ndarray, np.ndarray]:
+def _which(pairs: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``pairs`` of those among the sorted ``chosen`` ones, and the number of each. By a hash table; chosen pairs
+    that share a slot are looked up by bisection."""
+    kind = pairs.dtype.type
+    factor, shift = (kind(0x9E3779B1), kind(32 - SLOT_BITS)) if kind is np.uint32 else (kind(0x9E3779B97F4A7C15), kind(64 - SLOT_BITS))
+    table, shared = np.zeros(1 << SLOT_BITS, np.int32), np.zeros(1 << SLOT_BITS, bool)
+    own = chosen * factor >> shift
+    table[own] = np.arange(len(chosen), dtype=np.int32)
+    shared[own[table[own] != np.arange(len(chosen))]] = True
+    slots = pairs * factor >> shift
+    at = table[slots]
+    hit = chosen[at] == pairs
+    if shared.any():
+        rest = np.flatnonzero(~hit & shared[slots])
+        at[rest] = np.minimum(np.searchsorted(chosen, pairs[rest]), len(chosen) - 1)
+        hit[rest] = chosen[at[rest]] == pairs[rest]
+    where = np.flatnonzero(hit)
+    return where, at[where].astype(np.int64)
+
+
+def _disjoint(place: np.ndarray, pairs: np.ndarray, chosen: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of chosen pairs that do not overlap, in order, and which pair each is. The more frequent pair goes first, so all
     copies of a passage are cut alike wherever they stand."""
     if not len(chosen):
         return place[:0], place[:0]
-    left, right = np.zeros(top, bool), np.zeros(top, bool)
-    left[chosen >> shift], right[chosen & low] = True, True
-    maybe = left[pairs >> shift] & right[pairs & low]
-    place, pairs = place[maybe], pairs[maybe]
-    at = np.searchsorted(chosen, pairs)
-    at[at == len(chosen)] = 0
-    hit = chosen[at] == pairs
-    where, rule = place[hit], at[hit]
+    found, rule = _which(pairs, chosen)
+    where = place[found]
     # Ranks without ties; among equally frequent pairs an order without any run along the text.
     mixed = (np.arange(len(chosen), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
     rank = np.empty(len(chosen), np.int64)
@@ -132,10 +149,11 @@ def expansion_lengths(base: int, rules: np.ndarray) -> np.ndarray:
     return np.array(lengths, np.uint32)
 
 
-def expand(base: int, rules: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-    """Ids of a run of symbols: new symbols are replaced by their pairs until none is left."""
+def expand(base: int, rules: np.ndarray, symbols: np.ndarray, wanted: np.ndarray | None = None) -> np.ndarray:
+    """Ids of a run of symbols: new symbols are replaced by their pairs until none is left. With ``wanted``, a flag per
+    symbol, one step that replaces the flagged ones."""
     while True:
-        new = symbols >= base
+        new = symbols >= base if wanted is None else wanted[symbols]
         if not new.any():
             return symbols
         at = np.arange(len(symbols)) + np.concatenate(([0], np.cumsum(new)[:-1]))
@@ -144,6 +162,8 @@ def expand(base: int, rules: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         pair = rules[symbols[new] - base]
         out[at[new]], out[at[new] + 1] = pair[:, 0], pair[:, 1]
         symbols = out
+        if wanted is not None:
+            return symbols
 
 
 def encode_shard(doc_ids: list[int | None], ids: bytes, counts: list[int], end_id: int = END_ID) -> bytes:
@@ -220,7 +240,19 @@ class Shard:
         return np.concatenate(out) if out else np.zeros(0, np.uint32)
 
     def all_ids(self) -> np.ndarray:
-        return expand(self.base, self.rules, self.symbols)
+        """Ids of the whole shard. Rules of moderate length are expanded once, into one array that all symbols copy from."""
+        symbols, rules = self.symbols, self.rules
+        short = np.concatenate((np.ones(self.base, bool), self.lengths <= FLAT))
+        while not short[symbols].all():
+            symbols = expand(self.base, rules, symbols, ~short)
+        spans = [np.zeros(0, np.uint32)] * len(rules)
+        for k, (a, b) in enumerate(rules.tolist()):
+            if self.lengths[k] <= FLAT:
+                spans[k] = np.concatenate([spans[s - self.base] if s >= self.base else np.array([s], np.uint32) for s in (a, b)])
+        flat = np.concatenate((np.arange(self.base, dtype=np.uint32), *spans))
+        length = np.concatenate((np.ones(self.base, np.int64), [len(s) for s in spans])).astype(np.int64)
+        start, n = (np.cumsum(length) - length)[symbols], length[symbols]
+        return flat[np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
 
 
 def write_shards(docs: DataFrame, tokenizer: str, folder: str, spaced: bool = False, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -15,7 +15,7 @@ from functools import lru_cache
 
 #: Words, and runs of letters, kept by each worker, about 200 bytes each. A half-full table is set aside, and words met again
 #: move on into the next one.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 1_000_000
 # Western letters, then marks other than the apostrophe: always these two pre-tokens.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
 _MARKS = re.compile(r"[!-/:-@\[-`{-~]*")
@@ -29,20 +29,21 @@ class Table:
 
     def __init__(self, learn, most: int):
         self._learn, self._most = learn, most
-        self.known: dict[str, bytes] = {}
+        self._known: dict[str, bytes] = {}
         self._before: dict[str, bytes] = {}
 
-    def of(self, words: list[str]) -> bytes:
-        """Ids of the words, put together."""
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            if len(self.known) > self._most // 2:
-                self._before, self.known = self.known, {}
-            known, before, learn = self.known, self._before, self._learn
-            for word in set(words).difference(known):
+    def with_all(self, words: list[str]) -> dict[str, bytes]:
+        """The table, with all these words in it."""
+        known = self._known
+        missing = set(words).difference(known)
+        if missing:
+            if len(known) > self._most // 2:
+                self._before, self._known = known, {}
+                known, missing = self._known, set(words)
+            before, learn = self._before, self._learn
+            for word in missing:
                 known[word] = before.get(word) or learn(word)
-            return b"".join(map(known.__getitem__, words))
+        return known
 
 
 class WordEncoder:
@@ -59,6 +60,7 @@ class WordEncoder:
         self._lower = self._pre_tokens("A")[0] == "a"
         self._written = {ord(c): self._pre_tokens(c)[0] for c in map(chr, range(0xC0, 0x100)) if c.isalpha()}
         self._break = self._all("\n")
+        self._drops = not spaced and not self._break  # all white space goes
         # A word after a space, one after none, and a run of marks after letters.
         self._spaced = Table(lambda word: self._one(self._mark, word, " " if spaced else ""), words)
         self._bare = Table(lambda word: self._one("", word, ""), words) if spaced else self._spaced
@@ -73,15 +75,23 @@ class WordEncoder:
             return b""
         if any(marks in text for marks in self._added):
             return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        lines = self._lines(text)
+        spaced = self._spaced.with_all([word for line in lines for word in line[1:]])
+        bare = self._bare.with_all([line[0] for line in lines])
+        return self._break.join([bare[line[0]] + b"".join(map(spaced.__getitem__, line[1:])) for line in lines])
+
+    def _lines(self, text: str) -> list[list[str]]:
+        """Lines of words. Where white space is other than single spaces and line breaks, there is one line, and its words hold
+        that white space."""
+        plain = not _ODD(text)
+        if plain and self._drops:
+            return [text.split() or [""]]
         # Of more than two line breaks, or two at the end, the pre-tokenizer makes one piece.
-        if "\n\n\n" not in text and text[-2:] != "\n\n" and not _ODD(text):
+        if plain and "\n\n\n" not in text and text[-2:] != "\n\n":
             lines = [line.split(" ") for line in text.split("\n")]
             if not any("" in line and len(line) > 1 for line in lines):
-                return self._break.join([self._line(line) if line[0] else b"" for line in lines])
-        return self._line(_GAP.split(text))
-
-    def _line(self, words: list[str]) -> bytes:
-        return self._bare.of(words[:1]) + self._spaced.of(words[1:])
+                return lines
+        return [_GAP.split(text)]
 
     def _pre_tokens(self, word: str) -> list[str]:
         if self._normalizer is not None:
