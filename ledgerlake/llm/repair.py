@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,11 +62,15 @@ def compress(ids: np.ndarray, end_id: int = END_ID, vocabulary: int | None = Non
         # Pairs of small symbols are one 32-bit number, which sorts faster.
         wide, shift = (np.uint32, 16) if top < 1 << 16 else (np.uint64, 32)
         low = wide((1 << shift) - 1)
-        usable = (symbols[:-1] != end_id) & (symbols[1:] != end_id)
         if new_from:
-            new = symbols >= new_from
-            usable &= new[:-1] | new[1:]
-        place = np.flatnonzero(usable)
+            new = np.flatnonzero(symbols >= new_from)
+            beside = np.zeros(len(symbols) + 1, bool)  # the pair that ends with a new symbol, and the one that begins with it
+            beside[new], beside[new + 1] = True, True
+            place = np.flatnonzero(beside[1:-1])
+            place = place[(symbols[place] != end_id) & (symbols[place + 1] != end_id)]
+        else:
+            inner = symbols != end_id
+            place = np.flatnonzero(inner[:-1] & inner[1:])
         pairs = (symbols[place].astype(wide) << wide(shift)) | symbols[place + 1].astype(wide)
         chosen, counts = _frequent(pairs) if len(pairs) >= LEAST_COUNT else (pairs[:0], place[:0])
         taken, rule = _disjoint(place, pairs, chosen, counts)
@@ -176,7 +181,8 @@ def encode_shard(doc_ids: list[int | None], ids: bytes, counts: list[int], end_i
     kind = "<u2" if base + len(rules) <= 1 << 16 else "<u4"
     parts = [np.array([i is not None for i in doc_ids], "u1"), np.array([i or 0 for i in doc_ids], "<i8"), np.array(counts, "<u8"), first_id,
              first_symbol, rules.astype("<u4"), lengths.astype("<u4"), symbols.astype(kind)]
-    bodies = [zlib.compress(p.tobytes(), 1) for p in parts]
+    packer = zstandard.ZstdCompressor(level=1)
+    bodies = [packer.compress(np.ascontiguousarray(p)) for p in parts]
     head = struct.pack("<4sIIIQB", MAGIC, len(doc_ids), base, len(rules), len(symbols), int(kind[2]))
     return head + struct.pack(f"<{len(bodies)}Q", *map(len, bodies)) + b"".join(bodies)
 
@@ -191,7 +197,8 @@ class Shard:
         at = struct.calcsize("<4sIIIQB")
         sizes = struct.unpack_from("<8Q", image, at)
         starts = [at + 64, *accumulate(sizes, initial=at + 64)][1:]
-        body = [zlib.decompress(image[s:s + z]) for s, z in zip(starts, sizes)]
+        unpacker, view = zstandard.ZstdDecompressor(), memoryview(image)
+        body = [unpacker.decompress(view[s:s + z]) for s, z in zip(starts, sizes)]
         known, ids = np.frombuffer(body[0], "u1"), np.frombuffer(body[1], "<i8")
         self.doc_ids = [int(i) if k else None for k, i in zip(known, ids)]
         self.counts, self.first_id, self.first_symbol = (np.frombuffer(b, "<u8").astype(np.int64) for b in body[2:5])

@@ -75,6 +75,9 @@ class WordEncoder:
             return b""
         if any(marks in text for marks in self._added):
             return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if self._drops and not _ODD(text):
+            words = text.split()
+            return b"".join(map(self._spaced.with_all(words).__getitem__, words))
         lines = self._lines(text)
         spaced = self._spaced.with_all([word for line in lines for word in line[1:]])
         bare = self._bare.with_all([line[0] for line in lines])
@@ -83,11 +86,8 @@ class WordEncoder:
     def _lines(self, text: str) -> list[list[str]]:
         """Lines of words. Where white space is other than single spaces and line breaks, there is one line, and its words hold
         that white space."""
-        plain = not _ODD(text)
-        if plain and self._drops:
-            return [text.split() or [""]]
         # Of more than two line breaks, or two at the end, the pre-tokenizer makes one piece.
-        if plain and "\n\n\n" not in text and text[-2:] != "\n\n":
+        if "\n\n\n" not in text and text[-2:] != "\n\n" and not _ODD(text):
             lines = [line.split(" ") for line in text.split("\n")]
             if not any("" in line and len(line) > 1 for line in lines):
                 return lines
