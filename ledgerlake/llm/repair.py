@@ -252,12 +252,10 @@ class Shard:
         short = np.concatenate((np.ones(self.base, bool), self.lengths <= FLAT))
         while not short[symbols].all():
             symbols = expand(self.base, rules, symbols, ~short)
-        spans = [np.zeros(0, np.uint32)] * len(rules)
-        for k, (a, b) in enumerate(rules.tolist()):
-            if self.lengths[k] <= FLAT:
-                spans[k] = np.concatenate([spans[s - self.base] if s >= self.base else np.array([s], np.uint32) for s in (a, b)])
-        flat = np.concatenate((np.arange(self.base, dtype=np.uint32), *spans))
-        length = np.concatenate((np.ones(self.base, np.int64), [len(s) for s in spans])).astype(np.int64)
+        # Itself for every id, then the expansions of the short rules one behind the other.
+        every = np.arange(self.base + len(rules), dtype=np.uint32)
+        flat = np.concatenate((every[:self.base], expand(self.base, rules, every[self.base:][short[self.base:]])))
+        length = np.concatenate((np.ones(self.base, np.int64), np.where(short[self.base:], self.lengths, 0))).astype(np.int64)
         start, n = (np.cumsum(length) - length)[symbols], length[symbols]
         return flat[np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
 
@@ -312,7 +310,7 @@ def read_shards(manifest: DataFrame) -> DataFrame:
             fs, path = filesystem(r["path"])
             with fs.open_input_file(path) as f:
                 shard = Shard(f.read())
-            ids = memoryview(shard.all_ids().astype("<u4").tobytes())
+            ids = memoryview(np.ascontiguousarray(shard.all_ids(), "<u4")).cast("B")
             for doc_id, first, n in zip(shard.doc_ids, shard.first_id.tolist(), shard.counts.tolist()):
                 yield doc_id, r["shard_start"] + first, n, zlib.crc32(ids[4 * first:4 * (first + n)])
 
