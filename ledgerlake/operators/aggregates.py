@@ -26,6 +26,26 @@ def joined_text(value: str, order: Sequence[str], separator: str = " / ") -> Col
     return F.coalesce(F.expr(f"listagg({value}, '{separator}') within group (order by {by})"), F.lit(""))
 
 
+def joined_in_pieces(
+    df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str], name: str, separator: str = " / ", piece: int = 1024,
+    **others: tuple[Column, Column],
+) -> DataFrame:
+    """``joined_text`` per key where one key may have very many values: pieces of neighbouring values are joined by tasks of
+    their own, and the key's task joins the pieces.
+
+    The last column of ``order`` is a whole number; a piece holds the values of ``piece`` neighbouring numbers under equal columns
+    before it, so it is bounded where the numbers of a key differ. NULL numbers form one piece, the first. ``others`` maps further
+    result names to (aggregate of a piece, aggregate of its results, found under the same name).
+    """
+    *before, last = order
+    at = F.floor(F.col(last) / piece).alias("_piece")
+    pieces = df.groupBy(*keys, *before, at).agg(
+        F.expr(f"listagg({value}, '{separator}') within group (order by {last})").alias("_text"),
+        *[inner.alias(other) for other, (inner, _) in others.items()])
+    return pieces.groupBy(*keys).agg(
+        joined_text("_text", [*before, "_piece"], separator).alias(name), *[outer.alias(other) for other, (_, outer) in others.items()])
+
+
 def share_of_total(
     df: DataFrame, keys: Sequence[str], measures: dict[str, tuple[Column, str]], scale: int = 2,
 ) -> DataFrame:

@@ -43,20 +43,25 @@ def invoice_lines(
 ) -> DataFrame:
     """Newest version per line with amounts in base currency.
 
+    Every version meets its rate first. Rows partitioned by invoice are also partitioned by (invoice, line), so the newest
+    version is picked where the join left them, and a later join with headers by invoice finds them in place: lines are
+    shuffled once. An invoice that holds a large share of the lines is split by the adaptive join and shuffled a second time, by
+    (invoice, line). The versions of one line meet in one task, which sorts them with spilling and keeps one row.
+
     ``headers`` takes already built invoices (for instance the materialised entity) instead of flattening the invoice
     pages a second time.
     """
-    lines = _entity(bulk_raw, "invoices/booked/lines", "$.items", f.INVOICE_LINE,
-                    ["invoice_number", "line_number"], ties)
+    versions = flatten(bulk_raw, "invoices/booked/lines", "$.items", f.INVOICE_LINE)
     rates = (invoices(rest_raw) if headers is None else headers) \
         .select("invoice_number", "invoice_currency", "exchange_rate")
-    return convert_lines(lines, rates)
+    rated = versions.join(rates, "invoice_number", "left")
+    return in_base_currency(latest_per_key(rated, ["invoice_number", "line_number"], newest_first("api_timestamp", *ties)))
 
 
-def convert_lines(lines: DataFrame, rates: DataFrame) -> DataFrame:
-    """Attach currency and rate (one row per invoice) and convert the three amounts."""
+def in_base_currency(lines: DataFrame) -> DataFrame:
+    """Lines that carry their invoice's currency and rate, with the three amounts converted."""
     rate = F.col("exchange_rate")
-    return lines.join(rates, "invoice_number", "left").select(
+    return lines.select(
         "api_timestamp", "invoice_number", "line_number", "line_number_ui", "sku", "line_description", "quantity",
         "invoice_currency", "exchange_rate", "unit_net_price", "unit_cost_price", "line_net_amount",
         to_base_currency(F.col("unit_net_price"), rate).alias("unit_net_price_base_currency"),

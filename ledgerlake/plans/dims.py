@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import lookups as lk
-from ledgerlake.operators.aggregates import joined_text, mode_per_key
+from ledgerlake.operators.aggregates import joined_in_pieces, mode_per_key
 from ledgerlake.operators.dedup import latest_per_key, newest_first
 from ledgerlake.operators.joins import lookup_where
 from ledgerlake.plans import bronze
@@ -57,20 +57,20 @@ def _newest(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def variant_attributes(links: DataFrame, values: DataFrame) -> DataFrame:
-    """Size, colour and all attribute texts per combination in one aggregation.
+    """Size, colour and all attribute texts per combination.
 
-    The lowest option id decides when a combination has two sizes or two colours.
+    The lowest option id decides when a combination has two sizes or two colours. Texts are joined in pieces, so a combination
+    with very many options is worked on by several tasks.
     """
     named = links.join(values.drop("api_timestamp"), "option_value_id")
-    group, key, name = F.col("option_group_id"), F.col("option_value_id"), F.col("option_value_name")
+    option = F.struct(F.col("option_value_id").alias("id"), F.col("option_value_name").alias("name"))
 
-    def lowest(of_group: int) -> Column:
-        return F.min_by(name, F.when(group == of_group, key))
+    def lowest(of_group: int, name: str) -> tuple[Column, Column]:
+        return F.min(F.when(F.col("option_group_id") == of_group, option)), F.min(name)["name"]
 
-    return named.groupBy("combination_id").agg(
-        lowest(lk.SIZE_GROUP).alias("size"), lowest(lk.COLOUR_GROUP).alias("color"),
-        joined_text("option_value_name", ["option_group_id", "option_value_id"]).alias("all_attributes"),
-    )
+    return joined_in_pieces(
+        named, ["combination_id"], "option_value_name", ["option_group_id", "option_value_id"], "all_attributes",
+        size=lowest(lk.SIZE_GROUP, "size"), color=lowest(lk.COLOUR_GROUP, "color"))
 
 
 def dim_product_sku(shop: ShopCatalogue) -> DataFrame:

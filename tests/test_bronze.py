@@ -59,6 +59,22 @@ def test_duplicate_headers_do_not_multiply_lines(raw):
     assert rows(bronze.invoice_lines(bulk, rest), "line_net_amount", "line_net_amount_base_currency") == [(10.0, 30.0)]
 
 
+def test_lines_are_shuffled_once_also_with_their_headers(spark, raw):
+    rest = raw("REST", invoice_pages(invoice(1), invoice(2)))
+    bulk = raw("OPENAPI", line_pages(line(1, 1), line(1, 2), line(2, 1)), line_pages(line(1, 1, amount=3.0), at=SECOND))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        headers = bronze.invoices(rest)
+        lines = bronze.invoice_lines(bulk, rest)
+        dated = lines.join(headers.select("invoice_number", "invoice_date"), "invoice_number")
+        # Rates and dates take a shuffle of headers each.
+        assert plan(lines).count("Exchange hashpartitioning") == 2 and plan(dated).count("Exchange hashpartitioning") == 3
+        assert rows(dated, "invoice_number", "line_number", "line_net_amount") == [(1, 1, 3.0), (1, 2, 100.0), (2, 1, 100.0)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
 def test_loading_twice_gives_the_same_entities(raw):
     once = raw("REST", invoice_pages(invoice(1), invoice(2)), (FIRST, "customers", 0, {"collection": [customer(1)]}))
     twice = once.unionByName(once.withColumn("date_inserted", F.to_timestamp(F.lit(SECOND))))

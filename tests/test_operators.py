@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 import pytest
@@ -112,6 +113,24 @@ def test_joined_text_orders_and_handles_null_groups(spark):
     assert rows(got) == [(1, "a / b"), (2, "")]
 
 
+@FEW
+@given(data=hs.lists(hs.tuples(hs.integers(0, 2), hs.one_of(hs.none(), hs.integers(0, 1)), hs.integers(-9, 9), texts),
+                     max_size=30, unique_by=lambda r: r[:3]))
+def test_text_in_pieces_equals_text_at_once(spark, data):
+    df = spark.createDataFrame(data, "k int, g int, n long, v string")
+    low = F.min(F.struct("n", "v"))
+    got = aggregates.joined_in_pieces(df, ["k"], "v", ["g", "n"], "t", piece=4, low=(low, F.min("low")["v"]))
+    want = df.groupBy("k").agg(aggregates.joined_text("v", ["g", "n"]).alias("t"), low["v"].alias("low"))
+    assert rows(got, "k", "t", "low") == rows(want, "k", "t", "low")
+
+
+def test_a_long_text_is_made_by_several_tasks(spark):
+    df = spark.range(200_000).selectExpr("id div 200000 AS k", "id div 300000 AS g", "id", "string(id) AS v")
+    got = aggregates.joined_in_pieces(df, ["k"], "v", ["g", "id"], "t")
+    assert re.search(r"Exchange hashpartitioning\(k#\d+L, g#\d+L, _groupingexpression#", plan(got))
+    assert got.first().t == " / ".join(map(str, range(200_000)))
+
+
 def test_shares_sum_to_hundred_and_reuse_the_exchange(spark):
     df = spark.createDataFrame([(k, float(k)) for k in (1, 1, 2, 3, 4, 4, 4, 5)], "k int, v double")
     got = aggregates.share_of_total(df, ["k"], {"n": (F.count(F.lit(1)), "pn"), "s": (F.sum("v"), "ps")})
