@@ -48,6 +48,8 @@ DROPPED_WORDS = {
     "promotion", "related", "respond", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored",
     "subscribe", "toolbar", "topbar", "widget",
 }
+# Words that make a header the head of an article, not of the page.
+ARTICLE_WORDS = {"article", "entry", "post", "story"}
 GOOD_WORDS = {"article", "content", "entry", "main", "post", "story", "text", "body"}
 # Start tags that end an open element of these names.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -118,8 +120,9 @@ class Page:
         classes = unescape(wanted.get("class", "")).lower().split()
         words = {w for c in (*classes, wanted.get("id", "").lower()) for w in _WORD.findall(c)}
         if name not in ("html", "body", "article", "main") and not re.fullmatch("h[1-6]", name):
-            dropped = (dropped or name in DROPPED or name == "header" and not article or bool(words & DROPPED_WORDS)
-                       or wanted.get("role", "").lower() in DROPPED_ROLES)
+            titled = article or bool(words & ARTICLE_WORDS)  # an article's own header holds its title
+            dropped = (dropped or name in DROPPED or name == "header" and not titled
+                       or bool(words & DROPPED_WORDS - {"header"} if titled else words & DROPPED_WORDS) or wanted.get("role", "").lower() in DROPPED_ROLES)
         elif name == "article":
             dropped = dropped or bool(words & {"comment", "comments", "related", "sponsored", "ad", "promo"})
         dropped = dropped or "hidden" in wanted or wanted.get("aria-hidden", "").lower() == "true" or bool(

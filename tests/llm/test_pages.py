@@ -5,6 +5,9 @@ from __future__ import annotations
 import fnmatch
 import hashlib
 import random
+import re
+from collections import defaultdict
+from html.parser import HTMLParser
 
 import pytest
 
@@ -62,6 +65,90 @@ def test_templates_of_a_host_beyond_the_best_voted(pages):
     assert [got[100 * n + 99] for n in range(30)] == [f"brief text of {theme}" for theme in themes]
 
 
+@pytest.mark.parametrize("head, shown", [
+    ('<article><header class="entry-header"><h1>Title</h1></header>', True), ('<div class="post"><div class="post-header"><h1>Title</h1></div>', True),
+    ('<main><div class="header"><h1>Title</h1></div>', True), ('<article><header><h1>Title</h1></header>', True),
+    ('<div class="post"><div class="site-header"><h1>Title</h1></div>', False), ('<header class="top"><h1>Title</h1></header><article>', False),
+    ('<article><nav class="entry-nav"><h1>Title</h1></nav>', False), ('<article><div class="entry-share header"><h1>Title</h1></div>', False)])
+def test_titles_in_an_articles_own_header(pages, head, shown):
+    body = "A sentence of the article that is long enough to be its text."
+    got = html_paths.extract(pages((1, "http://t.example/", f"<body>{head}<p>{body}</p></body>"))).first().text
+    assert got == (f"Title\n{body}" if shown else body)
+
+
+class Plain(HTMLParser):
+    """Blocks of a page by the standard library's parser, with the chain of tags and classes that holds each."""
+
+    def __init__(self, html):
+        super().__init__()
+        self.open, self.held, self.linked, self.blocks = [], "", 0, []
+        self.feed(html or "")
+        self.close()
+        self.cut()
+
+    def cut(self):
+        text = " ".join(self.held.split())
+        if text:
+            self.blocks.append((text, self.linked, tuple(step for _, step, _ in self.open if step)))
+        self.held, self.linked = "", 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag in html_paths.VOID:
+            self.held += " " * (tag == "br")
+            return
+        if tag in html_paths.BLOCKS:
+            if any(name == "p" for name, _, _ in self.open):
+                self.handle_endtag("p")
+            self.cut()
+        classes = (dict(attrs).get("class") or "").split()
+        gone = tag in {"head", "nav", "header", "footer", "aside", "form", "script", "style"} or bool(
+            {w for c in classes for w in re.findall("[a-z]+", c)} & {"ad", "notice", "cookie", "comments", "sidebar", "related", "promo"})
+        step = ".".join([tag, *sorted(re.sub(r"\d", "", c) for c in classes)]) if tag in html_paths.CONTAINERS and not gone else ""
+        self.open.append((tag, step, gone or bool(self.open) and self.open[-1][2]))
+
+    def handle_endtag(self, tag):
+        if any(name == tag for name, _, _ in self.open):
+            while True:
+                if self.open[-1][0] in html_paths.BLOCKS:
+                    self.cut()
+                if self.open.pop()[0] == tag:
+                    break
+
+    def handle_data(self, data):
+        if not (self.open and self.open[-1][2]):
+            self.held += data
+            self.linked += len(data.strip()) * any(name == "a" for name, _, _ in self.open)
+
+    def scores(self):
+        found = {}
+        for text, linked, chain in self.blocks:
+            for depth in range(len(chain), 0, -1):
+                name = chain[depth - 1]
+                weight = 1.5 if name.split(".")[0] in ("article", "main") else 0.5 if name in ("html", "body") else 1.0
+                score = max(0, len(text) - 2 * linked) * 0.9 ** (len(chain) - depth) * weight
+                found[chain[:depth]] = found.get(chain[:depth], 0) + score
+        return found
+
+
+def test_whole_table_equals_plain_python(spark):
+    """Scores, votes per host and texts of all given pages, by another parser and without Spark."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html").collect()
+    parsed, votes = {r.page_id: Plain(r.html) for r in rows}, defaultdict(int)
+    hosts = {r.page_id: r.url.split("://")[1].split("/")[0].lower() for r in rows}
+    for r in rows:
+        scores = parsed[r.page_id].scores()
+        for path, score in scores.items():
+            if score >= 0.5 * max(scores.values()):
+                votes[hosts[r.page_id], path] += round(1000 * score / max(scores.values()))
+    want = {}
+    for r in rows:
+        page = parsed[r.page_id]
+        best = min(page.scores(), key=lambda path: (-votes[hosts[r.page_id], path], "/".join(path)), default=())
+        want[r.page_id] = "\n".join(text for text, _, chain in page.blocks if chain[:len(best)] == best)
+    got = html_paths.extract(spark.createDataFrame(rows))
+    assert {r.page_id: r.text for r in got.collect()} == want
+
+
 def test_page_edge_cases(pages, spark):
     rows = [(1, None, None), (2, "no host", ""), (None, "http://b.example", "plain text, no markup &amp; nothing"),
             (4, "http://b.example", "<p>unclosed <b>bold <i>x"), (4, "http://b.example", "<p>unclosed <b>bold <i>x"),
