@@ -10,7 +10,11 @@ projections estimate. A zero fingerprint is like another one only if both are ze
 
 Search within a radius: the bits are cut into blocks. With ``radius`` differing bits at least ``blocks - radius`` blocks
 agree, so there is one table per choice of that many blocks, ordered with the chosen blocks in front, and every
-fingerprint within the radius meets the query in one of them. Hits are verified in full and reported once.
+fingerprint within the radius meets the query in one of them. Hits are verified in full and reported once. Leads that very many
+fingerprints share are dealt into slots.
+
+Null ids take part as rows but ask no question; repeated rows count each; further columns of the input are ignored, whatever
+their names; a text of any length is read whole, its terms in slices.
 """
 
 from __future__ import annotations
@@ -32,6 +36,9 @@ BITS, WORDS = 128, 2
 _PAIR, _SPREAD, _FOLD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(32)
 _STEPS = [np.uint64((k + 1) * int(_SPREAD) % 2**64) for k in range(WORDS)]
 SLICE = 8192
+#: Fingerprints of one lead that a query meets in one task; a lead with more is dealt into slots.
+CROWD = 4096
+RADIUS, EVERY = 3, 20
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -80,7 +87,18 @@ def _differing(a: Column, b: Column) -> Column:
         F.conv(F.substring(b, at, 8), 16, 10).cast("long"))) for at in range(1, 2 * half + 1, 8)), F.lit(0))
 
 
-def search(index: DataFrame, queries: DataFrame, radius: int = 3, blocks: int = 4) -> DataFrame:
+def _met(queries: DataFrame, index: DataFrame) -> DataFrame:
+    """Join by table and lead. The index rows of a crowded lead are dealt into slots, and a query visits each of them."""
+    lead = ["t", "lead"]
+    crowded = index.groupBy(*lead).agg(F.ceil(F.count(F.lit(1)) / CROWD).alias("slots")).where("slots > 1")
+    slots = F.coalesce("slots", F.lit(1).cast("long"))
+    dealt = index.join(crowded, lead, "left").select(*lead, "found", F.pmod(F.xxhash64("found"), slots).alias("slot"))
+    visits = queries.join(crowded, lead, "left").select(
+        *lead, "query", F.explode(F.sequence(F.lit(0).cast("long"), slots - 1)).alias("slot"))
+    return visits.join(dealt, [*lead, "slot"])
+
+
+def search(index: DataFrame, queries: DataFrame, radius: int = RADIUS, blocks: int = 4) -> DataFrame:
     """(query, found, differing): every fingerprint of ``index`` within the radius of a query's, from frames with a
     ``fingerprint`` column. Fingerprints are searched once however many documents carry them; join the result with the
     documents for ids. A query finds itself if it is indexed."""
@@ -95,11 +113,22 @@ def search(index: DataFrame, queries: DataFrame, radius: int = 3, blocks: int =
         return prints.select(F.col("fingerprint").alias(name)).where(f"{name} IS NOT NULL").distinct().select(
             name, F.explode(F.array(*keys)).alias("k")).select(name, "k.t", "k.lead")
 
-    met = permuted(queries, "query").join(permuted(index, "found"), ["t", "lead"])
+    met = _met(permuted(queries, "query"), permuted(index, "found"))
     return met.withColumn("differing", _differing(F.col("query"), F.col("found")).cast("int")).where(
         F.col("differing") <= radius).select("query", "found", "differing").distinct()
 
 
+def count_near(prints: DataFrame, radius: int = RADIUS, every: int = EVERY) -> DataFrame:
+    """``prints`` (doc_id, fingerprint and more) with ``n_near``: how many rows, itself included, have a fingerprint within the radius
+    of the row's, for rows whose doc_id ``every`` divides; null for the others. Equal fingerprints are searched once and counted
+    before they are joined."""
+    carried = prints.groupBy(F.col("fingerprint").alias("found")).agg(F.count(F.lit(1)).alias("_n"))
+    asked = F.coalesce(F.col("doc_id") % every == 0, F.lit(False))
+    found = search(prints, prints.where(asked), radius).join(carried, "found")
+    totals = found.groupBy(F.col("query").alias("fingerprint")).agg(F.sum("_n").alias("n_near"))
+    return prints.join(totals, "fingerprint", "left").withColumn("n_near", F.when(asked, F.col("n_near"))).select(*prints.columns, "n_near")
+
+
 def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of every text and of its edited text: the last floor(n / 2) code points replaced by the first as many
     (or all) of the next document, in ascending id, after the last the first. Rows without an id come first; rows of equal
@@ -143,4 +172,5 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text: str = "text
             yield judged(r["doc_id"], r["text"], fingerprint(r["text"]), r["next_text"], fingerprint(r["next_text"]))
 
     joined = last.join(after, "part").join(first, "following").select("doc_id", "text", "next_text")
-    return done.where("edge IS NULL").drop("part", "edge", "edge_id", "edge_text").unionByName(map_rows(joined, across, result))
+    ends = stored(spark, map_rows(joined, across, result), "next-ends")
+    return done.where("edge IS NULL").drop("part", "edge", "edge_id", "edge_text").unionByName(ends)

@@ -43,7 +43,7 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+    return fingerprints.count_near(fingerprints.compare_with_next(table(spark, sf_dir, "documents")))
 
 
 def op4_url_wildcard_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

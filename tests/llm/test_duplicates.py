@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -100,6 +102,38 @@ def test_compare_with_next(docs, sample):
     assert fingerprints.compare_with_next(docs()).count() == 0
 
 
+def test_fingerprint_bits_by_plain_votes():
+    """Votes added one term at a time in plain numbers; equal bits wherever a vote is not a tie."""
+    def mixed(x):
+        x = (x ^ x >> 32) * 0x9E3779B97F4A7C15 % 2**64
+        x = (x ^ x >> 29) * 0xC2B2AE3D27D4EB4F % 2**64
+        return x ^ x >> 32
+
+    words = [f"w{n % 23}" for n in range(70)] + ["é", "w1"]
+    single = [xxhash.xxh3_64_intdigest(w.encode()) for w in words]
+    pairs = [mixed(a * 0x9E3779B97F4A7C15 + (b ^ 0xC2B2AE3D27D4EB4F) & 2**64 - 1) for a, b in zip(single, single[1:])]
+    votes = [0.0] * 128
+    for terms, factor in ((Counter(single), 1), (Counter(pairs), 2)):
+        for term, n in terms.items():
+            spread = b"".join(mixed((term + (k + 1) * 0xC2B2AE3D27D4EB4F) % 2**64).to_bytes(8, "little") for k in range(2))
+            for bit in range(128):
+                votes[bit] += factor * (1 + math.log(n)) * (1 if spread[bit // 8] >> 7 - bit % 8 & 1 else -1)
+    got = fingerprints.fingerprint(" ".join(words))
+    clear = [bit for bit in range(128) if abs(votes[bit]) > 1e-3]
+    assert len(clear) > 120 and all((got[b // 8] >> 7 - b % 8 & 1) == (votes[b] > 0) for b in clear)
+
+
+def test_near_counts_equal_brute_force_in_crowded_leads(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "CROWD", 8)
+    rng = random.Random(5)
+    near = [0xABCDEF << 100 | rng.getrandbits(3) << 64 | rng.getrandbits(2) for _ in range(150)]
+    rows = [(n if n % 9 else None, f"{p:032x}", "x") for n, p in enumerate([*near, *(rng.getrandbits(128) for _ in range(60)), 0, 0, 0])]
+    got = fingerprints.count_near(spark.createDataFrame(rows, "doc_id long, fingerprint string, found string"), every=4).collect()
+    values = [int(p, 16) for _, p, _ in rows]
+    want = [(i, p, x, sum((int(p, 16) ^ v).bit_count() <= 3 for v in values) if i is not None and i % 4 == 0 else None) for i, p, x in rows]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
 def test_permuted_tables_find_all(spark):
     rnd = random.Random(2)
     base = [rnd.getrandbits(128) for _ in range(5)]
