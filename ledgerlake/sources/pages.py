@@ -25,6 +25,9 @@ ARRAY_KEYS = {
     "SHOP": ("products", "combinations", "categories", "product_option_values"),
 }
 RAW_COLUMNS = ["date_inserted", "api_endpoint", "page_number", "record_count_per_page", "collection_json", "load_id"]
+# A RAW row has a whole page of a thousand records. Parquet looks at sizes every 100 rows only, so that one of its pages, which
+# codecs hold in memory outside the heap, would have tens of megabytes; and a reader's batch would be a whole file.
+PAGE_LAYOUT = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "4", "parquet.block.row.count.limit": "64"}
 LANDED_SCHEMA = "value string, api_endpoint string, load_id string"
 
 
@@ -75,13 +78,13 @@ def _with_batch(raw: DataFrame, batch: str) -> DataFrame:
 
 def append_raw(raw: DataFrame, path: str, batch: str = "once") -> None:
     """Add the pages of a batch; writing the same load and batch again replaces them instead of doubling them."""
-    (_with_batch(raw, batch).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (_with_batch(raw, batch).write.mode("overwrite").options(**PAGE_LAYOUT).option("partitionOverwriteMode", "dynamic")
      .partitionBy("api_endpoint", "load_id", "batch").parquet(path))
 
 
 def reload_raw(raw: DataFrame, path: str, batch: str = "once") -> None:
     """Truncate, then load: the store holds only the newest full refresh."""
-    (_with_batch(raw, batch).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (_with_batch(raw, batch).write.mode("overwrite").options(**PAGE_LAYOUT).option("partitionOverwriteMode", "static")
      .partitionBy("api_endpoint", "load_id", "batch").parquet(path))
 
 

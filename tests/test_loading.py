@@ -10,6 +10,7 @@ from fixtures import FIRST, SECOND, customer, invoice, line
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import incremental as inc
+from ledgerlake.operators.variants import parse
 from ledgerlake.plans import bronze, reports
 from ledgerlake.sources import config, files, page_index, pages, store
 from ledgerlake.streaming.landing import land_batch, land_once, start_landing
@@ -383,3 +384,33 @@ def test_pages_of_a_load_follow_the_marks_it_began_with(spark, tmp_path):
     assert rows(bronze.invoices(pages.read_raw(spark, raw_path)), "invoice_number") == [(3,), (4,), (5,), (8,), (9,)]
     mark = _marks(spark, marks_path)["invoices/booked"]
     assert mark.total_records_loaded == 5
+
+
+def test_pages_stay_where_they_are_when_the_index_is_asked(spark, tmp_path):
+    """All pages of a load share a key of the index: without a broadcast whatever its size they would meet in one task."""
+    raw_path = str(tmp_path / "raw")
+    for n in (0, 1):
+        land(tmp_path / "in", "invoices/booked", "a", n, {"collection": [invoice(n)]})
+    land_once(spark, str(tmp_path / "in"), "REST", raw_path, str(tmp_path / "marks"), 0, T1)
+    batch = pages.read_pages(spark, str(tmp_path / "in"), "REST")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = page_index.not_landed(batch, page_index.landed_by_others(spark, raw_path, "two-0", page_index.loads_of(batch)))
+        assert left.count() == 0 and "Exchange hashpartitioning" not in plan(left)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_raw_files_have_small_pages_and_row_groups(spark, tmp_path):
+    """Parquet pages of wide RAW rows do not grow to a hundred rows, nor a reader's batch to a file."""
+    import pyarrow.parquet as pq
+    wide = spark.range(0, 200, 1, 1).select(
+        F.lit(T1).alias("date_inserted"), F.lit("e").alias("api_endpoint"), F.col("id").alias("page_number"), F.lit(1).cast("bigint").alias("record_count_per_page"),
+        parse(F.to_json(F.struct(F.repeat(F.sha2(F.col("id").cast("string"), 512), 500).alias("t")))).alias("collection_json"), F.lit("l").alias("load_id"))
+    for write, name in ((pages.append_raw, "a"), (pages.reload_raw, "r")):
+        write(wide, str(tmp_path / name))
+        stored, = (tmp_path / name).rglob("*.parquet")
+        meta = pq.ParquetFile(stored).metadata
+        assert [meta.row_group(g).num_rows for g in range(meta.num_row_groups)] == [64, 64, 64, 8]
+        assert rows(pages.read_raw(spark, str(tmp_path / name)).select("page_number", F.to_json("collection_json"))) == rows(
+            wide.select("page_number", F.to_json("collection_json")))
