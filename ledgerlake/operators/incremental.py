@@ -97,19 +97,15 @@ def cut_to_marks(pages: DataFrame, kind: str, marks: DataFrame) -> DataFrame:
         else F.col(c) for c in pages.columns])
 
 
-def _largest(array: Column, path: str, type_: str) -> Column:
-    return F.array_max(F.transform(array, lambda record: get(record, path, type_, lenient=True)))
-
-
 def page_highs(pages: DataFrame, base: str) -> DataFrame:
-    """Per page the largest change time and document number, found inside the page without exploding it."""
-    if base.upper() == "OPENAPI":
-        array = array_at(F.col("collection_json"), "$.items")
-        changed, number = F.lit(None).cast("timestamp"), _largest(array, "$.documentId", "bigint")
-    else:
-        array = array_at(F.col("collection_json"), "$.collection")
-        changed = _largest(array, "$.lastUpdated", "timestamp")
-        number = _largest(array, "$.bookedInvoiceNumber", "bigint")
+    """Per page the largest change time and document number, found inside the page without exploding it; a value that does not
+    fit counts as missing."""
+    key, number, changed = ("items", "documentId", None) if base.upper() == "OPENAPI" else ("collection", "bookedInvoiceNumber", "lastUpdated")
+    fields = f"{number}: bigint" + (f", {changed}: timestamp" if changed else "")
+    # One cast of the page's array reads these fields of all records; nothing else of a record is copied.
+    records = F.try_variant_get(F.col("collection_json"), f"$.{key}", f"array<struct<{fields}>>")
+    changed = F.array_max(records[changed]) if changed else F.lit(None).cast("timestamp")
+    number = F.array_max(records[number])
     return pages.select("api_endpoint", F.lit(base.upper()).alias("base"), "record_count_per_page",
                         changed.alias("page_timestamp"), F.nullif(number, F.lit(0)).alias("page_number_high"))
 

@@ -15,6 +15,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.operators.variants import get, parse, record_count
 
@@ -66,8 +67,12 @@ def read_pages(
 
 
 def land_page_lines(pages: DataFrame, root: str) -> None:
-    """Write (api_endpoint, load_id, page_number, page) with a struct or JSON ``page`` in the JSON-lines form."""
+    """Write (api_endpoint, load_id, page_number, page) in the JSON-lines form; ``page`` is a struct, a variant or JSON text. Text
+    goes into the line as it is, without being parsed; line ends between its tokens become spaces."""
     line = F.to_json(F.struct("page_number", "page"))
+    if isinstance(pages.schema["page"].dataType, T.StringType):
+        number, page = F.col("page_number").cast("string"), F.translate("page", "\r\n", "  ")
+        line = F.concat(F.lit("{"), F.concat_ws(",", F.concat(F.lit('"page_number":'), number), F.concat(F.lit('"page":'), page)), F.lit("}"))
     pages.select(line.alias("value"), F.url_encode("api_endpoint").alias("api_endpoint"), "load_id") \
         .write.mode("append").partitionBy("api_endpoint", "load_id").text(root)
 

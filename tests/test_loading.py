@@ -414,3 +414,26 @@ def test_raw_files_have_small_pages_and_row_groups(spark, tmp_path):
         assert [meta.row_group(g).num_rows for g in range(meta.num_row_groups)] == [64, 64, 64, 8]
         assert rows(pages.read_raw(spark, str(tmp_path / name)).select("page_number", F.to_json("collection_json"))) == rows(
             wide.select("page_number", F.to_json("collection_json")))
+
+
+def test_json_text_is_landed_as_it_is(spark, tmp_path):
+    texts = ['{"collection": [{"a": "x\\ny \u00c5", "n": 1.50}],\n "next":\r\n null}', "[]", "null", None]
+    landed = spark.createDataFrame([("e / 1", "l", n, t) for n, t in enumerate(texts)] + [("e / 1", "l", None, "{}")],
+                                   "api_endpoint string, load_id string, page_number bigint, page string")
+    variant = landed.withColumn("page", parse(F.col("page")))
+    seen = []
+    for name, some in (("text", landed), ("variant", variant)):
+        pages.land_page_lines(some, str(tmp_path / name))
+        back = pages.read_pages(spark, str(tmp_path / name), "REST", lines=True)
+        seen.append(rows(back.select("api_endpoint", "load_id", "page_number", "record_count_per_page", F.to_json("collection_json").alias("j"))))
+    assert seen[0] == seen[1] and len(seen[0]) == 5
+
+
+def test_highs_of_odd_records(spark, raw):
+    odd = raw("REST", (FIRST, "a", 0, {"collection": [
+        {"lastUpdated": "2024-01-01T08:00:00Z", "bookedInvoiceNumber": 5}, {"lastUpdated": "x", "bookedInvoiceNumber": "7"}, 3, None, "s", [1],
+        {"bookedInvoiceNumber": 9.5}, {"bookedInvoiceNumber": {"a": 1}}]}), (FIRST, "b", 0, {"collection": {"a": 1}}), (FIRST, "c", 0, {}))
+    highs = inc.page_highs(odd, "rest")
+    assert rows(highs.select("api_endpoint", "record_count_per_page", F.col("page_timestamp").cast("string"), "page_number_high")) == [
+        ("a", 8, "2024-01-01 08:00:00", 9), ("b", 0, None, None), ("c", 0, None, None)]
+    assert "transform(" not in plan(highs)
