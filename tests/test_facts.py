@@ -185,3 +185,22 @@ def test_views_answer_sql(spark, raw):
     assert len(register_views(spark, full, "full_")) == len(VIEWS) == 22
     for name in VIEWS:
         spark.table(f"full_{name}").limit(1).collect()
+
+
+def test_lines_meet_finished_headers_and_are_not_joined_by_customer(spark, sources):
+    """Customers and countries are looked up by header, so that lines are shuffled by invoice and by SKU only."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = facts.sales_detail(sources)._jdf.queryExecution().optimizedPlan().toString()
+        joins = [line for line in text.splitlines() if "Join " in line]
+        depth = {kind: next(len(j) - len(j.lstrip(" :+-")) for j in joins if f"({kind}#" in j) for kind in ("customer_number", "invoice_number", "sku")}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert depth["sku"] < depth["invoice_number"] < depth["customer_number"]
+
+
+def test_customers_of_equal_number_repeat_their_lines(spark, sources):
+    twice = SalesSources(sources.lines, sources.invoices, sources.customers.unionByName(sources.customers), sources.products, sources.sku_dim)
+    one, two = (rows(facts.sales_detail(s).groupBy("customer_id").count()) for s in (sources, twice))
+    known = {r[0] for r in rows(sources.customers, "customer_number")}
+    assert two == [(c, n * 2 if c in known else n) for c, n in one]

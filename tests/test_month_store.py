@@ -10,6 +10,7 @@ from ledgerlake.functions import dates
 from ledgerlake.plans import facts, reports, verified
 from ledgerlake.plans.semantic import SemanticModel
 from ledgerlake.sources.month_store import MonthStore
+from ledgerlake.sources.store import publish_by_month
 
 AS_OF = "2025-03-15"
 JAN, FEB, MAR = day("2025-01-01"), day("2025-02-01"), day("2025-03-01")
@@ -150,3 +151,21 @@ def test_a_failed_publication_changes_nothing(spark, store):
     assert again.version == 0 and again.read(["invoice_id"]).count() == 6
     assert dt.date(2025, 3, 1) in again.months
 
+
+
+def test_a_publication_does_not_shuffle_the_fact(spark, tmp_path):
+    """The widest rows stay where the joins left them; every month is complete whatever task wrote it."""
+    path = str(tmp_path / "by_tasks")
+    written = []
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("publish-by-month", "publish-by-month")
+    try:
+        publish_by_month(fact(spark).repartition(3, "line_id").localCheckpoint(), path)
+    finally:
+        spark.sparkContext.setJobGroup("other", "other")
+    for job in tracker.getJobIdsForGroup("publish-by-month"):
+        written.append(len(tracker.getJobInfo(job).stageIds))
+    assert written[-1] == 1
+    back = spark.read.parquet(path).where("sale_month IS NOT NULL")
+    assert rows(back.drop("sale_month").select(fact(spark).columns)) == rows(fact(spark).where("sale_date IS NOT NULL"))
+    assert rows(back.select("sale_month").distinct()) == [(day("2024-03-01"),), (JAN,), (FEB,), (MAR,)]
