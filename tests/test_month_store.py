@@ -11,6 +11,8 @@ from ledgerlake.plans import facts, reports, verified
 from ledgerlake.plans.semantic import SemanticModel
 from ledgerlake.sources.month_store import MonthStore
 from ledgerlake.sources.store import publish_by_month
+from ledgerlake.workload import load_queries
+from ledgerlake.workload import standins as st
 
 AS_OF = "2025-03-15"
 JAN, FEB, MAR = day("2025-01-01"), day("2025-02-01"), day("2025-03-01")
@@ -169,3 +171,47 @@ def test_a_publication_does_not_shuffle_the_fact(spark, tmp_path):
     back = spark.read.parquet(path).where("sale_month IS NOT NULL")
     assert rows(back.drop("sale_month").select(fact(spark).columns)) == rows(fact(spark).where("sale_date IS NOT NULL"))
     assert rows(back.select("sale_month").distinct()) == [(day("2024-03-01"),), (JAN,), (FEB,), (MAR,)]
+
+
+def test_add_stores_the_months_that_are_missing(spark, tmp_path):
+    some = MonthStore(spark, str(tmp_path / "some"), fact(spark).schema)
+    assert some.add(fact(spark), [MAR, day("2025-04-01")]) == [MAR] and sorted(some.months) == [MAR]
+    assert some.add(fact(spark), [MAR]) == [] and some.add(fact(spark), [MAR, JAN]) == [JAN]
+    assert {m: k.data_version for m, k in some.months.items()} == {MAR: 0, JAN: 1}
+    assert rows(MonthStore(spark, some.path, some.schema).read(["invoice_id", "line_id"])) == [(1, 1), (1, 2), (3, 1), (4, 1)]
+    whole = MonthStore(spark, str(tmp_path / "whole"), fact(spark).schema)
+    whole.publish(fact(spark))
+    assert some.publish(fact(spark), "v0") == [day("2024-03-01"), FEB]
+    assert {m: (k.rows, k.digest) for m, k in some.months.items()} == {m: (k.rows, k.digest) for m, k in whole.months.items()}
+
+
+def test_a_question_tells_the_ranges_it_reads(spark, store):
+    told = []
+    model = SemanticModel({"sales": store.read}, month_partition="sale_month",
+                          prepare=lambda periods: told.append([str(start) for start, _ in periods]))
+    model.query(metrics=["total_revenue"], filters=["last_week", "matched_products"], as_of=AS_OF)
+    model.by_filter(["last_week", "last_month"], ["total_revenue"], as_of=AS_OF)
+    model.by_filter(["last_week", "matched_products"], ["total_revenue"], as_of=AS_OF)
+    model.query(metrics=["total_revenue"])
+    week, month = (str(dates.last_days(dates.as_of_date(AS_OF), n)[0]) for n in (7, 30))
+    assert told == [[week], [week, month], [], []]
+
+
+def test_registered_questions_publish_only_the_months_they_read(spark, tmp_path):
+    days = ["2001-08-01", "2001-07-31", "2001-07-02", "2001-06-20", "2000-09-09", "2000-03-03", "1999-01-01"]
+    spark.createDataFrame([(k, 1, "O", 5000.0, d, "x") for k, d in enumerate(days)] + [(99, 1, "O", 5.0, "2001-08-01", "x")],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate string, o_orderpriority string") \
+        .withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(k, 1, 1, 1, 2.0, 100.0, 0.0, 0.0, "N", "O", dt.datetime(2001, 8, 2)) for k in [*range(len(days)), 99, None]], st.TABLE_SCHEMAS["lineitem"]) \
+        .write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, "C", 1, 1.0, "BUILDING")], st.TABLE_SCHEMAS["customer"]).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(1, "red thing", "Brand#1", "PROMO", 4, 9.0)], st.TABLE_SCHEMAS["part"]).write.parquet(f"{tmp_path}/part.parquet")
+    questions, sf = load_queries(), str(tmp_path)
+    assert [r.orders for r in questions["vq8_from_month_totals"].run(spark, sf).orderBy("period").collect()] == [0, 2]
+    stored, _ = st._PUBLISHED[spark.sparkContext.applicationId, sf]
+    assert sorted(stored.months) == [day("2001-07-01"), day("2001-08-01")]
+    assert [r.orders for r in questions["vq3_b2b_vs_b2c_last_quarter"].run(spark, sf).collect()] == [4]
+    assert sorted(stored.months) == [day("2001-06-01"), day("2001-07-01"), day("2001-08-01")]
+    assert [r.lines for r in questions["rpt10_packaging_match_quality"].run(spark, sf).collect()] == [5]
+    assert sorted(r.orders for r in questions["sem9_calendar_filters"].run(spark, sf).collect()) == [1, 1, 2, 2, 3, 4]
+    assert len(stored.months) == 5 and day("1999-01-01") not in stored.months
