@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,13 +46,31 @@ def flatten(
     ``keep`` carries page-level fields along; ``outer`` keeps pages whose array is missing or empty.
     """
     explode = F.posexplode_outer if outer else F.posexplode
-    kept = project(F.col("collection_json"), keep or {}, lenient)
+    page = F.col("collection_json")
+    kept = project(page, keep or {}, lenient)
+    typed = None if lenient else _typed_elements(page, array_path, fields)
     rows = pages.filter(F.col("api_endpoint") == endpoint).select(
         F.col("date_inserted").alias("api_timestamp"), "page_number", *kept,
-        explode(array_at(F.col("collection_json"), array_path)).alias("position", "element"),
+        explode(array_at(page, array_path) if typed is None else typed).alias("position", "element"),
     )
-    return rows.select("api_timestamp", *(keep or {}), *project(F.col("element"), fields, lenient),
-                       "page_number", "position")
+    columns = project(F.col("element"), fields, lenient) if typed is None else [F.col("element")[c].alias(c) for c in fields]
+    return rows.select("api_timestamp", *(keep or {}), *columns, "page_number", "position")
+
+
+def _typed_elements(page: Column, array_path: str, fields: Fields) -> Column | None:
+    """The array as typed structs, read out of the page at once; None if a field lies deeper than in the element itself.
+
+    An ``array<variant>`` builds every element as a document of its own, with its own dictionary of keys, before any field is read.
+    A page with elements that are no objects is read that way still: their fields are NULL.
+    """
+    keys = {c: path.removeprefix("$.") for c, (path, _) in fields.items()}
+    if not all(re.fullmatch(r"\w+", k) for k in keys.values()) or len({k.lower() for k in keys.values()}) < len(keys):
+        return None
+    objects = F.forall(F.try_variant_get(page, array_path, "array<struct<_ boolean>>"), lambda e: e.isNotNull())
+    at_once = F.variant_get(page, array_path, f"array<struct<{', '.join(f'`{keys[c]}` {type_}' for c, (_, type_) in fields.items())}>>")
+    renamed = f"array<struct<{', '.join(f'`{c}` {type_}' for c, (_, type_) in fields.items())}>>"
+    one_by_one = F.transform(array_at(page, array_path), lambda e: F.struct(*project(e, fields)))
+    return F.when(objects, at_once.cast(renamed)).otherwise(one_by_one)
 
 
 def flatten_nested(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.plans import verified
-from ledgerlake.plans.facts import sales_detail
+from ledgerlake.plans.facts import HEADER_COLUMNS, sales_detail
 from ledgerlake.plans.semantic import SemanticModel
 from ledgerlake.plans.views import Warehouse, register_views
 from ledgerlake.session import scratch_path
@@ -24,17 +24,20 @@ def erp_warehouse(spark: SparkSession, sf: str) -> Warehouse:
 
 
 def full_warehouse(spark: SparkSession, sf: str) -> Warehouse:
-    """With headers and lines stored: the fact, the SKU names and the rates all read them."""
+    """With headers and lines stored: the fact, the SKU names and the rates all read them, and seven columns of a header."""
     found = Warehouse(st.rest_raw(spark, sf), st.bulk_raw(spark, sf), st.shop_raw(spark, sf), st.expired_list(spark, sf),
                       st.packaging(spark, sf), line_ties=LINE_TIES)
     path = scratch_path(spark, "entities")
-    found.invoices = materialise(found.invoices, f"{path}/invoices")
+    found.invoices = materialise(found.invoices.select(*HEADER_COLUMNS), f"{path}/invoices")
     found.invoice_lines = materialise(found.invoice_lines, f"{path}/invoice_lines")
     return found
 
 
 def monthly_revenue_from_pages(spark: SparkSession, sf: str, year: int = st.TREND_YEAR) -> DataFrame:
-    sources = erp_warehouse(spark, sf).sources
+    """Headers are flattened once and stored: the rates of the lines and the fact read them."""
+    warehouse = erp_warehouse(spark, sf)
+    warehouse.invoices = materialise(warehouse.invoices.select(*HEADER_COLUMNS), scratch_path(spark, "headers"))
+    sources = warehouse.sources
     model = SemanticModel({"sales": lambda columns: sales_detail(sources, columns)})
     return verified.monthly_trend(model, year)
 

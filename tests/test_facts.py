@@ -5,6 +5,7 @@ from helpers import day, plan, rows
 from fixtures import EXPIRED_ROWS, EXPIRED_SCHEMA, FIRST, SAMPLE_INVOICE, SAMPLE_LINES, SHOP_PAGES, customer, invoice, line
 from pyspark.sql import functions as F
 
+from ledgerlake.workload import end_to_end
 from ledgerlake.plans import bronze, dims, facts, packaging
 from ledgerlake.plans.facts import SalesSources
 from ledgerlake.plans.views import VIEWS, Warehouse, register_views
@@ -204,3 +205,11 @@ def test_customers_of_equal_number_repeat_their_lines(spark, sources):
     one, two = (rows(facts.sales_detail(s).groupBy("customer_id").count()) for s in (sources, twice))
     known = {r[0] for r in rows(sources.customers, "customer_number")}
     assert two == [(c, n * 2 if c in known else n) for c, n in one]
+
+
+def test_stored_headers_have_the_columns_the_fact_reads(spark, monkeypatch):
+    written = {}
+    monkeypatch.setattr(end_to_end, "materialise", lambda df, path: written.setdefault(path.rsplit("/", 1)[-1].split("-")[0], df))
+    end_to_end.full_warehouse(spark, "/root/testdata/sf0.001")
+    end_to_end.monthly_revenue_from_pages(spark, "/root/testdata/sf0.001")
+    assert written["invoices"].columns == written["headers"].columns == list(facts.HEADER_COLUMNS)

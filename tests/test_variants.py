@@ -3,7 +3,7 @@ from __future__ import annotations
 import decimal
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -64,3 +64,22 @@ def test_text_round_trip(spark):
     assert df.select(v.to_text(F.col("j"))).first()[0] == '{"a":[true,null],"b":1}'
     bad = spark.createDataFrame([("{",)], "j string")
     assert bad.select(v.parse(F.col("j"), lenient=True).alias("j")).filter("j is null").count() == 1
+
+
+def test_flat_fields_are_read_out_of_the_page_at_once(raw):
+    """As typed structs; elements that are no objects, and pages without an array, give what single reads give."""
+    fields = {"n": ("$.n", "bigint"), "t": ("$.t", "string"), "d": ("$.d", "decimal(38,0)")}
+    at = "2025-01-01 00:00:00"
+    pages = raw("REST", (at, "e", 0, {"c": [{"n": "5", "t": {"a": 1}, "d": 2.5}, {"N": 1, "t": 7}]}), (at, "e", 1, {"c": [None, 3, [{"n": 1}], {"n": 9}]}),
+                (at, "e", 2, {"c": {"n": 1}}), (at, "e", 3, {"c": "x"}), (at, "e", 4, [1]))
+    flat = v.flatten(pages, "e", "$.c", fields)
+    assert "ArrayType(StructType(StructField(n,LongType" in flat._jdf.queryExecution().analyzed().toString() or "array<struct<n:bigint" in plan(flat)
+    assert rows(flat, "page_number", "position", "n", "t", "d") == [
+        (0, 0, 5, '{"a":1}', decimal.Decimal(3)), (0, 1, None, "7", None), (1, 0, None, None, None), (1, 1, None, None, None),
+        (1, 2, None, None, None), (1, 3, 9, None, None)]
+    assert rows(v.flatten(pages, "e", "$.c", fields, outer=True), "page_number", "n")[-3:] == [(2, None), (3, None), (4, None)]
+    with pytest.raises(PySparkException):
+        v.flatten(raw("REST", (at, "e", 0, {"c": [3, {"n": "many"}]})), "e", "$.c", fields).collect()
+    # Two keys that differ in case only have no struct that tells them apart.
+    both = v.flatten(raw("REST", (at, "e", 0, {"c": [{"n": 1, "N": 2}]})), "e", "$.c", {"a": ("$.n", "bigint"), "b": ("$.N", "bigint")})
+    assert rows(both, "a", "b") == [(1, 2)]
