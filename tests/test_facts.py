@@ -5,10 +5,11 @@ from helpers import day, plan, rows
 from fixtures import EXPIRED_ROWS, EXPIRED_SCHEMA, FIRST, SAMPLE_INVOICE, SAMPLE_LINES, SHOP_PAGES, customer, invoice, line
 from pyspark.sql import functions as F
 
-from ledgerlake.workload import end_to_end
 from ledgerlake.plans import bronze, dims, facts, packaging
 from ledgerlake.plans.facts import SalesSources
 from ledgerlake.plans.views import VIEWS, Warehouse, register_views
+from ledgerlake.workload import end_to_end
+from ledgerlake.workload import standins as st
 
 
 @pytest.fixture
@@ -207,9 +208,11 @@ def test_customers_of_equal_number_repeat_their_lines(spark, sources):
     assert two == [(c, n * 2 if c in known else n) for c, n in one]
 
 
-def test_stored_headers_have_the_columns_the_fact_reads(spark, monkeypatch):
+def test_stored_headers_have_the_columns_the_fact_reads(spark, monkeypatch, tmp_path):
+    for name, schema in st.TABLE_SCHEMAS.items():
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
     written = {}
     monkeypatch.setattr(end_to_end, "materialise", lambda df, path: written.setdefault(path.rsplit("/", 1)[-1].split("-")[0], df))
-    end_to_end.full_warehouse(spark, "/root/testdata/sf0.001")
-    end_to_end.monthly_revenue_from_pages(spark, "/root/testdata/sf0.001")
+    end_to_end.full_warehouse(spark, str(tmp_path))
+    end_to_end.monthly_revenue_from_pages(spark, str(tmp_path))
     assert written["invoices"].columns == written["headers"].columns == list(facts.HEADER_COLUMNS)
