@@ -201,6 +201,21 @@ def test_lines_meet_finished_headers_and_are_not_joined_by_customer(spark, sourc
     assert depth["sku"] < depth["invoice_number"] < depth["customer_number"]
 
 
+def test_markets_and_segments_are_made_after_the_shuffle_by_sku(spark, sources):
+    """Lines carry the country as written and the group through that shuffle, not the texts made of them."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = facts.sales_detail(sources)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = text.splitlines()
+    by_sku = next(n for n, line in enumerate(lines) if "Join " in line and "(sku#" in line)
+    above, below = "\n".join(lines[:by_sku]), "\n".join(lines[by_sku:])
+    for made in ("AS customer_segment#", "AS market#"):
+        assert made in above and made not in below
+    assert "spelling#" in above and "AS h_country#" in below
+
+
 def test_customers_of_equal_number_repeat_their_lines(spark, sources):
     twice = SalesSources(sources.lines, sources.invoices, sources.customers.unionByName(sources.customers), sources.products, sources.sku_dim)
     one, two = (rows(facts.sales_detail(s).groupBy("customer_id").count()) for s in (sources, twice))

@@ -10,6 +10,8 @@ from ledgerlake.functions import dates
 from ledgerlake.plans import facts, reports, verified
 from ledgerlake.plans.semantic import SemanticModel
 from ledgerlake.sources.month_store import MonthStore
+from ledgerlake.session import SORTED_SPLIT, small_splits
+from ledgerlake.sources import store as stored_tables
 from ledgerlake.sources.store import publish_by_month
 from ledgerlake.workload import load_queries
 from ledgerlake.workload import standins as st
@@ -173,6 +175,46 @@ def test_a_publication_does_not_shuffle_the_fact(spark, tmp_path):
     assert rows(back.select("sale_month").distinct()) == [(day("2024-03-01"),), (JAN,), (FEB,), (MAR,)]
 
 
+def test_a_publication_reads_a_stored_fact_in_splits_it_can_sort(spark, tmp_path, monkeypatch):
+    """One task that sorts 128 MB of a stored fact spills its rows."""
+    settings = {"spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        fact(spark, [r for r in DATA if r[2] and r[2] >= "2025-03"] * 4).repartition(4).write.parquet(str(tmp_path / "fact"))
+        one = spark.read.parquet(str(tmp_path / "fact"))
+        assert one.rdd.getNumPartitions() == 1
+        largest = max(f.stat().st_size for f in (tmp_path / "fact").glob("*.parquet"))
+        monkeypatch.setattr(stored_tables, "small_splits", lambda session: small_splits(session, largest))
+        publish_by_month(one, str(tmp_path / "published"))
+        stored_tables.materialise(one, str(tmp_path / "again"))
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert len(list((tmp_path / "published" / "sale_month=2025-03-01").glob("*.parquet"))) == 4
+    assert len(list((tmp_path / "again").glob("*.parquet"))) == 4
+    assert rows(spark.read.parquet(str(tmp_path / "published")).select(one.columns)) == rows(one)
+
+
+def test_small_splits_hold_while_a_store_is_written_only(spark, store, monkeypatch):
+    name, seen = "spark.sql.files.maxPartitionBytes", []
+    real = type(fact(spark).write).parquet
+    monkeypatch.setattr(type(fact(spark).write), "parquet", lambda self, *a, **k: (seen.append(spark.conf.get(name)), real(self, *a, **k))[1])
+    before = spark.conf.get(name)
+    store.publish(fact(spark, [*DATA, DATA[0]]), "v1")
+    assert seen[0] == str(SORTED_SPLIT) and seen[-1] == spark.conf.get(name) == before
+    spark.conf.set(name, "1m")
+    try:
+        with small_splits(spark):
+            assert spark.conf.get(name) == "1m"
+        spark.conf.set(name, "1g")
+        with pytest.raises(ValueError, match="boom"), small_splits(spark):
+            raise ValueError("boom")
+        assert spark.conf.get(name) == "1g"
+    finally:
+        spark.conf.unset(name)
+
+
 def test_add_stores_the_months_that_are_missing(spark, tmp_path):
     some = MonthStore(spark, str(tmp_path / "some"), fact(spark).schema)
     assert some.add(fact(spark), [MAR, day("2025-04-01")]) == [MAR] and sorted(some.months) == [MAR]
